@@ -36,40 +36,49 @@ def _expanding(partition: list[str]) -> Window:
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def forecast_frame(obs: DataFrame, target: str = "new_cases", partition: list[str] | None = None,
-                   min_points: int = 2) -> DataFrame:
-    """All columns of ``obs`` plus ``t``, the frame size ``n_obs`` and ``yhat``.
+def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
+                   partition: list[str] | None = None, min_points: int = 2) -> DataFrame:
+    """All columns of ``obs`` plus ``t``, the frame size ``n_obs`` and ``yhat_<target>``.
 
+    Several targets share one window (same partitioning, order and frame), so
+    forecasting cases, deaths and vaccinations costs one shuffle and one sort.
     ``partition`` defaults to ``["location"]``; pass ``[]`` for one pooled series.
     """
-    if target not in obs.columns:
-        raise ValueError(f"target column {target!r} not in input")
+    targets = [target] if isinstance(target, str) else list(target)
+    for tg in targets:
+        if tg not in obs.columns:
+            raise ValueError(f"target column {tg!r} not in input")
     part = ["location"] if partition is None else list(partition)
     w = _expanding(part)
     d = with_day(obs)
-    y = F.coalesce(F.col(target).cast("double"), F.lit(0.0))
-    d = (d.withColumn("_y", y)
-          .withColumn("t", (F.col(DAY) - F.first(F.col(DAY)).over(w)).cast("double"))
+    d = (d.withColumn("t", (F.col(DAY) - F.first(F.col(DAY)).over(w)).cast("double"))
           .withColumn("_k", F.dayofweek(F.col("date"))))
-    aggs = {
-        "n_obs": F.count(F.lit(1)).over(w),
-        "_b": F.regr_slope(F.col("_y"), F.col("t")).over(w),
-        "_a": F.regr_intercept(F.col("_y"), F.col("t")).over(w),
-    }
+    d = d.withColumns({f"_y{i}": F.coalesce(F.col(tg).cast("double"), F.lit(0.0))
+                       for i, tg in enumerate(targets)})
+    aggs = {"n_obs": F.count(F.lit(1)).over(w)}
     for k in range(1, 8):
-        on_k = F.col("_k") == k
-        aggs[f"_n{k}"] = F.sum(F.when(on_k, F.lit(1.0)).otherwise(F.lit(0.0))).over(w)
-        aggs[f"_sy{k}"] = F.sum(F.when(on_k, F.col("_y")).otherwise(F.lit(0.0))).over(w)
-        aggs[f"_st{k}"] = F.sum(F.when(on_k, F.col("t")).otherwise(F.lit(0.0))).over(w)
+        aggs[f"_n{k}"] = F.sum(F.when(F.col("_k") == k, F.lit(1.0)).otherwise(F.lit(0.0))).over(w)
+        aggs[f"_st{k}"] = F.sum(F.when(F.col("_k") == k, F.col("t")).otherwise(F.lit(0.0))).over(w)
+    for i in range(len(targets)):
+        y = F.col(f"_y{i}")
+        aggs[f"_b{i}"] = F.regr_slope(y, F.col("t")).over(w)
+        aggs[f"_a{i}"] = F.regr_intercept(y, F.col("t")).over(w)
+        for k in range(1, 8):
+            aggs[f"_sy{i}_{k}"] = F.sum(F.when(F.col("_k") == k, y).otherwise(F.lit(0.0))).over(w)
     d = d.withColumns(aggs)
     k1 = F.dayofweek(F.date_add(F.col("date"), 1))
-    pick = lambda p: F.element_at(F.array(*[F.col(f"_{p}{k}") for k in range(1, 8)]), k1)
-    nk, syk, stk = pick("n"), pick("sy"), pick("st")
-    seasonal = F.when(nk > 0, (syk - F.col("_a") * nk - F.col("_b") * stk) / nk).otherwise(F.lit(0.0))
-    yhat = F.when(F.col("n_obs") >= min_points,
-                  F.col("_a") + F.col("_b") * (F.col("t") + 1) + seasonal)
-    d = d.withColumn("yhat", yhat)
-    drop = ["_y", "_k", "_a", "_b"] + [f"_{p}{k}" for p in ("n", "sy", "st") for k in range(1, 8)]
+
+    def pick(prefix: str):
+        return F.element_at(F.array(*[F.col(f"{prefix}{k}") for k in range(1, 8)]), k1)
+
+    nk, stk = pick("_n"), pick("_st")
+    out = {}
+    for i, tg in enumerate(targets):
+        a, b, syk = F.col(f"_a{i}"), F.col(f"_b{i}"), pick(f"_sy{i}_")
+        seasonal = F.when(nk > 0, (syk - a * nk - b * stk) / nk).otherwise(F.lit(0.0))
+        out[f"yhat_{tg}"] = F.when(F.col("n_obs") >= min_points, a + b * (F.col("t") + 1) + seasonal)
+    d = d.withColumns(out)
+    drop = ["_k"] + [c for c in d.columns if c.startswith(("_y", "_a", "_b", "_n", "_st", "_sy"))]
     return d.drop(*drop)
 
 
@@ -81,7 +90,7 @@ def forecast(obs: DataFrame, target: str = "new_cases", model_version: str = DEF
     the default keeps null so metrics skip it.
     """
     d = forecast_frame(obs, target, partition, min_points)
-    p = F.col("yhat")
+    p = F.col(f"yhat_{target}")
     if missing == "zero":
         p = F.coalesce(F.nanvl(p, F.lit(0.0)), F.lit(0.0))
     elif missing != "null":
@@ -110,5 +119,5 @@ def forecast_with_actuals(obs: DataFrame, target: str = "new_cases", align: str
         raise ValueError("align must be 'target' or 'origin'")
     return d.select("location", "date", F.date_add("date", 1).alias("target_date"),
                     F.lit(model_version).alias("model_version"),
-                    F.col("yhat").alias(f"{target}_predicted"),
+                    F.col(f"yhat_{target}").alias(f"{target}_predicted"),
                     actual.alias(f"{target}_actual"))

@@ -67,3 +67,173 @@ def q_forecast_eval_target(spark, sf_dir):
 def q_forecast_eval_origin(spark, sf_dir):
     """Same, judged against the actual of the origin day (the reference's pairing)."""
     return _eval(spark, sf_dir, "origin")
+
+
+# ------------------------------------------------------------------ helpers
+def _round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+    from pyspark.sql import types as T
+    return df.withColumns({f.name: F.round(F.col(f.name), digits) for f in df.schema.fields
+                           if isinstance(f.dataType, T.DoubleType)})
+
+
+def w2_predictions(spark, sf_dir) -> DataFrame:
+    """Prediction table of the windowed forecast (all 3 targets), reference row form."""
+    from trendlake.plans.jobs import forecast_predictions
+    return forecast_predictions(observations(spark, sf_dir))
+
+
+def events(spark, sf_dir) -> DataFrame:
+    from trendlake.sources.tables import table
+    return table(spark, sf_dir, "events")
+
+
+PRED_NUMERIC = ["new_cases_predicted", "new_deaths_predicted", "new_vaccinations_predicted",
+                "new_cases_actual", "new_deaths_actual", "new_vaccinations_actual",
+                "total_cases", "total_deaths", "life_expectancy", "excess_mortality"]
+
+
+# ---------------------------------------------------------- prep operators
+@register("fill_nulls")
+def q_fill_nulls(spark, sf_dir):
+    """Nulls → 0 in numeric columns, strings untouched."""
+    from trendlake.operators.prep import fill_nulls
+    return _round_doubles(fill_nulls(observations(spark, sf_dir)))
+
+
+@register("next_day_join")
+def q_next_day_join(spark, sf_dir):
+    """Each row with the next calendar day's new_cases / new_deaths (null across gaps)."""
+    from trendlake.operators.prep import next_day
+    d = next_day(observations(spark, sf_dir), ["new_cases", "new_deaths"])
+    return d.select("location", "date", "new_cases", "next_exists", "next_new_cases", "next_new_deaths")
+
+
+@register("predictions_w2")
+def q_predictions_w2(spark, sf_dir):
+    """The backtest's prediction table for the windowed model (one pass, 3 targets).
+
+    ``created_at`` is stamped by the sink at write time and the windowed model has
+    no training cutoff, so both always-null columns are left out here.
+    """
+    return _round_doubles(w2_predictions(spark, sf_dir).drop("created_at", "model_cutoff"))
+
+
+@register("eval_by_model")
+def q_eval_by_model(spark, sf_dir):
+    """A4: RMSE/MAE/R² per (model_version, target) over all locations, target-aligned."""
+    return _round_doubles(ev.evaluate(w2_predictions(spark, sf_dir), by=["model_version"]))
+
+
+@register("eval_by_location_origin")
+def q_eval_by_location_origin(spark, sf_dir):
+    """A4 with the reference's same-day pairing, per (location, model_version, target)."""
+    return _round_doubles(ev.evaluate(w2_predictions(spark, sf_dir), by=["location", "model_version"],
+                                      align="origin"))
+
+
+@register("error_series")
+def q_error_series(spark, sf_dir):
+    """Predicted − actual per (location, origin), actual of the target day."""
+    p = ev.error_columns(ev.align_to_target(w2_predictions(spark, sf_dir)))
+    return _round_doubles(p.select("location", "date", "model_version", "cases_error", "deaths_error"))
+
+
+# --------------------------------------------------------- explore operators
+@register("locations")
+def q_locations(spark, sf_dir):
+    from trendlake.operators.explore import locations
+    return locations(w2_predictions(spark, sf_dir))
+
+
+@register("describe_predictions")
+def q_describe(spark, sf_dir):
+    from trendlake.operators.explore import describe
+    return _round_doubles(describe(w2_predictions(spark, sf_dir), PRED_NUMERIC))
+
+
+@register("location_stats")
+def q_location_stats(spark, sf_dir):
+    from trendlake.operators.explore import location_stats
+    return _round_doubles(location_stats(w2_predictions(spark, sf_dir)))
+
+
+@register("corr_matrix")
+def q_corr_matrix(spark, sf_dir):
+    from trendlake.operators.explore import corr_matrix
+    from trendlake.schema import CORR_COLUMNS
+    return _round_doubles(corr_matrix(w2_predictions(spark, sf_dir), CORR_COLUMNS))
+
+
+@register("compare_locations")
+def q_compare_locations(spark, sf_dir):
+    """One metric by date with location as hue."""
+    from trendlake.operators.explore import mean_ci
+    return _round_doubles(mean_ci(w2_predictions(spark, sf_dir), "date", "excess_mortality", "location"))
+
+
+@register("mean_ci_by_date")
+def q_mean_ci_by_date(spark, sf_dir):
+    """Mean event value per (day, event_type) with a 95 % interval."""
+    from trendlake.operators.explore import mean_ci
+    e = events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    return _round_doubles(mean_ci(e, "day", "value", "event_type"))
+
+
+@register("bar_by_segment")
+def q_bar_by_segment(spark, sf_dir):
+    """Mean account balance per market segment with a 95 % interval."""
+    from trendlake.operators.explore import mean_ci
+    from trendlake.sources.tables import table
+    return _round_doubles(mean_ci(table(spark, sf_dir, "customer"), "c_mktsegment", "c_acctbal"))
+
+
+@register("hist_events")
+def q_hist_events(spark, sf_dir):
+    """A10: histogram of event values per event_type on shared 'auto' bins."""
+    from trendlake.operators.explore import histogram
+    return _round_doubles(histogram(events(spark, sf_dir), "value", "event_type"))
+
+
+@register("hist_errors")
+def q_hist_errors(spark, sf_dir):
+    """Distribution of the cases forecast error (20 bins)."""
+    from trendlake.operators.explore import histogram
+    p = ev.error_columns(ev.align_to_target(w2_predictions(spark, sf_dir)))
+    return _round_doubles(histogram(p, "cases_error", bins=20))
+
+
+@register("kde_events")
+def q_kde_events(spark, sf_dir):
+    """Gaussian density of event values per event_type on a 200-point grid."""
+    from trendlake.operators.explore import kde
+    return _round_doubles(kde(events(spark, sf_dir), "value", "event_type"))
+
+
+@register("box_events")
+def q_box_events(spark, sf_dir):
+    """Box statistics of event values per event_type."""
+    from trendlake.operators.explore import box_stats
+    return _round_doubles(box_stats(events(spark, sf_dir), "value", ["event_type"]))
+
+
+@register("violin_events")
+def q_violin_events(spark, sf_dir):
+    """Density per event_type with its quartiles."""
+    from trendlake.operators.explore import violin
+    return _round_doubles(violin(events(spark, sf_dir), "value", ["event_type"]))
+
+
+@register("metric_series")
+def q_metric_series(spark, sf_dir):
+    """Tall (location, date, metric, label, value) series of the dashboard metrics."""
+    from trendlake.operators.explore import series_tall
+    m = ["new_cases_actual", "new_deaths_actual", "total_cases", "total_deaths",
+         "new_vaccinations_actual", "excess_mortality"]
+    return _round_doubles(series_tall(w2_predictions(spark, sf_dir), m))
+
+
+@register("area_series")
+def q_area_series(spark, sf_dir):
+    """Sorted (location, date, total_cases) area data."""
+    from trendlake.operators.explore import area_series
+    return area_series(w2_predictions(spark, sf_dir), "date", "total_cases", "location")

@@ -1,42 +1,99 @@
 """Independent SQL for each registered query (DuckDB dialect, tables as views).
 
-These are written as plain relational SQL (range self-joins, grouped
-aggregates) rather than as translations of the Spark plans, so that the
-check compares two different formulations of the same semantics.
+Written as plain relational SQL — range self-joins instead of running
+windows, grouped aggregates, explicit joins — rather than as translations of
+the Spark plans, so the check compares two formulations of the same semantics.
+Doubles are rounded to 6 decimals on both sides.
 """
 
 from __future__ import annotations
 
+from trendlake.schema import CORR_COLUMNS
 from trendlake.sources.tables import observations_sql
 
 SQL: dict[str, str] = {}
 
 OBS_CTE = f"obs as (select * from ({observations_sql()}) x)"
 
+# null → 0 on every numeric column, as the backtest prepares its input
+POBS_CTE = """pobs as (
+  select location, date,
+         coalesce(new_cases, 0) as new_cases, coalesce(new_deaths, 0) as new_deaths,
+         coalesce(new_vaccinations, 0) as new_vaccinations,
+         coalesce(total_cases, 0) as total_cases, coalesce(total_deaths, 0) as total_deaths,
+         coalesce(life_expectancy, 0) as life_expectancy, coalesce(excess_mortality, 0) as excess_mortality
+  from obs)"""
 
-def _series(target: str) -> str:
+
+def _forecast_ctes(src: str, targets: list[str], tag: str) -> str:
+    """CTEs ``s_{tag}``, ``fit_{tag}``, ``seas_{tag}`` and ``fc_{tag}`` (yhat per target)."""
+    ys = ", ".join(f"coalesce({t}, 0) as y{i}" for i, t in enumerate(targets))
+    fits = ", ".join(f"regr_slope(j.y{i}, j.t) as b{i}, regr_intercept(j.y{i}, j.t) as a{i}"
+                     for i in range(len(targets)))
+    seas = ", ".join(f"avg(j.y{i} - f.a{i} - f.b{i} * j.t) as z{i}" for i in range(len(targets)))
+    yh = ", ".join(f"case when f.n >= 2 then f.a{i} + f.b{i} * (f.t + 1) + coalesce(z.z{i}, 0) end as yhat_{t}"
+                   for i, t in enumerate(targets))
     return f"""
-s as (
-  select location, date, coalesce({target}, 0) as y,
+s_{tag} as (
+  select location, date, {ys},
          cast(date_diff('day', min(date) over (partition by location), date) as double) as t
-  from obs),
-fit as (
-  select i.location, i.date, i.t, count(*) as n,
-         regr_slope(j.y, j.t) as b, regr_intercept(j.y, j.t) as a
-  from s i join s j on i.location = j.location and j.date <= i.date
+  from {src}),
+fit_{tag} as (
+  select i.location, i.date, i.t, count(*) as n, {fits}
+  from s_{tag} i join s_{tag} j on i.location = j.location and j.date <= i.date
   group by i.location, i.date, i.t),
-seas as (
-  select f.location, f.date, avg(j.y - f.a - f.b * j.t) as seasonal
-  from fit f join s j on f.location = j.location and j.date <= f.date
+seas_{tag} as (
+  select f.location, f.date, {seas}
+  from fit_{tag} f join s_{tag} j on f.location = j.location and j.date <= f.date
                      and dayofweek(j.date) = dayofweek(cast(f.date + 1 as date))
   group by f.location, f.date),
-fc as (
+fc_{tag} as (
   select f.location, f.date, cast(f.date + 1 as date) as target_date,
-         'trend_dow_v1' as model_version,
-         case when f.n >= 2 then f.a + f.b * (f.t + 1) + coalesce(seas.seasonal, 0) end as yhat
-  from fit f left join seas on f.location = seas.location and f.date = seas.date)"""
+         'trend_dow_v1' as model_version, {yh}
+  from fit_{tag} f left join seas_{tag} z on f.location = z.location and f.date = z.date)"""
+
+
+PRED_CTE = f"""{OBS_CTE}, {POBS_CTE}, {_forecast_ctes('pobs', ['new_cases', 'new_deaths', 'new_vaccinations'], 'p')},
+pred as (
+  select f.location, f.date,
+         f.yhat_new_cases as new_cases_predicted, f.yhat_new_deaths as new_deaths_predicted,
+         f.yhat_new_vaccinations as new_vaccinations_predicted,
+         p.new_cases as new_cases_actual, p.new_deaths as new_deaths_actual,
+         p.new_vaccinations as new_vaccinations_actual,
+         p.total_cases, p.total_deaths, p.life_expectancy, p.excess_mortality,
+         f.model_version, cast(null as date) as created_at, f.target_date,
+         cast(null as date) as model_cutoff
+  from fc_p f join pobs p on p.location = f.location and p.date = f.date)"""
+
+# actual of the target day, from the row of the next origin (same location and model)
+ALIGNED_CTE = """aligned as (
+  select a.location, a.date, a.model_version,
+         a.new_cases_predicted, a.new_deaths_predicted, a.new_vaccinations_predicted,
+         b.new_cases_actual, b.new_deaths_actual, b.new_vaccinations_actual
+  from pred a left join pred b on a.location = b.location and a.model_version = b.model_version
+                              and b.date = cast(a.date + 1 as date))"""
+
 
+def _r(x: str, alias: str) -> str:
+    return f"round({x}, 6) as {alias}"
 
+
+def _metrics_sql(src: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    tall = " union all ".join(
+        f"select {k}, '{t}' as target, {t}_actual as actual, {t}_predicted as predicted from {src}"
+        for t in ("new_cases", "new_deaths", "new_vaccinations"))
+    return f"""
+select {k}, target, cast(count(*) as bigint) as n,
+       {_r('sqrt(avg(power(actual - predicted, 2)))', 'rmse')},
+       {_r('avg(abs(actual - predicted))', 'mae')},
+       {_r('1 - sum(power(actual - predicted, 2)) / nullif(regr_syy(actual, predicted), 0)', 'r2')}
+from ({tall}) t
+where actual is not null and predicted is not null
+group by {k}, target"""
+
+
+# ----------------------------------------------------------- series, forecast
 SQL["daily_series"] = f"""
 with {OBS_CTE}
 select location, date, total_cases, new_cases, total_deaths, new_deaths, total_vaccinations,
@@ -45,21 +102,21 @@ select location, date, total_cases, new_cases, total_deaths, new_deaths, total_v
 from obs"""
 
 SQL["forecast_cases"] = f"""
-with {OBS_CTE}, {_series('new_cases')}
-select location, date, target_date, model_version, round(yhat, 6) as new_cases_predicted from fc"""
+with {OBS_CTE}, {_forecast_ctes('obs', ['new_cases'], 'c')}
+select location, date, target_date, model_version, round(yhat_new_cases, 6) as new_cases_predicted from fc_c"""
 
 SQL["forecast_deaths"] = f"""
-with {OBS_CTE}, {_series('new_deaths')}
-select location, date, target_date, model_version, round(yhat, 6) as new_deaths_predicted from fc"""
+with {OBS_CTE}, {_forecast_ctes('obs', ['new_deaths'], 'd')}
+select location, date, target_date, model_version, round(yhat_new_deaths, 6) as new_deaths_predicted from fc_d"""
 
 
 def _eval_sql(join_day: str) -> str:
     return f"""
-with {OBS_CTE}, {_series('new_cases')},
+with {OBS_CTE}, {_forecast_ctes('obs', ['new_cases'], 'c')},
 pairs as (
-  select fc.location, fc.model_version, fc.yhat as p, coalesce(o.new_cases, 0) as a
-  from fc join obs o on o.location = fc.location and o.date = fc.{join_day}
-  where fc.yhat is not null)
+  select f.location, f.model_version, f.yhat_new_cases as p, coalesce(o.new_cases, 0) as a
+  from fc_c f join obs o on o.location = f.location and o.date = f.{join_day}
+  where f.yhat_new_cases is not null)
 select location, model_version, cast(count(*) as bigint) as n,
        round(sqrt(avg(power(a - p, 2))), 6) as rmse,
        round(avg(abs(a - p)), 6) as mae,
@@ -70,3 +127,180 @@ from pairs group by location, model_version"""
 
 SQL["forecast_eval_target"] = _eval_sql("target_date")
 SQL["forecast_eval_origin"] = _eval_sql("date")
+
+# ------------------------------------------------------------------ prep
+SQL["fill_nulls"] = f"""
+with {OBS_CTE}
+select location, date,
+       coalesce(total_cases, 0) as total_cases, coalesce(new_cases, 0) as new_cases,
+       coalesce(total_deaths, 0) as total_deaths, coalesce(new_deaths, 0) as new_deaths,
+       coalesce(total_vaccinations, 0) as total_vaccinations,
+       coalesce(people_vaccinated, 0) as people_vaccinated,
+       coalesce(people_fully_vaccinated, 0) as people_fully_vaccinated,
+       coalesce(new_vaccinations, 0) as new_vaccinations,
+       round(coalesce(life_expectancy, 0), 6) as life_expectancy,
+       round(coalesce(excess_mortality, 0), 6) as excess_mortality
+from obs"""
+
+SQL["next_day_join"] = f"""
+with {OBS_CTE}
+select a.location, a.date, a.new_cases, b.location is not null as next_exists,
+       b.new_cases as next_new_cases, b.new_deaths as next_new_deaths
+from obs a left join obs b on a.location = b.location and b.date = cast(a.date + 1 as date)"""
+
+# ------------------------------------------------------------- predictions
+SQL["predictions_w2"] = f"""
+with {PRED_CTE}
+select location, date,
+       {_r('new_cases_predicted', 'new_cases_predicted')},
+       {_r('new_deaths_predicted', 'new_deaths_predicted')},
+       {_r('new_vaccinations_predicted', 'new_vaccinations_predicted')},
+       new_cases_actual, new_deaths_actual, new_vaccinations_actual, total_cases, total_deaths,
+       {_r('life_expectancy', 'life_expectancy')}, {_r('excess_mortality', 'excess_mortality')},
+       model_version, target_date
+from pred"""
+
+SQL["eval_by_model"] = f"with {PRED_CTE}, {ALIGNED_CTE} {_metrics_sql('aligned', ['model_version'])}"
+SQL["eval_by_location_origin"] = f"with {PRED_CTE} {_metrics_sql('pred', ['location', 'model_version'])}"
+
+SQL["error_series"] = f"""
+with {PRED_CTE}, {ALIGNED_CTE}
+select location, date, model_version,
+       {_r('new_cases_predicted - new_cases_actual', 'cases_error')},
+       {_r('new_deaths_predicted - new_deaths_actual', 'deaths_error')}
+from aligned"""
+
+# ------------------------------------------------------------------ explore
+SQL["locations"] = f"with {PRED_CTE} select distinct location from pred where location is not null"
+
+_DESCRIBE_COLS = ["new_cases_predicted", "new_deaths_predicted", "new_vaccinations_predicted",
+                  "new_cases_actual", "new_deaths_actual", "new_vaccinations_actual",
+                  "total_cases", "total_deaths", "life_expectancy", "excess_mortality"]
+SQL["describe_predictions"] = f"with {PRED_CTE} " + " union all ".join(
+    f"""select '{c}' as metric, count({c}) as count, {_r(f'avg({c})', 'mean')}, {_r(f'stddev_samp({c})', 'std')},
+       {_r(f'min({c})', 'min')}, {_r(f'quantile_cont({c}, 0.25)', 'q25')}, {_r(f'quantile_cont({c}, 0.5)', 'q50')},
+       {_r(f'quantile_cont({c}, 0.75)', 'q75')}, {_r(f'max({c})', 'max')} from pred"""
+    for c in _DESCRIBE_COLS)
+
+SQL["location_stats"] = f"""
+with {PRED_CTE}
+select location,
+       {_r('avg(new_cases_actual)', 'new_cases_actual_mean')},
+       {_r('stddev_samp(new_cases_actual)', 'new_cases_actual_std')},
+       {_r('max(new_cases_actual)', 'new_cases_actual_max')},
+       {_r('avg(new_deaths_actual)', 'new_deaths_actual_mean')},
+       {_r('stddev_samp(new_deaths_actual)', 'new_deaths_actual_std')},
+       {_r('max(new_deaths_actual)', 'new_deaths_actual_max')},
+       {_r('max_by(total_cases, date) filter (where total_cases is not null)', 'total_cases_last')},
+       {_r('max_by(total_deaths, date) filter (where total_deaths is not null)', 'total_deaths_last')},
+       {_r('avg(life_expectancy)', 'life_expectancy_mean')},
+       {_r('avg(excess_mortality)', 'excess_mortality_mean')}
+from pred group by location"""
+
+
+def _corr_sql() -> str:
+    cols = CORR_COLUMNS
+    aggs, rows = [], []
+    for i, x in enumerate(cols):
+        for j in range(i, len(cols)):
+            y = cols[j]
+            aggs.append(f"regr_sxy({y}, {x}) / nullif(sqrt(regr_sxx({y}, {x}) * regr_syy({y}, {x})), 0) as r{i}_{j}")
+            rows.append(f"select '{x}' as row_metric, '{y}' as col_metric, round(r{i}_{j}, 6) as corr from w")
+            if i != j:
+                rows.append(f"select '{y}' as row_metric, '{x}' as col_metric, round(r{i}_{j}, 6) as corr from w")
+    return f"with {PRED_CTE}, w as (select {', '.join(aggs)} from pred) " + " union all ".join(rows)
+
+
+SQL["corr_matrix"] = _corr_sql()
+
+
+def _mean_ci_sql(src_cte: str, src: str, keys: list[str], y: str) -> str:
+    k = ", ".join(keys)
+    return f"""
+with {src_cte} g as (select {k}, count({y}) as n, avg({y}) as mean, stddev_samp({y}) as std
+                      from {src} group by {k})
+select {k}, n, round(mean, 6) as mean, round(std, 6) as std,
+       round(mean - 1.96 * std / sqrt(n), 6) as ci_lo, round(mean + 1.96 * std / sqrt(n), 6) as ci_hi
+from g"""
+
+
+SQL["compare_locations"] = _mean_ci_sql(f"{PRED_CTE},", "pred", ["date", "location"], "excess_mortality")
+SQL["mean_ci_by_date"] = _mean_ci_sql(
+    "e as (select cast(ts as date) as day, event_type, value from events),", "e", ["day", "event_type"], "value")
+SQL["bar_by_segment"] = _mean_ci_sql("", "customer", ["c_mktsegment"], "c_acctbal")
+
+
+def _hist_sql(src_cte: str, hue: str | None, bins: str | int) -> str:
+    hk = f"{hue}, " if hue else ""
+    if bins == "auto":
+        nb = """cast(case when w > 0 then ceil((hi - lo) / w) else 1 end as int)"""
+        st = """st as (select count(x) as n, min(x) as mn, max(x) as mx,
+                      quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.75) as q3 from d),
+st2 as (select *, case when mx - mn = 0 then mn - 0.5 else mn end as lo,
+                  case when mx - mn = 0 then mx + 0.5 else mx end as hi,
+                  (mx - mn) / (log2(n) + 1.0) as sturges,
+                  2.0 * (q3 - q1) * power(n, -1.0 / 3.0) as fd from st),
+st3 as (select lo, hi, case when fd > 0 then least(fd, sturges) else sturges end as w from st2)"""
+    else:
+        nb = f"{int(bins)}"
+        st = """st as (select min(x) as mn, max(x) as mx from d),
+st3 as (select case when mx - mn = 0 then mn - 0.5 else mn end as lo,
+               case when mx - mn = 0 then mx + 0.5 else mx end as hi from st)"""
+    return f"""
+with {src_cte}, {st},
+st4 as (select lo, hi, {nb} as nb from st3),
+b as (select {hk}cast(least(floor((x - lo) * nb / (hi - lo)), nb - 1) as int) as bin, lo, hi, nb
+      from d join st4 on true)
+select {hk}bin, round(lo + bin * (hi - lo) / nb, 6) as bin_lo, round(lo + (bin + 1) * (hi - lo) / nb, 6) as bin_hi,
+       count(*) as count
+from b group by {hk}bin, lo, hi, nb"""
+
+
+SQL["hist_events"] = _hist_sql(
+    "d as (select event_type, value as x from events where value is not null and not isnan(value))",
+    "event_type", "auto")
+SQL["hist_errors"] = _hist_sql(
+    f"{PRED_CTE}, {ALIGNED_CTE}, d as (select new_cases_predicted - new_cases_actual as x from aligned "
+    "where new_cases_predicted - new_cases_actual is not null)", None, 20)
+
+_EV_D = "d as (select event_type, value as x from events where value is not null and not isnan(value))"
+_KDE = """
+st as (select event_type, count(x) as n, stddev_samp(x) * power(count(x), -0.2) * 1.0 as h,
+              min(x) as mn, max(x) as mx from d group by event_type),
+g as (select event_type, n, h, mn - 3.0 * h as lo, (mx + 3.0 * h - (mn - 3.0 * h)) / 199 as step
+      from st where h > 0),
+v as (select event_type, x, count(*) as c from d group by event_type, x),
+k as (select g.event_type, t.grid, g.n, g.h, g.lo, g.step,
+             sum(v.c * exp(-0.5 * power((g.lo + t.grid * g.step - v.x) / g.h, 2))) as s
+      from g join v on g.event_type = v.event_type join range(0, 200) t(grid) on true
+      group by g.event_type, t.grid, g.n, g.h, g.lo, g.step),
+kde as (select event_type, cast(grid as int) as grid, lo + grid * step as x,
+               s / (n * h * sqrt(2 * pi())) as density, h as bandwidth from k)"""
+SQL["kde_events"] = f"""with {_EV_D}, {_KDE}
+select event_type, grid, round(x, 6) as x, round(density, 6) as density, round(bandwidth, 6) as bandwidth from kde"""
+
+_BOX = """
+q as (select event_type, count(x) as n, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median,
+             quantile_cont(x, 0.75) as q3 from d group by event_type),
+f as (select *, q1 - 1.5 * (q3 - q1) as lo_f, q3 + 1.5 * (q3 - q1) as hi_f from q)"""
+SQL["box_events"] = f"""with {_EV_D}, {_BOX}
+select f.event_type, f.n, round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3,
+       round(min(case when x >= lo_f then x end), 6) as whisker_lo,
+       round(max(case when x <= hi_f then x end), 6) as whisker_hi,
+       count(case when x < lo_f or x > hi_f then 1 end) as n_outliers
+from d join f on d.event_type is not distinct from f.event_type
+group by f.event_type, f.n, q1, median, q3"""
+
+SQL["violin_events"] = f"""with {_EV_D}, {_KDE}, {_BOX}
+select kde.event_type, grid, round(x, 6) as x, round(density, 6) as density, round(bandwidth, 6) as bandwidth,
+       round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3
+from kde join q on kde.event_type = q.event_type"""
+
+_LABELS = {"new_cases_actual": "New Cases Actual", "new_deaths_actual": "New Deaths Actual",
+           "total_cases": "Total Cases", "total_deaths": "Total Deaths",
+           "new_vaccinations_actual": "New Vaccinations Actual", "excess_mortality": "Excess Mortality"}
+SQL["metric_series"] = f"with {PRED_CTE} " + " union all ".join(
+    f"select location, date, '{m}' as metric, round({m}, 6) as value, '{lab}' as label from pred"
+    for m, lab in _LABELS.items())
+
+SQL["area_series"] = f"with {PRED_CTE} select location, date, total_cases from pred"
