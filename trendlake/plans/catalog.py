@@ -237,3 +237,73 @@ def q_area_series(spark, sf_dir):
     """Sorted (location, date, total_cases) area data."""
     from trendlake.operators.explore import area_series
     return area_series(w2_predictions(spark, sf_dir), "date", "total_cases", "location")
+
+
+# ------------------------------------------------------ ingest, sources, sinks
+def _scratch(spark, name: str) -> str:
+    from trendlake.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@register("parse_messages")
+def q_parse_messages(spark, sf_dir):
+    """Every observation encoded as a JSON message and parsed back."""
+    from trendlake.streaming.ingest import encode, parse
+    parsed = parse(encode(observations(spark, sf_dir)), keep_corrupt=False)
+    return _round_doubles(parsed)
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Messages landed as files, drained by an availableNow stream
+    (one file per micro-batch) into date-partitioned parquet, then read back."""
+    from trendlake.sinks.tables import publish_messages
+    from trendlake.streaming.ingest import await_all, read_observations, run_stream, text_source
+    base = _scratch(spark, "stream_ingest")
+    publish_messages(observations(spark, sf_dir).repartition(4), f"{base}/landing")
+    qs = run_stream(text_source(spark, f"{base}/landing", max_files_per_trigger=1),
+                    f"{base}/table", f"{base}/checkpoint", "stream_ingest_" + base.rsplit("/", 1)[-1][:8],
+                    quarantine_path=f"{base}/quarantine", keep_bad=False)
+    await_all(qs)
+    return _round_doubles(read_observations(spark, f"{base}/table"))
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Observations written as CSV with a header and read back with the wire schema."""
+    from trendlake.sources.files import read_csv, to_observations
+    base = _scratch(spark, "csv")
+    observations(spark, sf_dir).write.option("header", "true").csv(f"{base}/obs")
+    return _round_doubles(to_observations(read_csv(spark, f"{base}/obs")))
+
+
+@register("predictions_store")
+def q_predictions_store(spark, sf_dir):
+    """The prediction table written twice (a rerun) and read back once."""
+    from trendlake.sinks.tables import read_predictions, write_predictions
+    base = _scratch(spark, "predictions")
+    pred = w2_predictions(spark, sf_dir)
+    write_predictions(pred, base)
+    write_predictions(pred, base)
+    out = read_predictions(spark, base).drop("created_at", "model_cutoff")
+    return _round_doubles(out)
+
+
+# -------------------------------------------------------------- regressions
+def _regression(spark, sf_dir, model: str, **kw) -> DataFrame:
+    from trendlake.operators.regress import rolling_regression
+    from trendlake.plans.jobs import prepped
+    out = rolling_regression(prepped(observations(spark, sf_dir)), model=model, **kw)
+    return _round_doubles(out)
+
+
+@register("rf_deaths")
+def q_rf_deaths(spark, sf_dir):
+    """R2: random forest (100 trees, seed 42) of next-day deaths, yearly refits."""
+    return _regression(spark, sf_dir, "rf")
+
+
+@register("gbt_deaths")
+def q_gbt_deaths(spark, sf_dir):
+    """Boosted trees (100 rounds, squared loss, seed 42) of next-day deaths, yearly refits."""
+    return _regression(spark, sf_dir, "gbt")

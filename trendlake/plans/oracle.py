@@ -304,3 +304,14 @@ SQL["metric_series"] = f"with {PRED_CTE} " + " union all ".join(
     for m, lab in _LABELS.items())
 
 SQL["area_series"] = f"with {PRED_CTE} select location, date, total_cases from pred"
+
+# ------------------------------------------------------ ingest, sources, sinks
+_OBS_OUT = """
+select location, date, total_cases, new_cases, total_deaths, new_deaths, total_vaccinations,
+       people_vaccinated, people_fully_vaccinated, new_vaccinations,
+       round(life_expectancy, 6) as life_expectancy, round(excess_mortality, 6) as excess_mortality
+from obs"""
+SQL["parse_messages"] = f"with {OBS_CTE} {_OBS_OUT}"
+SQL["stream_ingest"] = f"with {OBS_CTE} {_OBS_OUT}"
+SQL["csv_roundtrip"] = f"with {OBS_CTE} {_OBS_OUT}"
+SQL["predictions_store"] = SQL["predictions_w2"]
