@@ -147,8 +147,12 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
     ``bins="auto"``: numpy's rule — width = min(Freedman–Diaconis, Sturges), or
     Sturges when the IQR is 0 — on the global min/max (±0.5 when constant).
     The last bin is closed on the right. Only non-empty bins are returned.
+    A non-numeric ``x`` gives counts per category instead.
     """
     keys = [hue] if hue else []
+    if not isinstance(df.schema[x].dataType, T.NumericType):
+        # categorical axis: one bar per category, as seaborn does for non-numeric data
+        return df.filter(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("count"))
     d = df.select(*keys, _num(df, x).alias("_x")).filter(F.col("_x").isNotNull())
     n, lo, hi = F.count("_x"), F.min("_x"), F.max("_x")
     stats = d.agg(n.alias("_n"), lo.alias("_mn"), hi.alias("_mx"),
