@@ -40,17 +40,18 @@ def metrics(df: DataFrame, actual: str, predicted: str, by: list[str] | None = N
 
 
 def stack_targets(df: DataFrame, targets: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
-    """Tall (keep…, target, actual, predicted) view of the prediction columns present."""
+    """Tall (keep…, target, actual, predicted) view of the prediction columns present.
+
+    One ``inline(array(struct…))`` generator: a single scan of the input,
+    fused into the same stage as the partial aggregation that follows.
+    """
     targets = targets or [t for t, (a, p) in TARGETS.items() if a in df.columns and p in df.columns]
     keep = keep or []
-    parts = [df.select(*keep, F.lit(t).alias("target"),
-                       F.col(TARGETS[t][0]).cast("double").alias("actual"),
-                       F.col(TARGETS[t][1]).cast("double").alias("predicted"))
-             for t in targets]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = [F.struct(F.lit(t).alias("target"),
+                     F.col(TARGETS[t][0]).cast("double").alias("actual"),
+                     F.col(TARGETS[t][1]).cast("double").alias("predicted"))
+            for t in targets]
+    return df.select(*keep, F.inline(F.array(*rows)))
 
 
 def align_to_target(pred: DataFrame) -> DataFrame:

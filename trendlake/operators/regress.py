@@ -37,13 +37,15 @@ log = logging.getLogger(__name__)
 
 # Defaults mirror the reference's learners where MLlib allows: 100 boosted
 # rounds of depth-6 trees at step 0.3 with squared loss; 100 forest trees using
-# all features per split. Seed 42 for both.
+# all features per split. Seed 42 for both. Forest depth stays at MLlib's 5:
+# fully grown trees (the other library's default) make the fitted model — which
+# is collected to the driver and broadcast for scoring — grow as 2^depth.
 MODELS = {
     "gbt": lambda seed, **kw: GBTRegressor(lossType="squared", maxIter=kw.get("max_iter", 100),
                                            maxDepth=kw.get("max_depth", 6), stepSize=kw.get("step_size", 0.3),
                                            seed=seed, maxBins=kw.get("max_bins", 32)),
     "rf": lambda seed, **kw: RandomForestRegressor(numTrees=kw.get("num_trees", 100),
-                                                   maxDepth=kw.get("max_depth", 10),
+                                                   maxDepth=kw.get("max_depth", 5),
                                                    featureSubsetStrategy=kw.get("feature_subset", "all"),
                                                    seed=seed, maxBins=kw.get("max_bins", 32)),
 }
@@ -144,7 +146,11 @@ def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: st
     version = model_version or f"{ALIASES.get(model, model)}_v1"
     spark = obs.sparkSession
     checkpoint_dir(spark)
-    pairs = training_pairs(obs, features, target, mode).checkpoint(eager=True)
+    # Training passes over the pairs once per tree level and fit: spread them over
+    # every core (AQE would otherwise coalesce a small table into one task), then
+    # cut the lineage in the shared checkpoint folder.
+    pairs = training_pairs(obs, features, target, mode)
+    pairs = pairs.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
     cutoffs = resolve_cutoffs(obs, refit)
     bounds = list(zip(cutoffs, cutoffs[1:] + [None]))
 
