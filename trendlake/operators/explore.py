@@ -8,8 +8,9 @@ picture). Patterns used throughout:
   broadcasts them only when their runtime size is below the threshold, else
   sort-merge. Ungrouped statistics are a scalar subquery, not a cross join;
 * NaN is treated as missing (as pandas does) before any aggregate;
-* quantiles are exact (``percentile``, linear interpolation like numpy) unless
-  ``approx=True`` (``percentile_approx``, bounded memory per group).
+* quantiles are exact (linear interpolation like numpy) from a distributed
+  sort (``operators.quantiles``), so no group is gathered into one task;
+  ``approx=True`` uses ``percentile_approx`` (bounded sketch per group).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.functions.exprs import label, nan_to_null, null_safe_corr
+from trendlake.operators.quantiles import quantiles, quantiles_from_ranked, rank_values
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -31,12 +33,6 @@ def _num(df: DataFrame, c: str) -> Column:
     return nan_to_null(col) if isinstance(dt, (T.DoubleType, T.FloatType)) else col
 
 
-def _quantiles(c: Column, approx: bool, accuracy: int = 10000) -> Column:
-    if approx:
-        return F.percentile_approx(c, QUARTILES, accuracy)
-    return F.percentile(c, F.array(*[F.lit(q) for q in QUARTILES]))
-
-
 def column_types(df: DataFrame) -> dict[str, list[str]]:
     """Numeric / categorical / date columns by schema (P17); no data is read."""
     out = {"numeric": [], "categorical": [], "date": []}
@@ -69,21 +65,27 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
     """pandas-style ``describe()``: one row per numeric column.
 
     count (non-null), mean, std (ddof 1), min, 25 %, 50 %, 75 % (interpolated), max.
-    One aggregation pass over the table; the 1-row result is turned tall.
+    The columns are unpivoted to (metric, value) rows and ranked once
+    (distributed sort, checkpointed); moments and quartiles are both read from
+    that ranking, so the input plan runs once. A column with no values keeps
+    its row (count 0, nulls).
     """
     cols = cols or column_types(df)["numeric"]
-    aggs = []
-    for i, c in enumerate(cols):
-        v = _num(df, c)
-        aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-                 F.min(v).alias(f"lo{i}"), _quantiles(v, approx).alias(f"q{i}"), F.max(v).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("metric"), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                     F.col(f"s{i}").alias("std"), F.col(f"lo{i}").cast("double").alias("min"),
-                     F.col(f"q{i}")[0].alias("q25"), F.col(f"q{i}")[1].alias("q50"),
-                     F.col(f"q{i}")[2].alias("q75"), F.col(f"hi{i}").cast("double").alias("max"))
-            for i, c in enumerate(cols)]
-    return wide.select(F.inline(F.array(*rows)))
+    tall = df.select(*[_num(df, c).alias(c) for c in cols]).unpivot([], cols, "metric", "value")
+    if approx:
+        base = tall.filter(F.col("value").isNotNull()).withColumnRenamed("value", "_v")
+        q = quantiles(tall, "value", ["metric"], method="approx").drop("n")
+    else:
+        base = rank_values(tall, "value", ["metric"])
+        q = quantiles_from_ranked(base, ["metric"]).drop("n")
+    mom = base.groupBy("metric").agg(F.count("_v").alias("count"), F.avg("_v").alias("mean"),
+                                     F.stddev_samp("_v").alias("std"), F.min("_v").alias("min"),
+                                     F.max("_v").alias("max"))
+    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "metric string, _ord int")
+    out = names.join(mom, "metric", "left").join(q, "metric", "left")
+    return out.select("metric", F.coalesce(F.col("count"), F.lit(0)).alias("count"), "mean", "std", "min",
+                      F.col("quantiles")[0].alias("q25"), F.col("quantiles")[1].alias("q50"),
+                      F.col("quantiles")[2].alias("q75"), "max")
 
 
 # ------------------------------------------------------------ A7 by location
@@ -155,8 +157,9 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
         return df.filter(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("count"))
     d = df.select(*keys, _num(df, x).alias("_x")).filter(F.col("_x").isNotNull())
     n, lo, hi = F.count("_x"), F.min("_x"), F.max("_x")
-    stats = d.agg(n.alias("_n"), lo.alias("_mn"), hi.alias("_mx"),
-                  *([_quantiles(F.col("_x"), False).alias("_q")] if bins == "auto" else []))
+    stats = d.agg(n.alias("_n"), lo.alias("_mn"), hi.alias("_mx"))
+    if bins == "auto":  # IQR of all values (shared bins): one exact distributed ranking
+        stats = stats.withColumn("_q", quantiles(d, "_x", [], (0.25, 0.5, 0.75)).select("quantiles").scalar())
     ptp = F.col("_mx") - F.col("_mn")
     stats = stats.withColumns({"_lo": F.when(ptp == 0, F.col("_mn") - 0.5).otherwise(F.col("_mn")),
                                "_hi": F.when(ptp == 0, F.col("_mx") + 0.5).otherwise(F.col("_mx"))})
@@ -217,14 +220,19 @@ def box_stats(df: DataFrame, y: str, by: list[str] | None = None, whis: float =
     """Box-plot statistics per group (A12): quartiles, 1.5·IQR whiskers, outliers.
 
     Whiskers are the most extreme values inside the fences (matplotlib's rule).
-    Two passes: quartiles per group, then fences joined back for the
-    conditional min / max / count.
+    Exact mode ranks the values once (distributed sort, checkpointed); the
+    quartiles and the fence pass both read that ranking.
     """
     keys = list(by or [])
     d = df.select(*keys, _num(df, y).alias("_y")).filter(F.col("_y").isNotNull())
-    q = d.groupBy(*keys).agg(_quantiles(F.col("_y"), approx).alias("_q"), F.count("_y").alias("n"))
-    q = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    if approx:
+        q = quantiles(d, "_y", keys, method="approx")
+    else:
+        ranked = rank_values(d, "_y", keys)
+        q = quantiles_from_ranked(ranked, keys)
+        d = ranked.select(*keys, F.col("_v").alias("_y"))
+    q = q.select(*keys, "n", F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"),
+                 F.col("quantiles")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumns({"lo_fence": F.col("q1") - F.lit(whis) * iqr, "hi_fence": F.col("q3") + F.lit(whis) * iqr})
     j = attach_stats(d, q, keys)
