@@ -83,3 +83,19 @@ def test_column_types_and_label(spark):
     t = ex.column_types(df)
     assert t == {"numeric": ["new_cases_actual"], "categorical": ["location"], "date": ["date"]}
     assert df.select(label(F.lit("new_cases_actual"))).first()[0] == "New Cases Actual"
+
+
+def test_distributed_quantiles_hot_group(spark):
+    """A group holding most rows is spread over many range partitions; results stay exact."""
+    from trendlake.operators.quantiles import quantiles
+    rnd = np.random.default_rng(11)
+    hot = rnd.normal(0, 1, 3000)
+    rows = [("hot", float(v)) for v in hot] + [("cold", 1.0), ("cold", 2.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.n, r.quantiles) for r in quantiles(df, "v", ["g"], probs=(0.1, 0.5, 0.99), partitions=16).collect()}
+    assert got["hot"][0] == 3000
+    assert np.allclose(got["hot"][1], np.percentile(hot, [10, 50, 99]))
+    assert got["cold"][1] == pytest.approx([1.1, 1.5, 1.99])
+    assert got[None][1] == [4.0, 4.0, 4.0]
+    approx = {r.g: r.quantiles for r in quantiles(df, "v", ["g"], method="approx").collect()}
+    assert abs(approx["hot"][1] - np.median(hot)) < 0.05
