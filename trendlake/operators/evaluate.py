@@ -8,11 +8,11 @@ carries one partial row per group and map task, whatever the table size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlake.functions.exprs import r2_expr
-from trendlake.operators.prep import DAY, with_day
+from trendlake.operators.prep import day_ahead
 
 TARGETS = {
     "new_cases": ("new_cases_actual", "new_cases_predicted"),
@@ -62,13 +62,9 @@ def align_to_target(pred: DataFrame) -> DataFrame:
     model. A one-day-ahead RANGE frame over (location, model_version) finds it
     without a join; a missing next day gives null.
     """
-    w = Window.partitionBy("location", "model_version").orderBy(DAY).rangeBetween(1, 1)
-    d = with_day(pred)
-    cols = {}
-    for a, _p in TARGETS.values():
-        if a in pred.columns:
-            cols[a] = F.first(F.col(a)).over(w)
-    return d.withColumns(cols).drop(DAY)
+    cols = {a: day_ahead(f"first(`{a}`)", ["location", "model_version"])
+            for a, _p in TARGETS.values() if a in pred.columns}
+    return pred.withColumns(cols)
 
 
 def evaluate(pred: DataFrame, by: list[str] | None = None, align: str = "target",

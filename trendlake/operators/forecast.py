@@ -5,7 +5,7 @@ on all rows up to each origin day d and predicts d + 1, one fit per row on the
 driver. Here every origin is computed in one windowed pass:
 
 * W1: expanding frame per location, ``RANGE UNBOUNDED PRECEDING .. CURRENT ROW``
-  over the integer day number (date ties all belong to the frame).
+  ordered by date (date ties all belong to the frame).
 * trend: least-squares line of y on t (t = days since the location's first day)
   over the frame: ``regr_slope`` / ``regr_intercept``.
 * weekly term: for the weekday k of d + 1, the mean residual of the frame's rows
@@ -26,13 +26,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.operators.prep import DAY, with_day
+from trendlake.operators.prep import day_ahead
 
 DEFAULT_VERSION = "trend_dow_v1"
 
 
 def _expanding(partition: list[str]) -> Window:
-    return (Window.partitionBy(*partition).orderBy(DAY)
+    return (Window.partitionBy(*partition).orderBy("date")
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
 
 
@@ -50,8 +50,7 @@ def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
             raise ValueError(f"target column {tg!r} not in input")
     part = ["location"] if partition is None else list(partition)
     w = _expanding(part)
-    d = with_day(obs)
-    d = (d.withColumn("t", (F.col(DAY) - F.first(F.col(DAY)).over(w)).cast("double"))
+    d = (obs.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(w)).cast("double"))
           .withColumn("_k", F.dayofweek(F.col("date"))))
     d = d.withColumns({f"_y{i}": F.coalesce(F.col(tg).cast("double"), F.lit(0.0))
                        for i, tg in enumerate(targets)})
@@ -111,8 +110,7 @@ def forecast_with_actuals(obs: DataFrame, target: str = "new_cases", align: str
     d = forecast_frame(obs, target, None, min_points)
     y = F.coalesce(F.col(target).cast("double"), F.lit(0.0))
     if align == "target":
-        w1 = Window.partitionBy("location").orderBy(DAY).rangeBetween(1, 1)
-        actual = F.first(y).over(w1)
+        actual = day_ahead(f"first(coalesce(cast(`{target}` as double), 0.0D))")
     elif align == "origin":
         actual = y
     else:

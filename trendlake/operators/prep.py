@@ -8,13 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendlake.functions.exprs import day_number
-
-DAY = "_day"  # integer day number used as the RANGE-frame order key
 
 
 def filter_locations(df: DataFrame, locations: str | Iterable[str] | None) -> DataFrame:
@@ -62,31 +59,40 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list | None = None) -> D
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def with_day(df: DataFrame, date_col: str = "date") -> DataFrame:
-    return df.withColumn(DAY, day_number(F.col(date_col)))
+def series_window(partition: list[str] | None = None) -> Window:
+    """``partitionBy(location) orderBy(date)``: the one ordering every series window shares."""
+    return Window.partitionBy(*(partition or ["location"])).orderBy("date")
+
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def series_window(partition: list[str] | None = None) -> Window:
-    return Window.partitionBy(*(partition or ["location"])).orderBy(DAY)
+
+def day_ahead(expr: str, partition: list[str] | None = None) -> Column:
+    """``expr`` evaluated over the rows dated exactly ``date + 1`` of the same series.
+
+    A ``RANGE BETWEEN INTERVAL 1 DAY FOLLOWING AND INTERVAL 1 DAY FOLLOWING``
+    frame on the date itself: same partitioning and ordering as the other
+    series windows, so Catalyst evaluates them in one Window over one sort.
+    """
+    parts = ", ".join(_q(c) for c in (partition or ["location"]))
+    return F.expr(f"{expr} over (partition by {parts} order by `date` "
+                  "range between interval 1 day following and interval 1 day following)")
 
 
 def next_day(df: DataFrame, columns: list[str], prefix: str = "next_",
              partition: list[str] | None = None) -> DataFrame:
     """Attach the values of the row dated ``date + 1`` of the same location.
 
-    A RANGE frame of exactly one day ahead: calendar gaps give null, like the
-    reference's ``date == d + 1`` lookup (not ``lead``, which would skip the
-    gap). It rides on the same partitioning/sort as the other series windows,
-    so it adds no shuffle of its own. With duplicate (location, date) rows the
-    first of the next day's rows is taken (dedup beforehand for a defined pick).
+    A RANGE frame of exactly one day ahead (``day_ahead``): calendar gaps give
+    null, like the reference's ``date == d + 1`` lookup (not ``lead``, which
+    would skip the gap). It rides on the same partitioning and sort as the
+    other series windows, so it adds no shuffle or sort of its own. With
+    duplicate (location, date) rows the first of the next day's rows is taken
+    (dedup beforehand for a defined pick).
     """
-    had_day = DAY in df.columns
-    d = df if had_day else with_day(df)
-    w = series_window(partition).rangeBetween(1, 1)
-    d = d.withColumn(f"{prefix}exists", F.count(F.lit(1)).over(w) > 0)
-    for c in columns:
-        d = d.withColumn(f"{prefix}{c}", F.first(F.col(c)).over(w))
-    return d if had_day else d.drop(DAY)
+    d = df.withColumn(f"{prefix}exists", day_ahead("count(1)", partition) > 0)
+    return d.withColumns({f"{prefix}{c}": day_ahead(f"first({_q(c)})", partition) for c in columns})
 
 
 def next_day_join(df: DataFrame, columns: list[str], prefix: str = "next_") -> DataFrame:

@@ -14,7 +14,8 @@ cutoff up to the next one:
 * training is pooled over locations (the reference's ``'all'`` mode);
 * every fit is a distributed MLlib job; up to ``parallelism`` fits run at once
   from a driver thread pool. The pairs are checkpointed once to the shared
-  checkpoint folder, so refits and recovery never replay the upstream plan.
+  checkpoint folder, so refits and recovery never replay the upstream plan,
+  and spread over up to one partition per core for training.
 * origins before the first cutoff have no model → null prediction.
 """
 
@@ -26,10 +27,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.operators.prep import DAY, with_day
+from trendlake.operators.prep import day_ahead
 from trendlake.schema import REGRESSION_FEATURES, REGRESSION_TARGET
 from trendlake.session import checkpoint_dir
 
@@ -75,10 +76,8 @@ def training_pairs(obs: DataFrame, features: list[str] | None = None, target: st
     missing = [c for c in feats + [target] if c not in obs.columns]
     if missing:  # P12
         raise ValueError(f"columns not in input: {missing}")
-    w1 = Window.partitionBy("location").orderBy(DAY).rangeBetween(1, 1)
-    d = with_day(obs)
-    d = d.withColumns({f"_nx_{c}": F.first(F.col(c)).over(w1) for c in feats + [target]})
-    d = d.withColumn("_nx_exists", F.count(F.lit(1)).over(w1) > 0)
+    d = obs.withColumns({f"_nx_{c}": day_ahead(f"first(`{c}`)") for c in feats + [target]})
+    d = d.withColumn("_nx_exists", day_ahead("count(1)") > 0)
     asm = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
     asm_nx = VectorAssembler(inputCols=[f"_nx_{c}" for c in feats], outputCol="features_next",
                              handleInvalid="keep")
@@ -95,7 +94,7 @@ def training_pairs(obs: DataFrame, features: list[str] | None = None, target: st
               .withColumn("scorable", F.col("_nx_exists")))
     else:
         raise ValueError("mode must be 'lagged' or 'next_day'")
-    return d.drop(*[c for c in d.columns if c.startswith("_nx_")], "features_next", DAY)
+    return d.drop(*[c for c in d.columns if c.startswith("_nx_")], "features_next")
 
 
 def yearly_cutoffs(first: dt.date, last: dt.date) -> list[dt.date]:
@@ -134,7 +133,8 @@ def resolve_cutoffs(obs: DataFrame, refit) -> list[dt.date]:
 def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: str = "lagged",
                        features: list[str] | None = None, target: str = REGRESSION_TARGET,
                        model_version: str | None = None, parallelism: int = 4, seed: int = 42,
-                       missing: str = "null", model_dir: str | None = None, **params) -> DataFrame:
+                       missing: str = "null", model_dir: str | None = None,
+                       rows_per_partition: int = 20000, **params) -> DataFrame:
     """Predictions of ``target`` for day d + 1 at every (location, origin d).
 
     Output columns follow the prediction table: location, date (origin),
@@ -146,11 +146,14 @@ def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: st
     version = model_version or f"{ALIASES.get(model, model)}_v1"
     spark = obs.sparkSession
     checkpoint_dir(spark)
-    # Training passes over the pairs once per tree level and fit: spread them over
-    # every core (AQE would otherwise coalesce a small table into one task), then
-    # cut the lineage in the shared checkpoint folder.
-    pairs = training_pairs(obs, features, target, mode)
-    pairs = pairs.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+    # Cut the lineage in the shared checkpoint folder, then size the training
+    # input: ~rows_per_partition rows per task, at most one task per core (AQE
+    # coalesces a small table into one partition; a big one must use them all).
+    pairs = training_pairs(obs, features, target, mode).checkpoint(eager=True)
+    n_rows = pairs.count()
+    want = max(1, min(spark.sparkContext.defaultParallelism, -(-n_rows // rows_per_partition)))
+    if want > pairs.rdd.getNumPartitions():
+        pairs = pairs.repartition(want)
     cutoffs = resolve_cutoffs(obs, refit)
     bounds = list(zip(cutoffs, cutoffs[1:] + [None]))
 
