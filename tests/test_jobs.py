@@ -108,3 +108,39 @@ def test_model_save(spark, tmp_dir):
     names = os.listdir(tmp_dir)
     assert names == ["rf_v1_all_1997-01-01"]
     assert {"metadata", "data"} <= set(os.listdir(os.path.join(tmp_dir, names[0])))
+
+
+def test_per_location_models(spark, tmp_dir):
+    import os
+
+    from trendlake.operators.regress import rolling_regression
+    obs = jobs.prepped(observations(spark, "/root/testdata/sf0.01"))
+    locs = [r.location for r in obs.select("location").distinct().orderBy("location").limit(2).collect()]
+    out = rolling_regression(obs, model="rf", num_trees=3, max_depth=3, refit=["1997-01-01", "1998-01-01"],
+                             per_location=locs, model_dir=tmp_dir)
+    assert sorted(r.location for r in out.select("location").distinct().collect()) == locs
+    assert out.count() == obs.filter(F.col("location").isin(locs)).count()
+    assert len(os.listdir(tmp_dir)) == 4
+
+
+def test_dedup_keeps_newest(spark):
+    import datetime as dt
+
+    from trendlake.operators.prep import dedup_latest
+    d = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([("A", d, "m", 1.0, dt.date(2020, 1, 5)), ("A", d, "m", 2.0, dt.date(2020, 1, 9)),
+                                ("A", d, "n", 3.0, None)],
+                               "location string, date date, model_version string, v double, created_at date")
+    got = {r.model_version: r.v for r in dedup_latest(df, sk.NATURAL_KEY, [F.col("created_at").desc_nulls_last()]).collect()}
+    assert got == {"m": 2.0, "n": 3.0}
+
+
+def test_evaluate_union_equals_parts(spark):
+    from trendlake.operators import evaluate as ev
+    pred = jobs.forecast_predictions(observations(spark, SF))
+    other = pred.withColumn("model_version", F.lit("copy_v1"))
+    both = ev.evaluate(pred.unionByName(other))
+    one = ev.evaluate(pred)
+    a = {(r.target, r.n, round(r.rmse, 9)) for r in both.filter("model_version = 'copy_v1'").collect()}
+    b = {(r.target, r.n, round(r.rmse, 9)) for r in one.collect()}
+    assert a == b

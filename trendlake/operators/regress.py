@@ -134,17 +134,25 @@ def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: st
                        features: list[str] | None = None, target: str = REGRESSION_TARGET,
                        model_version: str | None = None, parallelism: int = 4, seed: int = 42,
                        missing: str = "null", model_dir: str | None = None,
-                       rows_per_partition: int = 20000, **params) -> DataFrame:
+                       rows_per_partition: int = 20000, per_location: list[str] | None = None,
+                       **params) -> DataFrame:
     """Predictions of ``target`` for day d + 1 at every (location, origin d).
 
     Output columns follow the prediction table: location, date (origin),
     target_date, ``{target}_predicted``, the day's actuals, model_version,
     model_cutoff. ``missing="zero"`` gives 0 where the reference did (no model /
     no next-day row); by default those are null.
+
+    ``per_location``: an explicit list of locations, each with its own models
+    (the reference trains per location over a literal list). Output is then
+    limited to those locations; fits = locations × cutoffs, run from the same
+    thread pool. The pooled default trains one model per cutoff for all.
     """
     make_estimator(model, seed, **params)  # validate the name before any work (R3)
     version = model_version or f"{ALIASES.get(model, model)}_v1"
     spark = obs.sparkSession
+    if per_location is not None:
+        obs = obs.filter(F.col("location").isin(list(per_location)))
     checkpoint_dir(spark)
     # Cut the lineage in the shared checkpoint folder, then size the training
     # input: ~rows_per_partition rows per task, at most one task per core (AQE
@@ -157,28 +165,36 @@ def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: st
     cutoffs = resolve_cutoffs(obs, refit)
     bounds = list(zip(cutoffs, cutoffs[1:] + [None]))
 
-    def fit(c: dt.date):
-        train = pairs.filter(F.col("label_date").isNotNull() & (F.col("label_date") <= F.lit(c))
-                             & F.col("label").isNotNull())
+    groups = list(per_location) if per_location is not None else [None]
+    tasks = [(loc, c, nxt) for loc in groups for c, nxt in bounds]
+
+    def scope(df: DataFrame, loc) -> DataFrame:
+        return df if loc is None else df.filter(F.col("location") == loc)
+
+    def fit(task):
+        loc, c, _ = task
+        train = scope(pairs, loc).filter(F.col("label_date").isNotNull() & (F.col("label_date") <= F.lit(c))
+                                         & F.col("label").isNotNull())
         try:
             m = make_estimator(model, seed, **params).fit(train)
         except Exception as e:  # noqa: BLE001 - R4: one failed fit → null predictions, run continues
-            log.warning("fit at cutoff %s failed: %s", c, e)
+            log.warning("fit for %s at cutoff %s failed: %s", loc or "all", c, e)
             return None
         if model_dir:
             from trendlake.sinks.tables import save_model
-            save_model(m, model_dir, version, None, c)
+            save_model(m, model_dir, version, loc, c)
         return m
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted = list(pool.map(fit, cutoffs))
+        fitted = list(pool.map(fit, tasks))
 
     carried = ["location", "date", "new_cases", "new_deaths", "new_vaccinations", "total_cases",
                "total_deaths", "life_expectancy", "excess_mortality"]
     carried = [c for c in carried if c in pairs.columns]
     parts = []
-    for (c, nxt), m in zip(bounds, fitted):
-        seg = pairs.filter((F.col("date") >= F.lit(c)) & ((F.col("date") < F.lit(nxt)) if nxt else F.lit(True)))
+    for (loc, c, nxt), m in zip(tasks, fitted):
+        seg = scope(pairs, loc).filter((F.col("date") >= F.lit(c))
+                                       & ((F.col("date") < F.lit(nxt)) if nxt else F.lit(True)))
         if m is None:
             seg = seg.select(*carried, "scorable", F.lit(None).cast("double").alias("prediction"))
         else:
