@@ -50,8 +50,10 @@ def attach_stats(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Add per-group statistics (one row per key) to every row of ``df``."""
     cols = [c for c in stats.columns if c not in keys]
     if not keys:
+        # one scalar subquery (a struct) referenced through one column, not one copy per field
         s = stats.select(F.struct(*cols).alias("_s")).scalar()
-        return df.withColumns({c: s.getField(c) for c in cols})
+        return df.withColumn("_stats", s).withColumns(
+            {c: F.col("_stats").getField(c) for c in cols}).drop("_stats")
     r = stats.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *cols)
     cond = None
     for i, k in enumerate(keys):

@@ -68,19 +68,19 @@ def quantiles_from_ranked(ranked: DataFrame, keys: list[str] | None = None,
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_base", F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first"))
     n = blocks.groupBy(*keys).agg(F.sum("_c").alias("n"))
-    # the one or two ranks each probability interpolates between
+    # the one or two ranks each probability interpolates between (≤ 2 rows per probability)
     targets = n.select(*keys, "n", F.posexplode(F.array(*[F.lit(float(q)) for q in probs])).alias("_i", "_p"))
     targets = targets.withColumn("_pos", F.col("_p") * (F.col("n") - 1))
     targets = targets.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
-    need = targets.select(*keys, F.explode(F.array("_lo", "_hi")).alias("_rank")).distinct()
-    hits = _null_safe_join(ranked.select(*keys, "_pid", "_idx", "_v"),
-                           blocks.select(*keys, "_pid", "_base"), keys + ["_pid"])
-    hits = hits.withColumn("_rank", F.col("_base") + F.col("_idx")).select(*keys, "_rank", "_v")
-    hits = _null_safe_join(hits, need, keys + ["_rank"], "left_semi")
-    lo = hits.select(*keys, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = hits.select(*keys, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
-    t = _null_safe_join(targets, lo, keys + ["_lo"])
-    t = _null_safe_join(t, hi, keys + ["_hi"])
+    need = targets.withColumn("_rank", F.explode(F.array_distinct(F.array("_lo", "_hi"))))
+    ranks = _null_safe_join(ranked.select(*keys, "_pid", "_idx", "_v"),
+                            blocks.select(*keys, "_pid", "_base"), keys + ["_pid"])
+    ranks = ranks.select(*keys, (F.col("_base") + F.col("_idx")).alias("_rank"), "_v")
+    # small `need` side: the join only keeps the rows at the wanted ranks
+    hit = _null_safe_join(need, ranks, keys + ["_rank"])
+    t = hit.groupBy(*keys, "n", "_i", "_pos", "_lo", "_hi").agg(
+        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
     qv = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
         (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
     t = t.withColumn("_q", qv)
