@@ -255,13 +255,13 @@ def q_parse_messages(spark, sf_dir):
 
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
-    """Messages landed as files, drained by an availableNow stream
-    (one file per micro-batch) into date-partitioned parquet, then read back."""
+    """Messages landed as files (one per partition of the data), drained
+    by a rate-capped availableNow stream into month-partitioned parquet, then read back."""
     from trendlake.sinks.tables import publish_messages
     from trendlake.streaming.ingest import await_all, read_observations, run_stream, text_source
     base = _scratch(spark, "stream_ingest")
-    publish_messages(observations(spark, sf_dir).repartition(4), f"{base}/landing")
-    qs = run_stream(text_source(spark, f"{base}/landing", max_files_per_trigger=1),
+    publish_messages(observations(spark, sf_dir), f"{base}/landing")
+    qs = run_stream(text_source(spark, f"{base}/landing", max_files_per_trigger=1000),
                     f"{base}/table", f"{base}/checkpoint", "stream_ingest_" + base.rsplit("/", 1)[-1][:8],
                     quarantine_path=f"{base}/quarantine", keep_bad=False)
     await_all(qs)
