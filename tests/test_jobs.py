@@ -144,3 +144,19 @@ def test_evaluate_union_equals_parts(spark):
     a = {(r.target, r.n, round(r.rmse, 9)) for r in both.filter("model_version = 'copy_v1'").collect()}
     b = {(r.target, r.n, round(r.rmse, 9)) for r in one.collect()}
     assert a == b
+
+
+def test_cli_end_to_end(spark, tmp_dir):
+    """publish CSV → ingest stream → backtest → analyze, through the command line."""
+    from trendlake.__main__ import main
+    obs = observations(spark, SF)
+    obs.write.option("header", "true").csv(f"{tmp_dir}/csv")
+    assert main(["publish", "--csv", f"{tmp_dir}/csv", "--landing", f"{tmp_dir}/landing"]) == 0
+    assert main(["ingest", "--landing", f"{tmp_dir}/landing", "--table", f"{tmp_dir}/table",
+                 "--quarantine", f"{tmp_dir}/bad", "--checkpoint", f"{tmp_dir}/ckpt", "--name", "cli_t"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/table").count() == obs.count()
+    assert main(["backtest", "--table", f"{tmp_dir}/table", "--predictions", f"{tmp_dir}/pred"]) == 0
+    assert sk.read_predictions(spark, f"{tmp_dir}/pred").count() == obs.count()
+    assert main(["analyze", "--predictions", f"{tmp_dir}/pred", "--kind", "summary_statistics",
+                 "--out", f"{tmp_dir}/out"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/out/by_location").count() == obs.select("location").distinct().count()
