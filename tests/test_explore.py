@@ -99,3 +99,20 @@ def test_distributed_quantiles_hot_group(spark):
     assert got[None][1] == [4.0, 4.0, 4.0]
     approx = {r.g: r.quantiles for r in quantiles(df, "v", ["g"], method="approx").collect()}
     assert abs(approx["hot"][1] - np.median(hot)) < 0.05
+
+
+def test_bootstrap_ci_close_to_normal(spark):
+    rnd = np.random.default_rng(2)
+    rows = [("a", float(v)) for v in rnd.normal(5, 2, 400)] + [("b", 3.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    norm = {r.k: r for r in ex.mean_ci(df, "k", "v").collect()}
+    boot = {r.k: r for r in ex.mean_ci(df, "k", "v", ci="bootstrap", n_boot=400, seed=3).collect()}
+    again = {r.k: r for r in ex.mean_ci(df, "k", "v", ci="bootstrap", n_boot=400, seed=3).collect()}
+    assert boot["a"].ci_lo == again["a"].ci_lo and boot["a"].ci_hi == again["a"].ci_hi
+    width_n = norm["a"].ci_hi - norm["a"].ci_lo
+    width_b = boot["a"].ci_hi - boot["a"].ci_lo
+    assert abs(width_b - width_n) / width_n < 0.25
+    assert boot["a"].ci_lo < boot["a"].mean < boot["a"].ci_hi
+    assert boot["b"].ci_lo == boot["b"].ci_hi == 3.0
+    with pytest.raises(ValueError):
+        ex.mean_ci(df, "k", "v", ci="nope")

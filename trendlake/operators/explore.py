@@ -132,16 +132,47 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------- A8 / A9 mean ± CI
-def mean_ci(df: DataFrame, x: str, y: str, hue: str | None = None, z: float = 1.96) -> DataFrame:
-    """Mean of y per (x, hue) with a normal-approximation interval (A8 line, A9 bar).
-
-    mean ± z·s/√n; null interval when n < 2 (deterministic, unlike a bootstrap).
+def _poisson1(u: Column, kmax: int = 12) -> Column:
+    """Poisson(1) draw from a uniform in [0, 1) by inverse CDF (k ≤ kmax)."""
+    expr, cdf, p = None, 0.0, math.exp(-1.0)
+    for k in range(kmax):
+        cdf += p
+        expr = F.when(u < F.lit(cdf), F.lit(k)) if expr is None else expr.when(u < F.lit(cdf), F.lit(k))
+        p /= k + 1
+    return expr.otherwise(F.lit(kmax))
+
+
+def mean_ci(df: DataFrame, x: str, y: str, hue: str | None = None, z: float = 1.96,
+            ci: str = "normal", n_boot: int = 1000, level: float = 95.0, seed: int = 0) -> DataFrame:
+    """Mean of y per (x, hue) with an interval (A8 line, A9 bar).
+
+    ``ci="normal"`` (default): mean ± z·s/√n; null when n < 2 (deterministic).
+    ``ci="bootstrap"``: percentile interval of ``n_boot`` Poisson-bootstrap
+    replicate means (the distributed form of resampling with replacement):
+    each row gets a Poisson(1) weight per replicate from a hash of a per-row
+    random draw and the replicate id, expanded in-row and partially aggregated
+    before the shuffle, so only groups × replicates rows move. Work is
+    rows × n_boot; for large groups the normal interval is equivalent.
     """
     keys = [x] + ([hue] if hue else [])
     v = _num(df, y)
     g = df.groupBy(*keys).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
-    half = F.lit(z) * F.col("std") / F.sqrt(F.col("n"))
-    return g.withColumns({"ci_lo": F.col("mean") - half, "ci_hi": F.col("mean") + half})
+    if ci == "normal":
+        half = F.lit(z) * F.col("std") / F.sqrt(F.col("n"))
+        return g.withColumns({"ci_lo": F.col("mean") - half, "ci_hi": F.col("mean") + half})
+    if ci != "bootstrap":
+        raise ValueError("ci must be 'normal' or 'bootstrap'")
+    d = df.select(*keys, v.alias("_y")).filter(F.col("_y").isNotNull()).withColumn("_u", F.rand(seed))
+    d = d.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))))
+    uni = F.pmod(F.xxhash64(F.col("_u"), F.col("_b")), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    d = d.withColumn("_w", _poisson1(uni))
+    rep = d.groupBy(*keys, "_b").agg(
+        (F.sum(F.col("_w") * F.col("_y")) / F.nullif(F.sum("_w"), F.lit(0))).alias("_m"))
+    tail = (100.0 - level) / 200.0
+    # n_boot replicate means per group: bounded by the parameter, not by the data
+    band = rep.groupBy(*keys).agg(F.percentile("_m", F.array(F.lit(tail), F.lit(1.0 - tail))).alias("_ci"))
+    band = band.select(*keys, F.col("_ci")[0].alias("ci_lo"), F.col("_ci")[1].alias("ci_hi"))
+    return attach_stats(g, band, keys)
 
 
 # ------------------------------------------------------------ A10 histogram

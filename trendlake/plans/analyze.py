@@ -31,14 +31,16 @@ def compare(df: DataFrame, metric: str) -> DataFrame:
     return ex.mean_ci(df, "date", metric, "location").withColumn("label", label(F.lit(metric)))
 
 
-def chart_data(df: DataFrame, kind: str, x: str, y: str | None = None, color: str | None = None) -> DataFrame:
-    """Data behind the interactive chart types."""
+def chart_data(df: DataFrame, kind: str, x: str, y: str | None = None, color: str | None = None,
+               ci: str = "normal") -> DataFrame:
+    """Data behind the interactive chart types (D4); ``ci="bootstrap"`` for line/bar
+    intervals as the plotting library draws them."""
     if kind not in CHART_KINDS:
         raise ValueError(f"kind must be one of {CHART_KINDS}")
     if kind == "scatter":
         return ex.scatter(df, x, y, color)
     if kind in ("line", "bar"):
-        return ex.mean_ci(df, x, y, color)
+        return ex.mean_ci(df, x, y, color, ci=ci)
     if kind == "histogram":
         return ex.histogram(df, x, color)
     if kind == "box":
@@ -86,7 +88,8 @@ def analyze(df: DataFrame, kind: str, location: str | None = None, filter_locati
             "compare": compare(scoped, chart.get("metric", COMPARE_METRICS[0])),
         }
     if kind == "interactive":
-        return {"chart": chart_data(scoped, chart["chart"], chart["x"], chart.get("y"), chart.get("color"))}
+        return {"chart": chart_data(scoped, chart["chart"], chart["x"], chart.get("y"), chart.get("color"),
+                                    chart.get("ci", "normal"))}
     if kind == "error_analysis":
         return error_analysis(scoped)
     return {"describe": ex.describe(scoped, [c for c in ex.column_types(scoped)["numeric"]]),
