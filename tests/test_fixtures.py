@@ -184,3 +184,16 @@ def test_missing_target_column(spark):
     df = spark.createDataFrame([("L", day(0), 1.0)], "location string, date date, new_cases double")
     with pytest.raises(ValueError):
         training_pairs(df)
+
+
+def test_model_state_reproduces_forecast(spark):
+    rows = [("L", day(t), float((t * 7) % 5)) for t in range(30)]
+    df = spark.createDataFrame(rows, "location string, date date, new_cases double")
+    st = {r.date: r for r in fc.model_state(df).collect()}
+    pred = {r.date: r.new_cases_predicted for r in fc.forecast(df).collect()}
+    for d, r in st.items():
+        if pred[d] is None:
+            continue
+        k = (d + dt.timedelta(days=1)).isoweekday() % 7  # Sunday first
+        eff = r.weekday_effect_new_cases[k] or 0.0
+        assert r.intercept_new_cases + r.slope_new_cases * (r.t + 1) + eff == pytest.approx(pred[d], abs=1e-9)

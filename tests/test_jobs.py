@@ -155,8 +155,23 @@ def test_cli_end_to_end(spark, tmp_dir):
     assert main(["ingest", "--landing", f"{tmp_dir}/landing", "--table", f"{tmp_dir}/table",
                  "--quarantine", f"{tmp_dir}/bad", "--checkpoint", f"{tmp_dir}/ckpt", "--name", "cli_t"]) == 0
     assert spark.read.parquet(f"{tmp_dir}/table").count() == obs.count()
-    assert main(["backtest", "--table", f"{tmp_dir}/table", "--predictions", f"{tmp_dir}/pred"]) == 0
+    assert main(["backtest", "--table", f"{tmp_dir}/table", "--predictions", f"{tmp_dir}/pred",
+                 "--models-dir", f"{tmp_dir}/models"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/models/trend_dow").count() == obs.count()
     assert sk.read_predictions(spark, f"{tmp_dir}/pred").count() == obs.count()
     assert main(["analyze", "--predictions", f"{tmp_dir}/pred", "--kind", "summary_statistics",
                  "--out", f"{tmp_dir}/out"]) == 0
     assert spark.read.parquet(f"{tmp_dir}/out/by_location").count() == obs.select("location").distinct().count()
+
+
+def test_failed_fit_is_isolated(spark):
+    """A cutoff with no training data fails its fit; its origins get nulls, others are scored."""
+    from trendlake.operators.regress import rolling_regression
+    obs = jobs.prepped(observations(spark, "/root/testdata/sf0.01"))
+    out = rolling_regression(obs, model="rf", num_trees=2, max_depth=2, refit=["1980-01-01", "1998-01-01"])
+    got = {r.model_cutoff: (r.total, r.scored) for r in
+           out.groupBy("model_cutoff").agg(F.count("*").alias("total"),
+                                           F.count("new_deaths_predicted").alias("scored")).collect()}
+    import datetime as dt
+    assert got[dt.date(1980, 1, 1)][1] == 0 and got[dt.date(1980, 1, 1)][0] > 0
+    assert got[dt.date(1998, 1, 1)][1] > 0

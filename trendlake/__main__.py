@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--models", default="trend_dow")
     p.add_argument("--locations")
     p.add_argument("--combine", action="store_true", help="reference's single combined row")
+    p.add_argument("--models-dir", help="save fitted models / the windowed model's state here")
 
     p = sub.add_parser("analyze", help="prediction table → analysis tables")
     p.add_argument("--predictions", required=True)
@@ -88,7 +89,8 @@ def main(argv: list[str] | None = None) -> int:
         from trendlake.sinks.tables import write_predictions
         from trendlake.sources.files import read_observations
         obs = read_observations(spark, a.table)
-        out = backtest(obs, _csv_list(a.locations), tuple(_csv_list(a.models)), combine=a.combine)
+        out = backtest(obs, _csv_list(a.locations), tuple(_csv_list(a.models)), combine=a.combine,
+                       model_dir=a.models_dir)
         write_predictions(out, a.predictions)
     elif a.cmd == "analyze":
         from trendlake.plans.analyze import analyze, load

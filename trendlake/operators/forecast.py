@@ -37,12 +37,16 @@ def _expanding(partition: list[str]) -> Window:
 
 
 def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
-                   partition: list[str] | None = None, min_points: int = 2) -> DataFrame:
+                   partition: list[str] | None = None, min_points: int = 2,
+                   keep_state: bool = False) -> DataFrame:
     """All columns of ``obs`` plus ``t``, the frame size ``n_obs`` and ``yhat_<target>``.
 
     Several targets share one window (same partitioning, order and frame), so
     forecasting cases, deaths and vaccinations costs one shuffle and one sort.
     ``partition`` defaults to ``["location"]``; pass ``[]`` for one pooled series.
+    ``keep_state`` also returns each origin's fitted state per target:
+    ``intercept_<t>``, ``slope_<t>`` and ``weekday_effect_<t>`` (7 mean residuals,
+    Sunday first; null for a weekday not yet seen).
     """
     targets = [target] if isinstance(target, str) else list(target)
     for tg in targets:
@@ -76,11 +80,32 @@ def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
         a, b, syk = F.col(f"_a{i}"), F.col(f"_b{i}"), pick(f"_sy{i}_")
         seasonal = F.when(nk > 0, (syk - a * nk - b * stk) / nk).otherwise(F.lit(0.0))
         out[f"yhat_{tg}"] = F.when(F.col("n_obs") >= min_points, a + b * (F.col("t") + 1) + seasonal)
+    if keep_state:
+        for i, tg in enumerate(targets):
+            a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
+            effects = [F.when(F.col(f"_n{k}") > 0, (F.col(f"_sy{i}_{k}") - a * F.col(f"_n{k}")
+                                                     - b * F.col(f"_st{k}")) / F.col(f"_n{k}"))
+                       for k in range(1, 8)]
+            out[f"intercept_{tg}"] = a
+            out[f"slope_{tg}"] = b
+            out[f"weekday_effect_{tg}"] = F.array(*effects)
     d = d.withColumns(out)
     drop = ["_k"] + [c for c in d.columns if c.startswith(("_y", "_a", "_b", "_n", "_st", "_sy"))]
     return d.drop(*drop)
 
 
+def model_state(obs: DataFrame, targets: list[str] | None = None, model_version: str = DEFAULT_VERSION,
+                partition: list[str] | None = None) -> DataFrame:
+    """The windowed model as a table: one row per (location, origin) with its
+    fitted trend and weekday effects per target (S11 for the windowed model,
+    written with ``sinks.tables.write_coefficients``)."""
+    targets = targets or ["new_cases"]
+    f = forecast_frame(obs, targets, partition, keep_state=True)
+    cols = [c for tg in targets for c in (f"intercept_{tg}", f"slope_{tg}", f"weekday_effect_{tg}")]
+    keys = ["location"] if partition is None else list(partition)
+    return f.select(*keys, "date", F.lit(model_version).alias("model_version"), "n_obs", "t", *cols)
+
+
 def forecast(obs: DataFrame, target: str = "new_cases", model_version: str = DEFAULT_VERSION,
              min_points: int = 2, missing: str = "null", partition: list[str] | None = None) -> DataFrame:
     """One row per input row: (location, date, target_date, model_version, <target>_predicted).

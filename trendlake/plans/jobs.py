@@ -70,13 +70,16 @@ def forecast_predictions(obs: DataFrame, locations=None, model_version: str = fc
 
 
 def backtest(obs: DataFrame, locations=None, models: tuple[str, ...] = ("trend_dow",),
-             combine: bool = False, regress_kwargs: dict | None = None) -> DataFrame:
+             combine: bool = False, regress_kwargs: dict | None = None,
+             model_dir: str | None = None) -> DataFrame:
     """Stacked predictions of the requested models (one row per location, origin, version).
 
     ``models``: ``"trend_dow"`` (windowed W2 forecast of all targets), ``"rf"`` and
     ``"gbt"`` (MLlib regressions of new_deaths at refit cutoffs).
     ``combine=True`` joins W2 cases with the first regression's deaths into the
     reference's single ``combined_model_v1`` row per (location, origin).
+    ``model_dir`` saves the fitted models: the windowed model's state table under
+    ``trend_dow/`` and each regression's MLlib models (S11).
     """
     from trendlake.operators import regress as rg
 
@@ -84,8 +87,15 @@ def backtest(obs: DataFrame, locations=None, models: tuple[str, ...] = ("trend_d
     for m in models:
         if m == "trend_dow":
             parts.append(forecast_predictions(obs, locations))
+            if model_dir:
+                from trendlake.sinks.tables import write_coefficients
+                state = fc.model_state(prepped(obs, locations), ["new_cases", "new_deaths", "new_vaccinations"])
+                write_coefficients(state, f"{model_dir.rstrip('/')}/trend_dow")
         elif m in rg.MODELS:
-            r = rg.rolling_regression(prepped(obs, locations), model=m, **(regress_kwargs or {}))
+            kw = dict(regress_kwargs or {})
+            if model_dir:
+                kw.setdefault("model_dir", model_dir)
+            r = rg.rolling_regression(prepped(obs, locations), model=m, **kw)
             parts.append(to_prediction_schema(r))
         else:
             raise ValueError(f"unknown model {m!r}")
