@@ -116,3 +116,19 @@ def test_bootstrap_ci_close_to_normal(spark):
     assert boot["b"].ci_lo == boot["b"].ci_hi == 3.0
     with pytest.raises(ValueError):
         ex.mean_ci(df, "k", "v", ci="nope")
+
+
+def test_describe_dates(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.date(2020, 1, 3),), (dt.date(2020, 1, 1),), (None,)], "date date")
+    r = ex.describe_dates(df).first()
+    assert (r.metric, r["count"], r.min, r.max) == ("date", 2, dt.date(2020, 1, 1), dt.date(2020, 1, 3))
+
+
+def test_next_day_join_equals_window_form(spark):
+    from trendlake.operators.prep import next_day, next_day_join
+    from trendlake.sources.tables import observations
+    obs = observations(spark, "/root/testdata/sf0.01").select("location", "date", "new_cases", "new_deaths")
+    a = next_day(obs, ["new_cases", "new_deaths"])
+    b = next_day_join(obs, ["new_cases", "new_deaths"]).select(*a.columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

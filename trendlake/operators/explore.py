@@ -90,6 +90,20 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
                       F.col("quantiles")[2].alias("q75"), "max")
 
 
+def describe_dates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """The date part of ``describe()``: count, first and last day per date column."""
+    cols = cols or column_types(df)["date"]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "metric string, count bigint, min date, max date")
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"c{i}"), F.min(F.col(c).cast("date")).alias(f"lo{i}"),
+                 F.max(F.col(c).cast("date")).alias(f"hi{i}")]
+    rows = [F.struct(F.lit(c).alias("metric"), F.col(f"c{i}").alias("count"),
+                     F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 # ------------------------------------------------------------ A7 by location
 def location_stats(df: DataFrame, by: str = "location") -> DataFrame:
     """Per-location statistics of the prediction table.
