@@ -197,3 +197,25 @@ def test_model_state_reproduces_forecast(spark):
         k = (d + dt.timedelta(days=1)).isoweekday() % 7  # Sunday first
         eff = r.weekday_effect_new_cases[k] or 0.0
         assert r.intercept_new_cases + r.slope_new_cases * (r.t + 1) + eff == pytest.approx(pred[d], abs=1e-9)
+
+
+def test_pooled_forecast_matches_row_regression(spark):
+    """Q7 pooled mode: one line fitted over all rows of all locations up to each day."""
+    import numpy as np
+    rows = [("A", day(t), float((3 * t) % 7)) for t in range(0, 40, 1)] + \
+           [("B", day(t), float((5 * t) % 4)) for t in range(5, 40, 3)]
+    df = spark.createDataFrame(rows, "location string, date date, new_cases double")
+    got = {(r.location, r.date): r.new_cases_predicted for r in fc.forecast(df, partition=[]).collect()}
+    t0 = min(r[1] for r in rows)
+    for loc, d, _ in rows:
+        frame = [(float((x[1] - t0).days), x[2], x[1]) for x in rows if x[1] <= d]
+        t = np.array([f[0] for f in frame]); y = np.array([f[1] for f in frame])
+        if len(t) < 2 or np.all(t == t[0]):
+            assert got[(loc, d)] is None
+            continue
+        b = ((t - t.mean()) * (y - y.mean())).sum() / ((t - t.mean()) ** 2).sum()
+        a = y.mean() - b * t.mean()
+        nxt = (d + dt.timedelta(days=1)).weekday()
+        res = [y[j] - a - b * t[j] for j, f in enumerate(frame) if f[2].weekday() == nxt]
+        want = a + b * ((d - t0).days + 1) + (float(np.mean(res)) if res else 0.0)
+        assert got[(loc, d)] == pytest.approx(want, abs=1e-6)

@@ -53,6 +53,8 @@ def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
         if tg not in obs.columns:
             raise ValueError(f"target column {tg!r} not in input")
     part = ["location"] if partition is None else list(partition)
+    if not part:
+        return _pooled_frame(obs, targets, min_points, keep_state)
     w = _expanding(part)
     d = (obs.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(w)).cast("double"))
           .withColumn("_k", F.dayofweek(F.col("date"))))
@@ -94,15 +96,70 @@ def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
     return d.drop(*drop)
 
 
+def _pooled_frame(obs: DataFrame, targets: list[str], min_points: int, keep_state: bool) -> DataFrame:
+    # one row per distinct day: bounded by the calendar
+    return obs.join(F.broadcast(_pooled_days(obs, targets, min_points, keep_state)), "date", "left")
+
+
+def _pooled_days(obs: DataFrame, targets: list[str], min_points: int, keep_state: bool) -> DataFrame:
+    """One series pooled over all rows (the reference's ``'all'`` mode, Q7).
+
+    The least-squares line over all rows dated ≤ d only needs per-day sums
+    (count, Σy), so rows are first reduced to one row per day (partial
+    aggregation), the expanding sums run over days — a window whose input is
+    bounded by the calendar, not by the row count — and the per-day forecasts
+    (one row per day) are broadcast back to the rows.
+    """
+    ys = {f"_s{i}": F.sum(F.coalesce(F.col(tg).cast("double"), F.lit(0.0))) for i, tg in enumerate(targets)}
+    day = obs.groupBy("date").agg(F.count(F.lit(1)).cast("double").alias("_c"), *[v.alias(k) for k, v in ys.items()])
+    w = Window.orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    day = day.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(w)).cast("double"))
+    day = day.withColumn("_k", F.dayofweek(F.col("date")))
+    c, t = F.col("_c"), F.col("t")
+    sums = {"n_obs": F.sum(c).over(w), "_St": F.sum(c * t).over(w), "_Stt": F.sum(c * t * t).over(w)}
+    for k in range(1, 8):
+        on = F.col("_k") == k
+        sums[f"_n{k}"] = F.sum(F.when(on, c).otherwise(F.lit(0.0))).over(w)
+        sums[f"_st{k}"] = F.sum(F.when(on, c * t).otherwise(F.lit(0.0))).over(w)
+    for i in range(len(targets)):
+        sy = F.col(f"_s{i}")
+        sums[f"_Sy{i}"] = F.sum(sy).over(w)
+        sums[f"_Sty{i}"] = F.sum(t * sy).over(w)
+        for k in range(1, 8):
+            sums[f"_sy{i}_{k}"] = F.sum(F.when(F.col("_k") == k, sy).otherwise(F.lit(0.0))).over(w)
+    day = day.withColumns(sums)
+    n, st, stt = F.col("n_obs"), F.col("_St"), F.col("_Stt")
+    k1 = F.dayofweek(F.date_add(F.col("date"), 1))
+
+    def pick(prefix: str):
+        return F.element_at(F.array(*[F.col(f"{prefix}{k}") for k in range(1, 8)]), k1)
+
+    nk, stk = pick("_n"), pick("_st")
+    out = {}
+    for i, tg in enumerate(targets):
+        b = (n * F.col(f"_Sty{i}") - st * F.col(f"_Sy{i}")) / F.nullif(n * stt - st * st, F.lit(0.0))
+        a = (F.col(f"_Sy{i}") - b * st) / n
+        seasonal = F.when(nk > 0, (pick(f"_sy{i}_") - a * nk - b * stk) / nk).otherwise(F.lit(0.0))
+        out[f"yhat_{tg}"] = F.when(n >= min_points, a + b * (t + 1) + seasonal)
+        if keep_state:
+            out[f"intercept_{tg}"] = a
+            out[f"slope_{tg}"] = b
+            out[f"weekday_effect_{tg}"] = F.array(*[
+                F.when(F.col(f"_n{k}") > 0, (F.col(f"_sy{i}_{k}") - a * F.col(f"_n{k}") - b * F.col(f"_st{k}"))
+                       / F.col(f"_n{k}")) for k in range(1, 8)])
+    return day.withColumns(out).select("date", "t", F.col("n_obs").cast("long").alias("n_obs"), *out.keys())
+
+
 def model_state(obs: DataFrame, targets: list[str] | None = None, model_version: str = DEFAULT_VERSION,
                 partition: list[str] | None = None) -> DataFrame:
     """The windowed model as a table: one row per (location, origin) with its
     fitted trend and weekday effects per target (S11 for the windowed model,
     written with ``sinks.tables.write_coefficients``)."""
     targets = targets or ["new_cases"]
-    f = forecast_frame(obs, targets, partition, keep_state=True)
-    cols = [c for tg in targets for c in (f"intercept_{tg}", f"slope_{tg}", f"weekday_effect_{tg}")]
     keys = ["location"] if partition is None else list(partition)
+    f = (forecast_frame(obs, targets, partition, keep_state=True) if keys
+         else _pooled_days(obs, targets, 2, keep_state=True))
+    cols = [c for tg in targets for c in (f"intercept_{tg}", f"slope_{tg}", f"weekday_effect_{tg}")]
     return f.select(*keys, "date", F.lit(model_version).alias("model_version"), "n_obs", "t", *cols)
 
 
