@@ -73,3 +73,28 @@ def test_encode_keeps_nulls(spark):
     v = encode(df).first().value
     assert '"new_cases":null' in v and '"date":null' in v
     assert F is not None
+
+
+def test_csv_by_header_name(spark, tmp_dir):
+    from trendlake.sources.files import read_csv
+    p = f"{tmp_dir}/rows.csv"
+    with open(p, "w") as f:
+        f.write("iso_code,new_cases,location,date,extra,total_cases\n")
+        f.write("X1,1.5,A,2020-01-01,zz,NaN\n")
+        f.write("X2,oops,B,2020-01-02,,7\n")
+    got = {r.location: r for r in read_csv(spark, p).collect()}
+    assert got["A"].new_cases == 1.5 and got["A"].total_cases is None and got["A"].date == "2020-01-01"
+    assert got["B"].new_cases is None and got["B"].total_cases == 7.0 and got["B"].new_deaths is None
+    inferred = read_csv(spark, p, infer=True)
+    assert "iso_code" in inferred.columns and len(inferred.columns) == 6
+
+
+def test_publish_all_columns_parses_wire_fields(spark, tmp_dir):
+    from trendlake.sinks.tables import publish_messages
+    from trendlake.sources.files import read_csv
+    p = f"{tmp_dir}/rows.csv"
+    with open(p, "w") as f:
+        f.write("iso_code,new_cases,location,date\nX1,1.5,A,2020-01-01\n")
+    publish_messages(read_csv(spark, p, infer=True), f"{tmp_dir}/landing", all_columns=True)
+    r = parse(spark.read.text(f"{tmp_dir}/landing")).first()
+    assert (r.location, str(r.date), r.new_cases, r._corrupt_record) == ("A", "2020-01-01", 1.5, None)

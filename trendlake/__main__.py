@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> int:
 
     p = sub.add_parser("publish", help="CSV rows → one JSON message per row")
     p.add_argument("--csv", required=True)
+    p.add_argument("--all-columns", action="store_true", help="send every CSV column, not only the 12 fields")
     p.add_argument("--landing")
     p.add_argument("--kafka-servers")
     p.add_argument("--topic")
@@ -69,9 +70,9 @@ def main(argv: list[str] | None = None) -> int:
         from trendlake.sinks.tables import publish_messages
         from trendlake.sources.files import read_csv
         from trendlake.sources.kafka import sink_options
-        df = read_csv(spark, a.csv)
+        df = read_csv(spark, a.csv, infer=a.all_columns)
         kopts = sink_options(a.kafka_servers, a.topic) if a.kafka_servers else None
-        publish_messages(df, a.landing, kopts)
+        publish_messages(df, a.landing, kopts, all_columns=a.all_columns)
     elif a.cmd == "ingest":
         from trendlake.session import scratch_path
         from trendlake.sources.kafka import source_options

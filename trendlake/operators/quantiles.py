@@ -65,6 +65,8 @@ def quantiles_from_ranked(ranked: DataFrame, keys: list[str] | None = None,
     """keys…, ``n``, ``quantiles`` (array in ``probs`` order) from ``rank_values`` output."""
     keys = list(keys or [])
     blocks = ranked.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_idx").alias("_first"))
+    # prefix sums over (group, partition) counts: ≈ partitions + groups rows in all,
+    # so even the ungrouped case (a window without partitionBy) is a small input
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_base", F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first"))
     n = blocks.groupBy(*keys).agg(F.sum("_c").alias("n"))

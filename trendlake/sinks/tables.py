@@ -23,9 +23,10 @@ from trendlake.streaming.ingest import encode
 NATURAL_KEY = ["location", "date", "model_version"]
 
 
-def publish_messages(df: DataFrame, path: str | None = None, kafka_options: dict | None = None) -> None:
+def publish_messages(df: DataFrame, path: str | None = None, kafka_options: dict | None = None,
+                     all_columns: bool = False) -> None:
     """Publish each row as one JSON message (S2): to a landing folder or a Kafka topic."""
-    msgs = encode(df)
+    msgs = encode(df, all_columns=all_columns)
     if kafka_options:
         msgs.write.format("kafka").options(**kafka_options).save()
     elif path:

@@ -14,18 +14,28 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = False, null_value: str = "") -> DataFrame:
     """CSV with a header.
 
-    An explicit schema is the default (``OBS_WIRE``); ``infer=True`` samples the
-    file for discovery. pandas treats ``NaN``/empty as missing: NaN doubles are
-    turned into nulls, empty strings are read as null.
+    Columns are matched **by header name** (a CSV schema would be applied by
+    position, and real sources carry many more, reordered columns): every field
+    of ``schema`` (default ``OBS_WIRE``) is taken from the header column of that
+    name with ``try_cast`` (an unparsable value → null), absent fields are null,
+    extra columns are dropped. ``infer=True`` returns all columns with inferred
+    types instead (discovery). pandas treats ``NaN`` and empty cells as missing:
+    so do we.
     """
-    r = spark.read.option("header", "true").option("nullValue", null_value).option("nanValue", "NaN")
+    r = spark.read.option("header", "true").option("nullValue", null_value)
     if infer:
-        r = r.option("inferSchema", "true")
-    else:
-        r = r.schema(schema or OBS_WIRE)
-    df = r.csv(path)
-    return df.withColumns({f.name: nan_to_null(F.col(f.name)) for f in df.schema.fields
-                           if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
+        df = r.option("inferSchema", "true").option("nanValue", "NaN").csv(path)
+        return df.withColumns({f.name: nan_to_null(F.col(f.name)) for f in df.schema.fields
+                               if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
+    raw = r.csv(path)  # every column as a string
+    present = set(raw.columns)
+    cols = []
+    for f in (schema or OBS_WIRE).fields:
+        c = F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = nan_to_null(c)
+        cols.append(c.alias(f.name))
+    return raw.select(*cols)
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -27,12 +27,18 @@ CORRUPT = "_corrupt_record"
 DATE_FORMAT = "yyyy-MM-dd"
 
 
-def encode(df: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
+def encode(df: DataFrame, date_format: str = DATE_FORMAT, all_columns: bool = False) -> DataFrame:
     """One JSON message per row in the wire schema (S2's encoding).
 
     Dates go out as ``yyyy-MM-dd`` strings and nulls are written as ``null``
     (``ignoreNullFields=false``), like a pandas row's ``to_json``.
+    ``all_columns=True`` sends every column of the row (the parser keeps the
+    12 wire fields and ignores the rest).
     """
+    if all_columns:
+        cols = [F.date_format(F.col(c), date_format).alias(c) if isinstance(df.schema[c].dataType, T.DateType)
+                else F.col(c) for c in df.columns]
+        return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
     cols = []
     for f in OBS_WIRE.fields:
         if f.name not in df.columns:
