@@ -113,14 +113,15 @@ def monthly_cutoffs(first: dt.date, last: dt.date) -> list[dt.date]:
         out.append(d)
 
 
-def resolve_cutoffs(obs: DataFrame, refit) -> list[dt.date]:
+def resolve_cutoffs(obs: DataFrame, refit, span: tuple | None = None) -> list[dt.date]:
     """Cutoff days from ``refit``: ``"year"``, ``"month"`` or an explicit list.
 
-    Only the table's first and last day reach the driver (one 2-value aggregate).
+    Only the table's first and last day reach the driver (one 2-value aggregate,
+    skipped when ``span`` already holds them).
     """
     if isinstance(refit, (list, tuple)):
         return sorted(d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in refit)
-    lo, hi = obs.agg(F.min("date"), F.max("date")).first()
+    lo, hi = span if span is not None else obs.agg(F.min("date"), F.max("date")).first()
     if lo is None:
         return []
     if refit == "year":
@@ -158,11 +159,12 @@ def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: st
     # input: ~rows_per_partition rows per task, at most one task per core (AQE
     # coalesces a small table into one partition; a big one must use them all).
     pairs = training_pairs(obs, features, target, mode).checkpoint(eager=True)
-    n_rows = pairs.count()
+    # one pass over the checkpoint: row count for sizing, first/last day for cutoffs
+    n_rows, lo, hi = pairs.agg(F.count(F.lit(1)), F.min("date"), F.max("date")).first()
     want = max(1, min(spark.sparkContext.defaultParallelism, -(-n_rows // rows_per_partition)))
     if want > pairs.rdd.getNumPartitions():
         pairs = pairs.repartition(want)
-    cutoffs = resolve_cutoffs(obs, refit)
+    cutoffs = resolve_cutoffs(obs, refit, (lo, hi))
     bounds = list(zip(cutoffs, cutoffs[1:] + [None]))
 
     groups = list(per_location) if per_location is not None else [None]
