@@ -307,3 +307,10 @@ def q_rf_deaths(spark, sf_dir):
 def q_gbt_deaths(spark, sf_dir):
     """Boosted trees (100 rounds, squared loss, seed 42) of next-day deaths, yearly refits."""
     return _regression(spark, sf_dir, "gbt")
+
+
+@register("forecast_pooled")
+def q_forecast_pooled(spark, sf_dir):
+    """W2 in the pooled 'all' mode (Q7): one series over every location's rows, scored per row."""
+    out = fc.forecast(observations(spark, sf_dir), target="new_cases", partition=[])
+    return _round(out, ["new_cases_predicted"])

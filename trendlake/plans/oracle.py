@@ -315,3 +315,22 @@ SQL["parse_messages"] = f"with {OBS_CTE} {_OBS_OUT}"
 SQL["stream_ingest"] = f"with {OBS_CTE} {_OBS_OUT}"
 SQL["csv_roundtrip"] = f"with {OBS_CTE} {_OBS_OUT}"
 SQL["predictions_store"] = SQL["predictions_w2"]
+
+SQL["forecast_pooled"] = f"""
+with {OBS_CTE},
+s as (select date, coalesce(new_cases, 0) as y,
+             cast(date_diff('day', min(date) over (), date) as double) as t from obs),
+d as (select distinct date, t from s),
+fit as (
+  select i.date, i.t, count(*) as n, regr_slope(j.y, j.t) as b, regr_intercept(j.y, j.t) as a
+  from d i join s j on j.date <= i.date group by i.date, i.t),
+seas as (
+  select f.date, avg(j.y - f.a - f.b * j.t) as z
+  from fit f join s j on j.date <= f.date and dayofweek(j.date) = dayofweek(cast(f.date + 1 as date))
+  group by f.date),
+pf as (
+  select f.date, case when f.n >= 2 then f.a + f.b * (f.t + 1) + coalesce(z.z, 0) end as yhat
+  from fit f left join seas z on f.date = z.date)
+select o.location, o.date, cast(o.date + 1 as date) as target_date, 'trend_dow_v1' as model_version,
+       round(pf.yhat, 6) as new_cases_predicted
+from obs o join pf on o.date = pf.date"""
