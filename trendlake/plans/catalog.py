@@ -314,3 +314,12 @@ def q_forecast_pooled(spark, sf_dir):
     """W2 in the pooled 'all' mode (Q7): one series over every location's rows, scored per row."""
     out = fc.forecast(observations(spark, sf_dir), target="new_cases", partition=[])
     return _round(out, ["new_cases_predicted"])
+
+
+@register("predictions_reference_mode")
+def q_predictions_reference_mode(spark, sf_dir):
+    """The reference's stored row — cases forecast with failures as 0,
+    vaccinations the constant 0, no deaths model."""
+    from trendlake.plans.jobs import forecast_predictions
+    out = forecast_predictions(observations(spark, sf_dir), reference_mode=True)
+    return _round_doubles(out.drop("created_at", "model_cutoff"))

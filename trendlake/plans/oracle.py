@@ -334,3 +334,14 @@ pf as (
 select o.location, o.date, cast(o.date + 1 as date) as target_date, 'trend_dow_v1' as model_version,
        round(pf.yhat, 6) as new_cases_predicted
 from obs o join pf on o.date = pf.date"""
+
+SQL["predictions_reference_mode"] = f"""
+with {PRED_CTE}
+select location, date,
+       {_r('coalesce(new_cases_predicted, 0)', 'new_cases_predicted')},
+       cast(null as double) as new_deaths_predicted,
+       cast(0 as double) as new_vaccinations_predicted,
+       new_cases_actual, new_deaths_actual, new_vaccinations_actual, total_cases, total_deaths,
+       {_r('life_expectancy', 'life_expectancy')}, {_r('excess_mortality', 'excess_mortality')},
+       model_version, target_date
+from pred"""
