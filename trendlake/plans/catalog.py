@@ -323,3 +323,19 @@ def q_predictions_reference_mode(spark, sf_dir):
     from trendlake.plans.jobs import forecast_predictions
     out = forecast_predictions(observations(spark, sf_dir), reference_mode=True)
     return _round_doubles(out.drop("created_at", "model_cutoff"))
+
+
+@register("rf_deaths_reference_mode")
+def q_rf_deaths_reference_mode(spark, sf_dir):
+    """R2 with the reference's pairing (Q4/Q5): trained on same-day features, scored with
+    the next day's features, 0 when the next day is missing or no model exists yet."""
+    return _regression(spark, sf_dir, "rf", mode="next_day", missing="zero")
+
+
+@register("backtest_combined")
+def q_backtest_combined(spark, sf_dir):
+    """W3 in the reference's output form: one combined_model_v1 row per (location, origin)
+    with the windowed cases forecast and the random-forest deaths forecast."""
+    from trendlake.plans.jobs import backtest
+    out = backtest(observations(spark, sf_dir), models=("rf",), combine=True)
+    return _round_doubles(out.drop("created_at"))
