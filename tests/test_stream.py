@@ -98,3 +98,21 @@ def test_publish_all_columns_parses_wire_fields(spark, tmp_dir):
     publish_messages(read_csv(spark, p, infer=True), f"{tmp_dir}/landing", all_columns=True)
     r = parse(spark.read.text(f"{tmp_dir}/landing")).first()
     assert (r.location, str(r.date), r.new_cases, r._corrupt_record) == ("A", "2020-01-01", 1.5, None)
+
+
+def test_replayed_batch_is_written_once(spark, tmp_dir):
+    """A crash after writing a batch but before committing it replays the batch: no duplicates."""
+    import shutil
+    land, table, quar = f"{tmp_dir}/landing", f"{tmp_dir}/table", f"{tmp_dir}/bad"
+    _land(land, "f1.json", LINES_1)
+    await_all(run_stream(text_source(spark, land), table, f"{tmp_dir}/ckpt", "t_replay",
+                         quarantine_path=quar, keep_bad=False))
+    # the checkpoint as it was before batch 0's commit marker was written
+    shutil.copytree(f"{tmp_dir}/ckpt", f"{tmp_dir}/ckpt_crashed",
+                    ignore=lambda d, names: ["0", ".0.crc"] if d.endswith("commits") else [])
+    qs = run_stream(text_source(spark, land), table, f"{tmp_dir}/ckpt_crashed", "t_replay2",
+                    quarantine_path=quar, keep_bad=False)
+    await_all(qs)
+    assert any(p["batchId"] == 0 and p["numInputRows"] > 0 for p in qs[0].recentProgress)  # really replayed
+    assert read_observations(spark, table).count() == 2
+    assert spark.read.parquet(quar).count() == 1

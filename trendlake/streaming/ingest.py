@@ -10,7 +10,7 @@ sink. Fixes over the reference's stream job:
   (``once`` ignores ``maxOffsetsPerTrigger``: Q11);
 * the date is parsed with ``try_to_timestamp`` (ANSI ``to_timestamp`` raises);
 * malformed records are kept in ``_corrupt_record`` and, when a quarantine
-  path is given, routed there by a second exactly-once file sink.
+  path is given, routed there from the same micro-batch (idempotent per batch).
 """
 
 from __future__ import annotations
@@ -96,7 +96,8 @@ def run_stream(stream: DataFrame, out_path: str, checkpoint: str, query_name: st
 
     ``keep_bad=True`` keeps malformed rows in the table like the reference
     (a null date lands in the default partition); ``False`` drops them from it.
-    ``quarantine_path`` starts a second query writing only the bad rows.
+    ``quarantine_path`` routes the bad rows there from the same read of the
+    source (``foreachBatch``; both outputs are laid out under ``batch=<id>``).
     ``dedup_delay`` (e.g. ``"1 day"``) drops replayed (location, date) messages
     within that watermark; it must exceed the replay span.
     ``partition_by``: ``"month"`` (default) writes ``month=YYYY-MM-01`` folders with
@@ -107,6 +108,8 @@ def run_stream(stream: DataFrame, out_path: str, checkpoint: str, query_name: st
     """
     if partition_by not in ("month", "date"):
         raise ValueError("partition_by must be 'month' or 'date'")
+    if dedup_delay and quarantine_path:
+        raise ValueError("dedup_delay applies to the table only: run without quarantine_path")
     parsed = parse(stream)
     good = parsed if keep_bad else parsed.filter(~is_bad(parsed))
     if dedup_delay:
@@ -115,25 +118,38 @@ def run_stream(stream: DataFrame, out_path: str, checkpoint: str, query_name: st
                     .dropDuplicatesWithinWatermark(["location", "date"])
                     .drop("_event_ts"))
 
-    def _start(df: DataFrame, path: str, ckpt: str, name: str, partition: bool) -> StreamingQuery:
-        if partition and partition_by == "month":
-            df = df.withColumn("month", F.trunc(F.col("date"), "month"))
-        w = (df.writeStream.format("parquet").outputMode("append")
-               .option("path", path).option("checkpointLocation", ckpt).queryName(name))
-        if partition:
-            w = w.partitionBy(partition_by)
+    def _layout(df: DataFrame) -> DataFrame:
+        return df.withColumn("month", F.trunc(F.col("date"), "month")) if partition_by == "month" else df
+
+    def _trigger(w):
         if processing_time:
-            w = w.trigger(processingTime=processing_time)
-        elif available_now:
-            w = w.trigger(availableNow=True)
-        return w.start()
-
-    qs = [_start(good, out_path, f"{checkpoint.rstrip('/')}/main", query_name, True)]
-    if quarantine_path:
-        bad = parsed.filter(is_bad(parsed))
-        qs.append(_start(bad, quarantine_path, f"{checkpoint.rstrip('/')}/quarantine",
-                         f"{query_name}_quarantine", False))
-    return qs
+            return w.trigger(processingTime=processing_time)
+        return w.trigger(availableNow=True) if available_now else w
+
+    ckpt = f"{checkpoint.rstrip('/')}/main"
+    if not quarantine_path:
+        # file sink: exactly-once through its own commit log
+        w = (_layout(good).writeStream.format("parquet").outputMode("append")
+             .option("path", out_path).option("checkpointLocation", ckpt).queryName(query_name)
+             .partitionBy(partition_by))
+        return [_trigger(w).start()]
+
+    # Two outputs from ONE read of the source: each micro-batch is persisted,
+    # split, and written under batch=<id>; a replayed batch overwrites its own
+    # folders, so every batch lands exactly once in each output.
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            rows = batch if keep_bad else batch.filter(~is_bad(batch))
+            _layout(rows).write.mode("overwrite").partitionBy(partition_by) \
+                .parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+            batch.filter(is_bad(batch)).write.mode("overwrite") \
+                .parquet(f"{quarantine_path.rstrip('/')}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    w = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt).queryName(query_name)
+    return [_trigger(w).start()]
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
