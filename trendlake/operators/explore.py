@@ -203,10 +203,15 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
         # categorical axis: one bar per category, as seaborn does for non-numeric data
         return df.filter(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("count"))
     d = df.select(*keys, _num(df, x).alias("_x")).filter(F.col("_x").isNotNull())
-    n, lo, hi = F.count("_x"), F.min("_x"), F.max("_x")
-    stats = d.agg(n.alias("_n"), lo.alias("_mn"), hi.alias("_mx"))
-    if bins == "auto":  # IQR of all values (shared bins): one exact distributed ranking
-        stats = stats.withColumn("_q", quantiles(d, "_x", [], (0.25, 0.5, 0.75)).select("quantiles").scalar())
+    if bins == "auto":
+        # count, min, quartiles and max of all values (bins are shared by the hues)
+        # from one exact distributed ranking: no separate statistics scan
+        q = quantiles(d, "_x", [], (0.0, 0.25, 0.75, 1.0))
+        stats = q.select(F.col("n").alias("_n"), F.col("quantiles")[0].alias("_mn"),
+                         F.array(F.col("quantiles")[1], F.lit(None), F.col("quantiles")[2]).alias("_q"),
+                         F.col("quantiles")[3].alias("_mx"))
+    else:
+        stats = d.agg(F.count("_x").alias("_n"), F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
     ptp = F.col("_mx") - F.col("_mn")
     stats = stats.withColumns({"_lo": F.when(ptp == 0, F.col("_mn") - 0.5).otherwise(F.col("_mn")),
                                "_hi": F.when(ptp == 0, F.col("_mx") + 0.5).otherwise(F.col("_mx"))})
@@ -243,14 +248,21 @@ def kde(df: DataFrame, x: str, hue: str | None = None, gridsize: int = 200, cut:
     """
     keys = [hue] if hue else []
     d = df.select(*keys, _num(df, x).alias("_x")).filter(F.col("_x").isNotNull())
-    st = d.groupBy(*keys).agg(F.count("_x").alias("_n"), F.stddev_samp("_x").alias("_s"),
-                              F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
+    vals = d.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    # group statistics from the distinct-value counts (the same shuffle output,
+    # reused): the raw input is scanned once; variance by the exact two-pass form
+    m = vals.groupBy(*keys).agg(F.sum("_c").alias("_n"),
+                                (F.sum(F.col("_c") * F.col("_x")) / F.sum("_c")).alias("_mean"),
+                                F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
+    ss = attach_stats(vals, m.select(*keys, "_mean"), keys).groupBy(*keys).agg(
+        F.sum(F.col("_c") * F.pow(F.col("_x") - F.col("_mean"), 2)).alias("_ss"))
+    st = attach_stats(m, ss, keys).withColumn(
+        "_s", F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1))))
     h = F.col("_s") * F.pow(F.col("_n"), -0.2) * F.lit(bw_adjust)
     st = st.withColumn("_h", h).filter(F.col("_h") > 0)
     st = st.withColumns({"_lo": F.col("_mn") - F.lit(cut) * F.col("_h")})
     st = st.withColumn("_step", (F.col("_mx") + F.lit(cut) * F.col("_h") - F.col("_lo")) / F.lit(gridsize - 1))
     st = st.select(*keys, "_n", "_h", "_lo", "_step")
-    vals = d.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
     j = attach_stats(vals, st, keys)
     j = j.withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))))
     gx = F.col("_lo") + F.col("grid") * F.col("_step")
