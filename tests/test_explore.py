@@ -132,3 +132,17 @@ def test_next_day_join_equals_window_form(spark):
     a = next_day(obs, ["new_cases", "new_deaths"])
     b = next_day_join(obs, ["new_cases", "new_deaths"]).select(*a.columns)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_group_spans_many_partitions(spark):
+    """The ranking spreads one dominant group over many tasks (no single-task group)."""
+    from pyspark.sql import functions as F
+
+    from trendlake.operators.quantiles import rank_values
+    rows = [("hot", float(i)) for i in range(4000)] + [("cold", float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ranked = rank_values(df, "v", ["g"], partitions=16)
+    spread = {r.g: r.parts for r in ranked.groupBy("g").agg(F.countDistinct("_pid").alias("parts")).collect()}
+    assert spread["hot"] >= 8
+    biggest = ranked.groupBy("_pid").count().agg(F.max("count")).first()[0]
+    assert biggest <= 4050 / 16 * 2  # no partition holds much more than its share
