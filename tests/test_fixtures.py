@@ -219,3 +219,36 @@ def test_pooled_forecast_matches_row_regression(spark):
         res = [y[j] - a - b * t[j] for j, f in enumerate(frame) if f[2].weekday() == nxt]
         want = a + b * ((d - t0).days + 1) + (float(np.mean(res)) if res else 0.0)
         assert got[(loc, d)] == pytest.approx(want, abs=1e-6)
+
+
+def test_yearly_seasonality_matches_brute_force(spark):
+    import random
+
+    import numpy as np
+    rnd = random.Random(9)
+    days = sorted({day(rnd.randrange(0, 800)) for _ in range(300)})
+    ys = [float(rnd.randrange(0, 9)) + (3.0 if d.month in (6, 7) else 0.0) for d in days]
+    df = spark.createDataFrame([("L", d, y) for d, y in zip(days, ys)], "location string, date date, new_cases double")
+    got = {r.date: r.new_cases_predicted for r in fc.forecast(df, seasonality=("weekly", "yearly")).collect()}
+    pooled = {r.date: r.new_cases_predicted
+              for r in fc.forecast(df, partition=[], seasonality=("weekly", "yearly")).collect()}
+    t0 = days[0]
+    for i, d in enumerate(days):
+        t = np.array([(x - t0).days for x in days[:i + 1]], float)
+        y = np.array(ys[:i + 1])
+        if len(t) < 2:
+            assert got[d] is None and pooled[d] is None
+            continue
+        b = ((t - t.mean()) * (y - y.mean())).sum() / ((t - t.mean()) ** 2).sum()
+        a = y.mean() - b * t.mean()
+        res = y - a - b * t
+        nxt = d + dt.timedelta(days=1)
+        wk = [res[j] for j, x in enumerate(days[:i + 1]) if x.weekday() == nxt.weekday()]
+        mo = [res[j] for j, x in enumerate(days[:i + 1]) if x.month == nxt.month]
+        want = a + b * ((d - t0).days + 1) + (np.mean(wk) if wk else 0.0) + (np.mean(mo) if mo else 0.0)
+        assert got[d] == pytest.approx(want, abs=1e-6)
+        assert pooled[d] == pytest.approx(want, abs=1e-6)
+    state = fc.model_state(df, seasonality=("weekly", "yearly")).first()
+    assert len(state.month_effect_new_cases) == 12 and len(state.weekday_effect_new_cases) == 7
+    with pytest.raises(ValueError):
+        fc.forecast(df, seasonality=("hourly",))

@@ -54,6 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--locations")
     p.add_argument("--combine", action="store_true", help="reference's single combined row")
     p.add_argument("--models-dir", help="save fitted models / the windowed model's state here")
+    p.add_argument("--yearly", action="store_true", help="add the month-of-year term to the windowed model")
 
     p = sub.add_parser("analyze", help="prediction table → analysis tables")
     p.add_argument("--predictions", required=True)
@@ -91,7 +92,8 @@ def main(argv: list[str] | None = None) -> int:
         from trendlake.sources.files import read_observations
         obs = read_observations(spark, a.table)
         out = backtest(obs, _csv_list(a.locations), tuple(_csv_list(a.models)), combine=a.combine,
-                       model_dir=a.models_dir)
+                       model_dir=a.models_dir,
+                       seasonality=("weekly", "yearly") if a.yearly else ("weekly",))
         write_predictions(out, a.predictions)
     elif a.cmd == "analyze":
         from trendlake.plans.analyze import analyze, load

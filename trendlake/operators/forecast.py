@@ -36,72 +36,113 @@ def _expanding(partition: list[str]) -> Window:
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
 
 
+# Seasonal terms: (level of a date, number of levels, name of the state column).
+SEASONS = {
+    "weekly": (F.dayofweek, 7, "weekday_effect"),   # 1 = Sunday … 7 = Saturday
+    "yearly": (F.month, 12, "month_effect"),        # 1 = January … 12 = December
+}
+
+
+def _check_seasonality(seasonality) -> list[str]:
+    names = list(seasonality)
+    unknown = [x for x in names if x not in SEASONS]
+    if unknown:
+        raise ValueError(f"seasonality must be drawn from {sorted(SEASONS)} (got {unknown})")
+    return names
+
+
+def _season_sums(w: Window, seasons: list[str], weight, ysum: list) -> dict:
+    """Running per-level weight, weighted-t and y sums for every seasonal term."""
+    aggs = {}
+    for name in seasons:
+        level, n_levels, _ = SEASONS[name]
+        lv = level(F.col("date"))
+        for k in range(1, n_levels + 1):
+            on = lv == k
+            aggs[f"_n_{name}{k}"] = F.sum(F.when(on, weight).otherwise(F.lit(0.0))).over(w)
+            aggs[f"_st_{name}{k}"] = F.sum(F.when(on, weight * F.col("t")).otherwise(F.lit(0.0))).over(w)
+            for i, y in enumerate(ysum):
+                aggs[f"_sy{i}_{name}{k}"] = F.sum(F.when(on, y).otherwise(F.lit(0.0))).over(w)
+    return aggs
+
+
+def _apply(d: DataFrame, targets: list[str], seasons: list[str], min_points: int, keep_state: bool,
+           ab: dict) -> DataFrame:
+    """yhat (and optionally the state) from the running sums: trend + Σ seasonal mean residuals."""
+    out = {}
+    for i, tg in enumerate(targets):
+        a, b = ab[i]
+        yhat = a + b * (F.col("t") + 1)
+        for name in seasons:
+            level, n_levels, state = SEASONS[name]
+            nxt = level(F.date_add(F.col("date"), 1))
+
+            def pick(prefix: str, name=name, n_levels=n_levels, nxt=nxt):
+                return F.element_at(F.array(*[F.col(f"{prefix}{k}") for k in range(1, n_levels + 1)]), nxt)
+
+            nk, stk, syk = pick(f"_n_{name}"), pick(f"_st_{name}"), pick(f"_sy{i}_{name}")
+            yhat = yhat + F.when(nk > 0, (syk - a * nk - b * stk) / nk).otherwise(F.lit(0.0))
+            if keep_state:
+                out[f"{state}_{tg}"] = F.array(*[
+                    F.when(F.col(f"_n_{name}{k}") > 0,
+                           (F.col(f"_sy{i}_{name}{k}") - a * F.col(f"_n_{name}{k}") - b * F.col(f"_st_{name}{k}"))
+                           / F.col(f"_n_{name}{k}"))
+                    for k in range(1, n_levels + 1)])
+        out[f"yhat_{tg}"] = F.when(F.col("n_obs") >= min_points, yhat)
+        if keep_state:
+            out[f"intercept_{tg}"] = a
+            out[f"slope_{tg}"] = b
+    return d.withColumns(out)
+
+
 def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
                    partition: list[str] | None = None, min_points: int = 2,
-                   keep_state: bool = False) -> DataFrame:
+                   keep_state: bool = False, seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
     """All columns of ``obs`` plus ``t``, the frame size ``n_obs`` and ``yhat_<target>``.
 
     Several targets share one window (same partitioning, order and frame), so
     forecasting cases, deaths and vaccinations costs one shuffle and one sort.
     ``partition`` defaults to ``["location"]``; pass ``[]`` for one pooled series.
+    ``seasonality``: ``("weekly",)`` (default) or ``("weekly", "yearly")`` — each
+    term adds, for the target day's level (weekday / month), the mean residual
+    of the frame's rows at that level around the trend (0 for an unseen level).
     ``keep_state`` also returns each origin's fitted state per target:
-    ``intercept_<t>``, ``slope_<t>`` and ``weekday_effect_<t>`` (7 mean residuals,
-    Sunday first; null for a weekday not yet seen).
+    ``intercept_<t>``, ``slope_<t>``, ``weekday_effect_<t>`` (7 values, Sunday
+    first) and, with the yearly term, ``month_effect_<t>`` (12); null for a level
+    not yet seen.
     """
     targets = [target] if isinstance(target, str) else list(target)
     for tg in targets:
         if tg not in obs.columns:
             raise ValueError(f"target column {tg!r} not in input")
+    seasons = _check_seasonality(seasonality)
     part = ["location"] if partition is None else list(partition)
     if not part:
-        return _pooled_frame(obs, targets, min_points, keep_state)
+        return _pooled_frame(obs, targets, min_points, keep_state, seasons)
     w = _expanding(part)
-    d = (obs.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(w)).cast("double"))
-          .withColumn("_k", F.dayofweek(F.col("date"))))
-    d = d.withColumns({f"_y{i}": F.coalesce(F.col(tg).cast("double"), F.lit(0.0))
-                       for i, tg in enumerate(targets)})
+    d = obs.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(w)).cast("double"))
+    ys = [F.coalesce(F.col(tg).cast("double"), F.lit(0.0)) for tg in targets]
+    d = d.withColumns({f"_y{i}": y for i, y in enumerate(ys)})
+    ycols = [F.col(f"_y{i}") for i in range(len(targets))]
     aggs = {"n_obs": F.count(F.lit(1)).over(w)}
-    for k in range(1, 8):
-        aggs[f"_n{k}"] = F.sum(F.when(F.col("_k") == k, F.lit(1.0)).otherwise(F.lit(0.0))).over(w)
-        aggs[f"_st{k}"] = F.sum(F.when(F.col("_k") == k, F.col("t")).otherwise(F.lit(0.0))).over(w)
-    for i in range(len(targets)):
-        y = F.col(f"_y{i}")
+    for i, y in enumerate(ycols):
         aggs[f"_b{i}"] = F.regr_slope(y, F.col("t")).over(w)
         aggs[f"_a{i}"] = F.regr_intercept(y, F.col("t")).over(w)
-        for k in range(1, 8):
-            aggs[f"_sy{i}_{k}"] = F.sum(F.when(F.col("_k") == k, y).otherwise(F.lit(0.0))).over(w)
+    aggs.update(_season_sums(w, seasons, F.lit(1.0), ycols))
     d = d.withColumns(aggs)
-    k1 = F.dayofweek(F.date_add(F.col("date"), 1))
-
-    def pick(prefix: str):
-        return F.element_at(F.array(*[F.col(f"{prefix}{k}") for k in range(1, 8)]), k1)
-
-    nk, stk = pick("_n"), pick("_st")
-    out = {}
-    for i, tg in enumerate(targets):
-        a, b, syk = F.col(f"_a{i}"), F.col(f"_b{i}"), pick(f"_sy{i}_")
-        seasonal = F.when(nk > 0, (syk - a * nk - b * stk) / nk).otherwise(F.lit(0.0))
-        out[f"yhat_{tg}"] = F.when(F.col("n_obs") >= min_points, a + b * (F.col("t") + 1) + seasonal)
-    if keep_state:
-        for i, tg in enumerate(targets):
-            a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
-            effects = [F.when(F.col(f"_n{k}") > 0, (F.col(f"_sy{i}_{k}") - a * F.col(f"_n{k}")
-                                                     - b * F.col(f"_st{k}")) / F.col(f"_n{k}"))
-                       for k in range(1, 8)]
-            out[f"intercept_{tg}"] = a
-            out[f"slope_{tg}"] = b
-            out[f"weekday_effect_{tg}"] = F.array(*effects)
-    d = d.withColumns(out)
-    drop = ["_k"] + [c for c in d.columns if c.startswith(("_y", "_a", "_b", "_n", "_st", "_sy"))]
-    return d.drop(*drop)
+    d = _apply(d, targets, seasons, min_points, keep_state,
+               {i: (F.col(f"_a{i}"), F.col(f"_b{i}")) for i in range(len(targets))})
+    return d.drop(*[k for k in aggs if k.startswith("_")], *[f"_y{i}" for i in range(len(targets))])
 
 
-def _pooled_frame(obs: DataFrame, targets: list[str], min_points: int, keep_state: bool) -> DataFrame:
+def _pooled_frame(obs: DataFrame, targets: list[str], min_points: int, keep_state: bool,
+                  seasons: list[str] = ("weekly",)) -> DataFrame:
     # one row per distinct day: bounded by the calendar
-    return obs.join(F.broadcast(_pooled_days(obs, targets, min_points, keep_state)), "date", "left")
+    return obs.join(F.broadcast(_pooled_days(obs, targets, min_points, keep_state, seasons)), "date", "left")
 
 
-def _pooled_days(obs: DataFrame, targets: list[str], min_points: int, keep_state: bool) -> DataFrame:
+def _pooled_days(obs: DataFrame, targets: list[str], min_points: int, keep_state: bool,
+                 seasons: list[str] = ("weekly",)) -> DataFrame:
     """One series pooled over all rows (the reference's ``'all'`` mode, Q7).
 
     The least-squares line over all rows dated ≤ d only needs per-day sums
@@ -114,63 +155,47 @@ def _pooled_days(obs: DataFrame, targets: list[str], min_points: int, keep_state
     day = obs.groupBy("date").agg(F.count(F.lit(1)).cast("double").alias("_c"), *[v.alias(k) for k, v in ys.items()])
     w = Window.orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     day = day.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(w)).cast("double"))
-    day = day.withColumn("_k", F.dayofweek(F.col("date")))
     c, t = F.col("_c"), F.col("t")
     sums = {"n_obs": F.sum(c).over(w), "_St": F.sum(c * t).over(w), "_Stt": F.sum(c * t * t).over(w)}
-    for k in range(1, 8):
-        on = F.col("_k") == k
-        sums[f"_n{k}"] = F.sum(F.when(on, c).otherwise(F.lit(0.0))).over(w)
-        sums[f"_st{k}"] = F.sum(F.when(on, c * t).otherwise(F.lit(0.0))).over(w)
     for i in range(len(targets)):
-        sy = F.col(f"_s{i}")
-        sums[f"_Sy{i}"] = F.sum(sy).over(w)
-        sums[f"_Sty{i}"] = F.sum(t * sy).over(w)
-        for k in range(1, 8):
-            sums[f"_sy{i}_{k}"] = F.sum(F.when(F.col("_k") == k, sy).otherwise(F.lit(0.0))).over(w)
+        sums[f"_Sy{i}"] = F.sum(F.col(f"_s{i}")).over(w)
+        sums[f"_Sty{i}"] = F.sum(t * F.col(f"_s{i}")).over(w)
+    sums.update(_season_sums(w, seasons, c, [F.col(f"_s{i}") for i in range(len(targets))]))
     day = day.withColumns(sums)
     n, st, stt = F.col("n_obs"), F.col("_St"), F.col("_Stt")
-    k1 = F.dayofweek(F.date_add(F.col("date"), 1))
-
-    def pick(prefix: str):
-        return F.element_at(F.array(*[F.col(f"{prefix}{k}") for k in range(1, 8)]), k1)
-
-    nk, stk = pick("_n"), pick("_st")
-    out = {}
-    for i, tg in enumerate(targets):
+    ab = {}
+    for i in range(len(targets)):
         b = (n * F.col(f"_Sty{i}") - st * F.col(f"_Sy{i}")) / F.nullif(n * stt - st * st, F.lit(0.0))
-        a = (F.col(f"_Sy{i}") - b * st) / n
-        seasonal = F.when(nk > 0, (pick(f"_sy{i}_") - a * nk - b * stk) / nk).otherwise(F.lit(0.0))
-        out[f"yhat_{tg}"] = F.when(n >= min_points, a + b * (t + 1) + seasonal)
-        if keep_state:
-            out[f"intercept_{tg}"] = a
-            out[f"slope_{tg}"] = b
-            out[f"weekday_effect_{tg}"] = F.array(*[
-                F.when(F.col(f"_n{k}") > 0, (F.col(f"_sy{i}_{k}") - a * F.col(f"_n{k}") - b * F.col(f"_st{k}"))
-                       / F.col(f"_n{k}")) for k in range(1, 8)])
-    return day.withColumns(out).select("date", "t", F.col("n_obs").cast("long").alias("n_obs"), *out.keys())
+        ab[i] = ((F.col(f"_Sy{i}") - b * st) / n, b)
+    day = _apply(day, targets, seasons, min_points, keep_state, ab)
+    keep = [c for c in day.columns if not c.startswith("_") and c not in ("n_obs",)]
+    return day.select(*keep, F.col("n_obs").cast("long").alias("n_obs"))
 
 
 def model_state(obs: DataFrame, targets: list[str] | None = None, model_version: str = DEFAULT_VERSION,
-                partition: list[str] | None = None) -> DataFrame:
+                partition: list[str] | None = None, seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
     """The windowed model as a table: one row per (location, origin) with its
     fitted trend and weekday effects per target (S11 for the windowed model,
     written with ``sinks.tables.write_coefficients``)."""
     targets = targets or ["new_cases"]
     keys = ["location"] if partition is None else list(partition)
-    f = (forecast_frame(obs, targets, partition, keep_state=True) if keys
-         else _pooled_days(obs, targets, 2, keep_state=True))
-    cols = [c for tg in targets for c in (f"intercept_{tg}", f"slope_{tg}", f"weekday_effect_{tg}")]
+    seasons = _check_seasonality(seasonality)
+    f = (forecast_frame(obs, targets, partition, keep_state=True, seasonality=tuple(seasons)) if keys
+         else _pooled_days(obs, targets, 2, True, seasons))
+    cols = [c for tg in targets for c in
+            [f"intercept_{tg}", f"slope_{tg}"] + [f"{SEASONS[nm][2]}_{tg}" for nm in seasons]]
     return f.select(*keys, "date", F.lit(model_version).alias("model_version"), "n_obs", "t", *cols)
 
 
 def forecast(obs: DataFrame, target: str = "new_cases", model_version: str = DEFAULT_VERSION,
-             min_points: int = 2, missing: str = "null", partition: list[str] | None = None) -> DataFrame:
+             min_points: int = 2, missing: str = "null", partition: list[str] | None = None,
+             seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
     """One row per input row: (location, date, target_date, model_version, <target>_predicted).
 
     ``missing="zero"`` reproduces the reference's "failed / NaN forecast → 0" (P13);
     the default keeps null so metrics skip it.
     """
-    d = forecast_frame(obs, target, partition, min_points)
+    d = forecast_frame(obs, target, partition, min_points, seasonality=seasonality)
     p = F.col(f"yhat_{target}")
     if missing == "zero":
         p = F.coalesce(F.nanvl(p, F.lit(0.0)), F.lit(0.0))
@@ -182,14 +207,15 @@ def forecast(obs: DataFrame, target: str = "new_cases", model_version: str = DEF
 
 
 def forecast_with_actuals(obs: DataFrame, target: str = "new_cases", align: str = "target",
-                          model_version: str = DEFAULT_VERSION, min_points: int = 2) -> DataFrame:
+                          model_version: str = DEFAULT_VERSION, min_points: int = 2,
+                          seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
     """Forecast plus the actual it is judged against, in the same window pass.
 
     ``align="target"``: actual of d + 1 (null when that day has no row: calendar gap).
     ``align="origin"``: actual of d itself — the reference's stored pairing (Q1).
     Actuals get the reference's null → 0 fill when their row exists.
     """
-    d = forecast_frame(obs, target, None, min_points)
+    d = forecast_frame(obs, target, None, min_points, seasonality=seasonality)
     y = F.coalesce(F.col(target).cast("double"), F.lit(0.0))
     if align == "target":
         actual = day_ahead(f"first(coalesce(cast(`{target}` as double), 0.0D))")

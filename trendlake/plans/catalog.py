@@ -339,3 +339,10 @@ def q_backtest_combined(spark, sf_dir):
     from trendlake.plans.jobs import backtest
     out = backtest(observations(spark, sf_dir), models=("rf",), combine=True)
     return _round_doubles(out.drop("created_at"))
+
+
+@register("forecast_cases_yearly")
+def q_forecast_cases_yearly(spark, sf_dir):
+    """W2 with the month-of-year term added to the weekly one."""
+    out = fc.forecast(observations(spark, sf_dir), target="new_cases", seasonality=("weekly", "yearly"))
+    return _round(out, ["new_cases_predicted"])

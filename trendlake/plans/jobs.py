@@ -44,7 +44,8 @@ def prepped(obs: DataFrame, locations=None) -> DataFrame:
 
 def forecast_predictions(obs: DataFrame, locations=None, model_version: str = fc.DEFAULT_VERSION,
                          targets: tuple[str, ...] = ("new_cases", "new_deaths", "new_vaccinations"),
-                         missing: str = "null", reference_mode: bool = False) -> DataFrame:
+                         missing: str = "null", reference_mode: bool = False,
+                         seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
     """Windowed forecasts of every target for every (location, origin day).
 
     ``reference_mode=True`` reproduces the reference's stored row: only cases
@@ -53,7 +54,7 @@ def forecast_predictions(obs: DataFrame, locations=None, model_version: str = fc
     d = prepped(obs, locations)
     if reference_mode:
         targets, missing = ("new_cases",), "zero"
-    f = fc.forecast_frame(d, list(targets))
+    f = fc.forecast_frame(d, list(targets), seasonality=seasonality)
     preds = {}
     for tg in ("new_cases", "new_deaths", "new_vaccinations"):
         if tg in targets:
@@ -71,7 +72,7 @@ def forecast_predictions(obs: DataFrame, locations=None, model_version: str = fc
 
 def backtest(obs: DataFrame, locations=None, models: tuple[str, ...] = ("trend_dow",),
              combine: bool = False, regress_kwargs: dict | None = None,
-             model_dir: str | None = None) -> DataFrame:
+             model_dir: str | None = None, seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
     """Stacked predictions of the requested models (one row per location, origin, version).
 
     ``models``: ``"trend_dow"`` (windowed W2 forecast of all targets), ``"rf"`` and
@@ -86,10 +87,11 @@ def backtest(obs: DataFrame, locations=None, models: tuple[str, ...] = ("trend_d
     parts: list[DataFrame] = []
     for m in models:
         if m == "trend_dow":
-            parts.append(forecast_predictions(obs, locations))
+            parts.append(forecast_predictions(obs, locations, seasonality=seasonality))
             if model_dir:
                 from trendlake.sinks.tables import write_coefficients
-                state = fc.model_state(prepped(obs, locations), ["new_cases", "new_deaths", "new_vaccinations"])
+                state = fc.model_state(prepped(obs, locations), ["new_cases", "new_deaths", "new_vaccinations"],
+                                       seasonality=seasonality)
                 write_coefficients(state, f"{model_dir.rstrip('/')}/trend_dow")
         elif m in rg.MODELS:
             kw = dict(regress_kwargs or {})

@@ -345,3 +345,14 @@ select location, date,
        {_r('life_expectancy', 'life_expectancy')}, {_r('excess_mortality', 'excess_mortality')},
        model_version, target_date
 from pred"""
+
+SQL["forecast_cases_yearly"] = f"""
+with {OBS_CTE}, {_forecast_ctes('obs', ['new_cases'], 'c')},
+mon as (
+  select f.location, f.date, avg(j.y0 - f.a0 - f.b0 * j.t) as zm
+  from fit_c f join s_c j on f.location = j.location and j.date <= f.date
+                       and month(j.date) = month(cast(f.date + 1 as date))
+  group by f.location, f.date)
+select f.location, f.date, f.target_date, f.model_version,
+       round(f.yhat_new_cases + coalesce(m.zm, 0), 6) as new_cases_predicted
+from fc_c f left join mon m on f.location = m.location and f.date = m.date"""
