@@ -346,3 +346,12 @@ def q_forecast_cases_yearly(spark, sf_dir):
     """W2 with the month-of-year term added to the weekly one."""
     out = fc.forecast(observations(spark, sf_dir), target="new_cases", seasonality=("weekly", "yearly"))
     return _round(out, ["new_cases_predicted"])
+
+
+@register("eval_reference_mode")
+def q_eval_reference_mode(spark, sf_dir):
+    """A4 as the reference's dashboard computes it: its stored rows, same-day pairing,
+    all locations per model version (targets without complete pairs have no row)."""
+    from trendlake.plans.jobs import forecast_predictions
+    pred = forecast_predictions(observations(spark, sf_dir), reference_mode=True)
+    return _round_doubles(ev.evaluate(pred, by=["model_version"], align="origin"))

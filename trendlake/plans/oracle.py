@@ -356,3 +356,12 @@ mon as (
 select f.location, f.date, f.target_date, f.model_version,
        round(f.yhat_new_cases + coalesce(m.zm, 0), 6) as new_cases_predicted
 from fc_c f left join mon m on f.location = m.location and f.date = m.date"""
+
+SQL["eval_reference_mode"] = f"""
+with {PRED_CTE},
+ref as (select location, date, model_version,
+               coalesce(new_cases_predicted, 0) as new_cases_predicted,
+               cast(null as double) as new_deaths_predicted,
+               cast(0 as double) as new_vaccinations_predicted,
+               new_cases_actual, new_deaths_actual, new_vaccinations_actual from pred)
+{_metrics_sql('ref', ['model_version'])}"""
