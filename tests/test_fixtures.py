@@ -1,7 +1,6 @@
 """Micro fixtures with hand-computed expectations (FIXTURES.md §3)."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import functions as F

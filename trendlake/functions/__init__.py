@@ -1,11 +1,9 @@
 """Column-expression helpers (all built-in Spark functions, no UDFs)."""
 
 from trendlake.functions.exprs import (  # noqa: F401
-    day_number,
     label,
     nan_to_null,
     null_safe_corr,
     r2_expr,
-    rounded,
     safe_div,
 )

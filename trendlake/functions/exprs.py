@@ -43,15 +43,6 @@ def r2_expr(actual, predicted) -> Column:
     return F.lit(1.0) - safe_div(sse, F.regr_syy(a, p))
 
 
-def day_number(d) -> Column:
-    """Days since 1970-01-01 as an int: a numeric key for RANGE window frames."""
-    return F.unix_date(_c(d))
-
-
-def rounded(x, digits: int = 6) -> Column:
-    return F.round(_c(x), digits)
-
-
 def label(name_col) -> Column:
     """Column label: underscores → spaces, title case."""
     return F.initcap(F.translate(_c(name_col), "_", " "))

@@ -59,11 +59,6 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list | None = None) -> D
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def series_window(partition: list[str] | None = None) -> Window:
-    """``partitionBy(location) orderBy(date)``: the one ordering every series window shares."""
-    return Window.partitionBy(*(partition or ["location"])).orderBy("date")
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

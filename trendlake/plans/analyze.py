@@ -71,9 +71,11 @@ def analyze(df: DataFrame, kind: str, location: str | None = None, filter_locati
         raise ValueError(f"kind must be one of {ANALYSIS_KINDS}")
     scoped = filter_locations(df, location) if (filter_location and location) else df
     if kind == "predictions":
+        overall = ev.evaluate(df, by=["model_version"])
         out = {
-            "metrics_all_locations": ev.evaluate(df, by=["model_version"]),
+            "metrics_all_locations": overall,
             "metrics_by_location": ev.evaluate(df, by=["location", "model_version"]),
+            "metrics_display": ev.round_metrics(overall),  # 2 decimals, as displayed (P19)
         }
         if location:
             out["cases_series"] = ev.actual_vs_predicted(df, location, "new_cases")
