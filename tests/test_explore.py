@@ -146,3 +146,12 @@ def test_hot_group_spans_many_partitions(spark):
     assert spread["hot"] >= 8
     biggest = ranked.groupBy("_pid").count().agg(F.max("count")).first()[0]
     assert biggest <= 4050 / 16 * 2  # no partition holds much more than its share
+
+
+def test_binned_kde_close_to_exact(values):
+    df, _ = values
+    exact = {(r.g, r.grid): r.density for r in ex.kde(df, "v", "g").collect()}
+    binned = {(r.g, r.grid): r.density for r in ex.kde(df, "v", "g", bins=2000).collect()}
+    assert exact.keys() == binned.keys()
+    peak = max(exact.values())
+    assert max(abs(exact[k] - binned[k]) for k in exact) < 0.01 * peak
