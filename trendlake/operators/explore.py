@@ -24,8 +24,6 @@ from pyspark.sql import types as T
 from trendlake.functions.exprs import label, nan_to_null, null_safe_corr
 from trendlake.operators.quantiles import quantiles, quantiles_from_ranked, rank_values
 
-QUARTILES = [0.25, 0.5, 0.75]
-
 
 def _num(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
@@ -208,7 +206,7 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
         # from one exact distributed ranking: no separate statistics scan
         q = quantiles(d, "_x", [], (0.0, 0.25, 0.75, 1.0))
         stats = q.select(F.col("n").alias("_n"), F.col("quantiles")[0].alias("_mn"),
-                         F.array(F.col("quantiles")[1], F.lit(None), F.col("quantiles")[2]).alias("_q"),
+                         F.col("quantiles")[1].alias("_q1"), F.col("quantiles")[2].alias("_q3"),
                          F.col("quantiles")[3].alias("_mx"))
     else:
         stats = d.agg(F.count("_x").alias("_n"), F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
@@ -217,10 +215,10 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
                                "_hi": F.when(ptp == 0, F.col("_mx") + 0.5).otherwise(F.col("_mx"))})
     if bins == "auto":
         sturges = ptp / (F.log2(F.col("_n")) + 1.0)
-        fd = 2.0 * (F.col("_q")[2] - F.col("_q")[0]) * F.pow(F.col("_n"), -1.0 / 3.0)
+        fd = 2.0 * (F.col("_q3") - F.col("_q1")) * F.pow(F.col("_n"), -1.0 / 3.0)
         width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
         nb = F.when(width > 0, F.ceil((F.col("_hi") - F.col("_lo")) / width)).otherwise(F.lit(1))
-        stats = stats.withColumn("_nb", nb.cast("int")).drop("_q")
+        stats = stats.withColumn("_nb", nb.cast("int"))
     else:
         stats = stats.withColumn("_nb", F.lit(int(bins)))
     stats = stats.select("_lo", "_hi", "_nb")
