@@ -1,24 +1,27 @@
-"""One-day-ahead trend + weekday forecast for every (location, origin day).
+"""One-day-ahead trend + seasonal forecast for every (location, origin day).
 
-The reference refits a per-series additive model (trend + weekly seasonality)
-on all rows up to each origin day d and predicts d + 1, one fit per row on the
+The reference refits a per-series additive model (trend + seasonality) on all
+rows up to each origin day d and predicts d + 1, one fit per row on the
 driver. Here every origin is computed in one windowed pass:
 
 * W1: expanding frame per location, ``RANGE UNBOUNDED PRECEDING .. CURRENT ROW``
   ordered by date (date ties all belong to the frame).
 * trend: least-squares line of y on t (t = days since the location's first day)
   over the frame: ``regr_slope`` / ``regr_intercept``.
-* weekly term: for the weekday k of d + 1, the mean residual of the frame's rows
-  on weekday k, from running sums n_k, Σy_k, Σt_k:
-  ``(Σy_k − a·n_k − b·Σt_k) / n_k`` (0 when the frame has no such weekday).
-* ``yhat(d + 1) = a + b·(t + 1) + seasonal``; null below ``min_points``
+* seasonal terms (weekly by default, month-of-year optional): for the level L
+  of d + 1 (its weekday / month), the mean residual of the frame's rows at that
+  level, from running sums n_L, Σy_L, Σt_L: ``(Σy_L − a·n_L − b·Σt_L) / n_L``
+  (0 when the frame has no row at that level).
+* ``yhat(d + 1) = a + b·(t + 1) + Σ seasonal``; null below ``min_points``
   (or when all frame rows share one day, so no slope exists).
 
 Running aggregates make each location O(n) instead of O(n²) refits, and the
 frame only ever looks backwards, so no forecast uses data after its origin.
 The window's input is the daily series (≤ one row per location and day plus
 replays), so a task's share is bounded by the calendar, not by raw volume.
-Inputs: y = target with nulls → 0 (the reference's fill before training).
+The pooled mode (``partition=[]``, the reference's ``'all'``) runs on per-day
+sums instead of rows. Inputs: y = target with nulls → 0 (the reference's fill
+before training).
 """
 
 from __future__ import annotations
