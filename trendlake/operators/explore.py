@@ -188,13 +188,15 @@ def mean_ci(df: DataFrame, x: str, y: str, hue: str | None = None, z: float = 1.
 
 
 # ------------------------------------------------------------ A10 histogram
-def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "auto") -> DataFrame:
+def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "auto",
+              include_empty: bool = True) -> DataFrame:
     """Counts per (hue, bin) on bins shared by all hues (A10).
 
     ``bins="auto"``: numpy's rule — width = min(Freedman–Diaconis, Sturges), or
     Sturges when the IQR is 0 — on the global min/max (±0.5 when constant).
-    The last bin is closed on the right. Only non-empty bins are returned.
-    A non-numeric ``x`` gives counts per category instead.
+    The last bin is closed on the right. Every bin of every hue is returned
+    (count 0 when empty, as numpy's histogram does); ``include_empty=False``
+    keeps only non-empty bins. A non-numeric ``x`` gives counts per category.
     """
     keys = [hue] if hue else []
     if not isinstance(df.schema[x].dataType, T.NumericType):
@@ -225,11 +227,28 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
     d = attach_stats(d, stats, [])
     span = F.col("_hi") - F.col("_lo")
     b = F.least(F.floor((F.col("_x") - F.col("_lo")) * F.col("_nb") / span), F.col("_nb") - 1).cast("int")
-    g = d.withColumn("bin", b).groupBy(*keys, "bin", "_lo", "_hi", "_nb").agg(F.count(F.lit(1)).alias("count"))
+    g = d.withColumn("bin", b).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"))
+    if include_empty:
+        # every (hue, bin): distinct hues × the bin sequence, generated in-row
+        levels = d.select(*keys).distinct() if keys else d.sparkSession.range(1).select()
+        grid = attach_stats(levels, stats, []).select(
+            *keys, F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("bin"))
+        g = _null_safe_left(grid, g, keys + ["bin"]).withColumn("count", F.coalesce("count", F.lit(0)))
+    g = attach_stats(g, stats, [])
     return g.select(*keys, "bin",
                     (F.col("_lo") + F.col("bin") * span / F.col("_nb")).alias("bin_lo"),
                     (F.col("_lo") + (F.col("bin") + 1) * span / F.col("_nb")).alias("bin_hi"),
-                    "count")
+                    F.col("count").cast("long").alias("count"))
+
+
+def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for i, k in enumerate(keys):
+        e = left[k].eqNullSafe(r[f"_rk{i}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, "left").drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
 # ------------------------------------------------------------------ A11 KDE

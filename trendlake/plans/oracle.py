@@ -249,11 +249,16 @@ st3 as (select case when mx - mn = 0 then mn - 0.5 else mn end as lo,
     return f"""
 with {src_cte}, {st},
 st4 as (select lo, hi, {nb} as nb from st3),
-b as (select {hk}cast(least(floor((x - lo) * nb / (hi - lo)), nb - 1) as int) as bin, lo, hi, nb
-      from d join st4 on true)
-select {hk}bin, round(lo + bin * (hi - lo) / nb, 6) as bin_lo, round(lo + (bin + 1) * (hi - lo) / nb, 6) as bin_hi,
-       count(*) as count
-from b group by {hk}bin, lo, hi, nb"""
+b as (select {hk}cast(least(floor((x - lo) * nb / (hi - lo)), nb - 1) as int) as bin
+      from d join st4 on true),
+c as (select {hk}bin, count(*) as n from b group by {hk}bin),
+lv as ({'select distinct ' + hue + ' from d' if hue else 'select 1 as one'}),
+allb as (select {'lv.' + hue + ', ' if hue else ''}cast(unnest(range(0, st4.nb)) as int) as bin, st4.lo, st4.hi, st4.nb
+         from lv join st4 on true)
+select {'allb.' + hue + ', ' if hue else ''}allb.bin,
+       round(lo + allb.bin * (hi - lo) / nb, 6) as bin_lo, round(lo + (allb.bin + 1) * (hi - lo) / nb, 6) as bin_hi,
+       cast(coalesce(c.n, 0) as bigint) as count
+from allb left join c on allb.bin = c.bin{' and allb.' + hue + ' is not distinct from c.' + hue if hue else ''}"""
 
 
 SQL["hist_events"] = _hist_sql(
