@@ -175,3 +175,17 @@ def test_failed_fit_is_isolated(spark):
     import datetime as dt
     assert got[dt.date(1980, 1, 1)][1] == 0 and got[dt.date(1980, 1, 1)][0] > 0
     assert got[dt.date(1998, 1, 1)][1] > 0
+
+
+def test_empty_prediction_table_analyses(spark, tmp_dir):
+    """Every analysis of an empty (missing) prediction table runs and returns no data."""
+    empty = sk.read_predictions(spark, f"{tmp_dir}/missing")
+    for kind in ("predictions", "data_analysis", "error_analysis", "summary_statistics"):
+        for name, df in an.analyze(empty, kind).items():
+            rows = df.collect()
+            if name in ("describe", "describe_dates"):  # one row per column, count 0
+                assert rows and all(r["count"] == 0 for r in rows)
+            elif name == "correlation":  # like pandas: the full matrix, all missing
+                assert len(rows) == 49 and all(r.corr is None for r in rows)
+            else:
+                assert rows == [], (kind, name)
