@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.session import checkpoint_dir
+from trendlake.session import checkpoint_dir, default_parallelism
 
 _LOW33 = (1 << 33) - 1
 
@@ -51,8 +51,7 @@ def rank_values(df: DataFrame, value: str, keys: list[str] | None = None,
     d = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
     spark = df.sparkSession
     checkpoint_dir(spark)
-    p = partitions or max(spark.sparkContext.defaultParallelism,
-                          int(spark.conf.get("spark.sql.shuffle.partitions")))
+    p = partitions or max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranked = (d.repartitionByRange(p, *keys, "_v").sortWithinPartitions(*keys, "_v")
                .withColumn("_rid", F.monotonically_increasing_id())
                .checkpoint(eager=True))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from trendlake.operators.prep import day_ahead
 from trendlake.schema import REGRESSION_FEATURES, REGRESSION_TARGET
-from trendlake.session import checkpoint_dir
+from trendlake.session import checkpoint_dir, default_parallelism
 
 log = logging.getLogger(__name__)
 
@@ -161,8 +161,12 @@ def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: st
     pairs = training_pairs(obs, features, target, mode).checkpoint(eager=True)
     # one pass over the checkpoint: row count for sizing, first/last day for cutoffs
     n_rows, lo, hi = pairs.agg(F.count(F.lit(1)), F.min("date"), F.max("date")).first()
-    want = max(1, min(spark.sparkContext.defaultParallelism, -(-n_rows // rows_per_partition)))
-    if want > pairs.rdd.getNumPartitions():
+    want = max(1, min(default_parallelism(spark), -(-n_rows // rows_per_partition)))
+    try:
+        have = pairs.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view on a Connect session
+        have = 0
+    if want > have:
         pairs = pairs.repartition(want)
     cutoffs = resolve_cutoffs(obs, refit, (lo, hi))
     bounds = list(zip(cutoffs, cutoffs[1:] + [None]))

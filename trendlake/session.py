@@ -44,8 +44,27 @@ def get_spark(master: str | None = None, app: str = "trendlake",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise on .sparkContext
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return master.startswith("local")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores the cluster offers (falls back to the shuffle partition setting)."""
+    sc = _context(spark)
+    if sc is not None:
+        return int(sc.defaultParallelism)
+    return int(spark.conf.get("spark.default.parallelism", None)
+               or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -57,16 +76,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     unset directory is an error, because a machine-local path would not
     survive executor loss.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
             if not _is_local(spark):
                 raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
             d = tempfile.mkdtemp(prefix="trendlake-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
+        else:
+            spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
@@ -81,7 +103,8 @@ def local_fs_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "SESSION_DEFAULTS", "local_fs_path"]
+__all__ = ["get_spark", "checkpoint_dir", "default_parallelism", "scratch_path", "SESSION_DEFAULTS",
+           "local_fs_path"]
 
 if __name__ == "__main__":  # pragma: no cover
     print(checkpoint_dir(get_spark(os.environ.get("MASTER", "local[2]"))))
