@@ -251,3 +251,31 @@ def test_yearly_seasonality_matches_brute_force(spark):
     assert len(state.month_effect_new_cases) == 12 and len(state.weekday_effect_new_cases) == 7
     with pytest.raises(ValueError):
         fc.forecast(df, seasonality=("hourly",))
+
+
+def test_trailing_window_matches_brute_force(spark):
+    import random
+
+    import numpy as np
+    rnd = random.Random(4)
+    days = sorted({day(rnd.randrange(0, 90)) for _ in range(60)})
+    ys = [float(rnd.randrange(0, 9)) + 0.1 * (d - D0).days for d in days]
+    df = spark.createDataFrame([("L", d, y) for d, y in zip(days, ys)], "location string, date date, new_cases double")
+    k = 14
+    got = {r.date: r.new_cases_predicted for r in fc.forecast(df, history_days=k).collect()}
+    pooled = {r.date: r.new_cases_predicted for r in fc.forecast(df, partition=[], history_days=k).collect()}
+    t0 = days[0]
+    for d in days:
+        idx = [j for j, x in enumerate(days) if d - dt.timedelta(days=k - 1) <= x <= d]
+        t = np.array([(days[j] - t0).days for j in idx], float)
+        y = np.array([ys[j] for j in idx])
+        if len(t) < 2 or np.all(t == t[0]):
+            assert got[d] is None and pooled[d] is None
+            continue
+        b = ((t - t.mean()) * (y - y.mean())).sum() / ((t - t.mean()) ** 2).sum()
+        a = y.mean() - b * t.mean()
+        nxt = (d + dt.timedelta(days=1)).weekday()
+        res = [y[m] - a - b * t[m] for m, j in enumerate(idx) if days[j].weekday() == nxt]
+        want = a + b * ((d - t0).days + 1) + (float(np.mean(res)) if res else 0.0)
+        assert got[d] == pytest.approx(want, abs=1e-6)
+        assert pooled[d] == pytest.approx(want, abs=1e-6)

@@ -98,9 +98,20 @@ def _apply(d: DataFrame, targets: list[str], seasons: list[str], min_points: int
     return d.withColumns(out)
 
 
+def _frame(partition: list[str], history_days: int | None) -> Window:
+    """The fitting frame: expanding, or the trailing ``history_days`` calendar days."""
+    if not history_days:
+        return _expanding(partition)
+    if history_days < 1:
+        raise ValueError("history_days must be ≥ 1")
+    return (Window.partitionBy(*partition).orderBy("_dn")
+            .rangeBetween(-(int(history_days) - 1), Window.currentRow))
+
+
 def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
                    partition: list[str] | None = None, min_points: int = 2,
-                   keep_state: bool = False, seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
+                   keep_state: bool = False, seasonality: tuple[str, ...] = ("weekly",),
+                   history_days: int | None = None) -> DataFrame:
     """All columns of ``obs`` plus ``t``, the frame size ``n_obs`` and ``yhat_<target>``.
 
     Several targets share one window (same partitioning, order and frame), so
@@ -113,6 +124,9 @@ def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
     ``intercept_<t>``, ``slope_<t>``, ``weekday_effect_<t>`` (7 values, Sunday
     first) and, with the yearly term, ``month_effect_<t>`` (12); null for a level
     not yet seen.
+    ``history_days=k`` fits on the trailing k calendar days only (days d − k + 1 … d)
+    instead of the whole history: a recent-trend model for series whose trend
+    changes (one extra sort, on the integer day number).
     """
     targets = [target] if isinstance(target, str) else list(target)
     for tg in targets:
@@ -121,9 +135,12 @@ def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
     seasons = _check_seasonality(seasonality)
     part = ["location"] if partition is None else list(partition)
     if not part:
-        return _pooled_frame(obs, targets, min_points, keep_state, seasons)
-    w = _expanding(part)
-    d = obs.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(w)).cast("double"))
+        return _pooled_frame(obs, targets, min_points, keep_state, seasons, history_days)
+    d = obs.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(_expanding(part)))
+                       .cast("double"))
+    if history_days:
+        d = d.withColumn("_dn", F.unix_date(F.col("date")))
+    w = _frame(part, history_days)
     ys = [F.coalesce(F.col(tg).cast("double"), F.lit(0.0)) for tg in targets]
     d = d.withColumns({f"_y{i}": y for i, y in enumerate(ys)})
     ycols = [F.col(f"_y{i}") for i in range(len(targets))]
@@ -135,17 +152,18 @@ def forecast_frame(obs: DataFrame, target: str | list[str] = "new_cases",
     d = d.withColumns(aggs)
     d = _apply(d, targets, seasons, min_points, keep_state,
                {i: (F.col(f"_a{i}"), F.col(f"_b{i}")) for i in range(len(targets))})
-    return d.drop(*[k for k in aggs if k.startswith("_")], *[f"_y{i}" for i in range(len(targets))])
+    return d.drop(*[k for k in aggs if k.startswith("_")], *[f"_y{i}" for i in range(len(targets))], "_dn")
 
 
 def _pooled_frame(obs: DataFrame, targets: list[str], min_points: int, keep_state: bool,
-                  seasons: list[str] = ("weekly",)) -> DataFrame:
+                  seasons: list[str] = ("weekly",), history_days: int | None = None) -> DataFrame:
     # one row per distinct day: bounded by the calendar
-    return obs.join(F.broadcast(_pooled_days(obs, targets, min_points, keep_state, seasons)), "date", "left")
+    days = _pooled_days(obs, targets, min_points, keep_state, seasons, history_days)
+    return obs.join(F.broadcast(days), "date", "left")
 
 
 def _pooled_days(obs: DataFrame, targets: list[str], min_points: int, keep_state: bool,
-                 seasons: list[str] = ("weekly",)) -> DataFrame:
+                 seasons: list[str] = ("weekly",), history_days: int | None = None) -> DataFrame:
     """One series pooled over all rows (the reference's ``'all'`` mode, Q7).
 
     The least-squares line over all rows dated ≤ d only needs per-day sums
@@ -156,8 +174,11 @@ def _pooled_days(obs: DataFrame, targets: list[str], min_points: int, keep_state
     """
     ys = {f"_s{i}": F.sum(F.coalesce(F.col(tg).cast("double"), F.lit(0.0))) for i, tg in enumerate(targets)}
     day = obs.groupBy("date").agg(F.count(F.lit(1)).cast("double").alias("_c"), *[v.alias(k) for k, v in ys.items()])
-    w = Window.orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    day = day.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(w)).cast("double"))
+    day = day.withColumn("t", F.datediff(F.col("date"), F.first(F.col("date")).over(_expanding([])))
+                         .cast("double"))
+    if history_days:
+        day = day.withColumn("_dn", F.unix_date(F.col("date")))
+    w = _frame([], history_days)
     c, t = F.col("_c"), F.col("t")
     sums = {"n_obs": F.sum(c).over(w), "_St": F.sum(c * t).over(w), "_Stt": F.sum(c * t * t).over(w)}
     for i in range(len(targets)):
@@ -176,15 +197,17 @@ def _pooled_days(obs: DataFrame, targets: list[str], min_points: int, keep_state
 
 
 def model_state(obs: DataFrame, targets: list[str] | None = None, model_version: str = DEFAULT_VERSION,
-                partition: list[str] | None = None, seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
+                partition: list[str] | None = None, seasonality: tuple[str, ...] = ("weekly",),
+                history_days: int | None = None) -> DataFrame:
     """The windowed model as a table: one row per (location, origin) with its
     fitted trend and weekday effects per target (S11 for the windowed model,
     written with ``sinks.tables.write_coefficients``)."""
     targets = targets or ["new_cases"]
     keys = ["location"] if partition is None else list(partition)
     seasons = _check_seasonality(seasonality)
-    f = (forecast_frame(obs, targets, partition, keep_state=True, seasonality=tuple(seasons)) if keys
-         else _pooled_days(obs, targets, 2, True, seasons))
+    f = (forecast_frame(obs, targets, partition, keep_state=True, seasonality=tuple(seasons),
+                        history_days=history_days) if keys
+         else _pooled_days(obs, targets, 2, True, seasons, history_days))
     cols = [c for tg in targets for c in
             [f"intercept_{tg}", f"slope_{tg}"] + [f"{SEASONS[nm][2]}_{tg}" for nm in seasons]]
     return f.select(*keys, "date", F.lit(model_version).alias("model_version"), "n_obs", "t", *cols)
@@ -192,13 +215,13 @@ def model_state(obs: DataFrame, targets: list[str] | None = None, model_version:
 
 def forecast(obs: DataFrame, target: str = "new_cases", model_version: str = DEFAULT_VERSION,
              min_points: int = 2, missing: str = "null", partition: list[str] | None = None,
-             seasonality: tuple[str, ...] = ("weekly",)) -> DataFrame:
+             seasonality: tuple[str, ...] = ("weekly",), history_days: int | None = None) -> DataFrame:
     """One row per input row: (location, date, target_date, model_version, <target>_predicted).
 
     ``missing="zero"`` reproduces the reference's "failed / NaN forecast → 0" (P13);
     the default keeps null so metrics skip it.
     """
-    d = forecast_frame(obs, target, partition, min_points, seasonality=seasonality)
+    d = forecast_frame(obs, target, partition, min_points, seasonality=seasonality, history_days=history_days)
     p = F.col(f"yhat_{target}")
     if missing == "zero":
         p = F.coalesce(F.nanvl(p, F.lit(0.0)), F.lit(0.0))

@@ -355,3 +355,4 @@ def q_eval_reference_mode(spark, sf_dir):
     from trendlake.plans.jobs import forecast_predictions
     pred = forecast_predictions(observations(spark, sf_dir), reference_mode=True)
     return _round_doubles(ev.evaluate(pred, by=["model_version"], align="origin"))
+

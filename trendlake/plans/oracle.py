@@ -25,8 +25,12 @@ POBS_CTE = """pobs as (
   from obs)"""
 
 
-def _forecast_ctes(src: str, targets: list[str], tag: str) -> str:
-    """CTEs ``s_{tag}``, ``fit_{tag}``, ``seas_{tag}`` and ``fc_{tag}`` (yhat per target)."""
+def _forecast_ctes(src: str, targets: list[str], tag: str, window_days: int | None = None) -> str:
+    """CTEs ``s_{tag}``, ``fit_{tag}``, ``seas_{tag}`` and ``fc_{tag}`` (yhat per target).
+
+    ``window_days``: fit on the trailing days d − window_days + 1 … d only."""
+    lo_i = f" and j.date >= cast(i.date - {int(window_days) - 1} as date)" if window_days else ""
+    lo_f = f" and j.date >= cast(f.date - {int(window_days) - 1} as date)" if window_days else ""
     ys = ", ".join(f"coalesce({t}, 0) as y{i}" for i, t in enumerate(targets))
     fits = ", ".join(f"regr_slope(j.y{i}, j.t) as b{i}, regr_intercept(j.y{i}, j.t) as a{i}"
                      for i in range(len(targets)))
@@ -40,11 +44,11 @@ s_{tag} as (
   from {src}),
 fit_{tag} as (
   select i.location, i.date, i.t, count(*) as n, {fits}
-  from s_{tag} i join s_{tag} j on i.location = j.location and j.date <= i.date
+  from s_{tag} i join s_{tag} j on i.location = j.location and j.date <= i.date{lo_i}
   group by i.location, i.date, i.t),
 seas_{tag} as (
   select f.location, f.date, {seas}
-  from fit_{tag} f join s_{tag} j on f.location = j.location and j.date <= f.date
+  from fit_{tag} f join s_{tag} j on f.location = j.location and j.date <= f.date{lo_f}
                      and dayofweek(j.date) = dayofweek(cast(f.date + 1 as date))
   group by f.location, f.date),
 fc_{tag} as (
@@ -370,3 +374,4 @@ ref as (select location, date, model_version,
                cast(0 as double) as new_vaccinations_predicted,
                new_cases_actual, new_deaths_actual, new_vaccinations_actual from pred)
 {_metrics_sql('ref', ['model_version'])}"""
+
