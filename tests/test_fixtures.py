@@ -279,3 +279,20 @@ def test_trailing_window_matches_brute_force(spark):
         want = a + b * ((d - t0).days + 1) + (float(np.mean(res)) if res else 0.0)
         assert got[d] == pytest.approx(want, abs=1e-6)
         assert pooled[d] == pytest.approx(want, abs=1e-6)
+
+
+def test_parse_binary_kafka_value(spark):
+    """A Kafka-style binary value is cast to string before parsing."""
+    raw = '{"location":"A","date":"2020-01-02","new_deaths":3}'
+    df = spark.createDataFrame([(bytearray(raw.encode("utf-8")),)], "value binary")
+    r = parse(df).first()
+    assert (r.location, r.date, r.new_deaths) == ("A", day(1), 3.0)
+
+
+def test_location_filter_all(spark):
+    """One location, a list, or 'all' in any case (no filter)."""
+    from trendlake.operators.prep import filter_locations
+    df = spark.createDataFrame([("A",), ("B",), ("C",)], "location string")
+    assert filter_locations(df, "B").count() == 1
+    assert filter_locations(df, ["A", "C"]).count() == 2
+    assert filter_locations(df, "ALL").count() == 3 and filter_locations(df, None).count() == 3
