@@ -52,3 +52,31 @@ def test_quantiles_equal_numpy(spark, rows, probs):
         vals = np.array([v for k, v in rows if k == g])
         assert got[g].n == len(vals)
         assert np.allclose(got[g].quantiles, np.percentile(vals, [100 * p for p in probs]), rtol=1e-9, atol=1e-9)
+
+
+values = st.lists(st.floats(-50, 50, allow_nan=False, allow_infinity=False).map(lambda v: round(v, 2)),
+                  min_size=1, max_size=120)
+
+
+@SETTINGS
+@given(values)
+def test_histogram_auto_equals_numpy(spark, vals):
+    from trendlake.operators.explore import histogram
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    got = sorted((r.bin, r["count"]) for r in histogram(df, "v").collect())
+    counts, edges = np.histogram(np.array(vals), bins="auto")
+    assert [c for _, c in got] == counts.tolist()
+    assert len(got) == len(edges) - 1
+
+
+@SETTINGS
+@given(values)
+def test_box_stats_equal_numpy(spark, vals):
+    from trendlake.operators.explore import box_stats
+    x = np.array(vals)
+    r = box_stats(spark.createDataFrame([(float(v),) for v in vals], "v double"), "v").first()
+    q1, med, q3 = np.percentile(x, [25, 50, 75])
+    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    assert (r.q1, r.median, r.q3) == pytest.approx((q1, med, q3))
+    assert r.whisker_lo == x[x >= lo].min() and r.whisker_hi == x[x <= hi].max()
+    assert r.n_outliers == int(((x < lo) | (x > hi)).sum())
