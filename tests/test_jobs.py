@@ -189,3 +189,14 @@ def test_empty_prediction_table_analyses(spark, tmp_dir):
                 assert len(rows) == 49 and all(r.corr is None for r in rows)
             else:
                 assert rows == [], (kind, name)
+
+
+def test_summary_statistics_approx(spark):
+    pred = jobs.forecast_predictions(observations(spark, SF))
+    exact = {r.metric: r for r in an.analyze(pred, "summary_statistics")["describe"].collect()}
+    approx = {r.metric: r for r in an.analyze(pred, "summary_statistics", approx=True)["describe"].collect()}
+    assert exact.keys() == approx.keys()
+    for m, r in exact.items():
+        assert r["count"] == approx[m]["count"] and r.mean == pytest.approx(approx[m].mean)
+        if r.q50 is not None:
+            assert r.min <= approx[m].q50 <= r.max

@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--kind", choices=ANALYSIS_KINDS, required=True)
     p.add_argument("--location")
     p.add_argument("--filter-location", action="store_true")
+    p.add_argument("--approx", action="store_true", help="approximate quartiles (bounded memory)")
     p.add_argument("--out", required=True)
 
     a = ap.parse_args(argv)
@@ -98,7 +99,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "analyze":
         from trendlake.plans.analyze import analyze, load
         df = load(spark, a.predictions)
-        for name, res in analyze(df, a.kind, a.location, a.filter_location).items():
+        for name, res in analyze(df, a.kind, a.location, a.filter_location, approx=a.approx).items():
             res.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
     return 0
 

@@ -64,9 +64,10 @@ def error_analysis(df: DataFrame, align: str = "target") -> dict[str, DataFrame]
 
 
 def analyze(df: DataFrame, kind: str, location: str | None = None, filter_location: bool = False,
-            **chart) -> dict[str, DataFrame]:
+            approx: bool = False, **chart) -> dict[str, DataFrame]:
     """Dispatch one of the five analyses (D1). ``filter_location`` applies the
-    selected location to the whole analysis (D2); the prediction plots always use it."""
+    selected location to the whole analysis (D2); the prediction plots always use it.
+    ``approx=True`` uses bounded-memory approximate quartiles in the summary."""
     if kind not in ANALYSIS_KINDS:
         raise ValueError(f"kind must be one of {ANALYSIS_KINDS}")
     scoped = filter_locations(df, location) if (filter_location and location) else df
@@ -94,6 +95,6 @@ def analyze(df: DataFrame, kind: str, location: str | None = None, filter_locati
                                     chart.get("ci", "normal"))}
     if kind == "error_analysis":
         return error_analysis(scoped)
-    return {"describe": ex.describe(scoped, [c for c in ex.column_types(scoped)["numeric"]]),
+    return {"describe": ex.describe(scoped, [c for c in ex.column_types(scoped)["numeric"]], approx=approx),
             "describe_dates": ex.describe_dates(scoped),
             "by_location": ex.location_stats(scoped)}
