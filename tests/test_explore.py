@@ -118,11 +118,18 @@ def test_bootstrap_ci_close_to_normal(spark):
         ex.mean_ci(df, "k", "v", ci="nope")
 
 
-def test_describe_dates(spark):
+def test_describe_dates_like_pandas(spark):
     import datetime as dt
-    df = spark.createDataFrame([(dt.date(2020, 1, 3),), (dt.date(2020, 1, 1),), (None,)], "date date")
+
+    import pandas as pd
+    days = ["2020-01-01", "2020-01-02", "2020-01-05", "2020-01-09"]
+    df = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days] + [(None,)], "date date")
     r = ex.describe_dates(df).first()
-    assert (r.metric, r["count"], r.min, r.max) == ("date", 2, dt.date(2020, 1, 1), dt.date(2020, 1, 3))
+    want = pd.DataFrame({"date": pd.to_datetime(days)}).describe()["date"]
+    assert (r.metric, r["count"]) == ("date", 4)
+    for mine, theirs in (("mean", "mean"), ("min", "min"), ("q25", "25%"), ("q50", "50%"),
+                         ("q75", "75%"), ("max", "max")):
+        assert pd.Timestamp(r[mine]) == want[theirs], mine
 
 
 def test_next_day_join_equals_window_form(spark):

@@ -88,18 +88,30 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
                       F.col("quantiles")[2].alias("q75"), "max")
 
 
-def describe_dates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """The date part of ``describe()``: count, first and last day per date column."""
+def _days_to_ts(days: Column) -> Column:
+    """Fractional days since 1970-01-01 → naive timestamp (as pandas shows date statistics)."""
+    secs = (days * F.lit(86400.0)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), secs)
+
+
+def describe_dates(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
+    """The date part of pandas' ``describe()`` (A6): count, mean, min, 25/50/75 %, max.
+
+    Computed on day numbers (exact distributed quartiles, like the numeric
+    columns) and shown as naive timestamps: a mean or quartile may fall between
+    days (e.g. ``2020-01-03 12:00``), as in pandas. Timestamp columns are
+    described at day precision.
+    """
     cols = cols or column_types(df)["date"]
+    schema = ("metric string, count bigint, mean timestamp_ntz, min timestamp_ntz, q25 timestamp_ntz, "
+              "q50 timestamp_ntz, q75 timestamp_ntz, max timestamp_ntz")
     if not cols:
-        return df.sparkSession.createDataFrame([], "metric string, count bigint, min date, max date")
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"c{i}"), F.min(F.col(c).cast("date")).alias(f"lo{i}"),
-                 F.max(F.col(c).cast("date")).alias(f"hi{i}")]
-    rows = [F.struct(F.lit(c).alias("metric"), F.col(f"c{i}").alias("count"),
-                     F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+        return df.sparkSession.createDataFrame([], schema)
+    days = df.select(*[F.unix_date(F.to_date(F.col(c))).cast("double").alias(c) for c in cols])
+    num = describe(days, cols, approx=approx)
+    return num.select("metric", "count", *[_days_to_ts(F.col(c)).alias(c)
+                                           for c in ("mean", "min", "q25", "q50", "q75", "max")])
 
 
 # ------------------------------------------------------------ A7 by location
