@@ -31,7 +31,7 @@ def test_histogram_auto_matches_numpy(values):
 
 def test_kde_matches_direct_sum(values):
     df, raw = values
-    got = sorted(ex.kde(df, "v", "g").filter("g = 'a'").collect(), key=lambda r: r.grid)
+    got = sorted(ex.kde(df, "v", "g", cut=3.0).filter("g = 'a'").collect(), key=lambda r: r.grid)
     x = raw["a"]
     h = x.std(ddof=1) * len(x) ** (-0.2)
     grid = np.linspace(x.min() - 3 * h, x.max() + 3 * h, 200)
@@ -162,3 +162,11 @@ def test_binned_kde_close_to_exact(values):
     assert exact.keys() == binned.keys()
     peak = max(exact.values())
     assert max(abs(exact[k] - binned[k]) for k in exact) < 0.01 * peak
+
+
+def test_kde_default_grid_spans_data(values):
+    df, raw = values
+    got = sorted(ex.kde(df, "v", "g").filter("g = 'b'").collect(), key=lambda r: r.grid)
+    assert got[0].x == pytest.approx(raw["b"].min()) and got[-1].x == pytest.approx(raw["b"].max())
+    v = ex.violin(df, "v", ["g"]).filter("g = 'b'").collect()
+    assert len(v) == 100 and min(r.x for r in v) < raw["b"].min()

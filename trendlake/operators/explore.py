@@ -264,12 +264,13 @@ def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 
 # ------------------------------------------------------------------ A11 KDE
-def kde(df: DataFrame, x: str, hue: str | None = None, gridsize: int = 200, cut: float = 3.0,
+def kde(df: DataFrame, x: str, hue: str | None = None, gridsize: int = 200, cut: float = 0.0,
         bw_adjust: float = 1.0, bins: int | None = None) -> DataFrame:
     """Gaussian kernel density per hue on a ``gridsize``-point support grid.
 
     Bandwidth: Scott's rule, h = s·n^(-1/5)·bw_adjust (s = sample std). Grid from
-    min − cut·h to max + cut·h. Exact: values are first reduced to distinct
+    min − cut·h to max + cut·h; the default ``cut=0`` keeps the curve within the
+    data range, as the histogram's density overlay (``kde=True``) draws it. Exact: values are first reduced to distinct
     (hue, value, count) rows (partial aggregation), then each distinct value adds
     its weighted kernel to the fixed grid generated in-row; the grid sums are
     partially aggregated before the shuffle, so only groups × grid points move.
@@ -342,15 +343,17 @@ def box_stats(df: DataFrame, y: str, by: list[str] | None = None, whis: float =
 
 
 # --------------------------------------------------------------- A13 violin
-def violin(df: DataFrame, y: str, by: list[str] | None = None, gridsize: int = 200) -> DataFrame:
-    """Density curve per group with its quartiles attached."""
+def violin(df: DataFrame, y: str, by: list[str] | None = None, gridsize: int = 100,
+           cut: float = 2.0) -> DataFrame:
+    """Density curve per group with its quartiles attached (A13); the violin's own
+    defaults: 100 grid points, tails extended by 2 bandwidths."""
     keys = list(by or [])
     if len(keys) > 1:
         d = df.withColumn("_grp", F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]))
-        dens = kde(d, y, "_grp", gridsize)
+        dens = kde(d, y, "_grp", gridsize, cut)
         bx = box_stats(d, y, ["_grp"] + keys)
         return attach_stats(dens, bx, ["_grp"]).drop("_grp")
-    dens = kde(df, y, keys[0] if keys else None, gridsize)
+    dens = kde(df, y, keys[0] if keys else None, gridsize, cut)
     bx = box_stats(df, y, keys).select(*keys, "q1", "median", "q3")
     return attach_stats(dens, bx, keys)
 

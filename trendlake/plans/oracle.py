@@ -273,18 +273,22 @@ SQL["hist_errors"] = _hist_sql(
     "where new_cases_predicted - new_cases_actual is not null)", None, 20)
 
 _EV_D = "d as (select event_type, value as x from events where value is not null and not isnan(value))"
-_KDE = """
+def _kde_sql(cut: float, gridsize: int) -> str:
+    return f"""
 st as (select event_type, count(x) as n, stddev_samp(x) * power(count(x), -0.2) * 1.0 as h,
               min(x) as mn, max(x) as mx from d group by event_type),
-g as (select event_type, n, h, mn - 3.0 * h as lo, (mx + 3.0 * h - (mn - 3.0 * h)) / 199 as step
+g as (select event_type, n, h, mn - {cut} * h as lo, (mx + {cut} * h - (mn - {cut} * h)) / {gridsize - 1} as step
       from st where h > 0),
 v as (select event_type, x, count(*) as c from d group by event_type, x),
 k as (select g.event_type, t.grid, g.n, g.h, g.lo, g.step,
              sum(v.c * exp(-0.5 * power((g.lo + t.grid * g.step - v.x) / g.h, 2))) as s
-      from g join v on g.event_type = v.event_type join range(0, 200) t(grid) on true
+      from g join v on g.event_type = v.event_type join range(0, {gridsize}) t(grid) on true
       group by g.event_type, t.grid, g.n, g.h, g.lo, g.step),
 kde as (select event_type, cast(grid as int) as grid, lo + grid * step as x,
                s / (n * h * sqrt(2 * pi())) as density, h as bandwidth from k)"""
+
+
+_KDE = _kde_sql(0.0, 200)
 SQL["kde_events"] = f"""with {_EV_D}, {_KDE}
 select event_type, grid, round(x, 6) as x, round(density, 6) as density, round(bandwidth, 6) as bandwidth from kde"""
 
@@ -300,7 +304,7 @@ select f.event_type, f.n, round(q1, 6) as q1, round(median, 6) as median, round(
 from d join f on d.event_type is not distinct from f.event_type
 group by f.event_type, f.n, q1, median, q3"""
 
-SQL["violin_events"] = f"""with {_EV_D}, {_KDE}, {_BOX}
+SQL["violin_events"] = f"""with {_EV_D}, {_kde_sql(2.0, 100)}, {_BOX}
 select kde.event_type, grid, round(x, 6) as x, round(density, 6) as density, round(bandwidth, 6) as bandwidth,
        round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3
 from kde join q on kde.event_type = q.event_type"""
