@@ -204,8 +204,8 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
               include_empty: bool = True) -> DataFrame:
     """Counts per (hue, bin) on bins shared by all hues (A10).
 
-    ``bins="auto"``: numpy's rule — width = min(Freedman–Diaconis, Sturges), or
-    Sturges when the IQR is 0 — on the global min/max (±0.5 when constant).
+    ``bins="auto"``: numpy's current rule — width = min(max(Freedman–Diaconis,
+    (range/√n)/2), Sturges) — on the global min/max (±0.5 when constant).
     The last bin is closed on the right. Every bin of every hue is returned
     (count 0 when empty, as numpy's histogram does); ``include_empty=False``
     keeps only non-empty bins. A non-numeric ``x`` gives counts per category.
@@ -230,7 +230,8 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
     if bins == "auto":
         sturges = ptp / (F.log2(F.col("_n")) + 1.0)
         fd = 2.0 * (F.col("_q3") - F.col("_q1")) * F.pow(F.col("_n"), -1.0 / 3.0)
-        width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
+        sqrt_width = ptp / F.sqrt(F.col("_n"))
+        width = F.least(F.greatest(fd, sqrt_width / 2.0), sturges)
         nb = F.when(width > 0, F.ceil((F.col("_hi") - F.col("_lo")) / width)).otherwise(F.lit(1))
         stats = stats.withColumn("_nb", nb.cast("int"))
     else:

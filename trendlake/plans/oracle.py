@@ -243,8 +243,9 @@ def _hist_sql(src_cte: str, hue: str | None, bins: str | int) -> str:
 st2 as (select *, case when mx - mn = 0 then mn - 0.5 else mn end as lo,
                   case when mx - mn = 0 then mx + 0.5 else mx end as hi,
                   (mx - mn) / (log2(n) + 1.0) as sturges,
-                  2.0 * (q3 - q1) * power(n, -1.0 / 3.0) as fd from st),
-st3 as (select lo, hi, case when fd > 0 then least(fd, sturges) else sturges end as w from st2)"""
+                  2.0 * (q3 - q1) * power(n, -1.0 / 3.0) as fd,
+                  (mx - mn) / sqrt(n) as sq from st),
+st3 as (select lo, hi, least(greatest(fd, sq / 2.0), sturges) as w from st2)"""
     else:
         nb = f"{int(bins)}"
         st = """st as (select min(x) as mn, max(x) as mx from d),
