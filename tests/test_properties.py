@@ -80,3 +80,64 @@ def test_box_stats_equal_numpy(spark, vals):
     assert (r.q1, r.median, r.q3) == pytest.approx((q1, med, q3))
     assert r.whisker_lo == x[x >= lo].min() and r.whisker_hi == x[x <= hi].max()
     assert r.n_outliers == int(((x < lo) | (x > hi)).sum())
+
+
+cells = st.one_of(st.none(), st.floats(-20, 20, allow_nan=False, allow_infinity=False).map(lambda v: round(v, 1)))
+frames = st.lists(st.tuples(cells, cells, cells), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(frames)
+def test_describe_equals_pandas(spark, rows):
+    import pandas as pd
+
+    from trendlake.operators.explore import describe
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {r.metric: r for r in describe(df, ["a", "b", "c"]).collect()}
+    want = pd.DataFrame(rows, columns=["a", "b", "c"], dtype=float).describe()
+    for col in "abc":
+        w, g = want[col], got[col]
+        assert g["count"] == int(w["count"])
+        for mine, theirs in (("mean", "mean"), ("std", "std"), ("min", "min"), ("q25", "25%"),
+                             ("q50", "50%"), ("q75", "75%"), ("max", "max")):
+            if np.isnan(w[theirs]):
+                assert g[mine] is None, (col, mine)
+            else:
+                assert g[mine] == pytest.approx(w[theirs], rel=1e-9, abs=1e-9), (col, mine)
+
+
+@SETTINGS
+@given(frames)
+def test_corr_equals_pandas(spark, rows):
+    import pandas as pd
+
+    from trendlake.operators.explore import corr_matrix
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.row_metric, r.col_metric): r.corr for r in corr_matrix(df, ["a", "b", "c"]).collect()}
+    want = pd.DataFrame(rows, columns=["a", "b", "c"], dtype=float).corr()
+    for x in "abc":
+        for y in "abc":
+            w = want.loc[x, y]
+            if np.isnan(w):
+                assert got[(x, y)] is None, (x, y)
+            else:
+                assert got[(x, y)] == pytest.approx(w, abs=1e-9), (x, y)
+
+
+pairs = st.lists(st.tuples(st.integers(0, 9).map(float), st.integers(0, 9).map(float)), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(pairs)
+def test_metrics_equal_numpy(spark, rows):
+    from trendlake.operators.evaluate import metrics
+    r = metrics(spark.createDataFrame(rows, "a double, p double"), "a", "p").first()
+    a = np.array([x for x, _ in rows]); p = np.array([y for _, y in rows])
+    assert r.n == len(a)
+    assert r.rmse == pytest.approx(np.sqrt(np.mean((a - p) ** 2)))
+    assert r.mae == pytest.approx(np.mean(np.abs(a - p)))
+    sst = ((a - a.mean()) ** 2).sum()
+    if sst == 0:
+        assert r.r2 is None
+    else:
+        assert r.r2 == pytest.approx(1 - ((a - p) ** 2).sum() / sst, abs=1e-9)
