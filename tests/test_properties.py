@@ -141,3 +141,35 @@ def test_metrics_equal_numpy(spark, rows):
         assert r.r2 is None
     else:
         assert r.r2 == pytest.approx(1 - ((a - p) ** 2).sum() / sst, abs=1e-9)
+
+
+stat_rows = st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 30), cells, cells),
+                     min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1]))
+
+
+@SETTINGS
+@given(stat_rows)
+def test_location_stats_equal_pandas(spark, rows):
+    import pandas as pd
+
+    from trendlake.operators.explore import location_stats
+    data = sorted(((loc, D0 + dt.timedelta(days=d), x, y) for loc, d, x, y in rows), key=lambda r: r[1])
+    df = spark.createDataFrame(data, "location string, date date, new_cases_actual double, total_cases double")
+    for c in ("new_deaths_actual", "total_deaths", "life_expectancy", "excess_mortality"):
+        from pyspark.sql import functions as F
+        df = df.withColumn(c, F.col("new_cases_actual"))
+    got = {r.location: r for r in location_stats(df).collect()}
+    pdf = pd.DataFrame(data, columns=["location", "date", "new_cases_actual", "total_cases"]).astype(
+        {"new_cases_actual": float, "total_cases": float})
+    want = pdf.groupby("location").agg({"new_cases_actual": ["mean", "std", "max"], "total_cases": "last"})
+    for loc in want.index:
+        g = got[loc]
+        for mine, (col, fn) in (("new_cases_actual_mean", ("new_cases_actual", "mean")),
+                                ("new_cases_actual_std", ("new_cases_actual", "std")),
+                                ("new_cases_actual_max", ("new_cases_actual", "max")),
+                                ("total_cases_last", ("total_cases", "last"))):
+            w = want.loc[loc, (col, fn)]
+            if pd.isna(w):
+                assert g[mine] is None, (loc, mine)
+            else:
+                assert g[mine] == pytest.approx(w, abs=1e-9), (loc, mine)
