@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.test_fixtures import _brute_forecast
 from trendlake.operators import forecast as fc
@@ -155,9 +156,8 @@ def test_location_stats_equal_pandas(spark, rows):
     from trendlake.operators.explore import location_stats
     data = sorted(((loc, D0 + dt.timedelta(days=d), x, y) for loc, d, x, y in rows), key=lambda r: r[1])
     df = spark.createDataFrame(data, "location string, date date, new_cases_actual double, total_cases double")
-    for c in ("new_deaths_actual", "total_deaths", "life_expectancy", "excess_mortality"):
-        from pyspark.sql import functions as F
-        df = df.withColumn(c, F.col("new_cases_actual"))
+    df = df.withColumns({c: F.col("new_cases_actual")
+                         for c in ("new_deaths_actual", "total_deaths", "life_expectancy", "excess_mortality")})
     got = {r.location: r for r in location_stats(df).collect()}
     pdf = pd.DataFrame(data, columns=["location", "date", "new_cases_actual", "total_cases"]).astype(
         {"new_cases_actual": float, "total_cases": float})
