@@ -35,3 +35,51 @@ def test_no_cross_join_no_python(spark, key):
 def test_kde_scans_input_once(spark):
     plan = final_only(_final_plan(spark, "kde_events"))
     assert plan.count("FileScan parquet") == 1
+
+
+def test_hot_customer_is_split_by_aqe(spark, tmp_dir):
+    """A customer holding a third of all orders: the orders ⋈ customer sort-merge join is
+    split by AQE's skew handling, and every order still counts."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from trendlake.sources.tables import daily_counts
+    n = 30000
+    orders = spark.range(n).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 997 + 2).cast("long").alias("o_custkey"),
+        F.lit("F").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"),
+        (F.lit(dt.datetime(1995, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(F.col("id") % 50))
+        .alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"))
+    customers = spark.range(1, 1000).select(F.col("id").alias("c_custkey"), F.lit("c").alias("c_name"),
+                                            (F.col("id") % 5).cast("int").alias("c_nationkey"),
+                                            F.lit(10.0).alias("c_acctbal"), F.lit("S").alias("c_mktsegment"))
+    nation = spark.range(5).select(F.col("id").cast("int").alias("n_nationkey"),
+                                   F.concat(F.lit("N"), F.col("id")).alias("n_name"),
+                                   F.lit(0).alias("n_regionkey"))
+    for name, df in (("orders", orders.repartition(8)), ("customer", customers), ("nation", nation)):
+        df.write.parquet(f"{tmp_dir}/{name}.parquet")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        d = daily_counts(spark, tmp_dir)
+        qe = d._jdf.queryExecution()
+        total = qe.toRdd().count()
+        plan = qe.executedPlan().toString()
+        assert "skew=true" in plan
+        assert d.agg(F.sum("new_cases")).first()[0] == n and total > 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
