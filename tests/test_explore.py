@@ -170,3 +170,14 @@ def test_kde_default_grid_spans_data(values):
     assert got[0].x == pytest.approx(raw["b"].min()) and got[-1].x == pytest.approx(raw["b"].max())
     v = ex.violin(df, "v", ["g"]).filter("g = 'b'").collect()
     assert len(v) == 100 and min(r.x for r in v) < raw["b"].min()
+
+
+def test_histogram_value_on_inner_edge(spark):
+    """A value exactly on an inner bin edge goes where numpy puts it (edge-corrected index)."""
+    vals = [0.8, 2.24, -2.52, -0.27, 1.29, -3.52, 1.33, -0.36]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r["count"] for r in sorted(ex.histogram(df, "v").collect(), key=lambda r: r.bin)]
+    counts, edges = np.histogram(np.array(vals), bins="auto")
+    assert got == counts.tolist()
+    lo = [r.bin_lo for r in sorted(ex.histogram(df, "v").collect(), key=lambda r: r.bin)]
+    assert lo == edges[:-1].tolist()

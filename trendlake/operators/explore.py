@@ -238,9 +238,17 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
         stats = stats.withColumn("_nb", F.lit(int(bins)))
     stats = stats.select("_lo", "_hi", "_nb")
     d = attach_stats(d, stats, [])
-    span = F.col("_hi") - F.col("_lo")
-    b = F.least(F.floor((F.col("_x") - F.col("_lo")) * F.col("_nb") / span), F.col("_nb") - 1).cast("int")
-    g = d.withColumn("bin", b).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"))
+    nb, lo, hi = F.col("_nb"), F.col("_lo"), F.col("_hi")
+
+    def edge(i):  # numpy's linspace edges: i·step + lo, the last one exactly hi
+        return F.when(i >= nb, hi).otherwise(i * ((hi - lo) / nb) + lo)
+
+    # numpy's bin index: (x − lo)·(nb / span), then corrected against the real edges
+    b0 = F.floor((F.col("_x") - lo) * (nb / (hi - lo))).cast("int")
+    b0 = F.when(b0 >= nb, nb - 1).otherwise(b0)
+    b1 = F.when(F.col("_x") < edge(b0), b0 - 1).otherwise(b0)
+    b2 = F.when((F.col("_x") >= edge(b1 + 1)) & (b1 != nb - 1), b1 + 1).otherwise(b1)
+    g = d.withColumn("bin", b2).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"))
     if include_empty:
         # every (hue, bin): distinct hues × the bin sequence, generated in-row
         levels = d.select(*keys).distinct() if keys else d.sparkSession.range(1).select()
@@ -248,9 +256,7 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
             *keys, F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("bin"))
         g = _null_safe_left(grid, g, keys + ["bin"]).withColumn("count", F.coalesce("count", F.lit(0)))
     g = attach_stats(g, stats, [])
-    return g.select(*keys, "bin",
-                    (F.col("_lo") + F.col("bin") * span / F.col("_nb")).alias("bin_lo"),
-                    (F.col("_lo") + (F.col("bin") + 1) * span / F.col("_nb")).alias("bin_hi"),
+    return g.select(*keys, "bin", edge(F.col("bin")).alias("bin_lo"), edge(F.col("bin") + 1).alias("bin_hi"),
                     F.col("count").cast("long").alias("count"))
 
 

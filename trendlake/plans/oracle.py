@@ -254,14 +254,19 @@ st3 as (select case when mx - mn = 0 then mn - 0.5 else mn end as lo,
     return f"""
 with {src_cte}, {st},
 st4 as (select lo, hi, {nb} as nb from st3),
-b as (select {hk}cast(least(floor((x - lo) * nb / (hi - lo)), nb - 1) as int) as bin
-      from d join st4 on true),
+b0 as (select {hk}x, lo, hi, nb, least(cast(floor((x - lo) * (nb / (hi - lo))) as int), nb - 1) as i0
+       from d join st4 on true),
+b1 as (select *, case when x < (case when i0 >= nb then hi else i0 * ((hi - lo) / nb) + lo end)
+                      then i0 - 1 else i0 end as i1 from b0),
+b as (select {hk}case when x >= (case when i1 + 1 >= nb then hi else (i1 + 1) * ((hi - lo) / nb) + lo end)
+                           and i1 <> nb - 1 then i1 + 1 else i1 end as bin from b1),
 c as (select {hk}bin, count(*) as n from b group by {hk}bin),
 lv as ({'select distinct ' + hue + ' from d' if hue else 'select 1 as one'}),
 allb as (select {'lv.' + hue + ', ' if hue else ''}cast(unnest(range(0, st4.nb)) as int) as bin, st4.lo, st4.hi, st4.nb
          from lv join st4 on true)
 select {'allb.' + hue + ', ' if hue else ''}allb.bin,
-       round(lo + allb.bin * (hi - lo) / nb, 6) as bin_lo, round(lo + (allb.bin + 1) * (hi - lo) / nb, 6) as bin_hi,
+       round(case when allb.bin >= nb then hi else allb.bin * ((hi - lo) / nb) + lo end, 6) as bin_lo,
+       round(case when allb.bin + 1 >= nb then hi else (allb.bin + 1) * ((hi - lo) / nb) + lo end, 6) as bin_hi,
        cast(coalesce(c.n, 0) as bigint) as count
 from allb left join c on allb.bin = c.bin{' and allb.' + hue + ' is not distinct from c.' + hue if hue else ''}"""
 
