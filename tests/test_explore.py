@@ -181,3 +181,16 @@ def test_histogram_value_on_inner_edge(spark):
     assert got == counts.tolist()
     lo = [r.bin_lo for r in sorted(ex.histogram(df, "v").collect(), key=lambda r: r.bin)]
     assert lo == edges[:-1].tolist()
+
+
+def test_histogram_auto_classic_rule(spark):
+    vals = [0.0, 0.0, 0.0, 0.0, 1.0]  # IQR 0: the current rule gives 5 bins, the classic one Sturges' 4
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    x = np.array(vals)
+    sturges = np.ptp(x) / (np.log2(x.size) + 1.0)
+    classic = int(np.ceil(np.ptp(x) / sturges))
+    got = [r["count"] for r in sorted(ex.histogram(df, "v", bins="auto_classic").collect(), key=lambda r: r.bin)]
+    assert len(got) == classic == 4 and sum(got) == 5
+    assert len(ex.histogram(df, "v").collect()) == len(np.histogram_bin_edges(x, bins="auto")) - 1 == 5
+    with pytest.raises(ValueError):
+        ex.histogram(df, "v", bins="nope")

@@ -205,7 +205,8 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
     """Counts per (hue, bin) on bins shared by all hues (A10).
 
     ``bins="auto"``: numpy's current rule — width = min(max(Freedman–Diaconis,
-    (range/√n)/2), Sturges) — on the global min/max (±0.5 when constant).
+    (range/√n)/2), Sturges) — on the global min/max (±0.5 when constant);
+    ``"auto_classic"``: earlier numpy's min(FD, Sturges), Sturges when the IQR is 0.
     The last bin is closed on the right. Every bin of every hue is returned
     (count 0 when empty, as numpy's histogram does); ``include_empty=False``
     keeps only non-empty bins. A non-numeric ``x`` gives counts per category.
@@ -215,7 +216,9 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
         # categorical axis: one bar per category, as seaborn does for non-numeric data
         return df.filter(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("count"))
     d = df.select(*keys, _num(df, x).alias("_x")).filter(F.col("_x").isNotNull())
-    if bins == "auto":
+    if bins not in ("auto", "auto_classic") and not isinstance(bins, int):
+        raise ValueError("bins must be an int, 'auto' or 'auto_classic'")
+    if bins in ("auto", "auto_classic"):
         # count, min, quartiles and max of all values (bins are shared by the hues)
         # from one exact distributed ranking: no separate statistics scan
         q = quantiles(d, "_x", [], (0.0, 0.25, 0.75, 1.0))
@@ -227,11 +230,14 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
     ptp = F.col("_mx") - F.col("_mn")
     stats = stats.withColumns({"_lo": F.when(ptp == 0, F.col("_mn") - 0.5).otherwise(F.col("_mn")),
                                "_hi": F.when(ptp == 0, F.col("_mx") + 0.5).otherwise(F.col("_mx"))})
-    if bins == "auto":
+    if bins in ("auto", "auto_classic"):
         sturges = ptp / (F.log2(F.col("_n")) + 1.0)
         fd = 2.0 * (F.col("_q3") - F.col("_q1")) * F.pow(F.col("_n"), -1.0 / 3.0)
-        sqrt_width = ptp / F.sqrt(F.col("_n"))
-        width = F.least(F.greatest(fd, sqrt_width / 2.0), sturges)
+        if bins == "auto":
+            sqrt_width = ptp / F.sqrt(F.col("_n"))
+            width = F.least(F.greatest(fd, sqrt_width / 2.0), sturges)
+        else:  # the rule of earlier numpy releases
+            width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
         nb = F.when(width > 0, F.ceil((F.col("_hi") - F.col("_lo")) / width)).otherwise(F.lit(1))
         stats = stats.withColumn("_nb", nb.cast("int"))
     else:
