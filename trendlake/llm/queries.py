@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import license_scan, quality, url_filter
+from trendlake.llm import decontaminate, license_scan, quality, simhash, url_filter
 from trendlake.sources.tables import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,16 @@ def op1_line_frequency(spark, sf_dir):
     return quality.line_frequency_quality(table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_simhash(spark, sf_dir):
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op9_url_filter(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
