@@ -37,61 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.llm.hashing import CHUNK, FACTOR, folded, mix, word_hashes
+
 MAX_EDIT = 0.2
 WALKS = 24
 SAMPLES = 6
 SAMPLE_BITS = 2
 BLOCK_WORDS = 1_000_000
-CHUNK = 1 << 20  # bytes hashed at a time
-
-_WORD = np.zeros(256, np.bool_)
-_WORD[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
-_P = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_POWERS = np.cumprod(np.full(CHUNK + 1, _P), dtype=np.uint64) * np.uint64(pow(int(_P), -1, 1 << 64))
-_INVERSE = np.cumprod(np.full(CHUNK + 1, np.uint64(pow(int(_P), -1, 1 << 64))), dtype=np.uint64) * _P
 _BITMAP_BITS = 24
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
-def _hash_chunk(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first byte) of the words of at most CHUNK bytes: a polynomial in the bytes,
-    from one running sum over the chunk."""
-    b = np.frombuffer(data, np.uint8)
-    edge = np.diff(np.concatenate(([False], _WORD[b], [False])).view(np.int8))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    total = np.empty(len(b) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_POWERS[:len(b)] * (b.astype(np.uint64) + np.uint64(1)), out=total[1:])
-    return _mix((total[end] - total[start]) * _INVERSE[start]), start
-
-
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first byte) of each word of lower-cased UTF-8 text of any length."""
-    if len(data) <= CHUNK:
-        return _hash_chunk(data)
-    parts, at = [], 0
-    while at < len(data):
-        to = min(at + CHUNK, len(data))
-        if to < len(data):  # cut behind the last byte that isn't part of a word
-            tail = np.flatnonzero(~_WORD[np.frombuffer(data, np.uint8, to - at, at)])
-            if not len(tail):
-                raise ValueError(f"a word of over {CHUNK} bytes")
-            to = at + int(tail[-1]) + 1
-        h, s = _hash_chunk(data[at:to])
-        parts.append((h, s + at))
-        at = to
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-
-
-def folded(text: str | None) -> bytes:
-    return (text or "").lower().encode("utf-8", "surrogatepass")
-
-
 def allowed_edits(n: int, max_edit: float = MAX_EDIT) -> int:
     return int(max_edit * n + 1e-9)
 
@@ -99,7 +54,7 @@ def allowed_edits(n: int, max_edit: float = MAX_EDIT) -> int:
 def _grams(h: np.ndarray, q: int) -> np.ndarray:
     out = h[:len(h) - q + 1].copy() if len(h) >= q else h[:0].copy()
     for k in range(1, q):
-        out = out * _P + h[k:len(h) - q + 1 + k]
+        out = out * FACTOR + h[k:len(h) - q + 1 + k]
     return out
 
 
@@ -112,7 +67,7 @@ def walk_embed(x: np.ndarray, length: np.ndarray, walks: int = WALKS) -> np.ndar
         on = i < length[:, None]
         symbol = np.where(on, x[rows, np.minimum(i, x.shape[1] - 1)], np.uint64(0))
         out[:, :, j] = symbol
-        coin = _mix(symbol + (walk + np.uint64(j)) * np.uint64(0x632BE59BD9B4E019))
+        coin = mix(symbol + (walk + np.uint64(j)) * np.uint64(0x632BE59BD9B4E019))
         i += on & ((coin & np.uint64(1)) == 1)
     return out
 
@@ -129,10 +84,10 @@ def lsh_keys(x: np.ndarray, length: np.ndarray, size: np.ndarray) -> np.ndarray:
     for at in range(0, len(x), 256):
         part, n = x[at:at + 256], size[at:at + 256]
         e = walk_embed(part, length[at:at + 256])
-        key = np.broadcast_to(number, (len(part), WALKS, SAMPLES)) + n.astype(np.uint64)[:, None, None] * _P
+        key = np.broadcast_to(number, (len(part), WALKS, SAMPLES)) + n.astype(np.uint64)[:, None, None] * FACTOR
         for k in range(SAMPLE_BITS):
             place = (share[None, :, :, k] * 3 * n[:, None, None]).astype(np.int64)
-            key = _mix(key * _P + np.take_along_axis(e, place, axis=2))
+            key = mix(key * FACTOR + np.take_along_axis(e, place, axis=2))
         keys[at:at + 256] = key
     return keys.reshape(len(x), WALKS * SAMPLES)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import decontaminate, license_scan, quality, simhash, url_filter
+from trendlake.llm import decontaminate, license_scan, quality, simhash, toxicity, url_filter
 from trendlake.sources.tables import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def op1_line_frequency(spark, sf_dir):
     return quality.line_frequency_quality(table(spark, sf_dir, "documents"))
 
 
+@register
+def op3_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register
 def op5_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
