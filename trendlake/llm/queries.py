@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import decontaminate, license_scan, quality, simhash, toxicity, url_filter
+from trendlake.llm import decontaminate, license_scan, packing, quality, simhash, toxicity, url_filter
 from trendlake.sources.tables import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,18 @@ def op7_decontaminate(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pack(docs: DataFrame) -> DataFrame:
+    import public_tokenizers as vocabularies
+
+    return packing.pack_documents(docs, vocabularies.path("byte_bpe_50k.json"),
+                                  vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN)
+
+
+@register
+def op8_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_url_filter(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
