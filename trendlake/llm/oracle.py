@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from trendlake.llm import license_scan as ls
+from trendlake.llm import perspectives as pv
 from trendlake.llm import quality as q
 from trendlake.llm import url_filter as uf
+from trendlake.llm import warc
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -50,6 +52,32 @@ from r
 """
 
 
+OP4 = f"""
+with d as (select distinct conv_id, turn::bigint as turn, coalesce(role, 'unknown') as speaker, coalesce(text, '') as text from conversations),
+p as (select distinct conv_id, speaker as perspective from d where speaker <> '{pv.SYSTEM}'),
+x as (select d.conv_id, perspective, turn, floor(coalesce(turn, -1) / {pv.PART})::bigint as part,
+             case when speaker = '{pv.SYSTEM}' then '<|system|>' || chr(10) when speaker = perspective then '<|assistant|>' || chr(10)
+                  else '<|user name=' || speaker || '|>' || chr(10) end as head,
+             text || '<|end|>' || chr(10) as body, speaker = perspective as own
+      from d join p on d.conv_id is not distinct from p.conv_id),
+y as (select *, sum(length(head) + length(body)) over (partition by conv_id, perspective, part order by turn) - length(body) as a from x)
+select conv_id, perspective, part::varchar as part, count(*)::bigint as n_turns, count(*) filter (own)::bigint as n_own,
+       string_agg(head || body, '' order by turn) as rendered,
+       coalesce(string_agg(a::varchar || ':' || (a + length(body))::varchar, ',' order by turn) filter (own), '') as mask,
+       coalesce(sum(length(body)) filter (own), 0)::bigint as mask_chars
+from y group by conv_id, perspective, part
+"""
+
+OP6 = f"""
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as digest, strlen(coalesce(html, ''))::bigint as n from pages),
+f as (select digest, max(page_id) as first from p where n >= {warc.REVISIT_BYTES} group by digest),
+j as (select p.*, case when first is not null and page_id is distinct from first then first end as refers_to from p left join f on p.digest = f.digest and n >= {warc.REVISIT_BYTES})
+select page_id, n as payload_bytes, digest as payload_digest, case when refers_to is null then 'response' else 'revisit' end as record_type,
+       refers_to::bigint as refers_to, true as intact
+from j
+"""
+
+
 def op9() -> str:
     paths = _values(uf.PATH_RULES)
     patterns = _values([(i, name, regex) for i, (name, _, regex) in enumerate(uf.PATTERN_RULES)])
@@ -104,4 +132,4 @@ from w left join b using (rid) left join k using (rid)
 
 
 def sql() -> dict[str, str]:
-    return {"op1_line_frequency": OP1, "op9_url_filter": op9(), "op10_license_scan": op10()}
+    return {"op1_line_frequency": OP1, "op4_perspectives": OP4, "op6_warc": OP6, "op9_url_filter": op9(), "op10_license_scan": op10()}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import decontaminate, license_scan, packing, quality, simhash, toxicity, url_filter
+from trendlake.llm import (decontaminate, license_scan, packing, perspectives, quality, simhash, token_counts, toxicity,
+                           url_filter, warc)
 from trendlake.sources.tables import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,16 +23,34 @@ def op1_line_frequency(spark, sf_dir):
     return quality.line_frequency_quality(table(spark, sf_dir, "documents"))
 
 
+@register
+def op2_token_counts(spark, sf_dir):
+    import public_tokenizers as vocabularies
+
+    vocabulary = token_counts.sentencepiece_vocabulary(vocabularies.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
+
+
 @register
 def op3_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op4_perspectives(spark, sf_dir):
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
 @register
 def op5_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+@register
+def op6_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @register
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
