@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlake.llm.hashing import CHUNK, FACTOR, folded, mix, word_hashes
+from trendlake.llm.tasks import map_batches
 
 MAX_EDIT = 0.2
 WALKS = 24
@@ -246,7 +247,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_ed
                     ["doc_id", "item_id", "start_word", "n_words", "distance"])
 
         arrow_item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kinds[1]]
-        part = rows.mapInArrow(scan, f"doc_id {kinds[0]}, item_id {kinds[1]}, start_word bigint, n_words bigint, distance bigint")
+        part = map_batches(rows, scan, f"doc_id {kinds[0]}, item_id {kinds[1]}, start_word bigint, n_words bigint, distance bigint")
         out = part if out is None else out.union(part)
     return out
 
@@ -263,5 +264,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", max
                 bad = {row for row, *_ in index.leaks(batch.column(at).to_pylist())}
                 yield batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(scan, docs.schema)
+        docs = map_batches(docs, scan, docs.schema)
     return docs

@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.llm.tasks import map_batches
+
 SIZE = 2048
 END_ID = 1
 SENTENCE = 8
@@ -194,4 +196,4 @@ def pack_documents(docs: DataFrame, vocabulary: str, ranks: str | None = None, p
             yield flush()
 
     kind = {"bigint": pa.int64(), "int": pa.int32()}[dict(rows.dtypes)["doc_id"]]
-    return rows.mapInArrow(pack, f"doc_id {dict(rows.dtypes)['doc_id']}, " + ", ".join(f"{c} bigint" for c in COLUMNS[1:]))
+    return map_batches(rows, pack, f"doc_id {dict(rows.dtypes)['doc_id']}, " + ", ".join(f"{c} bigint" for c in COLUMNS[1:]))

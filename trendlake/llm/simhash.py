@@ -42,6 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.llm.tasks import map_batches
 from trendlake.llm.text import stored, text_key
 
 SHINGLE = 4
@@ -81,7 +82,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) ->
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), pa.array(fp.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return rows.mapInArrow(hashed, f"doc_id {dict(rows.dtypes)['doc_id']}, key bigint, fp bigint")
+    return map_batches(rows, hashed, f"doc_id {dict(rows.dtypes)['doc_id']}, key bigint, fp bigint")
 
 
 def embed(fp: Column) -> Column:
@@ -174,7 +175,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, parts: int | None = None
         if len(held_g):
             yield star(held_g, held_fp)
 
-    return grouped.mapInArrow(linked, "u bigint, v bigint")
+    return map_batches(grouped, linked, "u bigint, v bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

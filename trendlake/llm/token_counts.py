@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.llm.tasks import map_batches
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 300_000
@@ -126,5 +128,5 @@ def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], key: str
                 [batch.column("key"), pa.array([c for c, _ in found], pa.int64()),
                  pa.array([s for _, s in found], pa.float64())], ["key", "n_tokens", "score"])
 
-    out = rows.mapInArrow(count, f"key {dict(rows.dtypes)['key']}, n_tokens bigint, score double")
+    out = map_batches(rows, count, f"key {dict(rows.dtypes)['key']}, n_tokens bigint, score double")
     return out.withColumnRenamed("key", key)

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendlake.llm.hashing import CHUNK, Words, chunks, folded, mix
+from trendlake.llm.tasks import map_batches
 
 BUCKETS = 1 << 16
 DIM = 8
@@ -285,7 +286,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", **opt
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(s, pa.float64()),
                  pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return rows.mapInArrow(score, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, score double, predicted int")
+    return map_batches(rows, score, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, score double, predicted int")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -299,4 +300,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", **opti
         for batch in batches:
             yield batch.filter(pa.array(model.scores(batch.column(at).to_pylist()) < 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_batches(docs, keep, docs.schema)

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.llm.tasks import map_batches
+
 # Fixed values: (action, host, path) of the base rules.
 PATH_RULES = [
     ("allow", "org", "/"),
@@ -142,5 +144,5 @@ def filter_urls(df: DataFrame, key: str = "page_id", url: str = "url",
                 ["key", "host", "path", "rule", "verdict", "pattern"])
 
     kind = dict(pairs.dtypes)["key"]
-    out = pairs.mapInArrow(judge, f"key {kind}, host string, path string, rule string, verdict string, pattern string")
+    out = map_batches(pairs, judge, f"key {kind}, host string, path string, rule string, verdict string, pattern string")
     return out.withColumnRenamed("key", key)

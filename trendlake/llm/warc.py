@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlake.llm.tasks import map_batches
 from trendlake.llm.text import stored
 from trendlake.session import scratch_path
 
@@ -141,7 +142,7 @@ def write_archives(pages: DataFrame, path: str, html: str = "html", segment: int
                     out, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    records = rows.mapInArrow(build, "value binary").select(F.col("value").cast("string").alias("value"))
+    records = map_batches(rows, build, "value binary").select(F.col("value").cast("string").alias("value"))
     records.write.option("lineSep", RECORD_END).option("compression", "gzip") \
         .option("maxRecordsPerFile", file_records).text(path)
 
@@ -205,7 +206,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    return files.mapInArrow(parse, RECORDS)
+    return map_batches(files, parse, RECORDS)
 
 
 def decoded(message: bytes) -> tuple[int | None, str | None]:
@@ -244,7 +245,7 @@ def reassemble(records: DataFrame) -> DataFrame:
                  pa.array(size, pa.int64()), pa.array(found, pa.string())],
                 ["page", "record_type", "refers", "digest", "bytes", "found"])
 
-    return cols.mapInArrow(join, "page string, record_type string, refers string, digest string, bytes bigint, found string")
+    return map_batches(cols, join, "page string, record_type string, refers string, digest string, bytes bigint, found string")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
