@@ -6,7 +6,7 @@ lines are removed, and a document left with under ``min_left`` of its words is
 depleted and rejected, as is one that fails the base limits.
 
 Copies of one document are one document for the count: a document is told apart
-by its longest line (most words; ties: largest hash). So a group of copies, or of
+by its longest line (most words; ties: the last in binary order). So a group of copies, or of
 near copies that share their main passage, doesn't turn its own text into
 boilerplate, while a footer below thousands of different bodies does.
 
@@ -91,11 +91,12 @@ def base_columns(text: Column) -> dict[str, Column]:
 def document_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
     """One row per line with a word: ``_id``, ``_host``, ``_key``, ``_main``, ``h``, ``w``."""
     entries = F.transform(lines_with_words(F.col(text)), lambda x: F.struct(
-        F.size(words(x)).alias("w"), F.xxhash64(normalised(x)).alias("h")))
+        F.size(words(x)).alias("w"), normalised(x).alias("line")))
     d = docs.select(F.col("doc_id").alias("_id"), F.col(host).alias("_host"),
                     text_key(F.col(text)).alias("_key"),
-                    let(entries, lambda e: F.struct(F.array_max(e)["h"].alias("main"), e.alias("e"))).alias("_l"))
-    return d.select("_id", "_host", "_key", F.col("_l.main").alias("_main"), F.inline("_l.e"))
+                    let(entries, lambda e: F.struct(F.xxhash64(F.array_max(e)["line"]).alias("main"), e.alias("e"))).alias("_l"))
+    d = d.select("_id", "_host", "_key", F.col("_l.main").alias("_main"), F.inline("_l.e"))
+    return d.select("_id", "_host", "_key", "_main", F.xxhash64("line").alias("h"), "w")
 
 
 def boilerplate_lines(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:

@@ -179,7 +179,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, parts: int | None = None
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node with an edge (u, v): root is the component's smallest node."""
+    """(node, root) of every linked node but the roots: root is the component's smallest node."""
     def settled(e: DataFrame) -> tuple[DataFrame, tuple]:
         e = stored(e.distinct(), "links")
         return e, e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
