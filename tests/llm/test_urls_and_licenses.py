@@ -1,0 +1,94 @@
+import re
+
+import duckdb
+
+from tests.llm import messy
+from trendlake.llm import license_scan as ls
+from trendlake.llm import url_filter as uf
+
+URLS = [None, "", "no scheme", "http://", "https://EXAMPLE.org/es/1", "http://www.example.org/en/12?x#y", "http://example.org/en/2",
+        "http://a.example.org", "http://notexample.org/es/", "http://x.com/fr/", "http://x.com/de/1", "http://x.com:80/de/1", "http://com/de/",
+        "http://x.net/Casino-WIN/", "http://x.net/casinowin", "http://x.org/casino", "http://free-bets.net", "http://free.bets.net/a",
+        "http://adult-x.example.net/fr/780#top", "http://x.net/path://y/xxx", "http://x.net/verify/me/login", "http://x.net/login/verify",
+        "http://x.net/?q=" + "a" * 100_000 + "/wp-login.php", "ftp://é.com/de/ü", "http://x.net/cart/add", "http://x.net/cart/adds",
+        "http://x.com?/de/", "http://x.com#/de/", "://com/de/", "http://İ.com/de/"]
+
+
+def test_verdicts_match_running_every_rule(spark):
+    rows = [(i if i % 7 else None, u) for i, u in enumerate(URLS)] + [(3, URLS[3]), (4, URLS[4])]
+    df = spark.createDataFrame(rows, "page_id bigint, url string").selectExpr("*", "1 as key", "2 as rule", "3 as host")
+    got = sorted(map(tuple, uf.filter_urls(df).collect()), key=str)
+    want = []
+    for i, u in rows:
+        host, path = uf.split_url(u)
+        fits = [(len(h + p), h + p, a) for a, h, p in uf.PATH_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        low = uf.ascii_lower(u or "")
+        hit = next((n for n, _, rx in uf.PATTERN_RULES if re.search(rx, low)), None)
+        want.append((i, host, path, max(fits)[1] if fits else None, max(fits)[2] if fits else "block" if hit else "allow", hit))
+    assert got == sorted(want, key=str)
+    assert {r[4] for r in got} == {"allow", "block"} and any(r[5] for r in got)
+    assert uf.filter_urls(df.limit(0)).count() == 0
+
+
+def test_every_rule_holds_its_literals():
+    """A url that matches a rule holds each of its literals as a whole token, so the index loses none."""
+    tried = [u.replace("x", t) for u in ["http://x/", "http://a.x.net/", "http://x-y.org", "http://a/x?b"]
+             for _, tokens, _ in uf.PATTERN_RULES for t in (".".join(tokens), "-".join(tokens), "/".join(tokens), "/x/y-".join(tokens))]
+    tried += ["http://a/wp-login.php", "http://a/cart/add?b", "http://a/verify/x/login"]
+    for name, tokens, regex in uf.PATTERN_RULES:
+        hits = [u for u in tried if re.search(regex, u)]
+        assert hits, name
+        for u in hits:
+            assert set(tokens) <= set(re.findall("[a-z0-9]+", u)), (name, u)
+
+
+def test_rarest_token_indexes_a_rule():
+    rules = [("a", ["common", "rare"], "x"), ("b", ["common"], "y")]
+    assert uf.rarest_index(rules, {"common": 9, "rare": 1}) == {"rare": [0], "common": [1]}
+
+
+LICENSED = ["MIT license", "The MIT\nLicense and the mit license; Apache License", "Licensed under the Apache License, Version 2.0.",
+            "GNU Affero General Public License v3", "Released under CC-BY-NC-SA 4.0", "cc by", "CC  BY nc 4.0 x", "all rights reserved",
+            "x mit license" * 3000, "permission is granted under the zlib/libpng license", "submit license", "unlicensed", "The Unlicense",
+            "provided as is, without warranty of any kind", "licence: isc", "General Public Licence", "LGPL is the lesser general public license 2.1",
+            "Ｌicense mit license é", "dual: MIT license or Apache license 2.0, general public license version 3"]
+
+
+def words(t):
+    low = (t or "").translate(str.maketrans(ls.UPPER, ls.LOWER))
+    return re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def brute(text):
+    w = words(text)
+    base = [(i, label) for p, label in ls.PHRASES for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
+    s = " " + "  ".join(w) + " "
+    found = [(s[:m.start()].count(" ") // 2, (s[:m.end()].count(" ")) // 2, level, rule, label)
+             for rule, level, label, _, rx in ls.rules() for m in re.finditer(rx, s)]
+    kept = [f for f in found if not any(
+        g[0] <= f[0] and g[1] >= f[1] and g[2] <= f[2] and g != f and (g[:2] != f[:2] or (g[2], g[3]) < (f[2], f[3])) for g in found)]
+    labels = sorted({x for _, x in base} | {f[4] for f in kept})
+    score = max([ls.LEVEL_WEIGHTS[f[2]] for f in kept] + [0.5 if base else 0.0])
+    at = [i for i, _ in base]
+    return (len(w), len(base), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in base})), ",".join(labels), score)
+
+
+def test_scan_matches_brute_force_without_gates(spark):
+    texts = [t for t in messy.texts() + LICENSED if len(t or "") < 60_000]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(2, texts[2]), (None, "mit license")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as _id", "2 as label", "3 as a", "4 as rule", "5 as _base")
+    got = sorted(map(tuple, ls.scan_licenses(df).collect()), key=str)
+    assert got == sorted([(i, *brute(t)) for i, t in rows], key=str)
+    assert ls.scan_licenses(df.limit(0)).count() == 0
+
+
+def test_hundreds_of_rules_and_no_python(spark):
+    assert len(ls.rules()) > 200
+    plan = ls.scan_licenses(messy.frame(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rules_compile_in_every_engine():
+    for *_, regex in ls.rules():
+        re.compile(regex)
+        duckdb.execute("select regexp_matches('x', ?)", [regex])

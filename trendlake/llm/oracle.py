@@ -55,7 +55,7 @@ from r
 OP4 = f"""
 with d as (select distinct conv_id, turn::bigint as turn, coalesce(role, 'unknown') as speaker, coalesce(text, '') as text from conversations),
 p as (select distinct conv_id, speaker as perspective from d where speaker <> '{pv.SYSTEM}'),
-x as (select d.conv_id, perspective, turn, floor(coalesce(turn, -1) / {pv.PART})::bigint as part,
+x as (select d.conv_id, perspective, turn, floor(coalesce(turn, 0) / {pv.PART})::bigint as part,
              case when speaker = '{pv.SYSTEM}' then '<|system|>' || chr(10) when speaker = perspective then '<|assistant|>' || chr(10)
                   else '<|user name=' || speaker || '|>' || chr(10) end as head,
              text || '<|end|>' || chr(10) as body, speaker = perspective as own

@@ -40,7 +40,7 @@ def turns(conversations: DataFrame, speaker: str = "role", part: int = PART) ->
     d = conversations.select("conv_id", F.col("turn").cast("bigint").alias("turn"),
                              F.coalesce(F.col(speaker), F.lit("unknown")).alias("speaker"),
                              F.coalesce("text", F.lit("")).alias("text")).distinct()
-    d = d.withColumns({"block": F.floor(F.coalesce("turn", F.lit(-1)) / part).cast("bigint"),
+    d = d.withColumns({"block": F.floor(F.coalesce("turn", F.lit(0)) / part).cast("bigint"),
                        "h": F.xxhash64("speaker", "text")})
     sizes = d.groupBy("conv_id", "block", "turn").agg(F.count(F.lit(1)).alias("n"))
     large = sizes.groupBy(F.col("conv_id").alias("_c"), F.col("block").alias("_b")).agg(F.sum("n").alias("_n")).filter(

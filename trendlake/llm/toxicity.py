@@ -1,7 +1,7 @@
 """Toxicity: a convolutional text classifier on hashed word embeddings, trained in numpy.
 
 A word is a run of letters and digits of the lower-cased text. Its vector is the sum of
-hashed embeddings of the word and of its first four and six bytes, so inflected forms of
+hashed embeddings of the word and of its first four, five and seven bytes, so inflected forms of
 a known stem score alike. Filters of several widths run over the words; each filter's
 maximum over the whole text, at least 0, feeds a logistic layer. Thresholds are
 calibrated by language on documents the weights haven't seen, and logits are shifted so
@@ -42,13 +42,15 @@ BUCKETS = 1 << 16
 DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8  # of each width
-PREFIXES = (4, 6)  # bytes
+PREFIXES = (4, 5, 7)  # bytes
+PRIOR = 2.0  # documents a bucket is taken to have been seen in beforehand
 TRAIN_ROWS = 3000  # of each class
 TRAIN_CHARS = 50_000
 EPOCHS = 4
 BATCH = 32
 RATE = 0.05
 CALIBRATION = 3  # every third training row calibrates instead
+LEAST = 20  # calibration rows of each class that a language needs for a threshold of its own
 GROUP = CHUNK // 4  # bytes of short texts scored together
 
 # Function words that tell the corpus languages apart.
@@ -163,10 +165,11 @@ class Model:
 
 
 def start_model(ids: list[np.ndarray], y: np.ndarray, rng: np.random.Generator) -> Model:
-    seen = np.full((2, BUCKETS), 2.0)
+    n = np.array([(1 - y).sum(), y.sum()], np.float64)
+    seen = np.repeat(PRIOR * n[:, None] / n.sum(), BUCKETS, axis=1)  # so an unseen bucket has odds 0
     for x, label in zip(ids, y):
         seen[int(label), np.unique(x)] += 1
-    odds = np.log(seen[1] / (y.sum() + 4)) - np.log(seen[0] / ((1 - y).sum() + 4))
+    odds = np.log(seen[1] / n[1]) - np.log(seen[0] / n[0])
     odds[0] = 0
     e = rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32)
     e[:, 0] = odds / 2
@@ -183,7 +186,7 @@ def start_model(ids: list[np.ndarray], y: np.ndarray, rng: np.random.Generator)
 def fit(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, seed: int = 1) -> Model:
     """Stochastic gradients with per-weight rates (Adagrad); only the words where a maximum begins move."""
     rng = np.random.default_rng(seed)
-    ids = [np.concatenate([i for _, i, _, _ in units([t])] or [np.zeros((0, 3), np.int64)]) for t in texts]
+    ids = [np.concatenate([i for _, i, _, _ in units([t])]) for t in texts]
     model = start_model(ids, y, rng)
     seen = {id(p): np.full(p.shape, 0.1, np.float32) for p in (model.embedding, model.weights, *model.filters.values())}
 
@@ -242,7 +245,7 @@ def calibrate(model: Model, texts: list[str], y: np.ndarray, share: float) -> No
     model.shift[:] = best_threshold(z, y, weight)
     for k in range(len(LANGS)):
         own = lang == k
-        if min(y[own].sum(), (1 - y[own]).sum()) >= 10:
+        if min(y[own].sum(), (1 - y[own]).sum()) >= LEAST:
             model.shift[k] = best_threshold(z[own], y[own], weight[own])
 
 
