@@ -116,3 +116,54 @@ def test_replayed_batch_is_written_once(spark, tmp_dir):
     assert any(p["batchId"] == 0 and p["numInputRows"] > 0 for p in qs[0].recentProgress)  # really replayed
     assert read_observations(spark, table).count() == 2
     assert spark.read.parquet(quar).count() == 1
+
+
+def _ingest_cli(*args):
+    from trendlake.__main__ import main
+    return main(["--master", "local[4]", "ingest", *args])
+
+
+def test_cli_goes_on_where_it_stopped(spark, tmp_dir):
+    """Default settings, three runs, each with a new message: nothing is skipped or replaced."""
+    for mode, extra in (("plain", []), ("quarantined", ["--quarantine", f"{tmp_dir}/q", "--drop-bad"])):
+        land, table = f"{tmp_dir}/{mode}/landing", f"{tmp_dir}/{mode}/table"
+        for n in (1, 2, 3):
+            _land(land, f"f{n}.json", [f'{{"location":"A","date":"2020-01-0{n}","new_cases":{n}}}'])
+            assert _ingest_cli("--landing", land, "--table", table, "--name", f"cli_{mode}", *extra) == 0
+            assert read_observations(spark, table).count() == n
+
+
+def test_cli_keeps_malformed_rows_unless_quarantined(spark, tmp_dir):
+    import pytest
+    land = f"{tmp_dir}/landing"
+    _land(land, "f.json", [LINES_1[0], "not json", '{"location":"B","date":"2020-01-02","new_cases":"x","total_cases":4}'])
+    _ingest_cli("--landing", land, "--table", f"{tmp_dir}/t", "--name", "cli_keep")
+    assert read_observations(spark, f"{tmp_dir}/t").count() == 3
+    _ingest_cli("--landing", land, "--table", f"{tmp_dir}/t2", "--name", "cli_drop", "--quarantine", f"{tmp_dir}/q", "--drop-bad")
+    got = {r.location: r for r in read_observations(spark, f"{tmp_dir}/t2").collect()}
+    assert set(got) == {"A", "B"} and got["B"].new_cases is None and got["B"].total_cases == 4.0
+    assert spark.read.parquet(f"{tmp_dir}/q").count() == 2
+    with pytest.raises(SystemExit):
+        _ingest_cli("--landing", land, "--table", f"{tmp_dir}/t3", "--drop-bad")
+
+
+def test_modes_share_one_layout_and_new_checkpoints_add(spark, tmp_dir):
+    land, table = f"{tmp_dir}/landing", f"{tmp_dir}/table"
+    _land(land, "f1.json", LINES_1[:1])
+    await_all(run_stream(text_source(spark, land), table, f"{tmp_dir}/c", "t_mode"))
+    _land(land, "f2.json", LINES_2)
+    await_all(run_stream(text_source(spark, land), table, f"{tmp_dir}/c", "t_mode", quarantine_path=f"{tmp_dir}/q"))
+    assert read_observations(spark, table).count() == 2
+    other = f"{tmp_dir}/other"
+    _land(other, "f3.json", ['{"location":"C","date":"2020-01-01"}'])
+    await_all(run_stream(text_source(spark, other), table, f"{tmp_dir}/c2", "t_mode2"))
+    assert read_observations(spark, table).count() == 3
+
+
+def test_plain_file_sink_tables_are_refused(spark, tmp_dir):
+    import pytest
+    land = f"{tmp_dir}/landing"
+    _land(land, "f1.json", LINES_1)
+    os.makedirs(f"{tmp_dir}/t/_spark_metadata")
+    with pytest.raises(ValueError):
+        run_stream(text_source(spark, land), f"{tmp_dir}/t", f"{tmp_dir}/c", "t_old")

@@ -6,8 +6,9 @@
   python -m trendlake backtest --table DIR --predictions DIR [--models trend_dow,rf] [--locations A,B]
   python -m trendlake analyze  --predictions DIR --kind summary_statistics --out DIR [--location L]
 
-Checkpoints default to ``<spark.checkpoint.dir>/trendlake/...``; pass
-``--checkpoint`` to pin a stream's progress folder across runs.
+A stream's progress is kept in ``<table>_checkpoint/<name>``, so running it again goes on
+where it stopped; ``--checkpoint`` names another folder. Malformed messages stay in the
+table with nulls, as in the reference; ``--quarantine`` records them, too.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--quarantine")
     p.add_argument("--checkpoint")
     p.add_argument("--name", default="trendlake_ingest")
-    p.add_argument("--keep-bad", action="store_true", help="keep malformed rows like the reference")
+    p.add_argument("--drop-bad", action="store_true",
+                   help="leave rows without location or date out of the table (needs --quarantine)")
     p.add_argument("--partition-by", choices=["month", "date"], default="month")
 
     p = sub.add_parser("backtest", help="observations → prediction table")
@@ -76,21 +78,22 @@ def main(argv: list[str] | None = None) -> int:
         kopts = sink_options(a.kafka_servers, a.topic) if a.kafka_servers else None
         publish_messages(df, a.landing, kopts, all_columns=a.all_columns)
     elif a.cmd == "ingest":
-        from trendlake.session import scratch_path
         from trendlake.sources.kafka import source_options
-        from trendlake.streaming.ingest import await_all, kafka_source, run_stream, text_source
+        from trendlake.streaming.ingest import await_all, default_checkpoint, kafka_source, run_stream, text_source
+        if a.drop_bad and not a.quarantine:
+            ap.error("--drop-bad needs --quarantine, or the rows would be lost")
         if a.kafka_servers:
             stream = kafka_source(spark, source_options(a.kafka_servers, a.topic,
                                                         max_offsets_per_trigger=a.max_per_trigger))
         else:
             stream = text_source(spark, a.landing, a.max_per_trigger)
-        ckpt = a.checkpoint or scratch_path(spark, "ingest", a.name)
+        ckpt = a.checkpoint or default_checkpoint(a.table, a.name)
         await_all(run_stream(stream, a.table, ckpt, a.name, quarantine_path=a.quarantine,
-                             keep_bad=a.keep_bad, partition_by=a.partition_by))
+                             keep_bad=not a.drop_bad, partition_by=a.partition_by))
     elif a.cmd == "backtest":
         from trendlake.plans.jobs import backtest
         from trendlake.sinks.tables import write_predictions
-        from trendlake.sources.files import read_observations
+        from trendlake.streaming.ingest import read_observations
         obs = read_observations(spark, a.table)
         out = backtest(obs, _csv_list(a.locations), tuple(_csv_list(a.models)), combine=a.combine,
                        model_dir=a.models_dir,

@@ -268,6 +268,57 @@ def q_stream_ingest(spark, sf_dir):
     return _round_doubles(read_observations(spark, f"{base}/table"))
 
 
+def _ingest(spark, base: str, name: str, **kw) -> None:
+    """One run of the ingest command with its default checkpoint."""
+    from trendlake.streaming.ingest import await_all, default_checkpoint, run_stream, text_source
+    await_all(run_stream(text_source(spark, f"{base}/landing"), f"{base}/table",
+                         default_checkpoint(f"{base}/table", name), name, **kw))
+
+
+@register("stream_ingest_twice")
+def q_stream_ingest_twice(spark, sf_dir):
+    """Odd days landed and ingested, then even days landed and ingested in a second
+    run with the same settings, with and without a quarantine; every row once in each table."""
+    from trendlake.sinks.tables import publish_messages
+    from trendlake.streaming.ingest import read_observations
+    obs = observations(spark, sf_dir)
+    out = None
+    for mode in ("plain", "quarantine"):
+        base = _scratch(spark, f"stream_twice_{mode}")
+        kw = {"quarantine_path": f"{base}/quarantine", "keep_bad": False} if mode == "quarantine" else {}
+        for half in (1, 0):
+            publish_messages(obs.filter(F.dayofmonth("date") % 2 == half), f"{base}/landing")
+            _ingest(spark, base, "ingest", **kw)
+        got = read_observations(spark, f"{base}/table").withColumn("mode", F.lit(mode))
+        out = got if out is None else out.unionByName(got)
+    return _round_doubles(out)
+
+
+@register("stream_ingest_malformed")
+def q_stream_ingest_malformed(spark, sf_dir):
+    """Messages of the 1st of a month cut short (not JSON), of the 2nd with a wrong-typed
+    field, of the 3rd with a bad date. Rows with location and date stay (the field null); every
+    malformed message is quarantined."""
+    from trendlake.streaming.ingest import encode, read_observations
+    base = _scratch(spark, "stream_malformed")
+    obs = observations(spark, sf_dir)
+    whole = encode(obs.filter(F.dayofmonth("date") > 3))
+    cut = encode(obs.filter(F.dayofmonth("date") == 1)).select(F.substring("value", 1, 20).alias("value"))
+    typed = encode(obs.filter(F.dayofmonth("date") == 2)).select(
+        F.regexp_replace("value", '"new_cases":[^,}]*', '"new_cases":"many"').alias("value"))
+    dated = encode(obs.filter(F.dayofmonth("date") == 3)).select(
+        F.regexp_replace("value", '"date":"[^"]*"', '"date":"someday"').alias("value"))
+    whole.union(cut).union(typed).union(dated).write.text(f"{base}/landing")
+    _ingest(spark, base, "ingest", quarantine_path=f"{base}/quarantine", keep_bad=False)
+    good = read_observations(spark, f"{base}/table").select("location", "date", "new_cases", "total_cases")
+    bad = spark.read.parquet(f"{base}/quarantine").groupBy("location").agg(F.count(F.lit(1)).alias("n"))
+    return (_round_doubles(good).withColumns({"store": F.lit("table"), "n": F.lit(1).cast("bigint")})
+            .unionByName(bad.select("location", F.lit(None).cast("date").alias("date"),
+                                    F.lit(None).cast("double").alias("new_cases"),
+                                    F.lit(None).cast("double").alias("total_cases"),
+                                    F.lit("quarantine").alias("store"), "n")))
+
+
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     """Observations written as CSV with a header and read back with the wire schema."""
@@ -289,6 +340,19 @@ def q_predictions_store(spark, sf_dir):
     return _round_doubles(out)
 
 
+@register("predictions_store_by_location")
+def q_predictions_store_by_location(spark, sf_dir):
+    """The backtest of one group of locations, then of another, then of the first again, each
+    written in its own run: every location's series is there once."""
+    from trendlake.sinks.tables import read_predictions, write_predictions
+    base = _scratch(spark, "predictions_by_location")
+    pred = w2_predictions(spark, sf_dir)
+    early = F.col("location") < "J"
+    for part in (early, ~early, early):
+        write_predictions(pred.filter(part), base)
+    return _round_doubles(read_predictions(spark, base, dedup=False).drop("created_at", "model_cutoff"))
+
+
 # -------------------------------------------------------------- regressions
 def _regression(spark, sf_dir, model: str, **kw) -> DataFrame:
     from trendlake.operators.regress import rolling_regression

@@ -334,6 +334,17 @@ SQL["parse_messages"] = f"with {OBS_CTE} {_OBS_OUT}"
 SQL["stream_ingest"] = f"with {OBS_CTE} {_OBS_OUT}"
 SQL["csv_roundtrip"] = f"with {OBS_CTE} {_OBS_OUT}"
 SQL["predictions_store"] = SQL["predictions_w2"]
+SQL["predictions_store_by_location"] = SQL["predictions_w2"]
+SQL["stream_ingest_twice"] = f"""
+with {OBS_CTE}, o as ({_OBS_OUT})
+select *, 'plain' as mode from o union all select *, 'quarantine' as mode from o"""
+SQL["stream_ingest_malformed"] = f"""
+with {OBS_CTE}, o as ({_OBS_OUT})
+select location, date, case when day(date) <> 2 then new_cases end as new_cases, total_cases, 'table' as store, cast(1 as bigint) as n
+from o where day(date) not in (1, 3)
+union all
+select case when day(date) = 1 then null else location end, null, null, null, 'quarantine', count(*)
+from o where day(date) <= 3 group by 1"""
 
 SQL["forecast_pooled"] = f"""
 with {OBS_CTE},

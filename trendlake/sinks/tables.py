@@ -3,9 +3,9 @@
 The reference inserts one row per database commit from a driver loop. Here a
 prediction set is written once, set-oriented, and reruns are idempotent:
 
-* parquet (default): partitioned by ``model_version`` with dynamic partition
-  overwrite — a rerun of a model replaces exactly its own partition; the job
-  commit makes each write atomic;
+* parquet (default): partitioned by ``model_version`` and ``location`` with dynamic
+  partition overwrite — a rerun replaces exactly the (model, location) series it
+  computed anew and leaves all others; the job commit makes each write atomic;
 * JDBC: one ``append`` per write (one transaction per task); readers dedup on
   the natural key (location, date, model_version), newest ``created_at`` first.
 """
@@ -21,6 +21,7 @@ from trendlake.schema import PREDICTIONS, PREDICTIONS_JDBC_TYPES
 from trendlake.streaming.ingest import encode
 
 NATURAL_KEY = ["location", "date", "model_version"]
+SERIES = ["model_version", "location"]
 
 
 def publish_messages(df: DataFrame, path: str | None = None, kafka_options: dict | None = None,
@@ -41,17 +42,20 @@ def stamp(df: DataFrame) -> DataFrame:
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
-    """Write a prediction set, replacing only the model versions it contains."""
+    """Write a prediction set, replacing only the (model version, location) series it contains."""
     out = stamp(df).select(*PREDICTIONS.fieldNames())
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("model_version").parquet(path))
+    # rows of a series meet in one task, so a series is one file; a very large series is split
+    (out.hint("rebalance", *SERIES).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*SERIES).parquet(path))
 
 
 def read_predictions(spark: SparkSession, path: str, dedup: bool = True) -> DataFrame:
     """The prediction table (S9); missing → empty typed frame; optional natural-key dedup."""
     try:
         df = spark.read.schema(PREDICTIONS).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
         return spark.createDataFrame([], PREDICTIONS)
     df = df.select(*PREDICTIONS.fieldNames())
     if dedup:
@@ -81,4 +85,4 @@ def save_model(model, base: str, kind: str, location: str | None, day) -> str:
 def write_coefficients(frame: DataFrame, path: str) -> None:
     """Persist the windowed model's state per (location, origin) as a table (S11 for W2)."""
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("model_version").parquet(path)
+        .partitionBy(*SERIES).parquet(path)

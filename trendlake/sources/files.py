@@ -1,4 +1,4 @@
-"""File sources: CSV (S1), JSON lines, parquet observations."""
+"""File source: CSV (S1). The observation table is read by ``streaming.ingest.read_observations``."""
 
 from __future__ import annotations
 
@@ -38,21 +38,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return raw.select(*cols)
 
 
-def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines messages as a ``value`` column (batch counterpart of the stream source)."""
-    return spark.read.text(path)
-
-
-def read_observations(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet observation table in the ``OBS`` schema.
-
-    Column pruning and predicate pushdown come from the parquet reader; a
-    ``date`` filter prunes the date partitions written by the stream sink.
-    """
-    df = spark.read.parquet(path)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in OBS.fields])
-
-
 def to_observations(df: DataFrame) -> DataFrame:
     """Cast a wire-schema frame (string date) to ``OBS`` (date via ``try_to_timestamp``)."""
     d = df.withColumn("date", F.to_date(F.try_to_timestamp(F.col("date").cast("string"), F.lit("yyyy-MM-dd")))) \

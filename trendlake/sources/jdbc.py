@@ -8,13 +8,15 @@ Not exercised in tests: it needs a database, and none is started here.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from trendlake.operators.prep import dedup_latest
 from trendlake.schema import PREDICTIONS
 
 
 def read_predictions_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                           partition_column: str | None = None, lower_bound=None, upper_bound=None,
-                          num_partitions: int | None = None) -> DataFrame:
+                          num_partitions: int | None = None, dedup: bool = True) -> DataFrame:
     props = dict(properties or {})
     try:
         if partition_column:
@@ -22,7 +24,10 @@ def read_predictions_jdbc(spark: SparkSession, url: str, table: str, properties:
                                  upperBound=upper_bound, numPartitions=num_partitions, properties=props)
         else:
             df = spark.read.jdbc(url, table, properties=props)
-        return df.select(*[c for c in PREDICTIONS.fieldNames() if c in df.columns])
+        df = df.select(*[c for c in PREDICTIONS.fieldNames() if c in df.columns])
+        if dedup:  # the writer appends: a rerun or a retried task leaves several rows of a key
+            df = dedup_latest(df, ["location", "date", "model_version"], [F.col("created_at").desc_nulls_last()])
+        return df
     except Exception as e:  # noqa: BLE001 - missing table / unreachable DB → empty frame
         if "not found" in str(e).lower() or "does not exist" in str(e).lower():
             return spark.createDataFrame([], PREDICTIONS)

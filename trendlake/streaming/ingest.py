@@ -4,8 +4,8 @@
 paths cannot drift. ``run_stream`` only adds source, trigger, checkpoint and
 sink. Fixes over the reference's stream job:
 
-* an explicit per-query ``checkpointLocation`` and ``queryName`` (a shared
-  base checkpoint makes a rerun skip new data: Q10);
+* an explicit per-query ``checkpointLocation`` tied to the table and ``queryName`` (a
+  shared base checkpoint makes a rerun skip new data: Q10);
 * ``trigger(availableNow=True)`` drains everything in rate-limited batches
   (``once`` ignores ``maxOffsetsPerTrigger``: Q11);
 * the date is parsed with ``try_to_timestamp`` (ANSI ``to_timestamp`` raises);
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from trendlake.functions.exprs import nan_to_null
 from trendlake.schema import OBS, OBS_WIRE, OBS_WIRE_CORRUPT
@@ -88,6 +89,26 @@ def kafka_source(spark: SparkSession, options: dict) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load().selectExpr("CAST(value AS STRING) AS value")
 
 
+def default_checkpoint(out_path: str, query_name: str) -> str:
+    """The progress folder that belongs to a table and a query: the same on every run."""
+    return f"{out_path.rstrip('/')}_checkpoint/{query_name}"
+
+
+def has_keys(df: DataFrame) -> "F.Column":
+    """Rows usable downstream: with location and date (another bad field is just null)."""
+    return F.col("location").isNotNull() & F.col("date").isNotNull()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path).schema  # noqa: B018 - resolves the path only
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
+    return True
+
+
 def run_stream(stream: DataFrame, out_path: str, checkpoint: str, query_name: str,
                quarantine_path: str | None = None, keep_bad: bool = True,
                available_now: bool = True, processing_time: str | None = None,
@@ -95,61 +116,65 @@ def run_stream(stream: DataFrame, out_path: str, checkpoint: str, query_name: st
     """Start the ingest: parsed rows → partitioned parquet.
 
     ``keep_bad=True`` keeps malformed rows in the table like the reference
-    (a null date lands in the default partition); ``False`` drops them from it.
-    ``quarantine_path`` routes the bad rows there from the same read of the
-    source (``foreachBatch``; both outputs are laid out under ``batch=<id>``).
+    (a null date lands in the default partition); ``False`` drops those without
+    location or date. ``quarantine_path`` records every malformed message there,
+    from the same read of the source.
     ``dedup_delay`` (e.g. ``"1 day"``) drops replayed (location, date) messages
     within that watermark; it must exceed the replay span.
     ``partition_by``: ``"month"`` (default) writes ``month=YYYY-MM-01`` folders with
     ``date`` kept as a column — one file per month and task per batch instead of
     one per day (the reference's ``"date"`` layout, still selectable, makes
     thousands of tiny files per batch on a long history).
+
+    One layout for every mode: ``stream=<id>/batch=<n>/…``. The id belongs to the
+    checkpoint (``default_checkpoint`` ties that to the table), so a replayed batch
+    overwrites its own folder and no other: each batch lands exactly once, and a
+    stream with a new checkpoint adds to the table instead of replacing batches.
     Returns the started queries; call ``awaitTermination`` once on each.
     """
     if partition_by not in ("month", "date"):
         raise ValueError("partition_by must be 'month' or 'date'")
     if dedup_delay and quarantine_path:
         raise ValueError("dedup_delay applies to the table only: run without quarantine_path")
+    spark = stream.sparkSession
+    if _exists(spark, f"{out_path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{out_path} was written by a plain file sink; its log would hide new folders")
     parsed = parse(stream)
-    good = parsed if keep_bad else parsed.filter(~is_bad(parsed))
     if dedup_delay:
-        good = (good.withColumn("_event_ts", F.to_timestamp(F.col("date")))
-                    .withWatermark("_event_ts", dedup_delay)
-                    .dropDuplicatesWithinWatermark(["location", "date"])
-                    .drop("_event_ts"))
+        parsed = (parsed.withColumn("_event_ts", F.to_timestamp(F.col("date")))
+                        .withWatermark("_event_ts", dedup_delay)
+                        .dropDuplicatesWithinWatermark(["location", "date"])
+                        .drop("_event_ts"))
 
     def _layout(df: DataFrame) -> DataFrame:
         return df.withColumn("month", F.trunc(F.col("date"), "month")) if partition_by == "month" else df
 
-    def _trigger(w):
-        if processing_time:
-            return w.trigger(processingTime=processing_time)
-        return w.trigger(availableNow=True) if available_now else w
-
     ckpt = f"{checkpoint.rstrip('/')}/main"
-    if not quarantine_path:
-        # file sink: exactly-once through its own commit log
-        w = (_layout(good).writeStream.format("parquet").outputMode("append")
-             .option("path", out_path).option("checkpointLocation", ckpt).queryName(query_name)
-             .partitionBy(partition_by))
-        return [_trigger(w).start()]
-
-    # Two outputs from ONE read of the source: each micro-batch is persisted,
-    # split, and written under batch=<id>; a replayed batch overwrites its own
-    # folders, so every batch lands exactly once in each output.
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        # the id Spark keeps in the checkpoint: the same after a restart, another for a new checkpoint
+        stream_id = batch.sparkSession.read.json(f"{ckpt}/metadata").first()["id"]
+        folder = f"stream={stream_id}/batch={batch_id}"
+        rows = batch if keep_bad else batch.filter(has_keys(batch))
+        if quarantine_path:
+            batch.persist()
         try:
-            rows = batch if keep_bad else batch.filter(~is_bad(batch))
-            _layout(rows).write.mode("overwrite").partitionBy(partition_by) \
-                .parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
-            batch.filter(is_bad(batch)).write.mode("overwrite") \
-                .parquet(f"{quarantine_path.rstrip('/')}/batch={batch_id}")
+            _layout(rows).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+                .partitionBy(partition_by).parquet(f"{out_path.rstrip('/')}/{folder}")
+            if quarantine_path:
+                batch.filter(is_bad(batch)).write.mode("overwrite") \
+                    .parquet(f"{quarantine_path.rstrip('/')}/{folder}")
         finally:
-            batch.unpersist()
+            if quarantine_path:
+                batch.unpersist()
 
-    w = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt).queryName(query_name)
-    return [_trigger(w).start()]
+    w = (parsed.writeStream.outputMode("append").foreachBatch(write_batch)
+         .option("checkpointLocation", ckpt).queryName(query_name))
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    elif available_now:
+        w = w.trigger(availableNow=True)
+    return [w.start()]
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
@@ -165,13 +190,12 @@ def read_observations(spark: SparkSession, path: str, start=None, end=None) -> D
     ``start`` / ``end`` (inclusive days) filter ``date`` and, for the month
     layout, the ``month`` partition column too, so whole folders are pruned.
     """
-    df = spark.read.parquet(path)
+    month = [T.StructField("month", T.DateType())]
+    df = spark.read.schema(T.StructType(OBS.fields + month)).parquet(path)
     if start is not None:
         df = df.filter(F.col("date") >= F.lit(start).cast("date"))
-        if "month" in df.columns:
-            df = df.filter(F.col("month") >= F.trunc(F.lit(start).cast("date"), "month"))
+        df = df.filter(F.col("month").isNull() | (F.col("month") >= F.trunc(F.lit(start).cast("date"), "month")))
     if end is not None:
         df = df.filter(F.col("date") <= F.lit(end).cast("date"))
-        if "month" in df.columns:
-            df = df.filter(F.col("month") <= F.lit(end).cast("date"))
+        df = df.filter(F.col("month").isNull() | (F.col("month") <= F.lit(end).cast("date")))
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in OBS.fields])
