@@ -60,9 +60,9 @@ def align_to_target(pred: DataFrame) -> DataFrame:
     The prediction table stores day d's actuals beside the forecast for d + 1;
     the actual of d + 1 is in the row of origin d + 1 of the same location and
     model. A one-day-ahead RANGE frame over (location, model_version) finds it
-    without a join; a missing next day gives null.
+    without a join; a missing next day gives null (of replayed days, the smallest value).
     """
-    cols = {a: day_ahead(f"first(`{a}`)", ["location", "model_version"])
+    cols = {a: day_ahead(f"min(`{a}`)", ["location", "model_version"])
             for a, _p in TARGETS.values() if a in pred.columns}
     return pred.withColumns(cols)
 

@@ -4,9 +4,10 @@ Every function returns a small aggregated DataFrame (the chart's data, not a
 picture). Patterns used throughout:
 
 * one wide aggregation per pass (partial aggregation before the shuffle);
-* per-group statistics are joined back on the group key (null-safe); AQE
-  broadcasts them only when their runtime size is below the threshold, else
-  sort-merge. Ungrouped statistics are a scalar subquery, not a cross join;
+* per-group statistics are joined back on the group key (null-safe) and a salt: Spark
+  broadcasts them when their size is below its threshold, else a sort-merge join
+  deals the rows of one group to ``SALTS`` tasks at least. Ungrouped statistics are
+  a scalar subquery, not a cross join;
 * NaN is treated as missing (as pandas does) before any aggregate;
 * quantiles are exact (linear interpolation like numpy) from a distributed
   sort (``operators.quantiles``), so no group is gathered into one task;
@@ -17,12 +18,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.functions.exprs import label, nan_to_null, null_safe_corr
 from trendlake.operators.quantiles import quantiles, quantiles_from_ranked, rank_values
+from trendlake.session import materialize
+
+
+SALTS = 16  # tasks at least over which a group's rows are dealt in a join with its statistics
 
 
 def _num(df: DataFrame, c: str) -> Column:
@@ -52,12 +57,20 @@ def attach_stats(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
         s = stats.select(F.struct(*cols).alias("_s")).scalar()
         return df.withColumn("_stats", s).withColumns(
             {c: F.col("_stats").getField(c) for c in cols}).drop("_stats")
-    r = stats.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *cols)
-    cond = None
+    r = stats.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *cols,
+                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt_r"))
+    left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    cond = left["_salt"] == r["_salt_r"]
     for i, k in enumerate(keys):
-        e = df[k].eqNullSafe(r[f"_key_{i}"])
-        cond = e if cond is None else cond & e
-    return df.join(r, cond, "inner").drop(*[f"_key_{i}" for i in range(len(keys))])
+        cond = cond & left[k].eqNullSafe(r[f"_key_{i}"])
+    return left.join(r, cond, "inner").drop("_salt", "_salt_r", *[f"_key_{i}" for i in range(len(keys))])
+
+
+def check_names(keys: list[str], made: list[str]) -> None:
+    """A grouping column may not have the name of an output column."""
+    clash = sorted(set(keys) & set(made))
+    if clash:
+        raise ValueError(f"rename the grouping columns {clash}: the result has columns of these names")
 
 
 # ---------------------------------------------------------------- A6 describe
@@ -141,18 +154,22 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every column pair over pairwise-complete rows (A5).
 
     Tall output (row_metric, col_metric, corr), both triangles and the diagonal;
-    null for a constant column. One aggregation pass (3 sums per pair).
+    null for a constant column. The pairs are stacked in-row and aggregated by
+    pair: one narrow aggregate (kept in generated code) with partial sums, so
+    pairs × partitions rows move.
     """
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    wide = df.agg(*[null_safe_corr(_num(df, cols[i]), _num(df, cols[j])).alias(f"r{i}_{j}") for i, j in pairs])
-    rows = []
-    for i, j in pairs:
-        rows.append(F.struct(F.lit(cols[i]).alias("row_metric"), F.lit(cols[j]).alias("col_metric"),
-                             F.col(f"r{i}_{j}").alias("corr")))
-        if i != j:
-            rows.append(F.struct(F.lit(cols[j]).alias("row_metric"), F.lit(cols[i]).alias("col_metric"),
-                                 F.col(f"r{i}_{j}").alias("corr")))
-    return wide.select(F.inline(F.array(*rows)))
+    d = df.select(*[_num(df, c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    tall = d.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.col(f"_v{i}").alias("_x"),
+                                                F.col(f"_v{j}").alias("_y")) for i, j in pairs])))
+    tall = tall.filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    g = tall.groupBy("_i", "_j").agg(null_safe_corr(F.col("_x"), F.col("_y")).alias("corr"))
+    names = df.sparkSession.createDataFrame([(i, j, cols[i], cols[j]) for i, j in pairs],
+                                            "_ni int, _nj int, a string, b string")
+    out = names.join(g, (F.col("_i") == F.col("_ni")) & (F.col("_j") == F.col("_nj")), "left")
+    both = F.when(F.col("_ni") == F.col("_nj"), F.array(F.struct(F.col("a"), F.col("b")))).otherwise(
+        F.array(F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return out.select(F.inline(both).alias("row_metric", "col_metric"), "corr")
 
 
 # ------------------------------------------------------- A8 / A9 mean ± CI
@@ -186,7 +203,10 @@ def mean_ci(df: DataFrame, x: str, y: str, hue: str | None = None, z: float = 1.
         return g.withColumns({"ci_lo": F.col("mean") - half, "ci_hi": F.col("mean") + half})
     if ci != "bootstrap":
         raise ValueError("ci must be 'normal' or 'bootstrap'")
-    d = df.select(*keys, v.alias("_y")).filter(F.col("_y").isNotNull()).withColumn("_u", F.rand(seed))
+    d = df.select(*keys, v.alias("_y")).filter(F.col("_y").isNotNull())
+    # replays and other layouts draw the same: equal rows are told apart by their number among equals
+    same = Window.partitionBy(*keys, "_y").orderBy(F.lit(1))
+    d = d.withColumn("_u", F.xxhash64(*keys, "_y", F.row_number().over(same), F.lit(seed)))
     d = d.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))))
     uni = F.pmod(F.xxhash64(F.col("_u"), F.col("_b")), F.lit(1 << 53)) / F.lit(float(1 << 53))
     d = d.withColumn("_w", _poisson1(uni))
@@ -236,6 +256,8 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
         if bins == "auto":
             sqrt_width = ptp / F.sqrt(F.col("_n"))
             width = F.least(F.greatest(fd, sqrt_width / 2.0), sturges)
+            if isinstance(df.schema[x].dataType, T.IntegralType):
+                width = F.greatest(width, F.lit(1.0))  # numpy: no bin narrower than one integer
         else:  # the rule of earlier numpy releases
             width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
         nb = F.when(width > 0, F.ceil((F.col("_hi") - F.col("_lo")) / width)).otherwise(F.lit(1))
@@ -277,7 +299,7 @@ def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 
 # ------------------------------------------------------------------ A11 KDE
-def kde(df: DataFrame, x: str, hue: str | None = None, gridsize: int = 200, cut: float = 0.0,
+def kde(df: DataFrame, x: str, hue: str | list[str] | None = None, gridsize: int = 200, cut: float = 0.0,
         bw_adjust: float = 1.0, bins: int | None = None) -> DataFrame:
     """Gaussian kernel density per hue on a ``gridsize``-point support grid.
 
@@ -293,11 +315,12 @@ def kde(df: DataFrame, x: str, hue: str | None = None, gridsize: int = 200, cut:
     grid pass costs groups × bins × gridsize whatever the row count (bandwidth
     and grid still come from the exact statistics). ``None`` = exact.
     """
-    keys = [hue] if hue else []
+    keys = [hue] if isinstance(hue, str) else list(hue or [])
+    check_names(keys, ["grid", "x", "density", "bandwidth"])
     d = df.select(*keys, _num(df, x).alias("_x")).filter(F.col("_x").isNotNull())
-    vals = d.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    # group statistics from the distinct-value counts (the same shuffle output,
-    # reused): the raw input is scanned once; variance by the exact two-pass form
+    # the distinct-value counts are stored: the raw input is scanned once for the
+    # statistics and the curve; variance by the exact two-pass form
+    vals = materialize(d.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c")), "kde_values")
     m = vals.groupBy(*keys).agg(F.sum("_c").alias("_n"),
                                 (F.sum(F.col("_c") * F.col("_x")) / F.sum("_c")).alias("_mean"),
                                 F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
@@ -310,6 +333,8 @@ def kde(df: DataFrame, x: str, hue: str | None = None, gridsize: int = 200, cut:
     st = st.withColumns({"_lo": F.col("_mn") - F.lit(cut) * F.col("_h")})
     st = st.withColumn("_step", (F.col("_mx") + F.lit(cut) * F.col("_h") - F.col("_lo")) / F.lit(gridsize - 1))
     st = st.select(*keys, "_n", "_h", "_lo", "_step", "_mn", "_mx")
+    if keys:
+        st = materialize(st, "kde_statistics")  # so Spark knows its size before it plans the joins
     if bins:
         width = (F.col("_mx") - F.col("_mn")) / F.lit(int(bins))
         b = F.least(F.floor((F.col("_x") - F.col("_mn")) / width), F.lit(int(bins) - 1))
@@ -336,6 +361,7 @@ def box_stats(df: DataFrame, y: str, by: list[str] | None = None, whis: float =
     quartiles and the fence pass both read that ranking.
     """
     keys = list(by or [])
+    check_names(keys, ["n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"])
     d = df.select(*keys, _num(df, y).alias("_y")).filter(F.col("_y").isNotNull())
     if approx:
         q = quantiles(d, "_y", keys, method="approx")
@@ -347,6 +373,8 @@ def box_stats(df: DataFrame, y: str, by: list[str] | None = None, whis: float =
                  F.col("quantiles")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumns({"lo_fence": F.col("q1") - F.lit(whis) * iqr, "hi_fence": F.col("q3") + F.lit(whis) * iqr})
+    if keys and not approx:
+        q = materialize(q, "box_quartiles")  # so Spark knows its size before it plans the join
     j = attach_stats(d, q, keys)
     inside_lo, inside_hi = F.col("_y") >= F.col("lo_fence"), F.col("_y") <= F.col("hi_fence")
     return j.groupBy(*keys, "n", "q1", "median", "q3").agg(
@@ -361,12 +389,7 @@ def violin(df: DataFrame, y: str, by: list[str] | None = None, gridsize: int = 1
     """Density curve per group with its quartiles attached (A13); the violin's own
     defaults: 100 grid points, tails extended by 2 bandwidths."""
     keys = list(by or [])
-    if len(keys) > 1:
-        d = df.withColumn("_grp", F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]))
-        dens = kde(d, y, "_grp", gridsize, cut)
-        bx = box_stats(d, y, ["_grp"] + keys)
-        return attach_stats(dens, bx, ["_grp"]).drop("_grp")
-    dens = kde(df, y, keys[0] if keys else None, gridsize, cut)
+    dens = kde(df, y, keys, gridsize, cut)
     bx = box_stats(df, y, keys).select(*keys, "q1", "median", "q3")
     return attach_stats(dens, bx, keys)
 

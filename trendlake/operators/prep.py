@@ -83,11 +83,11 @@ def next_day(df: DataFrame, columns: list[str], prefix: str = "next_",
     null, like the reference's ``date == d + 1`` lookup (not ``lead``, which
     would skip the gap). It rides on the same partitioning and sort as the
     other series windows, so it adds no shuffle or sort of its own. With
-    duplicate (location, date) rows the first of the next day's rows is taken
-    (dedup beforehand for a defined pick).
+    duplicate (location, date) rows the smallest value of the next day is taken
+    in each column (nulls only if all are), so the pick is defined.
     """
     d = df.withColumn(f"{prefix}exists", day_ahead("count(1)", partition) > 0)
-    return d.withColumns({f"{prefix}{c}": day_ahead(f"first({_q(c)})", partition) for c in columns})
+    return d.withColumns({f"{prefix}{c}": day_ahead(f"min({_q(c)})", partition) for c in columns})
 
 
 def next_day_join(df: DataFrame, columns: list[str], prefix: str = "next_") -> DataFrame:

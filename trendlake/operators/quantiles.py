@@ -4,16 +4,21 @@
 in a single task; at scale one hot group (or a continuous column) would not
 fit. Here the values are ranked by a distributed sort instead:
 
-1. range-partition by (group keys, value) and sort within partitions — a hot
-   group is spread over many range partitions;
+1. the values are written once to the checkpoint folder (so sampling range bounds
+   doesn't replay the upstream plan), range-partitioned by (group keys, value) and
+   sorted within partitions — a hot group is spread over many range partitions;
 2. number rows inside each sorted partition with ``monotonically_increasing_id``
-   (partition id in the upper bits, row index in the lower 33 bits) and
-   checkpoint once, so ids are stable if anything is recomputed;
+   (partition id in the upper bits, row index in the lower 33 bits) and write
+   that ranking once, so ids are stable whatever is recomputed;
 3. per (group, partition) row counts — a table of about partitions + groups
-   rows — give each partition's first global rank by a prefix sum;
-4. only the rows at the ranks each requested probability needs are kept and
+   rows — give each partition's first global rank by a prefix sum, and tell in
+   which partition and at which index each wanted rank stands;
+4. only those few (partition, index) places are looked up among the ranked rows —
+   a join on keys that are unique, so no group gathers in one task — and
    interpolated linearly (numpy's / Spark ``percentile``'s definition).
 
+``rank_values`` and everything built on it run jobs when called, not lazily.
+
 ``method="approx"`` uses ``percentile_approx`` (bounded sketch per group).
 """
 
@@ -22,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.session import checkpoint_dir, default_parallelism
+from trendlake.session import default_parallelism, materialize
 
 _LOW33 = (1 << 33) - 1
 
@@ -42,7 +47,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 def rank_values(df: DataFrame, value: str, keys: list[str] | None = None,
                 partitions: int | None = None) -> DataFrame:
     """Non-null, non-NaN values as (keys…, ``_v``, ``_pid``, ``_idx``), range-partitioned,
-    sorted and checkpointed: the input of every exact quantile computation.
+    sorted and stored: the input of every exact quantile computation.
 
     Reusing it (moments, whiskers, …) avoids replaying the upstream plan.
     """
@@ -50,13 +55,11 @@ def rank_values(df: DataFrame, value: str, keys: list[str] | None = None,
     v = F.col(value).cast("double")
     d = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
     spark = df.sparkSession
-    checkpoint_dir(spark)
     p = partitions or max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranked = (d.repartitionByRange(p, *keys, "_v").sortWithinPartitions(*keys, "_v")
-               .withColumn("_rid", F.monotonically_increasing_id())
-               .checkpoint(eager=True))
-    return ranked.withColumns({"_pid": F.shiftright(F.col("_rid"), 33),
-                               "_idx": F.col("_rid").bitwiseAND(F.lit(_LOW33))}).drop("_rid")
+    ranked = (materialize(d, "quantile_values").repartitionByRange(p, *keys, "_v").sortWithinPartitions(*keys, "_v")
+              .withColumn("_rid", F.monotonically_increasing_id()))
+    return materialize(ranked, "quantile_ranks").withColumns({
+        "_pid": F.shiftright(F.col("_rid"), 33), "_idx": F.col("_rid").bitwiseAND(F.lit(_LOW33))}).drop("_rid")
 
 
 def quantiles_from_ranked(ranked: DataFrame, keys: list[str] | None = None,
@@ -74,11 +77,18 @@ def quantiles_from_ranked(ranked: DataFrame, keys: list[str] | None = None,
     targets = targets.withColumn("_pos", F.col("_p") * (F.col("n") - 1))
     targets = targets.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
     need = targets.withColumn("_rank", F.explode(F.array_distinct(F.array("_lo", "_hi"))))
-    ranks = _null_safe_join(ranked.select(*keys, "_pid", "_idx", "_v"),
-                            blocks.select(*keys, "_pid", "_base"), keys + ["_pid"])
-    ranks = ranks.select(*keys, (F.col("_base") + F.col("_idx")).alias("_rank"), "_v")
-    # small `need` side: the join only keeps the rows at the wanted ranks
-    hit = _null_safe_join(need, ranks, keys + ["_rank"])
+    # where each wanted rank stands: small tables on both sides
+    place = _null_safe_join(need, blocks.select(*keys, "_pid", "_base", "_first", "_c"), keys) if keys else \
+        need.join(blocks.select("_pid", "_base", "_first", "_c"),
+                  (F.col("_rank") >= F.col("_base") + F.col("_first"))
+                  & (F.col("_rank") < F.col("_base") + F.col("_first") + F.col("_c")))
+    place = place.filter((F.col("_rank") >= F.col("_base") + F.col("_first"))
+                         & (F.col("_rank") < F.col("_base") + F.col("_first") + F.col("_c")))
+    # stored, so Spark knows its size: a broadcast if small, else a join on unique keys
+    place = materialize(place.select(*keys, "n", "_i", "_pos", "_lo", "_hi", "_rank", F.col("_pid").alias("_at_pid"),
+                                     (F.col("_rank") - F.col("_base")).alias("_at_idx")), "quantile_places")
+    hit = place.join(ranked.select("_pid", "_idx", "_v"),
+                     (F.col("_at_pid") == F.col("_pid")) & (F.col("_at_idx") == F.col("_idx")))
     t = hit.groupBy(*keys, "n", "_i", "_pos", "_lo", "_hi").agg(
         F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vhi"))

@@ -96,5 +96,5 @@ def analyze(df: DataFrame, kind: str, location: str | None = None, filter_locati
     if kind == "error_analysis":
         return error_analysis(scoped)
     return {"describe": ex.describe(scoped, [c for c in ex.column_types(scoped)["numeric"]], approx=approx),
-            "describe_dates": ex.describe_dates(scoped),
+            "describe_dates": ex.describe_dates(scoped, approx=approx),
             "by_location": ex.location_stats(scoped)}

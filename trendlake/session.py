@@ -98,13 +98,20 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "trendlake", *parts, uuid.uuid4().hex])
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for the few local-only helpers in tests)."""
-    return path[5:] if path.startswith("file:") else path
+def materialize(df, name: str):
+    """``df`` written once as parquet below the checkpoint folder and read back.
+
+    Cuts the lineage (several readers don't replay the upstream plan, and a range
+    partitioning samples the stored rows), and gives Spark real sizes for its
+    broadcast decision. The write runs when this is called.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_spark", "checkpoint_dir", "default_parallelism", "scratch_path", "SESSION_DEFAULTS",
-           "local_fs_path"]
+__all__ = ["get_spark", "checkpoint_dir", "default_parallelism", "scratch_path", "materialize", "SESSION_DEFAULTS"]
 
 if __name__ == "__main__":  # pragma: no cover
     print(checkpoint_dir(get_spark(os.environ.get("MASTER", "local[2]"))))
