@@ -2,9 +2,10 @@
 
 The reference refits a boosted model (or a random forest) on all rows up to
 each origin day, for every day — O(days) full fits per location, serially on
-the driver. A fit per origin is infeasible at scale, so models are refit at
-*cutoffs* (default: every 1 January) and each scores the origins from its
-cutoff up to the next one:
+the driver. Models here are refit at *cutoffs* (default: every 1 January, and a few
+times in the first year, so that every origin from the second day on has a model;
+``refit="day"`` refits for each day as the reference does) and each scores the
+origins from its cutoff up to the next one:
 
 * training pairs: features of day j with the label of day j + 1 (``lagged``,
   default) — or, to reproduce the reference, features and label both from
@@ -13,10 +14,13 @@ cutoff up to the next one:
   model only scores origins ≥ c: no look-ahead;
 * training is pooled over locations (the reference's ``'all'`` mode);
 * every fit is a distributed MLlib job; up to ``parallelism`` fits run at once
-  from a driver thread pool. The pairs are checkpointed once to the shared
-  checkpoint folder, so refits and recovery never replay the upstream plan,
-  and spread over up to one partition per core for training.
-* origins before the first cutoff have no model → null prediction.
+  from a driver thread pool. The pairs are written once to the shared checkpoint
+  folder, sorted by day, so refits and recovery never replay the upstream plan and
+  a cutoff's training rows and its slice of origins are read by pruned scans;
+* each model scores its slice at once and the slice is written beside the pairs;
+  the result reads these files (so calling ``rolling_regression`` runs the fits);
+* origins without a model (the first day, or a failed fit) have a null prediction;
+  ``fit_error`` holds the reason of a failed fit.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 
 from trendlake.operators.prep import day_ahead
 from trendlake.schema import REGRESSION_FEATURES, REGRESSION_TARGET
-from trendlake.session import checkpoint_dir, default_parallelism
+from trendlake.session import materialize, scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -76,7 +80,7 @@ def training_pairs(obs: DataFrame, features: list[str] | None = None, target: st
     missing = [c for c in feats + [target] if c not in obs.columns]
     if missing:  # P12
         raise ValueError(f"columns not in input: {missing}")
-    d = obs.withColumns({f"_nx_{c}": day_ahead(f"first(`{c}`)") for c in feats + [target]})
+    d = obs.withColumns({f"_nx_{c}": day_ahead(f"min(`{c}`)") for c in feats + [target]})
     d = d.withColumn("_nx_exists", day_ahead("count(1)") > 0)
     asm = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
     asm_nx = VectorAssembler(inputCols=[f"_nx_{c}" for c in feats], outputCol="features_next",
@@ -113,8 +117,16 @@ def monthly_cutoffs(first: dt.date, last: dt.date) -> list[dt.date]:
         out.append(d)
 
 
+WARM_UP_DAYS = (1, 30, 182)  # refits after the first day, before the first regular one
+
+
+def with_warm_up(lo: dt.date, cutoffs: list[dt.date]) -> list[dt.date]:
+    early = [lo + dt.timedelta(days=n) for n in WARM_UP_DAYS]
+    return [d for d in early if not cutoffs or d < cutoffs[0]] + cutoffs
+
+
 def resolve_cutoffs(obs: DataFrame, refit, span: tuple | None = None) -> list[dt.date]:
-    """Cutoff days from ``refit``: ``"year"``, ``"month"`` or an explicit list.
+    """Cutoff days from ``refit``: ``"year"``, ``"month"``, ``"day"`` or an explicit list.
 
     Only the table's first and last day reach the driver (one 2-value aggregate,
     skipped when ``span`` already holds them).
@@ -125,24 +137,25 @@ def resolve_cutoffs(obs: DataFrame, refit, span: tuple | None = None) -> list[dt
     if lo is None:
         return []
     if refit == "year":
-        return yearly_cutoffs(lo, hi)
+        return with_warm_up(lo, yearly_cutoffs(lo, hi))
     if refit == "month":
-        return monthly_cutoffs(lo, hi)
-    raise ValueError("refit must be 'year', 'month' or a list of dates")
+        return with_warm_up(lo, monthly_cutoffs(lo, hi))
+    if refit == "day":
+        return [lo + dt.timedelta(days=n) for n in range(1, (hi - lo).days + 1)]
+    raise ValueError("refit must be 'year', 'month', 'day' or a list of dates")
 
 
 def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: str = "lagged",
                        features: list[str] | None = None, target: str = REGRESSION_TARGET,
                        model_version: str | None = None, parallelism: int = 4, seed: int = 42,
                        missing: str = "null", model_dir: str | None = None,
-                       rows_per_partition: int = 20000, per_location: list[str] | None = None,
-                       **params) -> DataFrame:
+                       per_location: list[str] | None = None, **params) -> DataFrame:
     """Predictions of ``target`` for day d + 1 at every (location, origin d).
 
     Output columns follow the prediction table: location, date (origin),
     target_date, ``{target}_predicted``, the day's actuals, model_version,
-    model_cutoff. ``missing="zero"`` gives 0 where the reference did (no model /
-    no next-day row); by default those are null.
+    model_cutoff, fit_error. ``missing="zero"`` gives 0 where the reference did (no
+    next-day row, or a NaN); by default those are null. Without a model: null.
 
     ``per_location``: an explicit list of locations, each with its own models
     (the reference trains per location over a literal list). Output is then
@@ -154,72 +167,68 @@ def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: st
     spark = obs.sparkSession
     if per_location is not None:
         obs = obs.filter(F.col("location").isin(list(per_location)))
-    checkpoint_dir(spark)
-    # Cut the lineage in the shared checkpoint folder, then size the training
-    # input: ~rows_per_partition rows per task, at most one task per core (AQE
-    # coalesces a small table into one partition; a big one must use them all).
-    pairs = training_pairs(obs, features, target, mode).checkpoint(eager=True)
-    # one pass over the checkpoint: row count for sizing, first/last day for cutoffs
-    n_rows, lo, hi = pairs.agg(F.count(F.lit(1)), F.min("date"), F.max("date")).first()
-    want = max(1, min(default_parallelism(spark), -(-n_rows // rows_per_partition)))
-    try:
-        have = pairs.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view on a Connect session
-        have = 0
-    if want > have:
-        pairs = pairs.repartition(want)
-    cutoffs = resolve_cutoffs(obs, refit, (lo, hi))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # whole weeks to a file, by a hash: a rerun deals the rows alike, so seeded forests repeat
+    pairs = training_pairs(obs, features, target, mode).repartition(n, F.trunc("date", "week"))
+    pairs = materialize(pairs.sortWithinPartitions("date", "location"), "regression_pairs")
+    cutoffs = resolve_cutoffs(pairs, refit)
     bounds = list(zip(cutoffs, cutoffs[1:] + [None]))
 
     groups = list(per_location) if per_location is not None else [None]
-    tasks = [(loc, c, nxt) for loc in groups for c, nxt in bounds]
+    tasks = [(loc, None, cutoffs[0] if cutoffs else None) for loc in groups]  # origins before any model
+    tasks += [(loc, c, nxt) for loc in groups for c, nxt in bounds]
+    carried = ["location", "date", "new_cases", "new_deaths", "new_vaccinations", "total_cases",
+               "total_deaths", "life_expectancy", "excess_mortality"]
+    carried = [c for c in carried if c in pairs.columns]
+    scored = scratch_path(spark, "regression_scores")
 
     def scope(df: DataFrame, loc) -> DataFrame:
         return df if loc is None else df.filter(F.col("location") == loc)
 
-    def fit(task):
-        loc, c, _ = task
-        train = scope(pairs, loc).filter(F.col("label_date").isNotNull() & (F.col("label_date") <= F.lit(c))
-                                         & F.col("label").isNotNull())
-        try:
-            m = make_estimator(model, seed, **params).fit(train)
-        except Exception as e:  # noqa: BLE001 - R4: one failed fit → null predictions, run continues
-            log.warning("fit for %s at cutoff %s failed: %s", loc or "all", c, e)
-            return None
+    def fit(loc, c):
+        train = scope(pairs, loc).filter((F.col("label_date") <= F.lit(c)) & F.col("label").isNotNull())
+        # label days are origins' days or the next ones: prunes the scan by the sorted day
+        m = make_estimator(model, seed, **params).fit(train.filter(F.col("date") <= F.lit(c)))
         if model_dir:
             from trendlake.sinks.tables import save_model
             save_model(m, model_dir, version, loc, c)
         return m
 
+    def run(numbered) -> None:
+        number, (loc, c, nxt) = numbered
+        seg = scope(pairs, loc)
+        if c is not None:
+            seg = seg.filter(F.col("date") >= F.lit(c))
+        if nxt is not None:
+            seg = seg.filter(F.col("date") < F.lit(nxt))
+        m, error = None, None
+        if c is not None:
+            try:
+                m = fit(loc, c)
+            except Exception as e:  # noqa: BLE001 - R4: a failed fit is reported, the run goes on
+                error = f"{type(e).__name__}: {e}"[:300]
+                log.warning("fit for %s at cutoff %s failed: %s", loc or "all", c, error)
+        if m is not None:
+            seg = m.setFeaturesCol("score_features").transform(seg)
+        else:
+            seg = seg.withColumn("prediction", F.lit(None).cast("double"))
+        seg = seg.select(*carried, "scorable", "prediction", F.lit(c).cast("date").alias("model_cutoff"),
+                         F.lit(error).cast("string").alias("fit_error"))
+        seg.write.parquet(f"{scored}/task={number}")
+
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted = list(pool.map(fit, tasks))
+        list(pool.map(run, enumerate(tasks)))
 
-    carried = ["location", "date", "new_cases", "new_deaths", "new_vaccinations", "total_cases",
-               "total_deaths", "life_expectancy", "excess_mortality"]
-    carried = [c for c in carried if c in pairs.columns]
-    parts = []
-    for (loc, c, nxt), m in zip(tasks, fitted):
-        seg = scope(pairs, loc).filter((F.col("date") >= F.lit(c))
-                                       & ((F.col("date") < F.lit(nxt)) if nxt else F.lit(True)))
-        if m is None:
-            seg = seg.select(*carried, "scorable", F.lit(None).cast("double").alias("prediction"))
-        else:
-            seg = (m.setFeaturesCol("score_features").transform(seg)
-                   .select(*carried, "scorable", "prediction"))
-        parts.append(seg.withColumn("model_cutoff", F.lit(c)))
-    first = cutoffs[0] if cutoffs else None
-    early = pairs if first is None else pairs.filter(F.col("date") < F.lit(first))
-    parts.append(early.select(*carried, "scorable", F.lit(None).cast("double").alias("prediction"),
-                              F.lit(None).cast("date").alias("model_cutoff")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    schema = pairs.select(*carried, "scorable", F.lit(0.0).alias("prediction"),
+                          F.lit(None).cast("date").alias("model_cutoff"),
+                          F.lit(None).cast("string").alias("fit_error")).schema
+    out = spark.read.schema(schema).parquet(scored)
     pred = F.when(F.col("scorable"), F.col("prediction"))
     if missing == "zero":
-        pred = F.coalesce(F.nanvl(pred, F.lit(0.0)), F.lit(0.0))
+        pred = F.when(~F.col("scorable") | F.isnan("prediction"), F.lit(0.0)).otherwise(F.col("prediction"))
     return out.select(
         "location", "date", F.date_add("date", 1).alias("target_date"),
         pred.alias(f"{target}_predicted"),
         *[F.col(c).alias(f"{c}_actual") for c in ("new_cases", "new_deaths", "new_vaccinations") if c in carried],
         *[c for c in ("total_cases", "total_deaths", "life_expectancy", "excess_mortality") if c in carried],
-        F.lit(version).alias("model_version"), "model_cutoff")
+        F.lit(version).alias("model_version"), "model_cutoff", "fit_error")

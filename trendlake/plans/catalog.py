@@ -373,6 +373,17 @@ def q_gbt_deaths(spark, sf_dir):
     return _regression(spark, sf_dir, "gbt")
 
 
+@register("rf_deaths_frame")
+def q_rf_deaths_frame(spark, sf_dir):
+    """What SQL can state of the forest's backtest — each origin's target day, model cutoff,
+    actuals, and whether it has a prediction (a small forest: the values are not compared)."""
+    from trendlake.operators.regress import rolling_regression
+    from trendlake.plans.jobs import prepped
+    out = rolling_regression(prepped(observations(spark, sf_dir)), "rf", num_trees=3)
+    return out.select("location", "date", "target_date", "model_cutoff", "new_cases_actual", "new_deaths_actual",
+                      F.col("new_deaths_predicted").isNotNull().alias("predicted"))
+
+
 @register("forecast_pooled")
 def q_forecast_pooled(spark, sf_dir):
     """W2 in the pooled 'all' mode (Q7): one series over every location's rows, scored per row."""

@@ -78,7 +78,9 @@ def backtest(obs: DataFrame, locations=None, models: tuple[str, ...] = ("trend_d
     ``models``: ``"trend_dow"`` (windowed W2 forecast of all targets), ``"rf"`` and
     ``"gbt"`` (MLlib regressions of new_deaths at refit cutoffs).
     ``combine=True`` joins W2 cases with the first regression's deaths into the
-    reference's single ``combined_model_v1`` row per (location, origin).
+    reference's single ``combined_model_v1`` row per input row; the regression then
+    pairs, zero-fills and (for a list of locations) trains per location as the
+    reference does, unless ``regress_kwargs`` say otherwise.
     ``model_dir`` saves the fitted models: the windowed model's state table under
     ``trend_dow/`` and each regression's MLlib models (S11).
     """
@@ -95,6 +97,10 @@ def backtest(obs: DataFrame, locations=None, models: tuple[str, ...] = ("trend_d
                 write_coefficients(state, f"{model_dir.rstrip('/')}/trend_dow")
         elif m in rg.MODELS:
             kw = dict(regress_kwargs or {})
+            if combine:  # the reference's pairing, its zeros, and its models per listed location
+                kw = {"mode": "next_day", "missing": "zero"} | kw
+                if isinstance(locations, (list, tuple)):
+                    kw.setdefault("per_location", list(locations))
             if model_dir:
                 kw.setdefault("model_dir", model_dir)
             r = rg.rolling_regression(prepped(obs, locations), model=m, **kw)
@@ -102,16 +108,16 @@ def backtest(obs: DataFrame, locations=None, models: tuple[str, ...] = ("trend_d
         else:
             raise ValueError(f"unknown model {m!r}")
     if combine:
-        w2 = forecast_predictions(obs, locations, reference_mode=True)
+        w2 = forecast_predictions(obs, locations, reference_mode=True, seasonality=seasonality)
         reg = [p for m, p in zip(models, parts) if m != "trend_dow"]
         if not reg:
             raise ValueError("combine=True needs a regression model")
-        deaths = reg[0].select("location", "date", F.col("new_deaths_predicted").alias("_deaths"),
-                               "model_cutoff")
-        comb = (w2.drop("new_deaths_predicted", "model_cutoff")
-                  .join(deaths, ["location", "date"], "left")
-                  .withColumn("new_deaths_predicted", F.coalesce(F.col("_deaths"), F.lit(0.0)))
-                  .withColumn("model_version", F.lit(REFERENCE_MODEL_VERSION)))
+        # one row per day on the right: replayed days don't multiply the rows
+        deaths = reg[0].groupBy(F.col("location").alias("_loc"), F.col("date").alias("_day")).agg(
+            F.min("new_deaths_predicted").alias("_deaths"), F.max("model_cutoff").alias("_cutoff"))
+        comb = (w2.join(deaths, w2["location"].eqNullSafe(F.col("_loc")) & (w2["date"] == F.col("_day")), "left")
+                  .withColumns({"new_deaths_predicted": F.col("_deaths"), "model_cutoff": F.col("_cutoff"),
+                                "model_version": F.lit(REFERENCE_MODEL_VERSION)}))
         return to_prediction_schema(comb)
     out = parts[0]
     for p in parts[1:]:

@@ -346,6 +346,20 @@ union all
 select case when day(date) = 1 then null else location end, null, null, null, 'quarantine', count(*)
 from o where day(date) <= 3 group by 1"""
 
+SQL["rf_deaths_frame"] = f"""
+with {OBS_CTE},
+o as (select location, date, coalesce(new_cases, 0) as new_cases, coalesce(new_deaths, 0) as new_deaths from obs),
+span as (select min(date) as lo, max(date) as hi from o),
+yearly as (select make_date(y, 1, 1) as c from span, generate_series(year(lo) + 1, year(hi)) t(y)),
+early as (select cast(lo + n as date) as c from span, (values (1), (30), (182)) t(n)
+          where cast(lo + n as date) < coalesce((select min(c) from yearly), date '9999-01-01')),
+cuts as (select c from yearly union select c from early),
+labelled as (select min(b.date) as d from o a join o b on a.location = b.location and b.date = a.date + 1),
+m as (select location, date, new_cases, new_deaths, (select max(c) from cuts where c <= date) as c from o)
+select location, date, cast(date + 1 as date) as target_date, c as model_cutoff, new_cases as new_cases_actual,
+       new_deaths as new_deaths_actual, coalesce(c >= (select d from labelled), false) as predicted
+from m"""
+
 SQL["forecast_pooled"] = f"""
 with {OBS_CTE},
 s as (select date, coalesce(new_cases, 0) as y,
