@@ -16,7 +16,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from trendlake.schema import ANALYSIS_KINDS
+from trendlake.schema import ANALYSIS_KINDS, CHART_KINDS
 from trendlake.session import checkpoint_dir, get_spark
 
 
@@ -64,9 +64,17 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--location")
     p.add_argument("--filter-location", action="store_true")
     p.add_argument("--approx", action="store_true", help="approximate quartiles (bounded memory)")
+    p.add_argument("--metric", help="metric to compare (data_analysis)")
+    p.add_argument("--chart", choices=CHART_KINDS, help="chart type (interactive)")
+    p.add_argument("--x", help="x column (interactive)")
+    p.add_argument("--y", help="y column (interactive)")
+    p.add_argument("--color", help="colour column (interactive)")
+    p.add_argument("--ci", choices=["normal", "bootstrap"], help="interval of line and bar charts (interactive)")
     p.add_argument("--out", required=True)
 
     a = ap.parse_args(argv)
+    if a.cmd == "analyze" and a.kind == "interactive" and not (a.chart and a.x):
+        ap.error("--kind interactive needs --chart and --x")
     spark = get_spark(a.master)
     checkpoint_dir(spark)
 
@@ -101,9 +109,11 @@ def main(argv: list[str] | None = None) -> int:
         write_predictions(out, a.predictions)
     elif a.cmd == "analyze":
         from trendlake.plans.analyze import analyze, load
-        df = load(spark, a.predictions)
-        for name, res in analyze(df, a.kind, a.location, a.filter_location, approx=a.approx).items():
+        df = load(spark, a.predictions)  # kept in memory until the command ends
+        for name, res in analyze(df, a.kind, a.location, a.filter_location, approx=a.approx, metric=a.metric,
+                                 chart=a.chart, x=a.x, y=a.y, color=a.color, ci=a.ci).items():
             res.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
+        df.unpersist()
     return 0
 
 

@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlake.functions.exprs import label
 from trendlake.operators import evaluate as ev
 from trendlake.operators import explore as ex
 from trendlake.operators.prep import filter_locations
 from trendlake.schema import ANALYSIS_KINDS, CHART_KINDS, COMPARE_METRICS, CORR_COLUMNS
+from trendlake.session import materialize
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -42,7 +44,7 @@ def chart_data(df: DataFrame, kind: str, x: str, y: str | None = None, color: st
     if kind in ("line", "bar"):
         return ex.mean_ci(df, x, y, color, ci=ci)
     if kind == "histogram":
-        return ex.histogram(df, x, color)
+        return histogram_with_density(df, x, color)
     if kind == "box":
         return ex.box_stats(df, y, [c for c in (x, color) if c])
     if kind == "area":
@@ -50,6 +52,27 @@ def chart_data(df: DataFrame, kind: str, x: str, y: str | None = None, color: st
     return ex.violin(df, y, [c for c in (x, color) if c])
 
 
+def histogram_with_density(df: DataFrame, x: str, color: str | None = None) -> DataFrame:
+    """Histogram bars and the density curve drawn over them (D4), as rows of ``part`` "bar" (bin, from, to,
+    count) and "curve" (grid point, its place, the density scaled to counts: density × n × bin width).
+
+    A non-numeric ``x`` has bars only (one per category, in ``category``)."""
+    keys = [color] if color else []
+    if not isinstance(df.schema[x].dataType, T.NumericType):
+        bars = ex.histogram(df, x, color)
+        return bars.select(*keys, F.lit("bar").alias("part"), F.col(x).cast("string").alias("category"),
+                           F.lit(None).cast("int").alias("i"), F.lit(None).cast("double").alias("lo"),
+                           F.lit(None).cast("double").alias("hi"), F.col("count").cast("double").alias("height"))
+    bars = materialize(ex.histogram(df, x, color), "histogram_bars")
+    scale = bars.groupBy(*keys).agg((F.sum("count") * F.max(F.col("bin_hi") - F.col("bin_lo"))).alias("_scale"))
+    curve = ex.attach_stats(ex.kde(df, x, color), scale, keys)
+    none = F.lit(None).cast("string").alias("category")
+    return bars.select(*keys, F.lit("bar").alias("part"), none, F.col("bin").alias("i"), F.col("bin_lo").alias("lo"),
+                       F.col("bin_hi").alias("hi"), F.col("count").cast("double").alias("height")).unionByName(
+        curve.select(*keys, F.lit("curve").alias("part"), none, F.col("grid").alias("i"), F.col("x").alias("lo"),
+                     F.col("x").alias("hi"), (F.col("density") * F.col("_scale")).alias("height")))
+
+
 def error_analysis(df: DataFrame, align: str = "target") -> dict[str, DataFrame]:
     """Error series and their distributions."""
     d = ev.align_to_target(df) if align == "target" else df
@@ -88,11 +111,14 @@ def analyze(df: DataFrame, kind: str, location: str | None = None, filter_locati
                                               "total_deaths", "new_vaccinations_actual"]),
             "excess_mortality_by_location": ex.mean_ci(scoped, "date", "excess_mortality", "location"),
             "correlation": ex.corr_matrix(scoped, CORR_COLUMNS),
-            "compare": compare(scoped, chart.get("metric", COMPARE_METRICS[0])),
+            "compare": compare(scoped, chart.get("metric") or COMPARE_METRICS[0]),
         }
     if kind == "interactive":
+        lacking = [n for n in ("chart", "x") if not chart.get(n)]
+        if lacking:
+            raise ValueError(f"the interactive analysis needs {lacking}")
         return {"chart": chart_data(scoped, chart["chart"], chart["x"], chart.get("y"), chart.get("color"),
-                                    chart.get("ci", "normal"))}
+                                    chart.get("ci") or "normal")}
     if kind == "error_analysis":
         return error_analysis(scoped)
     return {"describe": ex.describe(scoped, [c for c in ex.column_types(scoped)["numeric"]], approx=approx),

@@ -431,3 +431,61 @@ def q_eval_reference_mode(spark, sf_dir):
     pred = forecast_predictions(observations(spark, sf_dir), reference_mode=True)
     return _round_doubles(ev.evaluate(pred, by=["model_version"], align="origin"))
 
+
+
+# ------------------------------------------------------------- dashboard analyses
+@register("filter_location")
+def q_filter_location(spark, sf_dir):
+    """The observations of some locations."""
+    from trendlake.operators.prep import filter_locations
+    d = filter_locations(observations(spark, sf_dir), ["CANADA", "MOROCCO", "NATION_0", "NATION_1"])
+    return _round_doubles(d.select("location", "date", "new_cases"))
+
+
+@register("actual_vs_predicted")
+def q_actual_vs_predicted(spark, sf_dir):
+    """Complete (actual, predicted) pairs of the location with the smallest name, every model."""
+    from trendlake.operators.explore import locations
+    p = w2_predictions(spark, sf_dir)
+    first = locations(p).first()[0]
+    return _round_doubles(ev.actual_vs_predicted(p, first))
+
+
+@register("describe_dates")
+def q_describe_dates(spark, sf_dir):
+    """The date part of describe()."""
+    from trendlake.operators.explore import describe_dates
+    d = describe_dates(w2_predictions(spark, sf_dir), ["date", "target_date"])
+    return d.select("metric", "count", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+                                         for c in ("min", "q25", "q50", "q75", "max")])
+
+
+@register("compare_metric")
+def q_compare_metric(spark, sf_dir):
+    """D3: one of the six metrics by date and location with its label."""
+    from trendlake.plans.analyze import compare
+    return _round_doubles(compare(w2_predictions(spark, sf_dir), "excess_mortality").select(
+        "date", "location", "n", "mean", "label"))
+
+
+@register("error_distribution")
+def q_error_distribution(spark, sf_dir):
+    """The density of the cases error, from the error analysis."""
+    from trendlake.plans.analyze import error_analysis
+    return _round_doubles(error_analysis(w2_predictions(spark, sf_dir))["cases_error_kde"])
+
+
+@register("chart_histogram_kde")
+def q_chart_histogram_kde(spark, sf_dir):
+    """The interactive histogram: bars, and the density curve scaled to counts."""
+    from trendlake.plans.analyze import chart_data
+    d = chart_data(events(spark, sf_dir), "histogram", "value", color="event_type")
+    return _round_doubles(d.drop("category"))
+
+
+@register("analyze_predictions")
+def q_analyze_predictions(spark, sf_dir):
+    """The metrics table of the predictions analysis, shown with two decimals."""
+    from trendlake.plans.analyze import analyze
+    d = analyze(w2_predictions(spark, sf_dir), "predictions")["metrics_by_location"]
+    return _round_doubles(d, 4)

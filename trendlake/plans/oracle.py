@@ -234,7 +234,7 @@ SQL["mean_ci_by_date"] = _mean_ci_sql(
 SQL["bar_by_segment"] = _mean_ci_sql("", "customer", ["c_mktsegment"], "c_acctbal")
 
 
-def _hist_sql(src_cte: str, hue: str | None, bins: str | int) -> str:
+def _hist_sql(src_cte: str, hue: str | None, bins: str | int, digits: int = 6) -> str:
     hk = f"{hue}, " if hue else ""
     if bins == "auto":
         nb = """cast(case when w > 0 then ceil((hi - lo) / w) else 1 end as int)"""
@@ -265,8 +265,8 @@ lv as ({'select distinct ' + hue + ' from d' if hue else 'select 1 as one'}),
 allb as (select {'lv.' + hue + ', ' if hue else ''}cast(unnest(range(0, st4.nb)) as int) as bin, st4.lo, st4.hi, st4.nb
          from lv join st4 on true)
 select {'allb.' + hue + ', ' if hue else ''}allb.bin,
-       round(case when allb.bin >= nb then hi else allb.bin * ((hi - lo) / nb) + lo end, 6) as bin_lo,
-       round(case when allb.bin + 1 >= nb then hi else (allb.bin + 1) * ((hi - lo) / nb) + lo end, 6) as bin_hi,
+       round(case when allb.bin >= nb then hi else allb.bin * ((hi - lo) / nb) + lo end, {digits}) as bin_lo,
+       round(case when allb.bin + 1 >= nb then hi else (allb.bin + 1) * ((hi - lo) / nb) + lo end, {digits}) as bin_hi,
        cast(coalesce(c.n, 0) as bigint) as count
 from allb left join c on allb.bin = c.bin{' and allb.' + hue + ' is not distinct from c.' + hue if hue else ''}"""
 
@@ -410,3 +410,40 @@ ref as (select location, date, model_version,
                new_cases_actual, new_deaths_actual, new_vaccinations_actual from pred)
 {_metrics_sql('ref', ['model_version'])}"""
 
+
+
+# ------------------------------------------------------------- dashboard analyses
+SQL["filter_location"] = f"""with {OBS_CTE} select location, date, new_cases from obs
+where location in ('CANADA', 'MOROCCO', 'NATION_0', 'NATION_1')"""
+SQL["actual_vs_predicted"] = f"""with {PRED_CTE}
+select date, model_version, new_cases_actual as actual, round(new_cases_predicted, 6) as predicted from pred
+where location = (select min(location) from pred) and new_cases_actual is not null and new_cases_predicted is not null"""
+
+
+def _date_stat(expr: str, name: str) -> str:
+    # a fractional day number as a time of day
+    return f"strftime(timestamp '1970-01-01' + to_seconds(cast(round(({expr}) * 86400) as bigint)), '%Y-%m-%d %H:%M:%S') as {name}"
+
+
+SQL["describe_dates"] = f"with {PRED_CTE}, n as (select date - date '1970-01-01' as a, target_date - date '1970-01-01' as b from pred) " + \
+    " union all ".join(f"select '{name}' as metric, count({c}) as count, " + ", ".join(
+        _date_stat(e, o) for e, o in ((f"min({c})", "min"), (f"quantile_cont({c}, 0.25)", "q25"),
+                                      (f"quantile_cont({c}, 0.5)", "q50"), (f"quantile_cont({c}, 0.75)", "q75"),
+                                      (f"max({c})", "max"))) + " from n"
+                       for name, c in (("date", "a"), ("target_date", "b")))
+SQL["compare_metric"] = f"""with {PRED_CTE}
+select date, location, count(excess_mortality) as n, round(avg(excess_mortality), 6) as mean, 'Excess Mortality' as label
+from pred group by date, location"""
+SQL["error_distribution"] = f"""with {PRED_CTE}, {ALIGNED_CTE},
+d as (select 'all' as event_type, new_cases_predicted - new_cases_actual as x from aligned
+      where new_cases_predicted - new_cases_actual is not null), {_kde_sql(0.0, 200)}
+select grid, round(x, 6) as x, round(density, 6) as density, round(bandwidth, 6) as bandwidth from kde"""
+SQL["chart_histogram_kde"] = f"""with h as ({_hist_sql(_EV_D, "event_type", "auto", 15)}),
+curve as (with {_EV_D}, {_kde_sql(0.0, 200)} select * from kde),
+s as (select event_type, sum(count) * max(bin_hi - bin_lo) as scale from h group by event_type)
+select event_type, 'bar' as part, bin as i, round(bin_lo, 6) as lo, round(bin_hi, 6) as hi, cast(count as double) as height from h
+union all
+select curve.event_type, 'curve', grid, round(x, 6), round(x, 6), round(density * scale, 6)
+from curve join s on curve.event_type is not distinct from s.event_type"""
+SQL["analyze_predictions"] = f"""select location, model_version, target, n, round(rmse, 4) as rmse, round(mae, 4) as mae, round(r2, 4) as r2
+from (with {PRED_CTE}, {ALIGNED_CTE} {_metrics_sql('aligned', ['location', 'model_version'])})"""
