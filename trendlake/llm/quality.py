@@ -11,7 +11,7 @@ near copies that share their main passage, doesn't turn its own text into
 boilerplate, while a footer below thousands of different bodies does.
 
 Plan: all expressions are Spark's own. Lines are hashed inside the row, exploded
-to (host, hash, document key), pre-aggregated before each shuffle and counted in
+to (host, hash, document key, place), stored (numbers only), pre-aggregated before each shuffle and counted in
 two steps (distinct documents, then a count), so neither a hot host nor a hot line
 gathers its rows in one task. The lines above the limit are stored; their join
 back is broadcast only if Spark finds the stored table small, else it is a
@@ -89,14 +89,17 @@ def base_columns(text: Column) -> dict[str, Column]:
 
 
 def document_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """One row per line with a word: ``_id``, ``_host``, ``_key``, ``_main``, ``h``, ``w``."""
-    entries = F.transform(lines_with_words(F.col(text)), lambda x: F.struct(
-        F.size(words(x)).alias("w"), normalised(x).alias("line")))
+    """One row per line with a word: ``_id``, ``_host``, ``_key``, ``_main``, ``at`` (its place among all
+    lines), ``h``, ``w`` (words)."""
+    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x, i: F.struct(
+        i.alias("at"), F.btrim(x, F.lit(WS)).alias("line")))
+    entries = F.transform(F.filter(lines, lambda x: x["line"] != ""), lambda x: F.struct(
+        F.size(F.split(x["line"], WS_RUN)).alias("w"), normalised(x["line"]).alias("line"), x["at"].alias("at")))
     d = docs.select(F.col("doc_id").alias("_id"), F.col(host).alias("_host"),
                     text_key(F.col(text)).alias("_key"),
                     let(entries, lambda e: F.struct(F.xxhash64(F.array_max(e)["line"]).alias("main"), e.alias("e"))).alias("_l"))
     d = d.select("_id", "_host", "_key", F.col("_l.main").alias("_main"), F.inline("_l.e"))
-    return d.select("_id", "_host", "_key", "_main", F.xxhash64("line").alias("h"), "w")
+    return d.select("_id", "_host", "_key", "_main", "at", F.xxhash64("line").alias("h"), "w")
 
 
 def boilerplate_lines(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
@@ -108,39 +111,35 @@ def boilerplate_lines(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
 
 def removed_lines(docs: DataFrame, text: str = "text", host: str = "source",
                   max_docs: int = MAX_DOCS) -> DataFrame:
-    """Per document with a line above the limit: ``_id``, ``_host``, ``_key`` and ``removed``
-    (hashes). Repeated rows give one row here."""
-    lines = document_lines(docs, text, host)
+    """Per document with a line above the limit: ``_id``, ``_host``, ``_key`` and ``removed`` (places and
+    words of these lines). Repeated rows give one row here."""
+    lines = stored(document_lines(docs, text, host), "document_lines")
     frequent = stored(boilerplate_lines(lines, max_docs).select(F.col("_host").alias("_fh"), F.col("h").alias("_f")),
                       "frequent_lines")
     hit = lines.join(frequent, lines["_host"].eqNullSafe(frequent["_fh"]) & (lines["h"] == frequent["_f"]))
-    return hit.groupBy("_id", "_host", "_key").agg(F.collect_set("h").alias("removed"))
+    return hit.groupBy("_id", "_host", "_key").agg(F.collect_set(F.struct("at", "w")).alias("removed"))
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", max_docs: int = MAX_DOCS,
           min_left: float = MIN_LEFT, carry: list[str] | None = None) -> DataFrame:
     """One row per document: ``_id``, ``_key``, the base columns, ``base_failed``, ``n_removed_lines``,
-    ``words_left``, ``removed`` (hashes of its removed lines) and ``kept``; plus ``carry`` columns of ``docs``.
+    ``words_left``, ``removed`` (null: no line) and ``kept``; plus ``carry`` columns of ``docs``.
     """
     removed = removed_lines(docs, text, host, max_docs).select(
         F.col("_id").alias("_rid"), F.col("_host").alias("_rhost"), F.col("_key").alias("_rkey"), "removed")
-    entries = F.transform(lines_with_words(F.col(text)), lambda x: F.struct(
-        F.xxhash64(normalised(x)).alias("h"), F.size(words(x)).alias("w")))
     base = docs.select(*[F.col(c) for c in carry or []], F.col("doc_id").alias("_id"),
                        F.col(host).alias("_host"), text_key(F.col(text)).alias("_key"),
-                       *[c.alias(f"_{n}") for n, c in base_columns(F.col(text)).items()],
-                       entries.alias("_lines"))
+                       *[c.alias(f"_{n}") for n, c in base_columns(F.col(text)).items()])
     j = base.join(removed, base["_id"].eqNullSafe(removed["_rid"]) & base["_host"].eqNullSafe(removed["_rhost"])
                   & (base["_key"] == removed["_rkey"]), "left")
-    gone = F.when(F.col("removed").isNull(), F.array().cast("array<struct<h:bigint,w:int>>")).otherwise(
-        F.filter("_lines", lambda e: F.array_contains(F.col("removed"), e["h"])))
-    j = j.withColumn("_gone", gone).withColumns({
-        "n_removed_lines": F.size("_gone").cast("long"),
-        "words_left": F.col("_n_words") - F.aggregate("_gone", F.lit(0).cast("long"), lambda a, e: a + e["w"]),
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, e: a + e["w"])
+    j = j.withColumns({
+        "n_removed_lines": F.coalesce(F.when(F.col("removed").isNotNull(), F.size("removed")), F.lit(0)).cast("long"),
+        "words_left": F.col("_n_words") - F.coalesce(gone, F.lit(0)),
         "base_failed": (F.col("_n_words") < MIN_WORDS)
         | (100 * F.col("_n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_n_words"))})
     return j.withColumn("kept", ~F.col("base_failed") & (F.col("words_left") >= min_left * F.col("_n_words"))) \
-        .drop("_rid", "_rhost", "_rkey", "_gone", "_lines")
+        .drop("_rid", "_rhost", "_rkey")
 
 
 def line_frequency_quality(docs: DataFrame, **options) -> DataFrame:
@@ -159,8 +158,8 @@ def clean(docs: DataFrame, text: str = "text", host: str = "source", max_docs: i
                           *[F.col(c).alias(n) for c, n in (("doc_id", "doc_id"), (text, "_text"), (host, "_source"))])
     names = [f"_c{i}" for i in range(len(docs.columns))]
     j = judge(renamed, "_text", "_source", max_docs, min_left, carry=[*names, "_text"]).filter("kept")
-    rest = F.array_join(F.filter(F.split("_text", "\n"), lambda x: (F.btrim(x, F.lit(WS)) == "")
-                                 | ~F.array_contains(F.col("removed"), F.xxhash64(normalised(x)))), "\n")
+    rest = let(F.transform("removed", lambda e: e["at"]), lambda places: F.array_join(
+        F.filter(F.split("_text", "\n"), lambda x, i: ~F.array_contains(places, i)), "\n"))
     new = F.when(F.col("removed").isNull(), F.col("_text")).otherwise(rest)
     made = {text: new, "n_chars": F.length(new).cast(dict(docs.dtypes).get("n_chars", "bigint"))}
     return j.select(*[made.get(c, F.col(n)).alias(c) for c, n in zip(docs.columns, names)])
