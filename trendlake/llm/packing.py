@@ -29,6 +29,8 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import functools
+import json
 import re
 import zlib
 from collections import deque
@@ -61,25 +63,32 @@ class Encoder:
     white space; such texts are encoded whole.
     """
 
-    REMEMBERED = 400_000
+    REMEMBERED = 200_000
 
     def __init__(self, vocabulary: str, ranks: str | None, pattern: str | None):
-        from tokenizers import Tokenizer
-        self.slow = Tokenizer.from_file(vocabulary)
-        self.fast = None
+        self.vocabulary, self.fast = vocabulary, None
         self.known: dict[str, bytes] = {}
-        self.special = [str(t.content) for t in self.slow.get_added_tokens_decoder().values()]
+        with open(vocabulary, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
         if ranks:
             import tiktoken
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        n = self.slow.get_vocab_size()
-        self.ends, self.spaced = np.zeros(n, np.bool_), np.zeros(n, np.bool_)
-        for text, i in self.slow.get_vocab().items():
-            # in the byte alphabet a line feed is written as U+010A and a space as U+0120
-            self.ends[i] = text.rstrip("\"')")[-1:] in (".", "!", "?", "\u010a")
-            self.spaced[i] = text[:1] == "\u0120"
+            pieces = {i: t for t, i in table.items()}
+        else:  # in the byte alphabet of such vocabularies a line feed is U+010A and a space U+0120
+            pieces = {i: t.replace("\u010a", "\n").replace("\u0120", " ").encode() for t, i in self.slow.get_vocab().items()}
+        self.ends = np.zeros(max(pieces) + 1 + len(self.special), np.bool_)
+        self.spaced = self.ends.copy()
+        for i, piece in pieces.items():
+            self.ends[i] = piece.rstrip(b"\"')")[-1:] in (b".", b"!", b"?", b"\n")
+            self.spaced[i] = piece[:1] == b" "
+
+    @functools.cached_property
+    def slow(self):
+        """The tokenizers' own; loaded only where a text needs it."""
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.vocabulary)
 
     def __call__(self, text: str | None) -> np.ndarray:
         text = text or ""
