@@ -220,9 +220,12 @@ def keep_first(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with one row per component: that of its smallest doc_id (then text key)."""
     found = near_duplicates(docs, text, **options)
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("s"))
-    first = first.select(F.col("s.doc_id").alias("_keep"), F.col("s.key").alias("_key"))
+    # plain equalities, so the join and the removal of repeated rows share one shuffle of the texts
+    def row(doc_id: Column, key: Column) -> list[Column]:
+        return [F.coalesce(doc_id, F.lit(0)).alias("_d"), doc_id.isNull().alias("_n"), key.alias("_k")]
+
     named = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)],
-                        F.col("doc_id").alias("_id"), text_key(F.col(text)).alias("_k"))
-    kept = named.join(first, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_k") == F.col("_key")), "left_semi")
-    kept = kept.dropDuplicates(["_id", "_k"])
+                        *row(F.col("doc_id"), text_key(F.col(text))))
+    kept = named.join(first.select(*row(F.col("s.doc_id"), F.col("s.key"))), ["_d", "_n", "_k"], "left_semi")
+    kept = kept.dropDuplicates(["_d", "_n", "_k"])
     return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
