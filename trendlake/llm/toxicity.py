@@ -45,7 +45,7 @@ FILTERS = 8  # of each width
 PREFIXES = (4, 5, 7)  # bytes
 PRIOR = 2.0  # documents a bucket is taken to have been seen in beforehand
 TRAIN_ROWS = 3000  # of each class
-TRAIN_CHARS = 50_000
+TRAIN_CHARS = 20_000
 EPOCHS = 4
 BATCH = 32
 RATE = 0.05
@@ -186,7 +186,7 @@ def start_model(ids: list[np.ndarray], y: np.ndarray, rng: np.random.Generator)
 def fit(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, seed: int = 1) -> Model:
     """Stochastic gradients with per-weight rates (Adagrad); only the words where a maximum begins move."""
     rng = np.random.default_rng(seed)
-    ids = [np.concatenate([i for _, i, _, _ in units([t])]) for t in texts]
+    ids = [np.concatenate([i for _, i, _, _ in units([t])]).astype(np.int32) for t in texts]
     model = start_model(ids, y, rng)
     seen = {id(p): np.full(p.shape, 0.1, np.float32) for p in (model.embedding, model.weights, *model.filters.values())}
 
