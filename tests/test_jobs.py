@@ -200,3 +200,64 @@ def test_summary_statistics_approx(spark):
         assert r["count"] == approx[m]["count"] and r.mean == pytest.approx(approx[m].mean)
         if r.q50 is not None:
             assert r.min <= approx[m].q50 <= r.max
+
+
+def _short_series(spark, days=12, replay=False):
+    import datetime as dt
+    rows = [("A", dt.date(2020, 1, 1) + dt.timedelta(days=k), float(k * k % 11), float(k * 2 % 7)) for k in range(days)]
+    if replay:
+        rows.append(rows[5])
+    df = spark.createDataFrame(rows, "location string, date date, new_cases double, new_deaths double")
+    zero = {c: F.lit(1.0) for c in ("total_cases", "total_deaths", "life_expectancy", "excess_mortality", "new_vaccinations",
+                                    "total_vaccinations", "people_vaccinated", "people_fully_vaccinated")}
+    return df.withColumns(zero)
+
+
+def test_daily_refits_score_every_origin_from_the_second_day(spark):
+    from trendlake.operators.regress import rolling_regression
+    got = rolling_regression(_short_series(spark), "rf", refit="day", num_trees=2, max_depth=2).orderBy("date").collect()
+    assert [r.new_deaths_predicted is not None for r in got] == [False] + [True] * 11
+    assert all(r.model_cutoff == r.date for r in got[1:])
+
+
+def test_failed_fits_give_their_reason(spark):
+    from trendlake.operators.regress import rolling_regression
+    import datetime as dt
+    got = rolling_regression(_short_series(spark), "rf", refit=[dt.date(2020, 1, 1), dt.date(2020, 1, 5)],
+                             num_trees=2, max_depth=2).orderBy("date").collect()
+    assert all(r.fit_error and r.new_deaths_predicted is None for r in got if r.date < dt.date(2020, 1, 5))
+    assert all(r.fit_error is None and r.new_deaths_predicted is not None for r in got if r.date >= dt.date(2020, 1, 5))
+
+
+def test_combined_rows_are_not_multiplied_by_replayed_days_and_follow_seasonality(spark):
+    obs = _short_series(spark, days=60, replay=True)
+    kw = {"num_trees": 2, "max_depth": 2}
+    weekly = jobs.backtest(obs, models=("rf",), combine=True, regress_kwargs=kw)
+    assert weekly.count() == 61
+    yearly = jobs.backtest(obs, models=("rf",), combine=True, regress_kwargs=kw, seasonality=("weekly", "yearly"))
+    a = {r.date: r.new_cases_predicted for r in weekly.collect()}
+    b = {r.date: r.new_cases_predicted for r in yearly.collect()}
+    assert any(abs(a[d] - b[d]) > 1e-9 for d in a)
+
+
+def test_predictions_of_other_locations_survive_a_run_of_one(spark, tmp_dir):
+    from trendlake.sinks.tables import read_predictions, write_predictions
+    p = jobs.forecast_predictions(_short_series(spark))
+    write_predictions(p, f"{tmp_dir}/p")
+    write_predictions(p.withColumn("location", F.lit("B")), f"{tmp_dir}/p")
+    write_predictions(p.withColumn("location", F.lit("B")), f"{tmp_dir}/p")
+    assert read_predictions(spark, f"{tmp_dir}/p", dedup=False).groupBy("location").count().orderBy("location").collect() == [
+        ("A", 12), ("B", 12)]
+
+
+def test_interactive_analysis_from_the_command_line(spark, tmp_dir):
+    import pytest
+    from trendlake.__main__ import main
+    from trendlake.sinks.tables import write_predictions
+    write_predictions(jobs.forecast_predictions(_short_series(spark, days=40)), f"{tmp_dir}/p")
+    base = ["--master", "local[4]", "analyze", "--predictions", f"{tmp_dir}/p", "--kind", "interactive", "--out", f"{tmp_dir}/o"]
+    main([*base, "--chart", "histogram", "--x", "new_cases_actual"])
+    parts = {r.part: r["count"] for r in spark.read.parquet(f"{tmp_dir}/o/chart").groupBy("part").count().collect()}
+    assert parts["curve"] == 200 and parts["bar"] > 1
+    with pytest.raises(SystemExit):
+        main(base)
