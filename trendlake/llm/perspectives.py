@@ -10,7 +10,7 @@ further by turn and hash where a part would hold over ``PART`` turns. So no task
 gathers more than ``PART`` turns, however many a conversation has.
 
 Plan: Spark expressions only. Repeated turns are dropped by a distinct aggregation over the
-whole row, parts are counted with partial aggregation, and each part is collected and
+whole row and stored once, parts are counted with partial aggregation, and each part is collected and
 rendered within its row. The join of parts and participants is on the conversation (its
 output, one row per part and participant, is the result itself).
 
@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.llm.text import stored
+
 PART = 1024
 SYSTEM = "system"
 END = "<|end|>\n"
@@ -42,6 +44,7 @@ def turns(conversations: DataFrame, speaker: str = "role", part: int = PART) ->
                              F.coalesce("text", F.lit("")).alias("text")).distinct()
     d = d.withColumns({"block": F.floor(F.coalesce("turn", F.lit(0)) / part).cast("bigint"),
                        "h": F.xxhash64("speaker", "text")})
+    d = stored(d, "turns")
     sizes = d.groupBy("conv_id", "block", "turn").agg(F.count(F.lit(1)).alias("n"))
     large = sizes.groupBy(F.col("conv_id").alias("_c"), F.col("block").alias("_b")).agg(F.sum("n").alias("_n")).filter(
         F.col("_n") > part)
