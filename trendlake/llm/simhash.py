@@ -49,6 +49,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 BLOCK = 4096
+SALTS = 16
 _ODD = 0x5555555555555555
 
 
@@ -184,15 +185,18 @@ def components(edges: DataFrame) -> DataFrame:
         e = stored(e.distinct(), "links")
         return e, e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
+    def with_least(e: DataFrame, least: Column) -> DataFrame:
+        """Each (u, v) with ``m`` of its u; a centre's many links are dealt to several tasks by a salt."""
+        m = e.groupBy("u").agg(least.alias("m")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return e.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(m, ["u", "s"])
+
     e, state = settled(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     while True:
-        both = e.union(e.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e, _ = settled(large.filter("u <> v"))
-        least = e.groupBy("u").agg(F.min("v").alias("m"))
-        small = e.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
-        e, now = settled(small.filter("u <> v"))
+        both = with_least(e.union(e.select("v", "u")), F.least(F.min("v"), F.col("u")))
+        e, _ = settled(both.filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        down = with_least(e, F.min("v"))
+        small = down.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e, now = settled(small.union(down.select("u", F.col("m").alias("v"))))
         if now == state:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = now
