@@ -186,9 +186,11 @@ def components(edges: DataFrame) -> DataFrame:
         return e, e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
     def with_least(e: DataFrame, least: Column) -> DataFrame:
-        """Each (u, v) with ``m`` of its u; a centre's many links are dealt to several tasks by a salt."""
+        """Each (u, v) with ``m`` of its u; a centre's many links are dealt to several tasks by a salt.
+
+        A merge join by hint: Spark's size estimate of the salted side leaves its copies out."""
         m = e.groupBy("u").agg(least.alias("m")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        return e.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(m, ["u", "s"])
+        return e.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(m.hint("merge"), ["u", "s"])
 
     e, state = settled(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     while True:
