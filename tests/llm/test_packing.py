@@ -103,5 +103,37 @@ def test_little_padding_and_order(spark):
     assert [r["doc_id"] for r in got] == sorted(r["doc_id"] for r in got)
 
 
+@pytest.mark.parametrize("kind", ["hashes", "gaps", "large", "null"])
+def test_sparse_and_large_ids(spark, encoder, kind):
+    """Few documents share an id's neighbourhood, or ids reach 2**40; sequences fill up all the same."""
+    r = random.Random(3)
+    ids = {"hashes": sorted(r.randrange(-1 << 63, 1 << 63) for _ in range(400)), "gaps": [1000 * i for i in range(400)],
+           "large": [(1 << 40) + (i << 33) for i in range(400)], "null": [None] * 200 + list(range(-600, -400))}[kind]
+    voc = messy.vocabulary()
+    rows = [(i, " ".join(r.choices(voc, k=r.randint(1, 60))) + ".") for i in ids]
+    got = queries.pack(spark.createDataFrame(r.sample(rows, len(rows)), "doc_id bigint, text string").repartition(8)).collect()
+    used = defaultdict(int)
+    for x in got:
+        used[x["sequence_id"]] += x["length"]
+    tokens = sum(len(encoder(t)) + 1 for _, t in rows)
+    assert sum(used.values()) == tokens and sorted(used) == list(range(len(used)))
+    assert len(used) <= 1.05 * tokens / p.SIZE + 1
+    got.sort(key=lambda x: (x["sequence_id"], x["offset"]))
+    found = [x["doc_id"] for x in got]
+    assert found == sorted(found, key=lambda i: (i is not None, i or 0)) and set(found) == set(ids)
+
+
+def test_runs_go_on_numbering_over_partitions(spark, encoder, monkeypatch):
+    monkeypatch.setattr(p, "RUN_TOKENS", 3000)
+    r = random.Random(4)
+    voc = messy.vocabulary()
+    rows = [(r.randrange(1 << 62), " ".join(r.choices(voc, k=r.randint(1, 200)))) for _ in range(300)]
+    got = queries.pack(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted({x["sequence_id"] for x in got}) == list(range(max(x["sequence_id"] for x in got) + 1))
+    got.sort(key=lambda x: (x["sequence_id"], x["offset"]))
+    assert [x["doc_id"] for x in got] == sorted(x["doc_id"] for x in got)
+    assert sum(x["length"] for x in got) == sum(len(encoder(t)) + 1 for _, t in rows)
+
+
 def test_empty_table(spark):
     assert queries.pack(messy.empty(spark)).count() == 0

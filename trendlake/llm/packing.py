@@ -11,17 +11,20 @@ least cost of cutting at p is
 
 a sliding-window minimum, kept in a monotone queue: linear in the number of cuts.
 
-The stream is divided into runs that are packed independently: blocks of ``RUN`` successive
-doc_ids (a run also ends at a document's end past ``RUN_TOKENS`` tokens). Only a run's
-last window may be short for want of text, so runs cost well under 1 % of padding, and a
-task holds one run at a time. One shuffle deals the texts by block; tokens never move.
+The stream is divided into runs that are packed independently. The texts are range-partitioned
+by doc_id (whatever values it has) and sorted; a partition's rows are cut into runs, each
+up to a document's end past ``RUN_TOKENS`` tokens or ``RUN`` documents. Only a run's last
+window may be short for want of text. There are no more partitions than the text fills with
+about ``RUN_TOKENS`` tokens each, so runs cost well under 1 % of padding. A task holds one run
+at a time. One shuffle deals the texts; tokens never move. The pieces (numbers only) are
+stored with their partition, and sequences are numbered from 0 by partition and place.
 
 Ids: the byte-level BPE vocabulary file given, by tiktoken's rank file of the same
 vocabulary where both exist (equal ids, several times faster), else by tokenizers.
 A text that spells a special token goes through tokenizers.
 
-Defined results: null or empty text: the end id alone. Null doc_id: a block of its own.
-Repeated rows: packed as often as given, one after the other (their pieces differ in
+Defined results: null or empty text: the end id alone. Null doc_id: first in
+the order. Rows of one doc_id: in the order of their texts' hash. Repeated rows: packed as often as given, one after the other (their pieces differ in
 place only). Very long texts span many windows. Empty table: empty result. Extra
 columns are ignored.
 """
@@ -30,6 +33,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import json
 import re
 import zlib
@@ -42,14 +46,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlake.llm.tasks import map_batches
+from trendlake.llm.text import stored
 
 SIZE = 2048
 END_ID = 1
 SENTENCE = 8
 MIDDLE = 16
 STRIDE = 32
-RUN = 512  # successive doc_ids of a run
+RUN = 1 << 17  # documents of a run
 RUN_TOKENS = 1 << 20
+TOKEN_BYTES = 4  # about; for the number of partitions only
 _SPACES = re.compile(r" \s")
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
@@ -172,37 +178,42 @@ def pack_run(docs: list[tuple[object, np.ndarray]], ends: np.ndarray, first_sequ
 def pack_documents(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: str | None = None,
                    text: str = "text", size: int = SIZE, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    block = F.floor(F.col("doc_id") / RUN).cast("bigint")
-    rows = docs.select("doc_id", F.col(text).alias("text"), block.alias("block"))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "block").sortWithinPartitions("block", "doc_id", F.xxhash64("text"))
+    rows = docs.select("doc_id", F.col(text).alias("text"))
+    total = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    n = (total["rows"] + (total["bytes"] or 0) // TOKEN_BYTES) // RUN_TOKENS
+    n = max(1, min(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    rows = rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(vocabulary, ranks, pattern)
         held: list[tuple[object, np.ndarray]] = []
-        tokens, now, number = 0, None, 0
+        tokens, part, number = 0, 0, 0  # number: of the next sequence, in its partition from 0
 
         def flush() -> pa.RecordBatch:
-            # sequence ids: 2**32 to a block, in a block from 0
-            first = ((-1 if now is None else now) << 32) + number
-            cols = list(zip(*pack_run(held, encode.ends, first, size)))
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], kind), *[pa.array(c, pa.int64()) for c in cols[1:]]],
-                                              list(COLUMNS))
+            cols = list(zip(*pack_run(held, encode.ends, number, size)))
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], kind), *[pa.array(c, pa.int64()) for c in cols[1:]],
+                                               pa.array([part] * len(cols[0]), pa.int32())], [*COLUMNS, "part"])
 
         for batch in batches:
-            for doc_id, words, b in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "block"))):
-                if held and (b != now or tokens >= RUN_TOKENS):
-                    out = flush()
-                    yield out
-                    last = out.column("sequence_id")[-1].as_py() & 0xFFFFFFFF
-                    number = last + 1 if b == now else 0
-                    held, tokens = [], 0
-                now = b
+            for doc_id, words, part in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "part"))):
                 ids = np.append(encode(words), np.uint32(end_id)).astype("<u4")
                 held.append((doc_id, ids))
                 tokens += len(ids)
+                if tokens >= RUN_TOKENS or len(held) >= RUN:
+                    out = flush()
+                    yield out
+                    number = out.column("sequence_id")[-1].as_py() + 1
+                    held, tokens = [], 0
         if held:
             yield flush()
 
     kind = {"bigint": pa.int64(), "int": pa.int32()}[dict(rows.dtypes)["doc_id"]]
-    return map_batches(rows, pack, f"doc_id {dict(rows.dtypes)['doc_id']}, " + ", ".join(f"{c} bigint" for c in COLUMNS[1:]))
+    pieces = stored(map_batches(rows, pack, f"doc_id {dict(rows.dtypes)['doc_id']}, "
+                                + ", ".join(f"{c} bigint" for c in COLUMNS[1:]) + ", part int"), "pieces")
+    counts = sorted(map(tuple, pieces.groupBy("part").agg(F.max("sequence_id") + 1).collect()))
+    ends = list(itertools.accumulate((c for _, c in counts), initial=0))
+    firsts = docs.sparkSession.createDataFrame([(part, first) for (part, _), first in zip(counts, ends)], "part int, first bigint")
+    # one row per partition
+    return pieces.join(F.broadcast(firsts), "part").select(
+        *[(F.col(c) + F.col("first")).alias(c) if c == "sequence_id" else c for c in COLUMNS])
