@@ -126,6 +126,14 @@ def test_keep_first(spark):
     assert np.all([report[r["doc_id"], format(plain(r["text"]), "016x")] == r["doc_id"] for r in rows])
 
 
+def test_keep_first_tells_components_without_ids_apart(spark):
+    voc = messy.vocabulary(8)
+    a, b, c = (" ".join(voc[k:k + 60]) for k in (0, 100, 200))
+    rows = [(None, a), (None, a), (None, b), (7, c), (None, c)]
+    kept = s.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(0, a), (0, b), (7, c)])
+
+
 def test_empty_table(spark):
     assert s.simhash_components(messy.empty(spark)).count() == 0
     assert s.keep_first(messy.empty(spark)).count() == 0

@@ -206,14 +206,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     parts: int | None = None, block: int = BLOCK) -> DataFrame:
-    """(doc_id, key, fp, component_id) per row of ``docs``."""
+    """(doc_id, key, fp, root, component_id) per row of ``docs``; root: the component's smallest fingerprint
+    (component_id is null where all its doc_ids are)."""
     prints = stored(fingerprints(docs, text, shingle), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = components(links(classes.select("fp"), max_bits, parts, block))
     joined = classes.join(found, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     ids = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = joined.select(F.col("fp").alias("_fp"), "root").join(ids, "root").select("_fp", "component_id")
-    return prints.join(labels, F.col("fp") == F.col("_fp")).select("doc_id", "key", "fp", "component_id")
+    labels = joined.select(F.col("fp").alias("_fp"), "root").join(ids, "root").select("_fp", "root", "component_id")
+    return prints.join(labels, F.col("fp") == F.col("_fp")).select("doc_id", "key", "fp", "root", "component_id")
 
 
 def simhash_components(docs: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -225,7 +226,7 @@ def simhash_components(docs: DataFrame, text: str = "text", **options) -> DataFr
 def keep_first(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with one row per component: that of its smallest doc_id (then text key)."""
     found = near_duplicates(docs, text, **options)
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("s"))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("s"))
     # plain equalities, so the join and the removal of repeated rows share one shuffle of the texts
     def row(doc_id: Column, key: Column) -> list[Column]:
         return [F.coalesce(doc_id, F.lit(0)).alias("_d"), doc_id.isNull().alias("_n"), key.alias("_k")]
