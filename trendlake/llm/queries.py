@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.llm import (decontaminate, license_scan, packing, perspectives, quality, simhash, token_counts, toxicity,
-                           url_filter, warc)
+from trendlake.llm import (decontaminate, license_scan, packing, periodic_runs, perspectives, quality, simhash,
+                           token_counts, toxicity, url_filter, warc)
 from trendlake.sources.tables import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op9_url_filter(spark, sf_dir):
 @register
 def op10_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
