@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from trendlake.llm import collocations as co
 from trendlake.llm import license_scan as ls
 from trendlake.llm import perspectives as pv
 from trendlake.llm import quality as q
@@ -131,5 +132,26 @@ from w left join b using (rid) left join k using (rid)
 """
 
 
+OP12 = rf"""
+with p as (select coalesce(lang, 'und') as lang,
+                  unnest(string_split_regex(translate(coalesce(text, ''), '{ls.UPPER}', '{ls.LOWER}'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+total as (select lang, sum(len(w)) as n from w group by lang),
+s as (select lang, w, unnest(range(1, len(w) + 1)) as i from w),
+f as (select lang, array_to_string(w[i:i + m - 1], ' ') as phrase, m, count(*) as a
+      from s, range(1, {co.MAX_WORDS + 1}) t(m) where i + m - 1 <= len(w) group by all having count(*) >= {co.MIN_COUNT}),
+cut as (select f.lang, f.phrase, f.m, f.a, n, k, x.a as l, y.a as r, (1000::hugeint * f.a * n) // (x.a::hugeint * y.a) as score
+        from f join total using (lang), range(1, {co.MAX_WORDS}) t(k), f x, f y
+        where k < f.m and x.lang = f.lang and y.lang = f.lang and x.phrase = array_to_string(string_split(f.phrase, ' ')[1:k], ' ')
+          and y.phrase = array_to_string(string_split(f.phrase, ' ')[k + 1:], ' ')),
+low as (select * from cut qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+kept as (select * from low where not exists (select 1 from f g where g.lang = low.lang and g.m > low.m and 100 * g.a >= {co.SUBSUMED_PERCENT} * low.a
+                                               and contains(' ' || g.phrase || ' ', ' ' || low.phrase || ' ')))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n::bigint as n, score::bigint as score
+from kept qualify rank <= {co.LIMIT}
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op1_line_frequency": OP1, "op4_perspectives": OP4, "op6_warc": OP6, "op9_url_filter": op9(), "op10_license_scan": op10()}
+    return {"op1_line_frequency": OP1, "op4_perspectives": OP4, "op6_warc": OP6, "op9_url_filter": op9(), "op10_license_scan": op10(),
+            "op12_collocations": OP12}
