@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trendlake.llm import (collocations, decontaminate, license_scan, packing, periodic_runs, perspectives, quality,
-                           simhash, token_counts, toxicity, url_filter, warc)
+                           simhash, subword_quality, token_counts, toxicity, url_filter, warc)
 from trendlake.sources.tables import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op10_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@register
+def op11_subword_quality(spark, sf_dir):
+    return subword_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register
 def op12_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
