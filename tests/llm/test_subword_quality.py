@@ -31,8 +31,8 @@ def plain(text):
 
 def hashed(text):
     out = [Counter() for _ in range(q.KINDS)]
-    for _, part, ends, skip in q.pieces([text]):
-        for k, (h, _) in enumerate(q.features(part, ends, skip)):
+    for _, *part in q.pieces([text]):
+        for k, (h, _) in enumerate(q.features(*part)):
             out[k].update(h.tolist())
     return out
 

@@ -89,10 +89,11 @@ def spans_hashed(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     return mix((total[end] - total[start]) * inverse[start])
 
 
-def features(text: str, ends: np.ndarray, skip: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+def features(text: str, ends: np.ndarray, skip: int = 0, line_first: bool = True) -> list[tuple[np.ndarray, np.ndarray]]:
     """(buckets, text of each) of each kind, of texts that each end in a line feed.
 
-    ``ends``: where each ends; ``skip``: so many first words are there for the words after them only.
+    ``ends``: where each ends; ``skip``: so many first words are there for the words after them only;
+    ``line_first``: whether a line begins before the first word.
     """
     code = np.frombuffer(f"\n{text}".encode("utf-32-le", "surrogatepass"), np.uint32)
     kind = CLASS[np.minimum(code, 128)]
@@ -127,7 +128,7 @@ def features(text: str, ends: np.ndarray, skip: int = 0) -> list[tuple[np.ndarra
     place = np.cumsum(change) - change
     outline = spans_hashed(kind[change].astype(np.uint64), place[start], place[end])
     size = np.minimum(np.log2(end - start).astype(np.uint64), np.uint64(4))
-    line = np.append(True, feeds[start[1:]] != feeds[end[:-1]])[:len(start)].astype(np.uint64)
+    line = np.append(line_first, feeds[start[1:]] != feeds[end[:-1]])[:len(start)].astype(np.uint64)
     outline = mix(outline + size * _PLACES[1] + line * _PLACES[2])
     two = mix(outline[:-1] * FACTOR + outline[1:])
     third = np.flatnonzero(same[1:] & same[:-1])
@@ -138,13 +139,13 @@ def features(text: str, ends: np.ndarray, skip: int = 0) -> list[tuple[np.ndarra
             for parts in (words, grams, outlines)]
 
 
-def pieces(texts: list[str | None]) -> Iterator[tuple[list[int], str, np.ndarray, int]]:
-    """(rows, joined texts, ends, words to skip) of short texts together and of long ones in pieces."""
+def pieces(texts: list[str | None]) -> Iterator[tuple[list[int], str, np.ndarray, int, bool]]:
+    """(rows, then the arguments of ``features``) of short texts together and of long ones in pieces."""
     rows: list[int] = []
     held: list[str] = []
 
-    def joined() -> tuple[list[int], str, np.ndarray, int]:
-        return rows, "\n".join(held) + "\n", np.cumsum([len(t) + 1 for t in held]), 0
+    def joined() -> tuple[list[int], str, np.ndarray, int, bool]:
+        return rows, "\n".join(held) + "\n", np.cumsum([len(t) + 1 for t in held]), 0, True
 
     for row, text in enumerate(texts):
         text = text or ""
@@ -152,10 +153,15 @@ def pieces(texts: list[str | None]) -> Iterator[tuple[list[int], str, np.ndarray
             at = context = skip = 0
             while at < len(text):
                 cut = len(text) if at + PIECE >= len(text) else last_space(text, at, at + PIECE)
-                yield [row], text[context:cut] + "\n", np.array([cut - context + 1]), skip
-                inside_word = cut < len(text) and text[cut] not in WS
-                before = [] if inside_word else [m.start() for m in WORD.finditer(text, context, cut)][-2:]
-                context, skip = (before[0], len(before)) if before else (cut, 0)
+                found = [(m.start(), m.end()) for m in WORD.finditer(text, context, cut)]
+                line = context == 0 or bool(found) and "\n" in text[context:found[0][0]]
+                yield [row], text[context:cut] + "\n", np.array([cut - context + 1]), skip, line
+                if cut < len(text) and text[cut] not in WS:  # within a word
+                    context, skip = cut, 0
+                elif len(found) > 2:
+                    context, skip = found[-3][1], 2
+                else:
+                    skip = len(found)
                 at = cut
             continue
         if held and sum(map(len, held)) + len(held) + len(text) > PIECE:
@@ -185,8 +191,8 @@ class Model:
     def logits(self, texts: list[str | None]) -> np.ndarray:
         total = np.zeros((len(texts), KINDS))
         count = np.zeros((len(texts), KINDS))
-        for rows, text, ends, skip in pieces(texts):
-            for k, (h, doc) in enumerate(features(text, ends, skip)):
+        for rows, *part in pieces(texts):
+            for k, (h, doc) in enumerate(features(*part)):
                 total[rows, k] += np.bincount(doc, self.shares[bucket(h)], len(rows))
                 count[rows, k] += np.bincount(doc, minlength=len(rows))
         return (total / np.maximum(count, 1)).mean(axis=1) + self.bias[1] - self.bias[0] + self.offset
@@ -198,9 +204,8 @@ class Model:
 def averages(text: str) -> tuple[np.ndarray, np.ndarray]:
     """A document's buckets and their weights in its mean."""
     ids, weights = [], []
-    for _, part, ends, skip in pieces([text]):
-        found = features(part, ends, skip)
-        for k, (h, _) in enumerate(found):
+    for _, *part in pieces([text]):
+        for k, (h, _) in enumerate(features(*part)):
             ids.append(bucket(h))
             weights.append(np.full(len(h), k, np.float64))
     kinds = np.concatenate(weights).astype(np.int64) if weights else np.empty(0, np.int64)
