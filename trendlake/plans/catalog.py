@@ -489,3 +489,10 @@ def q_analyze_predictions(spark, sf_dir):
     from trendlake.plans.analyze import analyze
     d = analyze(w2_predictions(spark, sf_dir), "predictions")["metrics_by_location"]
     return _round_doubles(d, 4)
+
+
+@register("forecast_fourier")
+def q_forecast_fourier(spark, sf_dir):
+    """W2 with trend changes and Fourier seasons: one ridge fit per (location, origin) from running sums."""
+    from trendlake.operators.fourier import forecast_fourier
+    return _round(forecast_fourier(observations(spark, sf_dir)), ["new_cases_predicted"], 4)

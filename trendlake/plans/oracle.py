@@ -447,3 +447,53 @@ select curve.event_type, 'curve', grid, round(x, 6), round(x, 6), round(density
 from curve join s on curve.event_type is not distinct from s.event_type"""
 SQL["analyze_predictions"] = f"""select location, model_version, target, n, round(rmse, 4) as rmse, round(mae, 4) as mae, round(r2, 4) as r2
 from (with {PRED_CTE}, {ALIGNED_CTE} {_metrics_sql('aligned', ['location', 'model_version'])})"""
+
+
+# ------------------------------------------- trend changes and Fourier seasons
+def _fourier() -> str:
+    """Sums of products over each history, then elimination row by row in a recursive CTE."""
+    import math
+
+    from trendlake.operators import fourier as fo
+
+    def terms(t: str, day: str) -> list[str]:
+        out = ["1.0::double", f"({t}) / {fo.YEAR}::double"]
+        out += [f"greatest({t} - {j * fo.HINGE_DAYS}, 0.0::double) / {fo.YEAR}::double" for j in range(1, fo.HINGES + 1)]
+        for period, order in ((7.0, fo.WEEKLY_ORDER), (fo.YEAR, fo.YEARLY_ORDER)):
+            for k in range(1, order + 1):
+                out += [f"{f}({day} * {2 * math.pi * k / period!r}::double)" for f in ("sin", "cos")]
+        return out
+
+    on = ["true", "true"] + [f"t * {fo.CHANGEPOINT_RANGE} >= {j * fo.HINGE_DAYS}" for j in range(1, fo.HINGES + 1)]
+    on += [f"t >= {fo.WEEKLY_FROM}"] * (2 * fo.WEEKLY_ORDER) + [f"t >= {fo.YEARLY_FROM}"] * (2 * fo.YEARLY_ORDER)
+    p = len(on)
+    ridge = fo.ridges(fo.HINGES, fo.WEEKLY_ORDER, fo.YEARLY_ORDER, fo.HINGE_RIDGE, fo.SEASON_RIDGE)
+    frame = "over (partition by location order by date)"
+    sums = ", ".join([f"sum(x{i} * x{j}) {frame} as g{i}_{j}" for i in range(p) for j in range(i, p)]
+                     + [f"sum(x{i} * y) {frame} as b{i}" for i in range(p)])
+
+    def cell(i: int, j: int) -> str:
+        g = f"g{min(i, j)}_{max(i, j)} * m{i} * m{j}"
+        return f"{g} + {ridge[i]}::double + 1 - m{i}" if i == j else g
+
+    matrix = ", ".join("[" + ", ".join([cell(i, j) for j in range(p)] + [f"b{i} * m{i}"]) + "]" for i in range(p))
+    matrix += ", [" + ", ".join([f"n{i} * m{i}" for i in range(p)] + ["0.0::double"]) + "]"
+    return f"""
+with recursive {OBS_CTE},
+s as (select location, date, coalesce(new_cases, 0)::double as y, date_diff('day', date '1970-01-01', date)::double as day,
+             date_diff('day', min(date) over (partition by location), date)::double as t from obs),
+x as (select *, {', '.join(f'{c} as x{i}' for i, c in enumerate(terms('t', 'day')))},
+             {', '.join(f'{c} as n{i}' for i, c in enumerate(terms('t + 1', '(day + 1)')))},
+             {', '.join(f'case when {c} then 1.0::double else 0.0::double end as m{i}' for i, c in enumerate(on))} from s),
+g as (select *, {sums} from x),
+e(location, date, t, m) as (
+  select location, date, t, [{matrix}] from g
+  union all
+  select location, date, t, list_transform(m[2:], lambda r: list_transform(range(2, len(r) + 1), lambda j: r[j] - r[1] / m[1][1] * m[1][j]))
+  from e where len(m) > 1)
+select location, date, cast(date + 1 as date) as target_date, '{fo.DEFAULT_VERSION}' as model_version,
+       round(case when t > 0 then -m[1][1] end, 4) as new_cases_predicted
+from e where len(m) = 1"""
+
+
+SQL["forecast_fourier"] = _fourier()
