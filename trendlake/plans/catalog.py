@@ -496,3 +496,31 @@ def q_forecast_fourier(spark, sf_dir):
     """W2 with trend changes and Fourier seasons: one ridge fit per (location, origin) from running sums."""
     from trendlake.operators.fourier import forecast_fourier
     return _round(forecast_fourier(observations(spark, sf_dir)), ["new_cases_predicted"], 4)
+
+
+@register("rf_deaths_daily")
+def q_rf_deaths_daily(spark, sf_dir):
+    """The forest (100 trees) with leaf values of every origin's own day, structures of yearly cutoffs."""
+    from trendlake.operators.leaf_refresh import daily_forest
+    from trendlake.plans.jobs import prepped
+    return _round_doubles(daily_forest(prepped(observations(spark, sf_dir))))
+
+
+@register("regression_beats_mean")
+def q_regression_beats_mean(spark, sf_dir):
+    """Next-day total_deaths (new_deaths has nothing to learn in these tables): judged origins, the running
+    mean's RMSE, and whether each learner's is lower: forest, forest with daily values, boosted trees (20 rounds, 2 fits)."""
+    import datetime as dt
+
+    from trendlake.operators.leaf_refresh import beats_mean, daily_forest
+    from trendlake.operators.regress import rolling_regression
+    from trendlake.plans.jobs import prepped
+    obs = prepped(observations(spark, sf_dir))
+    fits = [dt.date(y, 1, 1) for y in BOOSTED_CUTOFF_YEARS]
+    found = (rolling_regression(obs, "rf", target="total_deaths")
+             .unionByName(daily_forest(obs, target="total_deaths"))
+             .unionByName(rolling_regression(obs, "gbt", target="total_deaths", refit=fits, max_iter=20)))
+    return _round_doubles(beats_mean(found, obs, "total_deaths").drop("rmse"))
+
+
+BOOSTED_CUTOFF_YEARS = (1997, 1999)
