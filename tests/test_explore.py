@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from trendlake.operators import explore as ex
 
@@ -76,7 +77,6 @@ def test_mean_ci(spark):
 
 
 def test_column_types_and_label(spark):
-    from pyspark.sql import functions as F
 
     from trendlake.functions.exprs import label
     df = spark.createDataFrame([("a", 1.0)], "location string, new_cases_actual double").withColumn("date", F.current_date())
@@ -86,13 +86,13 @@ def test_column_types_and_label(spark):
 
 
 def test_distributed_quantiles_hot_group(spark):
-    """A group holding most rows is spread over many range partitions; results stay exact."""
+    """A group holding most rows is narrowed by sketches; results stay exact."""
     from trendlake.operators.quantiles import quantiles
     rnd = np.random.default_rng(11)
     hot = rnd.normal(0, 1, 3000)
     rows = [("hot", float(v)) for v in hot] + [("cold", 1.0), ("cold", 2.0), (None, 4.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: (r.n, r.quantiles) for r in quantiles(df, "v", ["g"], probs=(0.1, 0.5, 0.99), partitions=16).collect()}
+    got = {r.g: (r.n, r.quantiles) for r in quantiles(df, "v", ["g"], probs=(0.1, 0.5, 0.99), limit=50).collect()}
     assert got["hot"][0] == 3000
     assert np.allclose(got["hot"][1], np.percentile(hot, [10, 50, 99]))
     assert got["cold"][1] == pytest.approx([1.1, 1.5, 1.99])
@@ -141,18 +141,38 @@ def test_next_day_join_equals_window_form(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_hot_group_spans_many_partitions(spark):
-    """The ranking spreads one dominant group over many tasks (no single-task group)."""
-    from pyspark.sql import functions as F
-
-    from trendlake.operators.quantiles import rank_values
-    rows = [("hot", float(i)) for i in range(4000)] + [("cold", float(i)) for i in range(50)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    ranked = rank_values(df, "v", ["g"], partitions=16)
-    spread = {r.g: r.parts for r in ranked.groupBy("g").agg(F.countDistinct("_pid").alias("parts")).collect()}
-    assert spread["hot"] >= 8
-    biggest = ranked.groupBy("_pid").count().agg(F.max("count")).first()[0]
-    assert biggest <= 4050 / 16 * 2  # no partition holds much more than its share
+@pytest.mark.parametrize("limit", [1, 20, 100_000])
+def test_selection_with_heavy_ties(spark, limit):
+    """Values that hold most rows of a group, at and beside the wanted ranks, in many groups at once."""
+    from trendlake.operators.quantiles import quantiles
+    rnd = np.random.default_rng(5)
+    data = {"ties": np.r_[np.zeros(900), rnd.normal(0, 1, 600)], "one": np.full(700, 3.5), "two": np.repeat([1.0, 2.0], 400),
+            "wide": rnd.lognormal(0, 4, 2000), "edge": np.r_[np.full(1999, 7.0), 8.0], "few": np.array([2.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in data.items() for v in vs], "g string, v double").repartition(5)
+    probs = (0.0, 0.3, 0.5, 0.6, 0.9995, 1.0)
+    got = {r.g: r for r in quantiles(df, "v", ["g"], probs=probs, limit=limit).collect()}
+    for g, vs in data.items():
+        assert got[g].n == len(vs)
+        assert np.allclose(got[g].quantiles, np.percentile(vs, [100 * p for p in probs]), rtol=1e-12, atol=1e-12), g
+    whole = quantiles(df, "v", probs=(0.25, 0.75), limit=limit).first()
+    assert np.allclose(whole.quantiles, np.percentile(np.concatenate(list(data.values())), [25, 75]))
+
+
+def test_narrowing_leaves_few_rows_to_count(spark):
+    """What is counted value by value at the end stays below the limit, however many rows a group has."""
+    from trendlake.operators import quantiles as q
+    df = spark.range(200_000).select(F.lit("hot").alias("g"), F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("double").alias("v"))
+    values = q.narrow_values(df, "v", ["g"])
+    seen = []
+    kept = q._inside
+    q._inside = lambda *a: seen.append(kept(*a)) or seen[-1]
+    try:
+        got = q.quantiles_of(values, ["g"], limit=2000).first()
+    finally:
+        q._inside = kept
+    want = np.percentile([r.v for r in df.collect()], [25, 50, 75])
+    assert np.allclose(got.quantiles, want) and len(seen) >= 3
+    assert seen[-1].count() <= 3 * 2002
 
 
 def test_binned_kde_close_to_exact(values):

@@ -9,8 +9,8 @@ picture). Patterns used throughout:
   deals the rows of one group to ``SALTS`` tasks at least. Ungrouped statistics are
   a scalar subquery, not a cross join;
 * NaN is treated as missing (as pandas does) before any aggregate;
-* quantiles are exact (linear interpolation like numpy) from a distributed
-  sort (``operators.quantiles``), so no group is gathered into one task;
+* quantiles are exact (linear interpolation like numpy) by selection
+  (``operators.quantiles``), so no group is sorted or gathered into one task;
   ``approx=True`` uses ``percentile_approx`` (bounded sketch per group).
 """
 
@@ -23,13 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.functions.exprs import label, nan_to_null, null_safe_corr
-from trendlake.operators.quantiles import quantiles, quantiles_from_ranked, rank_values
+from trendlake.operators.attach import SALTS, attach_stats, null_safe_join  # noqa: F401
+from trendlake.operators.quantiles import narrow_values, quantiles, quantiles_of
 from trendlake.session import materialize
 
 
-SALTS = 16  # tasks at least over which a group's rows are dealt in a join with its statistics
-
-
 def _num(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
     col = F.col(c).cast("double")
@@ -49,23 +47,6 @@ def column_types(df: DataFrame) -> dict[str, list[str]]:
     return out
 
 
-def attach_stats(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
-    """Add per-group statistics (one row per key) to every row of ``df``."""
-    cols = [c for c in stats.columns if c not in keys]
-    if not keys:
-        # one scalar subquery (a struct) referenced through one column, not one copy per field
-        s = stats.select(F.struct(*cols).alias("_s")).scalar()
-        return df.withColumn("_stats", s).withColumns(
-            {c: F.col("_stats").getField(c) for c in cols}).drop("_stats")
-    r = stats.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *cols,
-                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt_r"))
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    cond = left["_salt"] == r["_salt_r"]
-    for i, k in enumerate(keys):
-        cond = cond & left[k].eqNullSafe(r[f"_key_{i}"])
-    return left.join(r, cond, "inner").drop("_salt", "_salt_r", *[f"_key_{i}" for i in range(len(keys))])
-
-
 def check_names(keys: list[str], made: list[str]) -> None:
     """A grouping column may not have the name of an output column."""
     clash = sorted(set(keys) & set(made))
@@ -78,10 +59,9 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
     """pandas-style ``describe()``: one row per numeric column.
 
     count (non-null), mean, std (ddof 1), min, 25 %, 50 %, 75 % (interpolated), max.
-    The columns are unpivoted to (metric, value) rows and ranked once
-    (distributed sort, checkpointed); moments and quartiles are both read from
-    that ranking, so the input plan runs once. A column with no values keeps
-    its row (count 0, nulls).
+    The columns are unpivoted to (metric, value) rows and stored once; moments and
+    quartiles (by selection, no sort) are both read from these, so the input plan
+    runs once. A column with no values keeps its row (count 0, nulls).
     """
     cols = cols or column_types(df)["numeric"]
     tall = df.select(*[_num(df, c).alias(c) for c in cols]).unpivot([], cols, "metric", "value")
@@ -89,8 +69,8 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
         base = tall.filter(F.col("value").isNotNull()).withColumnRenamed("value", "_v")
         q = quantiles(tall, "value", ["metric"], method="approx").drop("n")
     else:
-        base = rank_values(tall, "value", ["metric"])
-        q = quantiles_from_ranked(base, ["metric"]).drop("n")
+        base = narrow_values(tall, "value", ["metric"])
+        q = quantiles_of(base, ["metric"]).drop("n")
     mom = base.groupBy("metric").agg(F.count("_v").alias("count"), F.avg("_v").alias("mean"),
                                      F.stddev_samp("_v").alias("std"), F.min("_v").alias("min"),
                                      F.max("_v").alias("max"))
@@ -240,8 +220,9 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
         raise ValueError("bins must be an int, 'auto' or 'auto_classic'")
     if bins in ("auto", "auto_classic"):
         # count, min, quartiles and max of all values (bins are shared by the hues)
-        # from one exact distributed ranking: no separate statistics scan
-        q = quantiles(d, "_x", [], (0.0, 0.25, 0.75, 1.0))
+        # by selection; the stored values are read again for the counts
+        d = narrow_values(d, "_x", keys).withColumnRenamed("_v", "_x")
+        q = quantiles_of(d.select(F.col("_x").alias("_v")), [], (0.0, 0.25, 0.75, 1.0))
         stats = q.select(F.col("n").alias("_n"), F.col("quantiles")[0].alias("_mn"),
                          F.col("quantiles")[1].alias("_q1"), F.col("quantiles")[2].alias("_q3"),
                          F.col("quantiles")[3].alias("_mx"))
@@ -282,22 +263,12 @@ def histogram(df: DataFrame, x: str, hue: str | None = None, bins: int | str = "
         levels = d.select(*keys).distinct() if keys else d.sparkSession.range(1).select()
         grid = attach_stats(levels, stats, []).select(
             *keys, F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("bin"))
-        g = _null_safe_left(grid, g, keys + ["bin"]).withColumn("count", F.coalesce("count", F.lit(0)))
+        g = null_safe_join(grid, g, keys + ["bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
     g = attach_stats(g, stats, [])
     return g.select(*keys, "bin", edge(F.col("bin")).alias("bin_lo"), edge(F.col("bin") + 1).alias("bin_hi"),
                     F.col("count").cast("long").alias("count"))
 
 
-def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for i, k in enumerate(keys):
-        e = left[k].eqNullSafe(r[f"_rk{i}"])
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, "left").drop(*[f"_rk{i}" for i in range(len(keys))])
-
-
 # ------------------------------------------------------------------ A11 KDE
 def kde(df: DataFrame, x: str, hue: str | list[str] | None = None, gridsize: int = 200, cut: float = 0.0,
         bw_adjust: float = 1.0, bins: int | None = None) -> DataFrame:
@@ -357,8 +328,8 @@ def box_stats(df: DataFrame, y: str, by: list[str] | None = None, whis: float =
     """Box-plot statistics per group (A12): quartiles, 1.5·IQR whiskers, outliers.
 
     Whiskers are the most extreme values inside the fences (matplotlib's rule).
-    Exact mode ranks the values once (distributed sort, checkpointed); the
-    quartiles and the fence pass both read that ranking.
+    Exact mode stores the values once; the quartiles (by selection) and the
+    fence pass both read them.
     """
     keys = list(by or [])
     check_names(keys, ["n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"])
@@ -366,9 +337,9 @@ def box_stats(df: DataFrame, y: str, by: list[str] | None = None, whis: float =
     if approx:
         q = quantiles(d, "_y", keys, method="approx")
     else:
-        ranked = rank_values(d, "_y", keys)
-        q = quantiles_from_ranked(ranked, keys)
-        d = ranked.select(*keys, F.col("_v").alias("_y"))
+        d = narrow_values(d, "_y", keys)
+        q = quantiles_of(d, keys)
+        d = d.withColumnRenamed("_v", "_y")
     q = q.select(*keys, "n", F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"),
                  F.col("quantiles")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")

@@ -1,23 +1,22 @@
-"""Exact quantiles without gathering a group into one task.
-
-``percentile`` merges every distinct value of a group into one in-memory map
-in a single task; at scale one hot group (or a continuous column) would not
-fit. Here the values are ranked by a distributed sort instead:
-
-1. the values are written once to the checkpoint folder (so sampling range bounds
-   doesn't replay the upstream plan), range-partitioned by (group keys, value) and
-   sorted within partitions — a hot group is spread over many range partitions;
-2. number rows inside each sorted partition with ``monotonically_increasing_id``
-   (partition id in the upper bits, row index in the lower 33 bits) and write
-   that ranking once, so ids are stable whatever is recomputed;
-3. per (group, partition) row counts — a table of about partitions + groups
-   rows — give each partition's first global rank by a prefix sum, and tell in
-   which partition and at which index each wanted rank stands;
-4. only those few (partition, index) places are looked up among the ranked rows —
-   a join on keys that are unique, so no group gathers in one task — and
+"""Exact quantiles by selection, without a full sort and without gathering a group in one task.
+
+``percentile`` merges every distinct value of a group into one in-memory map in a
+single task; at scale one hot group (or a continuous column) would not fit. Here each
+wanted rank is bracketed instead:
+
+1. the narrow values (group keys, value) are stored once, so no pass replays the upstream plan;
+2. a bracket [lo, hi] starts as a group's minimum and maximum, with all its rows;
+3. while more than ``limit`` rows lie strictly between a bracket's ends, a sketch of the rows
+   inside (``percentile_approx`` on a grid, partially aggregated) proposes a narrower one, and
+   one counting pass tells exactly how many rows lie below and within it. A bracket that
+   missed its rank on a side keeps its old end there; the margin doubles each round, so
+   the rounds are few whatever the data (a round leaves about (2·margin + 1) / 250 of the rows);
+4. the distinct values inside the final brackets are counted (partial aggregation; at most
+   ``limit`` rows and the two ends each) and a running count picks the ranks' values,
    interpolated linearly (numpy's / Spark ``percentile``'s definition).
 
-``rank_values`` and everything built on it run jobs when called, not lazily.
+Shuffled: sketches, counts, and the rows inside the last brackets. A group that is small to
+begin with needs no sketch. The functions run jobs when called, not lazily.
 
 ``method="approx"`` uses ``percentile_approx`` (bounded sketch per group).
 """
@@ -27,81 +26,87 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.session import default_parallelism, materialize
+from trendlake.operators.attach import attach_stats, null_safe_join
+from trendlake.session import materialize
 
-_LOW33 = (1 << 33) - 1
+LIMIT = 100_000  # rows between a bracket's ends that may be counted value by value
+GRID = 250  # steps of a sketch
+ACCURACY = 10 * GRID
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    if not keys:
-        return left.join(right, how=how) if how != "inner" else left.join(right)
-    r = right.select(*[F.col(k).alias(f"_jk{i}") for i, k in enumerate(keys)],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for i, k in enumerate(keys):
-        e = left[k].eqNullSafe(r[f"_jk{i}"])
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, how).drop(*[f"_jk{i}" for i in range(len(keys))])
-
-
-def rank_values(df: DataFrame, value: str, keys: list[str] | None = None,
-                partitions: int | None = None) -> DataFrame:
-    """Non-null, non-NaN values as (keys…, ``_v``, ``_pid``, ``_idx``), range-partitioned,
-    sorted and stored: the input of every exact quantile computation.
-
-    Reusing it (moments, whiskers, …) avoids replaying the upstream plan.
-    """
-    keys = list(keys or [])
+def narrow_values(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
+    """Non-null, non-NaN values as (keys…, ``_v``), stored: the input of the passes."""
     v = F.col(value).cast("double")
-    d = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
-    spark = df.sparkSession
-    p = partitions or max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranked = (materialize(d, "quantile_values").repartitionByRange(p, *keys, "_v").sortWithinPartitions(*keys, "_v")
-              .withColumn("_rid", F.monotonically_increasing_id()))
-    return materialize(ranked, "quantile_ranks").withColumns({
-        "_pid": F.shiftright(F.col("_rid"), 33), "_idx": F.col("_rid").bitwiseAND(F.lit(_LOW33))}).drop("_rid")
-
-
-def quantiles_from_ranked(ranked: DataFrame, keys: list[str] | None = None,
-                          probs: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """keys…, ``n``, ``quantiles`` (array in ``probs`` order) from ``rank_values`` output."""
+    d = df.select(*(keys or []), v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
+    return materialize(d, "quantile_values")
+
+
+def _inside(values: DataFrame, brackets: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """keys…, ``fields``, ``_v``: each value once for every bracket of its group that holds it."""
+    lists = brackets.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias("_b"))
+    rows = attach_stats(values, lists, keys)
+    held = F.filter("_b", lambda b: (F.col("_v") >= b["_lo"]) & (F.col("_v") <= b["_hi"]))
+    return rows.select(*keys, "_v", F.explode(held).alias("_b")).select(*keys, "_v", *[F.col(f"_b.{f}").alias(f) for f in fields])
+
+
+def _narrowed(values: DataFrame, wanted: DataFrame, keys: list[str], margin: int, limit: int) -> DataFrame:
+    """``wanted`` with narrower brackets where over ``limit`` rows lie between the ends."""
+    wide = wanted.filter(F.col("_between") > limit)
+    by = [*keys, "_i"]
+    grid = F.array(*[F.lit(k / GRID) for k in range(GRID + 1)])
+    sketch = (_inside(values, wide, keys, ["_i", "_lo", "_hi"]).groupBy(*by)
+              .agg(F.percentile_approx("_v", grid, F.lit(ACCURACY)).alias("_g"), F.count(F.lit(1)).alias("_m")))
+    a = (F.floor((F.col("_r0") - F.col("_below")) / F.col("_m") * GRID) - margin).cast("int")
+    b = (F.ceil((F.col("_r1") - F.col("_below") + 1) / F.col("_m") * GRID) + margin).cast("int")
+    lo = F.when(a <= 0, F.col("_lo")).otherwise(F.get("_g", a))
+    hi = F.when(b >= GRID, F.col("_hi")).otherwise(F.get("_g", b))
+    tried = materialize(null_safe_join(wide, sketch, by).withColumns({"_lo2": lo, "_hi2": hi}).drop("_g", "_m"), "quantile_brackets")
+    v = F.col("_v")
+    counts = (_inside(values, tried, keys, ["_i", "_lo", "_hi", "_lo2", "_hi2"]).groupBy(*by)
+              .agg(F.count_if(v < F.col("_lo2")).alias("_under"), F.count_if(v <= F.col("_hi2")).alias("_upto"),
+                   F.count_if((v > F.col("_lo2")) & (v < F.col("_hi2"))).alias("_new")))
+    got = null_safe_join(tried, counts, by)
+    left = F.col("_below") + F.col("_under") <= F.col("_r0")
+    right = F.col("_r1") < F.col("_below") + F.col("_upto")
+    got = got.select(*keys, "n", "_i", "_pos", "_r0", "_r1", F.when(left, F.col("_lo2")).otherwise(F.col("_lo")).alias("_lo"),
+                     F.when(right, F.col("_hi2")).otherwise(F.col("_hi")).alias("_hi"),
+                     F.when(left, F.col("_below") + F.col("_under")).otherwise(F.col("_below")).alias("_below"),
+                     F.when(left & right, F.col("_new")).otherwise(F.col("_between")).alias("_between"))
+    return got.unionByName(wanted.filter(F.col("_between") <= limit))
+
+
+def quantiles_of(values: DataFrame, keys: list[str] | None = None, probs: tuple[float, ...] = (0.25, 0.5, 0.75),
+                 limit: int = LIMIT) -> DataFrame:
+    """keys…, ``n``, ``quantiles`` (array in ``probs`` order) of ``narrow_values`` output."""
     keys = list(keys or [])
-    blocks = ranked.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_idx").alias("_first"))
-    # prefix sums over (group, partition) counts: ≈ partitions + groups rows in all,
-    # so even the ungrouped case (a window without partitionBy) is a small input
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_base", F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first"))
-    n = blocks.groupBy(*keys).agg(F.sum("_c").alias("n"))
-    # the one or two ranks each probability interpolates between (≤ 2 rows per probability)
-    targets = n.select(*keys, "n", F.posexplode(F.array(*[F.lit(float(q)) for q in probs])).alias("_i", "_p"))
-    targets = targets.withColumn("_pos", F.col("_p") * (F.col("n") - 1))
-    targets = targets.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
-    need = targets.withColumn("_rank", F.explode(F.array_distinct(F.array("_lo", "_hi"))))
-    # where each wanted rank stands: small tables on both sides
-    place = _null_safe_join(need, blocks.select(*keys, "_pid", "_base", "_first", "_c"), keys) if keys else \
-        need.join(blocks.select("_pid", "_base", "_first", "_c"),
-                  (F.col("_rank") >= F.col("_base") + F.col("_first"))
-                  & (F.col("_rank") < F.col("_base") + F.col("_first") + F.col("_c")))
-    place = place.filter((F.col("_rank") >= F.col("_base") + F.col("_first"))
-                         & (F.col("_rank") < F.col("_base") + F.col("_first") + F.col("_c")))
-    # stored, so Spark knows its size: a broadcast if small, else a join on unique keys
-    place = materialize(place.select(*keys, "n", "_i", "_pos", "_lo", "_hi", "_rank", F.col("_pid").alias("_at_pid"),
-                                     (F.col("_rank") - F.col("_base")).alias("_at_idx")), "quantile_places")
-    hit = place.join(ranked.select("_pid", "_idx", "_v"),
-                     (F.col("_at_pid") == F.col("_pid")) & (F.col("_at_idx") == F.col("_idx")))
-    t = hit.groupBy(*keys, "n", "_i", "_pos", "_lo", "_hi").agg(
-        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
-    qv = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
-        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
-    t = t.withColumn("_q", qv)
-    out = t.groupBy(*keys, "n").agg(F.sort_array(F.collect_list(F.struct("_i", "_q"))).alias("_qs"))
+    base = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    wanted = base.filter(F.col("n") > 0).select("*", F.posexplode(F.array(*[F.lit(float(q)) for q in probs])).alias("_i", "_p"))
+    pos = F.col("_p") * (F.col("n") - 1)
+    wanted = wanted.select(*keys, "n", "_i", pos.alias("_pos"), F.floor(pos).alias("_r0"), F.ceil(pos).alias("_r1"), "_lo", "_hi",
+                           F.lit(0).cast("bigint").alias("_below"), F.col("n").alias("_between"))
+    wanted = materialize(wanted, "quantile_brackets")
+    margin = 1
+    while margin < GRID // 2 and (wanted.agg(F.max("_between")).first()[0] or 0) > limit:
+        wanted = materialize(_narrowed(values, wanted, keys, margin, limit), "quantile_brackets")
+        margin *= 2
+    brackets = wanted.select(*keys, "_lo", "_hi").distinct()  # ranks of a small group share one
+    found = _inside(values, brackets, keys, ["_lo", "_hi"]).groupBy(*keys, "_lo", "_hi", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "_lo", "_hi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hit = null_safe_join(wanted, found.withColumn("_upto", upto), [*keys, "_lo", "_hi"])
+    first, last = F.col("_below") + F.col("_upto") - F.col("_c"), F.col("_below") + F.col("_upto") - 1  # ranks of a value's rows
+    hit = hit.filter((first <= F.col("_r1")) & (last >= F.col("_r0")))
+    t = hit.groupBy(*keys, "n", "_i", "_pos", "_r0", "_r1").agg(
+        F.max(F.when((first <= F.col("_r0")) & (last >= F.col("_r0")), F.col("_v"))).alias("_vlo"),
+        F.max(F.when((first <= F.col("_r1")) & (last >= F.col("_r1")), F.col("_v"))).alias("_vhi"))
+    qv = F.when(F.col("_r1") == F.col("_r0"), F.col("_vlo")).otherwise(
+        (F.col("_r1") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_r0")) * F.col("_vhi"))
+    out = t.withColumn("_q", qv).groupBy(*keys, "n").agg(F.sort_array(F.collect_list(F.struct("_i", "_q"))).alias("_qs"))
     return out.select(*keys, "n", F.transform("_qs", lambda s: s["_q"]).alias("quantiles"))
 
 
 def quantiles(df: DataFrame, value: str, keys: list[str] | None = None,
               probs: tuple[float, ...] = (0.25, 0.5, 0.75), method: str = "exact",
-              partitions: int | None = None, accuracy: int = 10000) -> DataFrame:
+              limit: int = LIMIT, accuracy: int = 10000) -> DataFrame:
     """One row per group: keys…, ``n`` (non-null count) and ``quantiles`` (array, in ``probs`` order).
 
     Nulls and NaN are ignored. Groups with no values are absent.
@@ -114,4 +119,4 @@ def quantiles(df: DataFrame, value: str, keys: list[str] | None = None,
                                     F.percentile_approx("_v", list(probs), accuracy).alias("quantiles"))
     if method != "exact":
         raise ValueError("method must be 'exact' or 'approx'")
-    return quantiles_from_ranked(rank_values(df, value, keys, partitions), keys, probs)
+    return quantiles_of(narrow_values(df, value, keys), keys, probs, limit)
