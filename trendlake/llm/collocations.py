@@ -55,7 +55,7 @@ SLICE = 8 << 20  # bytes of text counted together
 ROW = 128  # entries of a stripe in one row
 FIRST_SEGMENTS = 1024  # of the empty prefix
 SEGMENTS = 64  # of a hot prefix
-HOT = 20_000
+HOT = 500
 SALTS = 16
 PARTS = 64  # of a language, for its first phrases
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
@@ -66,7 +66,7 @@ FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + b".,;:!?\x0a\x0b\x0c\x0d"
                        b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 NEXT_WORDS = {m: re.compile(rb"(?:[ \n]*[^ \n]+){0,%d}" % (m - 1)) for m in range(1, 33)}
 
-STRIPE = "lang string, prefix string, segment int, words array<string>, counts array<bigint>"
+STRIPE = "lang string, prefix string, segment int, words string, counts array<int>"  # words joined by spaces
 
 
 @dataclass
@@ -188,8 +188,8 @@ class Slice:
         prefixes = pc.binary_join_element_wise(*parts, " ") if parts else pa.array([""] * len(rows), pa.string())
         return pa.RecordBatch.from_arrays(
             [self.langs.take(pa.array(self.lang[begin])), prefixes, pa.array(segment[rows]),
-             pa.ListArray.from_arrays(offset, self.words.take(pa.array(word))),
-             pa.ListArray.from_arrays(offset, pa.array(count.astype(np.int64)))],
+             pc.binary_join(pa.ListArray.from_arrays(offset, self.words.take(pa.array(word))), " "),
+             pa.ListArray.from_arrays(offset, pa.array(count.astype(np.int32)))],
             ["lang", "prefix", "segment", "words", "counts"])
 
 
@@ -211,8 +211,11 @@ def added(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.Reco
     for batch in batches:
         if not batch.num_rows:
             continue
+        batch = pa.RecordBatch.from_arrays(
+            [*batch.select(names).columns, pc.split_pattern(batch.column("words"), " "),
+             batch.column("counts").cast(pa.list_(pa.int64()))], [*names, "words", "counts"])
         if held is not None:
-            batch = pa.Table.from_batches([held, batch.select(held.schema.names)]).combine_chunks().to_batches()[0]
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         change = np.zeros(batch.num_rows - 1, np.bool_)
         for name in names:
             c = batch.column(name)
