@@ -84,30 +84,33 @@ def test_slices_segments_and_shared_bits_change_nothing(spark, monkeypatch):
         assert n == sum(len(t.translate(c.FOLD).split()) for t in texts)
     full = c.Frequent(8, *(c.np.full(1, 255, c.np.uint8) for _ in range(2)))
     for size in (2, 5):
-        count = Counter()
+        count, home = Counter(), {}
         for s in c.slices(langs, texts, size):
-            for r in c.Slice(*s).stripes(size, full).to_pylist():
-                assert len(r["counts"]) <= 2
-                for w, k in zip(r["words"].split(" "), r["counts"], strict=True):
-                    count[r["lang"], r["prefix"] + " " + w] += k
+            for r in c.Slice(*s).stripes(size, full, 5).to_pylist():
+                assert r["part"] < 5
+                entries = [(lang, p, w) for lang, p, ws in zip(r["lang"], r["prefix"], r["words"]) for w in ws.split(" ")]
+                for (lang, p, w), k in zip(entries, r["counts"], strict=True):
+                    count[lang, p + " " + w] += k
+                    home.setdefault((lang, p, w), set()).add(r["part"])
         every = Counter()
         for lang, t in zip(langs, texts):
             for piece in t.translate(c.FOLD).decode().split("\n"):
                 w = piece.split()
                 every.update((lang, " ".join(w[i:i + size])) for i in range(len(w) - size + 1))
-        assert count == every
+        assert count == every and all(len(parts) == 1 for parts in home.values())
     assert c.Frequent.has(c.np.array([4], c.np.uint8), c.np.array([2, 3], c.np.uint64), 8).tolist() == [True, False]
 
 
-def test_stripes_added_over_batches():
-    rows = [("en", "a", 0, "x y", [1, 2]), ("en", "a", 0, "y", [5]), ("en", "a", 0, "x", [9]), ("en", "b", 0, "x", [1]),
-            ("en", "b", 1, "x z", [4, 4]), ("fr", "b", 1, "x", [7])]
-    names = ["lang", "prefix", "segment", "words", "counts"]
+def test_bundles_added_over_batches():
+    rows = [(0, ["en", "en"], ["a", "b"], ["x y", "x"], [1, 2, 1]), (0, ["en"], ["a"], ["y"], [5]), (1, ["en", "fr"], ["", ""], ["x z", "x"], [4, 4, 1]),
+            (1, ["en"], [""], ["q"], [1]), (3, ["en"], ["c"], ["x"], [9])]
+    names = ["part", "lang", "prefix", "words", "counts"]
+    schema = pa.schema([("part", pa.int32())] + [(n, pa.list_(pa.string())) for n in names[1:4]] + [("counts", pa.list_(pa.int32()))])
     for size in (1, 2, 3, 6):
-        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[i:i + size]]) for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[i:i + size]], schema) for i in range(0, len(rows), size)]
         got = [tuple(r.values()) for b in c.added(iter(batches), 4) for r in b.to_pylist()]
-        assert [(a, b, t, sorted(zip(w, n))) for a, b, t, w, n in got] == [
-            ("en", "a", 17, [("x", 10), ("y", 7)]), ("en", "b", 1, []), ("en", "b", 8, [("x", 4), ("z", 4)]), ("fr", "b", 7, [("x", 7)])]
+        assert sorted((a, b, t, sorted(zip(w, n))) for a, b, t, w, n in got) == [
+            ("en", "", 9, [("x", 4), ("z", 4)]), ("en", "a", 8, [("y", 7)]), ("en", "c", 9, [("x", 9)]), ("fr", "", 1, [])]
 
 
 def test_scores_beyond_64_bits(spark):

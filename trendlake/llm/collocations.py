@@ -2,7 +2,8 @@
 
 Level m counts phrases of m words. A task makes the stripes of a slice of texts: for each
 (language, prefix of m - 1 words) the associative counter of next words. Stripes meet by
-(language, prefix, segment) and are added element by element. That structure gives all:
+(language, prefix, segment) and are added element by element; they travel in bundles, a
+part of the keys by hash each, as most stripes of a slice are short. That structure gives all:
 
 - extensions: the entries of at least ``min_count`` are the frequent phrases;
 - prefix totals: the empty prefix's stripe sums to n, and the entry of a phrase is the
@@ -52,12 +53,13 @@ MIN_COUNT = 100
 SUBSUMED_PERCENT = 100
 LIMIT = 2000
 SLICE = 8 << 20  # bytes of text counted together
-ROW = 128  # entries of a stripe in one row
+ROW = 1024  # entries of a bundle, beyond the last stripe's
+PARTS_LEAST, PART_WORDS = 4096, 1 << 18  # parts of the stripes: so many, or one for so many words of the texts
 FIRST_SEGMENTS = 1024  # of the empty prefix
 SEGMENTS = 64  # of a hot prefix
 HOT = 500
 SALTS = 16
-PARTS = 64  # of a language, for its first phrases
+RANKED_PARTS = 64  # of a language, for its first phrases
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
 PAGE = 32768  # bits of one of Spark's bitmaps
 
@@ -66,7 +68,8 @@ FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + b".,;:!?\x0a\x0b\x0c\x0d"
                        b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 NEXT_WORDS = {m: re.compile(rb"(?:[ \n]*[^ \n]+){0,%d}" % (m - 1)) for m in range(1, 33)}
 
-STRIPE = "lang string, prefix string, segment int, words string, counts array<int>"  # words joined by spaces
+# a bundle of stripes of one part; each stripe's words joined by spaces, the counts of all in a row
+BUNDLE = "part int, lang array<string>, prefix array<string>, words array<string>, counts array<int>"
 
 
 @dataclass
@@ -82,6 +85,14 @@ class Frequent:
         return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(np.bool_)
 
 
+def first_of_runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of rows that are alike in all columns begins."""
+    change = np.zeros(max(len(columns[0]) - 1, 0), np.bool_)
+    for c in columns:
+        change |= c[1:] != c[:-1]
+    return np.flatnonzero(np.append(True, change)[:len(columns[0])])
+
+
 def string_hashes(strings: pa.Array) -> np.ndarray:
     values = np.empty(len(strings), object)
     values[:] = strings.to_pylist()
@@ -166,7 +177,8 @@ class Slice:
         at = np.flatnonzero(ok)
         return at, np.ones(len(at), np.bool_)
 
-    def stripes(self, size: int, frequent: Frequent | None) -> pa.RecordBatch:
+    def stripes(self, size: int, frequent: Frequent | None, parts: int) -> pa.RecordBatch:
+        """The slice's stripes in bundles by part."""
         at, hot = self.begins(size, frequent)
         count_of_words = max(len(self.words), 1)
         prefix = self.lang[at]
@@ -176,85 +188,85 @@ class Slice:
         one = at[first]
         word = self.code[one + size - 1]
         segment = np.where(hot[first], self.hashes[word] % np.uint64(FIRST_SEGMENTS if size == 1 else SEGMENTS), 0).astype(np.int32)
-        by = np.lexsort((segment, key // count_of_words))
-        key, one, word, segment, count = key[by], one[by], word[by], segment[by], count[by]
         prefix = key // count_of_words
-        new = np.flatnonzero(np.append(True, (prefix[1:] != prefix[:-1]) | (segment[1:] != segment[:-1]))[:len(key)])
-        within = np.arange(len(key)) - np.repeat(new, np.diff(np.append(new, len(key))))
-        rows = np.flatnonzero(within % ROW == 0)
-        offset = pa.array(np.append(rows, len(key)).astype(np.int32))
-        begin = one[rows]
-        parts = [self.words.take(pa.array(self.code[begin + j])) for j in range(size - 1)]
-        prefixes = pc.binary_join_element_wise(*parts, " ") if parts else pa.array([""] * len(rows), pa.string())
+        stripe_hash = self.phrase_hashes(size - 1)[one] + segment.astype(np.uint64)
+        part = (mix(stripe_hash) % np.uint64(parts)).astype(np.int32)
+        by = np.lexsort((segment, prefix, part))
+        prefix, one, word, segment, count, part = prefix[by], one[by], word[by], segment[by], count[by], part[by]
+
+        stripe = first_of_runs(part, prefix, segment)  # each one's first entry
+        row = first_of_runs(part[stripe], stripe // ROW)  # each one's first stripe
+        entry_at = pa.array(np.append(stripe, len(word)).astype(np.int32))
+        stripe_at = pa.array(np.append(row, len(stripe)).astype(np.int32))
+        begin = one[stripe]
+        before = [self.words.take(pa.array(self.code[begin + j])) for j in range(size - 1)]
+        prefixes = pc.binary_join_element_wise(*before, " ") if before else pa.array([""] * len(stripe), pa.string())
+        joined = pc.binary_join(pa.ListArray.from_arrays(entry_at, self.words.take(pa.array(word))), " ")
+        counts_at = pa.array(np.append(stripe[row], len(word)).astype(np.int32))
         return pa.RecordBatch.from_arrays(
-            [self.langs.take(pa.array(self.lang[begin])), prefixes, pa.array(segment[rows]),
-             pc.binary_join(pa.ListArray.from_arrays(offset, self.words.take(pa.array(word))), " "),
-             pa.ListArray.from_arrays(offset, pa.array(count.astype(np.int32)))],
-            ["lang", "prefix", "segment", "words", "counts"])
+            [pa.array(part[stripe[row]]), pa.ListArray.from_arrays(stripe_at, self.langs.take(pa.array(self.lang[begin]))),
+             pa.ListArray.from_arrays(stripe_at, prefixes), pa.ListArray.from_arrays(stripe_at, joined),
+             pa.ListArray.from_arrays(counts_at, pa.array(count.astype(np.int32)))],
+            ["part", "lang", "prefix", "words", "counts"])
 
 
 def added(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
-    """Sorted stripes of one key added element by element: total and entries of at least ``min_count``."""
-    names = ["lang", "prefix", "segment"]
-    held: pa.RecordBatch | None = None  # the key that may go on, as rows of one entry array
-
-    def emit(keys: pa.RecordBatch, key: np.ndarray, words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-        total = np.add.reduceat(counts, np.flatnonzero(np.append(True, key[1:] != key[:-1])))
-        enough = counts >= min_count
-        offset = np.searchsorted(key[enough], np.arange(len(keys) + 1)).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [keys.column("lang"), keys.column("prefix"), pa.array(total),
-             pa.ListArray.from_arrays(pa.array(offset), words.filter(pa.array(enough))),
-             pa.ListArray.from_arrays(pa.array(offset), pa.array(counts[enough]))],
+    """Bundles sorted by part, their stripes added element by element: total and entries of at least ``min_count``."""
+    by = ["lang", "prefix", "word"]
+    held: pa.Table | None = None  # sums of the part that may go on
+
+    def summed(t: pa.Table) -> pa.Table:
+        t = t.group_by(["part", *by], use_threads=False).aggregate([("count", "sum")])
+        return t.rename_columns(["part", *by, "count"])
+
+    def emit(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not t.num_rows:
+            return
+        t = t.take(pc.sort_indices(t, [("lang", "ascending"), ("prefix", "ascending")])).combine_chunks()
+        lang, prefix, count = t["lang"].combine_chunks(), t["prefix"].combine_chunks(), np.asarray(t["count"])
+        change = np.asarray(pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(prefix[1:], prefix[:-1])))
+        first = np.flatnonzero(np.append(True, change))
+        enough = count >= min_count
+        kept = np.add.reduceat(enough, first, dtype=np.int64)
+        shown = np.flatnonzero((kept > 0) | np.asarray(pc.equal(prefix.take(pa.array(first)), "")))
+        offset = pa.array(np.append(0, np.cumsum(kept[shown])).astype(np.int32))  # those left out have no entry
+        at = pa.array(first[shown])
+        yield pa.RecordBatch.from_arrays(
+            [lang.take(at), prefix.take(at), pa.array(np.add.reduceat(count, first)[shown]),
+             pa.ListArray.from_arrays(offset, t["word"].combine_chunks().filter(pa.array(enough))),
+             pa.ListArray.from_arrays(offset, pa.array(count[enough]))],
             ["lang", "prefix", "total", "words", "counts"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        batch = pa.RecordBatch.from_arrays(
-            [*batch.select(names).columns, pc.split_pattern(batch.column("words"), " "),
-             batch.column("counts").cast(pa.list_(pa.int64()))], [*names, "words", "counts"])
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        change = np.zeros(batch.num_rows - 1, np.bool_)
-        for name in names:
-            c = batch.column(name)
-            change |= np.asarray(pc.not_equal(c[1:], c[:-1]))
-        key = np.append(0, np.cumsum(change))
-        entry_key = key[np.asarray(pc.list_parent_indices(batch.column("words")))]
-        t = pa.table({"key": entry_key, "word": batch.column("words").flatten(), "count": batch.column("counts").flatten()})
-        t = t.group_by(["key", "word"], use_threads=False).aggregate([("count", "sum")]).combine_chunks()
-        by = np.argsort(np.asarray(t["key"]), kind="stable")
-        entry_key = np.asarray(t["key"])[by]
-        words, counts = t["word"].combine_chunks().take(pa.array(by)), np.asarray(t["count_sum"])[by]
-        last = int(np.searchsorted(entry_key, key[-1]))
-        first_rows = np.flatnonzero(np.append(True, change))
-        keys = batch.select(names).take(pa.array(first_rows))
-        if last:
-            yield emit(keys.slice(0, len(keys) - 1), entry_key[:last], words.slice(0, last), counts[:last])
-        whole = pa.array([0, len(counts) - last], pa.int32())
-        held = pa.RecordBatch.from_arrays(
-            [*keys.slice(len(keys) - 1).columns, pa.ListArray.from_arrays(whole, words.slice(last)),
-             pa.ListArray.from_arrays(whole, pa.array(counts[last:]))], [*names, "words", "counts"])
+        words = pc.split_pattern(batch.column("words").flatten(), " ")  # a list for each stripe
+        stripe = pc.list_parent_indices(words)
+        row = pc.list_parent_indices(batch.column("words")).take(stripe)
+        t = pa.table({"part": batch.column("part").take(row), "lang": batch.column("lang").flatten().take(stripe),
+                      "prefix": batch.column("prefix").flatten().take(stripe), "word": words.flatten(),
+                      "count": batch.column("counts").flatten().cast(pa.int64())})
+        t = summed(t if held is None else pa.concat_tables([held, t]))
+        on = pc.equal(t["part"], batch.column("part")[-1])
+        held = t.filter(on)
+        yield from emit(t.filter(pc.invert(on)))
     if held is not None:
-        words, counts = held.column("words").flatten(), np.asarray(held.column("counts").flatten())
-        yield emit(held.select(names), np.zeros(len(counts), np.int64), words, counts)
+        yield from emit(held)
 
 
-def stripes(texts: DataFrame, size: int, frequent: Frequent | None, min_count: int) -> DataFrame:
+def stripes(texts: DataFrame, size: int, frequent: Frequent | None, parts: int, min_count: int) -> DataFrame:
     """lang, prefix, total, words, counts: the entries of at least ``min_count``, by segment."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for langs, some, limit in slices(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), size):
-                got = Slice(langs, some, limit).stripes(size, shared.value)
-                for at in range(0, got.num_rows, 10_000):
-                    yield got.slice(at, 10_000)
+                got = Slice(langs, some, limit).stripes(size, shared.value, parts)
+                for at in range(0, got.num_rows, 1000):
+                    yield got.slice(at, 1000)
 
-    parts = map_batches(texts, count, STRIPE)
-    parts = parts.repartition("lang", "prefix", "segment").sortWithinPartitions("lang", "prefix", "segment")
-    return map_batches(parts, lambda batches: added(batches, min_count),
+    bundles = map_batches(texts, count, BUNDLE).repartition("part").sortWithinPartitions("part")
+    return map_batches(bundles, lambda batches: added(batches, min_count),
                        "lang string, prefix string, total bigint, words array<string>, counts array<bigint>")
 
 
@@ -323,7 +335,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", ma
     frequent = totals = None
     words = 0
     for size in range(1, max_words + 1):
-        striped = stored(stripes(texts, size, frequent, min_count), f"stripes{size}")
+        parts = max(PARTS_LEAST, words // PART_WORDS)
+        striped = stored(stripes(texts, size, frequent, parts, min_count), f"stripes{size}")
         if size == 1:
             totals = stored(striped.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
             words = totals.agg(F.sum("n")).first()[0] or 0
@@ -371,7 +384,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
     scored = (salted(found, "phrase").join(every_salt(totals), ["lang", "salt"]).withColumn("cut", lowest_cut())
               .select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score")))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    part = F.pmod(F.hash("phrase"), F.lit(PARTS))
+    part = F.pmod(F.hash("phrase"), F.lit(RANKED_PARTS))
     first = scored.withColumn("part", part).withColumn("_row", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
     ranked = first.filter(F.col("_row") <= limit).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint"))
     return ranked.filter(F.col("rank") <= limit).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
