@@ -548,3 +548,39 @@ def q_kde_balance_binned(spark, sf_dir):
     both = exact.join(binned, ["c_mktsegment", "grid"])
     return _round_doubles(both.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("points"), F.max("bandwidth").alias("bandwidth"),
                                                            (F.max(F.abs(F.col("density") - F.col("binned")) / bound) <= 1).alias("within")))
+
+
+@register("stream_compacted")
+def q_stream_compacted(spark, sf_dir):
+    """Three landings and runs; closed months compacted after the second, and again after the third, which
+    brought late days of months already compacted. The table is the series, every row once."""
+    import datetime as dt
+
+    from trendlake.sinks.tables import publish_messages
+    from trendlake.streaming.compaction import compact
+    from trendlake.streaming.ingest import default_checkpoint, read_observations
+    base = _scratch(spark, "stream_compacted")
+    obs = observations(spark, sf_dir)
+    for part, cutoff in ((0, None), (1, dt.date(1997, 1, 1)), (2, dt.date(2000, 6, 1))):
+        publish_messages(obs.filter(F.dayofmonth("date") % 3 == part), f"{base}/landing")
+        _ingest(spark, base, "ingest")
+        if cutoff:
+            compact(spark, f"{base}/table", [default_checkpoint(f"{base}/table", "ingest")], cutoff)
+    return _round_doubles(read_observations(spark, f"{base}/table"))
+
+
+@register("publish_report")
+def q_publish_report(spark, sf_dir):
+    """Rows made bad (no location, no date, an infinite number): what was sent and what failed, by reason, from
+    the files, beside the counts observed in the pass that wrote them."""
+    from trendlake.sinks.tables import publish_report
+    day = F.dayofmonth("date")
+    obs = observations(spark, sf_dir).withColumn("_day", day)
+    bad = obs.withColumns({"location": F.when(F.col("_day") != 1, F.col("location")), "date": F.when(F.col("_day") != 2, F.col("date")),
+                           "new_cases": F.when(F.col("_day") == 3, F.lit(float("inf"))).otherwise(F.col("new_cases"))}).drop("_day")
+    told = publish_report(bad, _scratch(spark, "publish_report"))
+    sent = spark.read.text(f"{told['run']}/status=sent").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("sent").alias("status"), F.lit(None).cast("string").alias("reason"), "n")
+    failed = spark.read.text(f"{told['run']}/status=failed").groupBy(F.get_json_object("value", "$.reason").alias("reason")).agg(
+        F.count(F.lit(1)).alias("n")).select(F.lit("failed").alias("status"), "reason", "n")
+    return sent.unionByName(failed).withColumn("observed", F.when(F.col("status") == "sent", told["sent"]).otherwise(told["failed"]))

@@ -518,3 +518,12 @@ v(model_version, since) as (select 'rf_v1', cast(min(date) + 1 as date) from pob
 select v.model_version, cast(count(*) as bigint) as n, round(sqrt(avg(power(actual - mean, 2))), 6) as mean_rmse, true as better
 from judged join mean_of_day using (date) join v on date >= since
 group by v.model_version"""
+
+
+SQL["stream_compacted"] = SQL["daily_series"]
+
+SQL["publish_report"] = f"""
+with {OBS_CTE},
+w as (select case day(date) when 1 then 'no location' when 2 then 'no date' when 3 then 'not a finite number' end as reason from obs),
+c as (select case when reason is null then 'sent' else 'failed' end as status, reason, cast(count(*) as bigint) as n from w group by reason)
+select status, reason, n, cast(sum(n) over (partition by status) as bigint) as observed from c"""

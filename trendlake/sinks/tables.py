@@ -12,12 +12,15 @@ prediction set is written once, set-oriented, and reruns are idempotent:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from trendlake.operators.prep import dedup_latest
-from trendlake.schema import PREDICTIONS, PREDICTIONS_JDBC_TYPES
+from trendlake.schema import OBS, PREDICTIONS, PREDICTIONS_JDBC_TYPES
 from trendlake.streaming.ingest import encode
 
 NATURAL_KEY = ["location", "date", "model_version"]
@@ -36,6 +39,38 @@ def publish_messages(df: DataFrame, path: str | None = None, kafka_options: dict
         raise ValueError("give a path or kafka_options")
 
 
+def publishable(max_bytes: int | None = None) -> "F.Column":
+    """Why a row can't be published (null: it can): no key, a number JSON has no form for, too long a message."""
+    numbers = [f.name for f in OBS.fields if isinstance(f.dataType, T.DoubleType)]
+    odd = F.lit(False)
+    for c in numbers:
+        odd = odd | F.coalesce(F.isnan(c) | F.col(c).isin(float("inf"), float("-inf")), F.lit(False))
+    why = F.when(F.col("location").isNull(), "no location").when(F.col("date").isNull(), "no date").when(odd, "not a finite number")
+    if max_bytes:
+        why = why.when(F.octet_length("value") > max_bytes, "message too long")
+    return why
+
+
+def publish_report(df: DataFrame, base: str, kafka_options: dict | None = None, max_bytes: int | None = None) -> dict:
+    """Publish the rows that can be, keep the others with the reason, and count both.
+
+    One pass over ``df`` writes ``base/run=<id>/status=sent`` (the landing folder of this run, one message a line)
+    and ``base/run=<id>/status=failed`` (reason and message); the counts are observed in the same pass.
+    With ``kafka_options`` the sent messages then go on from there to the topic. Rows are of the OBS schema.
+    """
+    rows = df.withColumn("value", F.to_json(F.struct(F.date_format("date", "yyyy-MM-dd").alias("date"),
+                                                     *[c for c in OBS.fieldNames() if c != "date"]), {"ignoreNullFields": "false"}))
+    rows = rows.withColumn("reason", publishable(max_bytes)).withColumn("status", F.when(F.col("reason").isNull(), "sent").otherwise("failed"))
+    seen = Observation()
+    counted = rows.observe(seen, F.count_if(F.col("reason").isNull()).alias("sent"), F.count_if(F.col("reason").isNotNull()).alias("failed"))
+    line = F.when(F.col("reason").isNull(), F.col("value")).otherwise(F.to_json(F.struct("reason", "value")))
+    run = f"{base.rstrip('/')}/run={uuid.uuid4().hex}"
+    counted.select(line.alias("value"), "status").write.partitionBy("status").text(run)
+    if kafka_options and seen.get["sent"]:
+        df.sparkSession.read.text(f"{run}/status=sent").write.format("kafka").options(**kafka_options).save()
+    return {**seen.get, "run": run}
+
+
 def stamp(df: DataFrame) -> DataFrame:
     """Set ``created_at`` (the reference declares it but never fills it)."""
     return df.withColumn("created_at", F.current_date())

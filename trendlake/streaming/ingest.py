@@ -188,10 +188,15 @@ def read_observations(spark: SparkSession, path: str, start=None, end=None) -> D
     """Batch read of the ingested table.
 
     ``start`` / ``end`` (inclusive days) filter ``date`` and, for the month
-    layout, the ``month`` partition column too, so whole folders are pruned.
+    layout, the ``month`` partition column too, so whole folders are pruned. Of a
+    compacted table (``streaming.compaction``) the newest version is read.
     """
-    month = [T.StructField("month", T.DateType())]
-    df = spark.read.schema(T.StructType(OBS.fields + month)).parquet(path)
+    from trendlake.streaming.compaction import current, path_exists
+    if path_exists(spark, f"{path.rstrip('/')}_manifest"):
+        df = current(spark, path)
+    else:
+        month = [T.StructField("month", T.DateType())]
+        df = spark.read.schema(T.StructType(OBS.fields + month)).parquet(path)
     if start is not None:
         df = df.filter(F.col("date") >= F.lit(start).cast("date"))
         df = df.filter(F.col("month").isNull() | (F.col("month") >= F.trunc(F.lit(start).cast("date"), "month")))
