@@ -112,3 +112,18 @@ def test_publish_report(spark, tmp_dir):
     assert read_observations(spark, f"{tmp_dir}/table").count() == 9
     again = publish_report(obs.limit(0), tmp_dir)
     assert (again["sent"], again["failed"]) == (0, 0) and again["run"] != told["run"]
+
+
+def test_merge_keeps_the_latest_row_of_a_key(spark, tmp_dir):
+    table, ckpt = f"{tmp_dir}/table", default_checkpoint(f"{tmp_dir}/table", "ingest")
+    obs = observations(spark, range(40))
+    ingest(spark, tmp_dir, obs)
+    cp.compact(spark, table, [ckpt], dt.date(2021, 1, 1), keys=["location", "date"])
+    newer = obs.filter("location = 'B' and date < '2020-01-11'").withColumn("new_cases", F.col("new_cases") + 1000)
+    lost = observations(spark, [1, 1], ("A",)).withColumn("location", F.lit(None).cast("string"))
+    ingest(spark, tmp_dir, newer.unionByName(lost))
+    assert cp.compact(spark, table, [ckpt], dt.date(2021, 1, 1), keys=["location", "date"]) == [dt.date(2020, 1, 1)]
+    got = read_observations(spark, table).collect()
+    assert len(got) == 122 and sum(r["location"] is None for r in got) == 2
+    assert {r["new_cases"] for r in got if r["location"] == "B" and r["date"] < dt.date(2020, 1, 11)} == {1000.0 + i for i in range(10)}
+    assert {r["new_cases"] for r in got if r["location"] == "A"} == {float(i) for i in range(40)}

@@ -76,7 +76,8 @@ def histogram_with_density(df: DataFrame, x: str, color: str | None = None) -> D
 def error_analysis(df: DataFrame, align: str = "target") -> dict[str, DataFrame]:
     """Error series and their distributions."""
     d = ev.align_to_target(df) if align == "target" else df
-    errs = ev.error_columns(d).select("location", "date", "model_version", "cases_error", "deaths_error")
+    # stored: five results read it, none replays the alignment and what is upstream
+    errs = materialize(ev.error_columns(d).select("location", "date", "model_version", "cases_error", "deaths_error"), "errors")
     return {
         "errors": errs,
         "cases_error_hist": ex.histogram(errs, "cases_error"),

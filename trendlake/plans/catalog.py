@@ -584,3 +584,34 @@ def q_publish_report(spark, sf_dir):
     failed = spark.read.text(f"{told['run']}/status=failed").groupBy(F.get_json_object("value", "$.reason").alias("reason")).agg(
         F.count(F.lit(1)).alias("n")).select(F.lit("failed").alias("status"), "reason", "n")
     return sent.unionByName(failed).withColumn("observed", F.when(F.col("status") == "sent", told["sent"]).otherwise(told["failed"]))
+
+
+@register("metrics_state")
+def q_metrics_state(spark, sf_dir):
+    """Metrics by model, by location and by month from the state of two increments, the second written twice."""
+    from trendlake.operators.metric_state import read_state, scoped_metrics, write_increment
+    from trendlake.session import materialize
+    path = _scratch(spark, "metric_state")
+    pairs = materialize(ev.align_to_target(w2_predictions(spark, sf_dir)), "judged_pairs")
+    for name, part in (("early", F.col("date") < "1998-07-15"), ("late", F.col("date") >= "1998-07-15"), ("late", F.col("date") >= "1998-07-15")):
+        write_increment(pairs.filter(part), path, name)
+    return _round_doubles(scoped_metrics(read_state(spark, path)))
+
+
+@register("stream_replay")
+def q_stream_replay(spark, sf_dir):
+    """Everything lands twice, the second time in another order and split over two runs, each run merged by
+    (location, date) into the months it touches: every row once."""
+    import datetime as dt
+
+    from trendlake.sinks.tables import publish_messages
+    from trendlake.streaming.compaction import compact
+    from trendlake.streaming.ingest import default_checkpoint, read_observations
+    base = _scratch(spark, "stream_replay")
+    obs = observations(spark, sf_dir)
+    again = obs.repartition(4, "date")
+    for part in (obs, again.filter(F.month("date") > 6), again.filter(F.month("date") <= 6)):
+        publish_messages(part, f"{base}/landing")
+        _ingest(spark, base, "ingest")
+        compact(spark, f"{base}/table", [default_checkpoint(f"{base}/table", "ingest")], dt.date(2100, 1, 1), keys=["location", "date"])
+    return _round_doubles(read_observations(spark, f"{base}/table"))

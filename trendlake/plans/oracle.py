@@ -520,10 +520,22 @@ from judged join mean_of_day using (date) join v on date >= since
 group by v.model_version"""
 
 
-SQL["stream_compacted"] = SQL["daily_series"]
+SQL["stream_compacted"] = SQL["stream_replay"] = SQL["daily_series"]
 
 SQL["publish_report"] = f"""
 with {OBS_CTE},
 w as (select case day(date) when 1 then 'no location' when 2 then 'no date' when 3 then 'not a finite number' end as reason from obs),
 c as (select case when reason is null then 'sent' else 'failed' end as status, reason, cast(count(*) as bigint) as n from w group by reason)
 select status, reason, n, cast(sum(n) over (partition by status) as bigint) as observed from c"""
+
+
+def _metrics_of_scopes() -> str:
+    parts = []
+    for scope, keys in (("model", ["model_version"]), ("location", ["location", "model_version"]), ("month", ["model_version", "month"])):
+        columns = [k if k in keys else f"cast(null as {'date' if k == 'month' else 'varchar'}) as {k}" for k in ("location", "model_version", "month")]
+        parts.append(f"select '{scope}' as scope, {', '.join(columns)}, target, n, rmse, mae, r2 from ({_metrics_sql('judged', keys)}) x")
+    return (f"with {PRED_CTE}, {ALIGNED_CTE}, judged as (select *, cast(date_trunc('month', date) as date) as month from aligned) "
+            + " union all ".join(parts))
+
+
+SQL["metrics_state"] = _metrics_of_scopes()

@@ -14,6 +14,20 @@ from trendlake.operators.prep import dedup_latest
 from trendlake.schema import PREDICTIONS
 
 
+# SQLSTATE of a missing table (MySQL and the standard; PostgreSQL).
+MISSING_TABLE = {"42S02", "42P01"}
+
+
+def sql_state(error) -> str | None:
+    """The SQLSTATE of a JVM exception or of the first of its causes that has one."""
+    while error is not None:
+        state = getattr(error, "getSQLState", None)
+        if "SQL" in error.getClass().getName() and callable(state):
+            return state()
+        error = error.getCause()
+    return None
+
+
 def read_predictions_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                           partition_column: str | None = None, lower_bound=None, upper_bound=None,
                           num_partitions: int | None = None, dedup: bool = True) -> DataFrame:
@@ -28,7 +42,7 @@ def read_predictions_jdbc(spark: SparkSession, url: str, table: str, properties:
         if dedup:  # the writer appends: a rerun or a retried task leaves several rows of a key
             df = dedup_latest(df, ["location", "date", "model_version"], [F.col("created_at").desc_nulls_last()])
         return df
-    except Exception as e:  # noqa: BLE001 - missing table / unreachable DB → empty frame
-        if "not found" in str(e).lower() or "does not exist" in str(e).lower():
+    except Exception as e:  # noqa: BLE001 - a missing table gives an empty frame, anything else is raised
+        if sql_state(getattr(e, "java_exception", None) or getattr(e, "_origin", None)) in MISSING_TABLE:
             return spark.createDataFrame([], PREDICTIONS)
         raise

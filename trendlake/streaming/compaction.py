@@ -5,7 +5,8 @@ A stream leaves ``stream=<id>/batch=<n>/month=…`` folders, a file or more per
 has committed (a batch that is being written, or replayed, is left for the next time), into
 ``<table>_compacted/gen=<id>/month=…``, sorted by location and date, so that row-group
 statistics let a read of some locations skip the rest. Only months with rows that no
-compaction holds yet are rewritten, together with what the last one held of them.
+compaction holds yet are rewritten, together with what the last one held of them. Given keys, it
+merges: replayed rows, which a stream's own dedup forgets beyond its watermark, stay once.
 
 The pointer is a manifest beside the table: one file per version, written after the data, so
 it is there whole or not at all. Its rows: the covered batches (stream, batch: all up to that
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendlake.operators.prep import dedup_latest
 from trendlake.schema import OBS
 
 MANIFEST = "version bigint, cutoff date, kind string, stream string, batch bigint, month date, gen string"
@@ -85,10 +87,14 @@ def committed(spark: SparkSession, checkpoint: str) -> tuple[str, int] | None:
     return None if last is None else (spark.read.json(f"{main}/metadata").first()["id"], last)
 
 
-def compact(spark: SparkSession, table: str, checkpoints: list[str], before: dt.date) -> list[dt.date]:
+def compact(spark: SparkSession, table: str, checkpoints: list[str], before: dt.date,
+            keys: list[str] | None = None) -> list[dt.date]:
     """Rewrites the months before that of ``before``; the months rewritten (none: nothing new, no new version).
 
     A table partitioned by month is expected (``run_stream``'s default). The cutoff never goes back.
+    ``keys`` (e.g. location and date) makes it a merge: of rows with equal keys the one of the latest batch stays,
+    however late a replay comes; only months that new batches touch are read and rewritten. Rows with a
+    null key all stay.
     """
     old = manifest(spark, table)
     cutoff = before.replace(day=1)
@@ -109,10 +115,17 @@ def compact(spark: SparkSession, table: str, checkpoints: list[str], before: dt.
     touched = [r["month"] for r in fresh.select("month").distinct().collect()]  # a row per month of the calendar at most
     if not touched:
         return []
-    rows = fresh.drop("stream", "batch")
+    rows = fresh.drop("stream")
     again = [m for m in touched if m in months]
     if again:
-        rows = rows.unionByName(compacted(spark, table, old, again))
+        rows = rows.unionByName(compacted(spark, table, old, again).withColumn("batch", F.lit(-1).cast("bigint")))
+    if keys:
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        latest = dedup_latest(rows.filter(whole), keys, [F.col("batch").desc()])
+        rows = latest.unionByName(rows.filter(~whole))
+    rows = rows.drop("batch")
     gen = uuid.uuid4().hex
     # a month's rows meet in few tasks and files; a very large month is split
     (rows.hint("rebalance", "month").sortWithinPartitions("month", "location", "date")
