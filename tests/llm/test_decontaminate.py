@@ -67,22 +67,60 @@ def test_recall_and_precision_at_the_largest_distance():
         assert edit_distance(item, words[start:start + n]) == distance <= d.allowed_edits(len(item))
 
 
+def hashes(words):
+    return hashing.word_hashes(hashing.folded(" ".join(words)))[0]
+
+
 def test_windows_lose_nothing():
     r = random.Random(3)
     voc = messy.vocabulary(4, 30)  # few words, so grams repeat
     items = [(i, " ".join(r.choices(voc, k=r.randint(3, 20)))) for i in range(40)]
-    texts = [" ".join(edited(r, r.choice(items)[1].split(), r.randint(0, 4), voc) + r.choices(voc, k=20)) for _ in range(60)]
-    found = {(row, i): dist for row, i, _, _, dist in d.Index(items).leaks(texts)}
-    lost = 0
-    for row, t in enumerate(texts):
+    index = d.Index(items)
+    checked = 0
+    for _ in range(60):
+        text = edited(r, r.choice(items)[1].split(), r.randint(0, 4), voc) + r.choices(voc, k=20)
+        h = hashes(text)
+        windows = {(int(a), int(n)) for _, a, n in index.windows(h, np.zeros(len(h), np.int64))}
+        found = {i: dist for _, i, _, _, dist in index.leaks([" ".join(text)])}
         for i, item in items:
             words = item.split()
-            best = best_in(words, t.split()) if len(set(words) & set(t.split())) >= len(words) // 2 else 99
-            if best <= d.allowed_edits(len(words)):
-                lost += found.get((row, i)) != best
+            most = d.allowed_edits(len(words))
+            best = d.best_stretch(words, text, most)
+            if best:
+                checked += 1
+                assert any(n == len(words) and abs(a - best[1]) <= most for a, n in windows)
+                assert best[0] <= found.get(i, best[0]) <= most
             else:
-                assert (row, i) not in found
-    assert lost <= 0.02 * max(1, len(found))
+                assert i not in found
+    assert checked > 40
+
+
+def zipf(rng, voc, n):
+    p = 1 / np.arange(10, 10 + len(voc))  # the commonest word: about 1 in 60
+    return list(rng.choice(voc, n, p=p / p.sum()))
+
+
+def test_lsh_alone_recalls_and_selects():
+    """All item-sized windows around a planted passage, without the 3-gram step."""
+    r, rng = random.Random(5), np.random.default_rng(5)
+    voc = messy.vocabulary(9, 3000)
+    missed = planted = 0
+    for n in (1, 2, 4, 5, 6, 9, 10, 20, 39, 40, 60, 120, 200):
+        common = 0
+        for _ in range(30):
+            item, k = zipf(rng, voc, n), d.allowed_edits(n)
+            text = r.choices(voc, k=k) + edited(r, item, k, voc) + r.choices(voc, k=n + k)
+            h = hashes(text)
+            own = d.lsh_keys(hashes(item)[None], np.array([n]), np.array([n]))
+            x = np.stack([h[a:a + n] for a in range(2 * k + 1)])
+            keys = d.lsh_keys(x, np.full(len(x), n), np.full(len(x), n))
+            planted += 1
+            missed += not ((keys == own) & (own != 0)).any()
+            other = np.stack([hashes(zipf(rng, voc, n)) for _ in range(20)])
+            theirs = d.lsh_keys(other, np.full(20, n), np.full(20, n))
+            common += ((theirs == own) & (own != 0)).any(axis=1).sum()
+        assert common <= 0.05 * 600, (n, common)
+    assert missed <= 0.01 * planted
 
 
 def test_walks_keep_equal_windows_equal_whatever_the_padding():
@@ -90,6 +128,14 @@ def test_walks_keep_equal_windows_equal_whatever_the_padding():
     a = d.lsh_keys(x, np.array([10]), np.array([10]))
     b = d.lsh_keys(np.pad(x, ((0, 0), (0, 20))), np.array([10]), np.array([10]))
     assert np.array_equal(a, b)
+    mixed = d.lsh_keys(np.pad(np.concatenate([x, x]), ((0, 0), (0, 20))), np.array([10, 10]), np.array([10, 30]))
+    assert np.array_equal(a[0], mixed[0]) and not set(mixed[1].tolist()) & set(a[0].tolist()) - {0}
+
+
+def test_every_size_has_keys():
+    for n in range(1, 9):
+        x = np.stack([hashes([f"w{i}x{k}" for k in range(n)]) for i in range(50)])
+        assert (d.lsh_keys(x, np.full(50, n), np.full(50, n)) != 0).any(axis=1).all(), n
 
 
 def test_long_texts_in_chunks(monkeypatch):

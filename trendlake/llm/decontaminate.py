@@ -9,18 +9,21 @@ lower-cased text (every non-ASCII character counts as a letter).
    times keeps at least L - 2 - 3k of its 3-grams within k places of one alignment
    (L - 1 - 2k 2-grams for items under six words), so no window within reach is left out.
 2. Embedding. Each window and item goes through ``WALKS`` shared random walks (CGK): at
-   step j it writes its current word and moves on by a bit drawn from (walk, j, word);
-   3L steps. Few edits leave the walks in step for most of the way, so edit distance
-   becomes Hamming distance.
-3. Bit-sampling LSH. For each walk ``SAMPLES`` keys of ``SAMPLE_BITS`` sampled places; a window
-   and an item of its length that agree in one key are a candidate. The repetitions put
-   recall above 0.99 at the largest allowed distance (``tests/llm`` measure it).
+   step j it writes its current word and moves on by a bit drawn from (walk, j, word).
+   A walk over L words ends after about 2L steps, so ``REACH`` L steps are taken. Few edits leave
+   the walks in step for most of the way, so edit distance becomes Hamming distance.
+3. Bit-sampling LSH. For each walk ``SAMPLES`` keys of some sampled places (``sample_bits``: the
+   more edits, the fewer places); a key with a place behind a walk's end is left out, so keys
+   hold words only. A window and an item of its length that agree in one key are a
+   candidate. ``tests/llm`` measure this step alone: recall above 0.99 at the largest
+   allowed distance for items of 1 to 200 words, and few unrelated strings with a common key.
 4. Every candidate is verified by the exact edit distance of the item to the best
    stretch of the document around the window.
 
 Plan: a map over Arrow batches of documents without any shuffle. Benchmark items are
 read in blocks of at most ``BLOCK_WORDS`` words (in whole items); each block is one pass,
 its index goes with the tasks. Nothing depends on the number of documents but the scan.
+The driver builds one index a block (some 150 keys an item), so this is for benchmarks of some million words.
 
 Defined results: null or empty documents and items hold no words and match nothing.
 Repeated rows: each gives its own result rows. An item found several times in a
@@ -30,12 +33,14 @@ read whole. Empty tables: empty result. Extra columns are ignored by the report
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from trendlake.llm.hashing import CHUNK, FACTOR, folded, mix, word_hashes
 from trendlake.llm.tasks import map_batches
@@ -43,7 +48,7 @@ from trendlake.llm.tasks import map_batches
 MAX_EDIT = 0.2
 WALKS = 24
 SAMPLES = 6
-SAMPLE_BITS = 2
+REACH = 1.5  # sampled places lie within the first REACH * L steps of a walk over L words
 BLOCK_WORDS = 1_000_000
 _BITMAP_BITS = 24
 
@@ -59,37 +64,57 @@ def _grams(h: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
-def walk_embed(x: np.ndarray, length: np.ndarray, walks: int = WALKS) -> np.ndarray:
-    """Rows of word hashes (padded to a width) -> [row, walk, 3 * width] symbols by ``walks`` random walks."""
+def walk_embed(x: np.ndarray, length: np.ndarray, steps: int, walks: int = WALKS) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of word hashes (padded to a width) -> [row, walk, step] symbols by ``walks`` random walks, and
+    whether the walk still stood on a word then."""
     rows, walk = np.arange(len(x))[:, None], np.arange(walks, dtype=np.uint64) * np.uint64(1_000_003)
     i = np.zeros((len(x), walks), np.int64)
-    out = np.zeros((len(x), walks, 3 * x.shape[1]), np.uint64)
-    for j in range(out.shape[2]):
+    out = np.zeros((len(x), walks, steps), np.uint64)
+    inside = np.zeros(out.shape, np.bool_)
+    for j in range(steps):
         on = i < length[:, None]
         symbol = np.where(on, x[rows, np.minimum(i, x.shape[1] - 1)], np.uint64(0))
-        out[:, :, j] = symbol
+        out[:, :, j], inside[:, :, j] = symbol, on
         coin = mix(symbol + (walk + np.uint64(j)) * np.uint64(0x632BE59BD9B4E019))
         i += on & ((coin & np.uint64(1)) == 1)
-    return out
+    return out, inside
+
+
+def sample_bits(n: int) -> int:
+    """Places in a key for items of ``n`` words. Measured: with more, recall at a fifth of the words
+    edited falls below 0.99; with fewer, strings that share common words collide more often."""
+    return 8 if n < 5 else 5 if n < 10 else 4 if n < 40 else 3
+
+
+@functools.lru_cache(maxsize=4096)
+def sampled_places(n: int) -> np.ndarray:
+    """[walk, sample, sample_bits(1)] places for items of ``n`` words: distinct ones as far as the walk has
+    them, the rest of the last axis repeats the first."""
+    reach = max(1, int(REACH * n))
+    bits = min(sample_bits(n), reach)
+    drawn = np.random.default_rng(n).random((WALKS, SAMPLES, reach)).argsort(axis=2)[:, :, :bits]
+    return np.concatenate([drawn, np.repeat(drawn[:, :, :1], sample_bits(1) - bits, axis=2)], axis=2)
 
 
 def lsh_keys(x: np.ndarray, length: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Rows of word hashes (padded) -> WALKS * SAMPLES keys each, whatever the padding.
+    """Rows of word hashes (padded) -> WALKS * SAMPLES keys each, whatever the padding; 0: no key.
 
     ``size`` is the length of the items looked for, ``length`` the words there are (fewer where
-    a document ends). A key holds the size and SAMPLE_BITS sampled places of one walk."""
-    rng = np.random.default_rng(7)
-    share = rng.random((WALKS, SAMPLES, SAMPLE_BITS))
+    a document ends). A key holds the size and the sampled places of one walk."""
     number = np.arange(1, WALKS * SAMPLES + 1, dtype=np.uint64).reshape(WALKS, SAMPLES)
     keys = np.empty((len(x), WALKS, SAMPLES), np.uint64)
+    order = np.argsort(size, kind="stable")  # rows of like sizes together, so a long one widens few others
     for at in range(0, len(x), 256):
-        part, n = x[at:at + 256], size[at:at + 256]
-        e = walk_embed(part, length[at:at + 256])
-        key = np.broadcast_to(number, (len(part), WALKS, SAMPLES)) + n.astype(np.uint64)[:, None, None] * FACTOR
-        for k in range(SAMPLE_BITS):
-            place = (share[None, :, :, k] * 3 * n[:, None, None]).astype(np.int64)
-            key = mix(key * FACTOR + np.take_along_axis(e, place, axis=2))
-        keys[at:at + 256] = key
+        rows = order[at:at + 256]
+        n = size[rows]
+        places = np.stack([sampled_places(int(k)) for k in n])
+        e, inside = walk_embed(x[rows, :int(n.max())], length[rows], int(places.max()) + 1)
+        key = np.broadcast_to(number, (len(rows), WALKS, SAMPLES)) + n.astype(np.uint64)[:, None, None] * FACTOR
+        whole = np.ones(key.shape, np.bool_)
+        for k in range(places.shape[3]):
+            key = mix(key * FACTOR + np.take_along_axis(e, places[..., k], axis=2))
+            whole &= np.take_along_axis(inside, places[..., k], axis=2)
+        keys[rows] = np.where(whole, key | np.uint64(1), np.uint64(0))
     return keys.reshape(len(x), WALKS * SAMPLES)
 
 
@@ -136,7 +161,7 @@ class Index:
             width = int(self.size.max())
             padded = np.stack([np.pad(h, (0, width - len(h))) for h in self.words])
             for i, row in enumerate(lsh_keys(padded, self.size, self.size).tolist()):
-                for k in row:
+                for k in set(row) - {0}:
                     self.keys.setdefault(k, []).append(i)
 
     def seeds(self, h: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -246,7 +271,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_ed
                      pa.array(cols[1], arrow_item), *[pa.array(c, pa.int64()) for c in cols[2:]]],
                     ["doc_id", "item_id", "start_word", "n_words", "distance"])
 
-        arrow_item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kinds[1]]
+        arrow_item = to_arrow_type(benchmark.schema["item_id"].dataType)
         part = map_batches(rows, scan, f"doc_id {kinds[0]}, item_id {kinds[1]}, start_word bigint, n_words bigint, distance bigint")
         out = part if out is None else out.union(part)
     return out
