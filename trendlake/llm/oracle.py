@@ -53,18 +53,25 @@ from r
 """
 
 
-OP4 = f"""
+OP4 = rf"""
 with d as (select distinct conv_id, turn::bigint as turn, coalesce(role, 'unknown') as speaker, coalesce(text, '') as text from conversations),
-p as (select distinct conv_id, speaker as perspective from d where speaker <> '{pv.SYSTEM}'),
-x as (select d.conv_id, perspective, turn, floor(coalesce(turn, 0) / {pv.PART})::bigint as part,
+o as (select *, row_number() over (partition by conv_id order by turn nulls first) - 1 as place from d),
+q as (select *, place // {pv.PART} as part from o),
+f as (select *, -1 as ord from q where speaker = '{pv.SYSTEM}' qualify row_number() over (partition by conv_id order by place) = 1),
+t as (select conv_id, part, place as ord, speaker, text from q
+      union all select f.conv_id, p.part, f.ord, f.speaker, f.text
+      from f join (select distinct conv_id, part from q) p on f.conv_id is not distinct from p.conv_id and p.part > f.part),
+people as (select distinct conv_id, speaker as perspective from d where speaker <> '{pv.SYSTEM}'),
+x as (select t.conv_id, perspective, part, ord,
              case when speaker = '{pv.SYSTEM}' then '<|system|>' || chr(10) when speaker = perspective then '<|assistant|>' || chr(10)
-                  else '<|user name=' || speaker || '|>' || chr(10) end as head,
-             text || '<|end|>' || chr(10) as body, speaker = perspective as own
-      from d join p on d.conv_id is not distinct from p.conv_id),
-y as (select *, sum(length(head) + length(body)) over (partition by conv_id, perspective, part order by turn) - length(body) as a from x)
-select conv_id, perspective, part::varchar as part, count(*)::bigint as n_turns, count(*) filter (own)::bigint as n_own,
-       string_agg(head || body, '' order by turn) as rendered,
-       coalesce(string_agg(a::varchar || ':' || (a + length(body))::varchar, ',' order by turn) filter (own), '') as mask,
+                  else '<|user name=' || regexp_replace(replace(replace(regexp_replace(speaker, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '\n'), chr(13), '\r'),
+                                                        '\|(\\*)>', '|\\\1>', 'g') || '|>' || chr(10) end as head,
+             regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|end|>' || chr(10) as body, speaker = perspective as own
+      from t join people p on t.conv_id is not distinct from p.conv_id),
+y as (select *, sum(length(head) + length(body)) over (partition by conv_id, perspective, part order by ord) - length(body) as a from x)
+select conv_id, perspective, part::bigint as part, (part * {pv.PART})::bigint as first_turn, count(*)::bigint as n_turns,
+       count(*) filter (own)::bigint as n_own, string_agg(head || body, '' order by ord) as rendered,
+       coalesce(string_agg(a::varchar || ':' || (a + length(body))::varchar, ',' order by ord) filter (own), '') as mask,
        coalesce(sum(length(body)) filter (own), 0)::bigint as mask_chars
 from y group by conv_id, perspective, part
 """
