@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter, defaultdict
 
 from tests.llm import messy
@@ -18,10 +19,8 @@ def brute(docs, max_docs, min_left):
     for doc_id, text, source in docs:
         lines = [x for x in (text or "").split("\n") if WORD.search(x)]
         per.append(lines)
-        if lines:
-            main = max((len(WORD.findall(x)), norm(x)) for x in lines)
-            for x in lines:
-                holders[source, norm(x)].add(main)
+        for x in lines:
+            holders[source, norm(x)].add(text)
     out = []
     for (doc_id, text, source), lines in zip(docs, per):
         t = text or ""
@@ -56,6 +55,28 @@ def test_copies_of_one_document_are_no_boilerplate(spark):
     assert all(r["kept"] and r["n_removed_lines"] == 0 for r in got)
 
 
+def test_menu_and_long_footer_of_many_documents_go(spark):
+    voc = messy.vocabulary(5, 4000)
+    menu, footer = "home news shop contact", " ".join(voc[:60])
+    bodies = [" ".join(voc[100 + 18 * i:118 + 18 * i]) + "\n" + " ".join(voc[200 + 17 * i:212 + 17 * i]) for i in range(200)]
+    rows = [(i, f"{menu}\n{b}\n{footer}", "en", "s", 1) + (0,) * (len(messy.SCHEMA) - 5) for i, b in enumerate(bodies)]
+    docs = spark.createDataFrame(rows, messy.SCHEMA)
+    assert {r["n_removed_lines"] for r in q.line_frequency_quality(docs).collect()} == {2}
+    kept = {r["doc_id"]: r["text"] for r in q.clean(docs, min_left=0.2).collect()}
+    assert kept == dict(enumerate(bodies))
+
+
+def test_many_removed_lines_of_one_document_take_linear_time(spark):
+    lines = [f"kept word{k:x} and more" if k % 3 else f"gone {chr(97 + k % 26) * (1 + k // 26 % 40)} q{k // 1040:o}" for k in range(96_000)]
+    text = "\n".join(lines)
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string")
+    assert q.clean(docs, max_docs=0, min_left=0.0).first()["text"] == ""
+    started = time.time()
+    two = spark.createDataFrame([(1, text, "s"), (2, "\n".join(lines[::3]), "s")], "doc_id bigint, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in q.clean(two, max_docs=1, min_left=0.0).collect()}
+    assert got[1] == "\n".join(x for k, x in enumerate(lines) if k % 3) and time.time() - started < 40
+
+
 def test_clean_removes_lines_and_keeps_columns(spark):
     docs = messy.frame(spark)
     got = q.clean(docs, max_docs=2, min_left=0.3)

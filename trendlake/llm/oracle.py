@@ -28,8 +28,8 @@ lw as (select rid, source, pos, line, len(regexp_extract_all(line, '{WORD}')) as
               regexp_replace(regexp_replace(trim(lower(line), chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)),
                              '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]', '0', 'g') as norm
        from ln where regexp_matches(line, '[^\x20\x09-\x0D]')),
-mainline as (select rid, arg_max(norm, struct_pack(n := n, norm := norm)) as main from lw group by rid),
-freq as (select source, norm from lw join mainline using (rid) group by source, norm having count(distinct main) > {q.MAX_DOCS}),
+body as (select rid, md5(text) as body from d),
+freq as (select source, norm from lw join body using (rid) group by source, norm having count(distinct body) > {q.MAX_DOCS}),
 gone as (select rid, count(*) as lines, sum(n) as words from lw
          where exists (select 1 from freq f where f.norm = lw.norm and f.source is not distinct from lw.source) group by rid),
 win as (select rid, i, array_to_string(w[i:i+{q.WINDOW - 1}], ' ') as x

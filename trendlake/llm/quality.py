@@ -5,10 +5,10 @@ host when more than ``max_docs`` different documents of that host hold it. Such
 lines are removed, and a document left with under ``min_left`` of its words is
 depleted and rejected, as is one that fails the base limits.
 
-Copies of one document are one document for the count: a document is told apart
-by its longest line (most words; ties: the last in binary order). So a group of copies, or of
-near copies that share their main passage, doesn't turn its own text into
-boilerplate, while a footer below thousands of different bodies does.
+Documents are told apart by their whole text, so exact copies count once and a group of
+them doesn't turn its own text into boilerplate, while a footer or menu below many
+different bodies is counted in each. Near copies are different documents: a line that more than ``max_docs``
+of them share is removed like any other.
 
 Plan: all expressions are Spark's own. Lines are hashed inside the row, exploded
 to (host, hash, document key, place), stored (numbers only), pre-aggregated before each shuffle and counted in
@@ -89,22 +89,22 @@ def base_columns(text: Column) -> dict[str, Column]:
 
 
 def document_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """One row per line with a word: ``_id``, ``_host``, ``_key``, ``_main``, ``at`` (its place among all
-    lines), ``h``, ``w`` (words)."""
+    """One row per line with a word: ``_id``, ``_host``, ``_key``, ``at`` (its place among all lines),
+    ``h``, ``w`` (words)."""
     lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x, i: F.struct(
         i.alias("at"), F.btrim(x, F.lit(WS)).alias("line")))
     entries = F.transform(F.filter(lines, lambda x: x["line"] != ""), lambda x: F.struct(
         F.size(F.split(x["line"], WS_RUN)).alias("w"), normalised(x["line"]).alias("line"), x["at"].alias("at")))
+    # the key first: beside the generator it would be computed anew for every line
     d = docs.select(F.col("doc_id").alias("_id"), F.col(host).alias("_host"),
-                    text_key(F.col(text)).alias("_key"),
-                    let(entries, lambda e: F.struct(F.xxhash64(F.array_max(e)["line"]).alias("main"), e.alias("e"))).alias("_l"))
-    d = d.select("_id", "_host", "_key", F.col("_l.main").alias("_main"), F.inline("_l.e"))
-    return d.select("_id", "_host", "_key", "_main", "at", F.xxhash64("line").alias("h"), "w")
+                    text_key(F.col(text)).alias("_key"), entries.alias("_e"))
+    d = d.select("_id", "_host", "_key", F.inline("_e"))
+    return d.select("_id", "_host", "_key", "at", F.xxhash64("line").alias("h"), "w")
 
 
 def boilerplate_lines(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     """(``_host``, ``h``) of the lines in more than ``max_docs`` documents of a host."""
-    documents = lines.groupBy("_host", "h", "_main").agg(F.lit(1).alias("_one"))
+    documents = lines.groupBy("_host", "h", "_key").agg(F.lit(1).alias("_one"))
     counts = documents.groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_docs"))
     return counts.filter(F.col("n_docs") > max_docs)
 
@@ -158,8 +158,10 @@ def clean(docs: DataFrame, text: str = "text", host: str = "source", max_docs: i
                           *[F.col(c).alias(n) for c, n in (("doc_id", "doc_id"), (text, "_text"), (host, "_source"))])
     names = [f"_c{i}" for i in range(len(docs.columns))]
     j = judge(renamed, "_text", "_source", max_docs, min_left, carry=[*names, "_text"]).filter("kept")
-    rest = let(F.transform("removed", lambda e: e["at"]), lambda places: F.array_join(
-        F.filter(F.split("_text", "\n"), lambda x, i: ~F.array_contains(places, i)), "\n"))
+    # the places that stay by a set difference, so the work is linear in the lines
+    rest = let(F.split("_text", "\n"), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.transform("removed", lambda e: e["at"])),
+        lambda i: F.get(lines, i)), "\n"))
     new = F.when(F.col("removed").isNull(), F.col("_text")).otherwise(rest)
     made = {text: new, "n_chars": F.length(new).cast(dict(docs.dtypes).get("n_chars", "bigint"))}
     return j.select(*[made.get(c, F.col(n)).alias(c) for c, n in zip(docs.columns, names)])
