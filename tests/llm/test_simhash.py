@@ -78,6 +78,17 @@ def test_links_lose_nothing(spark):
     check_components(spark, families(1, 60, 8))
 
 
+def test_parts_follow_the_number_of_fingerprints():
+    assert s.parts_for(0) == s.parts_for(10_000_000) == 6 and s.parts_for(20_000_000) == 7
+    assert [s.parts_for(10 ** k) for k in range(6, 12)] == sorted(s.parts_for(10 ** k) for k in range(6, 12))
+    # evenly spread fingerprints: the largest cell of each choice of parts stays bounded
+    fp = np.random.default_rng(1).integers(0, 1 << 64, 1_000_000, dtype=np.uint64)
+    low, high = fp & np.uint64(0x5555555555555555), (fp >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    code = ((low & high) << np.uint64(1)) | low | high
+    for mask in s.part_masks(4, 7)[:6]:
+        assert np.unique(code & np.uint64(mask % (1 << 64)), return_counts=True)[1].max() < 200
+
+
 def test_hot_cells_are_split_and_lose_nothing(spark):
     r = random.Random(5)
     base = r.getrandbits(64)

@@ -11,9 +11,11 @@ Linking at ``max_bits`` differing bits:
    bit count 0..2, written as 00, 01, 11. The Hamming distance of two such codes is the
    Manhattan distance of the count vectors, and that is at most the Hamming distance of
    the fingerprints.
-3. Grid range-join: the 32 segments form ``max_bits + 2`` parts. A Manhattan distance of
-   at most ``max_bits`` leaves at least two parts without any difference, so a class is
-   dealt to one cell per pair of parts (15 for four bits); linked classes share a cell.
+3. Grid range-join: the 32 segments form ``parts`` parts, at least ``max_bits + 2``. A Manhattan
+   distance of at most ``max_bits`` leaves ``parts - max_bits`` parts without any difference, so a class is
+   dealt to one cell per choice of that many parts (15 pairs of six for four bits); linked classes share a
+   cell. The number of parts follows from the number of classes (``parts_for``), so that cells of
+   evenly spread fingerprints stay small: 6 up to 16 million, 7 up to 300 million.
 4. In a cell, pairs under the Manhattan bound are verified by their exact Hamming distance.
    What leaves a task is a star per linked group within its rows, never all pairs. A
    cell of more than ``block`` classes is split into blocks and each pair of blocks is a
@@ -22,9 +24,7 @@ Linking at ``max_bits`` differing bits:
    a few rows per linked class, written to the shared checkpoint folder each round.
 
 Bounded by design: a task holds one group (at most two blocks) and one Arrow batch; the
-driver holds two numbers per round. ``parts`` may be raised for more selective cells
-when classes run into the billions (a class then has a cell for each choice of
-``parts - max_bits`` parts).
+driver holds two numbers per round.
 
 Defined results: null, empty or wordless text: fingerprint 0, linked like any other. Null
 doc_id: takes part, and the component's id is its smallest non-null doc_id. Repeated
@@ -50,6 +50,7 @@ MAX_BITS = 4
 SEED = 42
 BLOCK = 4096
 SALTS = 16
+CELL = 256  # fingerprints expected in a cell
 _ODD = 0x5555555555555555
 
 
@@ -92,6 +93,15 @@ def embed(fp: Column) -> Column:
     return F.shiftleft(low.bitwiseAND(high), 1).bitwiseOR(low.bitwiseOR(high))
 
 
+def parts_for(n: int, max_bits: int = MAX_BITS) -> int:
+    """Number of parts such that ``n`` fingerprints give cells of about ``CELL`` at most: a cell agrees in
+    parts - max_bits parts, and a segment's bit count holds 1.5 bits. More parts mean more cells a row."""
+    parts = max_bits + 2
+    while parts < 4 * max_bits and n / 2.0 ** (48 * (parts - max_bits) / parts) > CELL:
+        parts += 1
+    return parts
+
+
 def part_masks(max_bits: int = MAX_BITS, parts: int | None = None) -> list[int]:
     """One bit mask (signed) per choice of parts that must agree."""
     parts = parts or max_bits + 2
@@ -210,7 +220,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
     (component_id is null where all its doc_ids are)."""
     prints = stored(fingerprints(docs, text, shingle), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = components(links(classes.select("fp"), max_bits, parts, block))
+    found = components(links(classes.select("fp"), max_bits, parts or parts_for(classes.count(), max_bits), block))
     joined = classes.join(found, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     ids = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = joined.select(F.col("fp").alias("_fp"), "root").join(ids, "root").select("_fp", "root", "component_id")
