@@ -123,6 +123,20 @@ def test_sparse_and_large_ids(spark, encoder, kind):
     assert found == sorted(found, key=lambda i: (i is not None, i or 0)) and set(found) == set(ids)
 
 
+def test_repeats_of_one_row_are_spread_and_ids_may_be_strings(spark, encoder, monkeypatch):
+    monkeypatch.setattr(p, "RUN_TOKENS", 5000)
+    voc = messy.vocabulary()
+    rows = [(None, " ".join(voc[:20]))] * 2000 + [(f"id{i}", " ".join(voc[i % 50:i % 50 + 20])) for i in range(2000)]
+    sizes = []
+    real = p.stored
+    monkeypatch.setattr(p, "stored", lambda df, name: sizes.append(real(df, name)) or sizes[-1])
+    got = queries.pack(spark.createDataFrame(rows, "doc_id string, text string").repartition(8)).collect()
+    assert sum(r["length"] for r in got) == sum(len(encoder(t)) + 1 for _, t in rows)
+    assert {r["doc_id"] for r in got} == {i for i, _ in rows}
+    per = [r["count"] for r in sizes[0].filter("start = 0").groupBy("part").count().collect()]
+    assert len(per) > 3 and max(per) < 2000 / 1.5
+
+
 def test_runs_go_on_numbering_over_partitions(spark, encoder, monkeypatch):
     monkeypatch.setattr(p, "RUN_TOKENS", 3000)
     r = random.Random(4)

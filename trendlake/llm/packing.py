@@ -12,7 +12,7 @@ least cost of cutting at p is
 a sliding-window minimum, kept in a monotone queue: linear in the number of cuts.
 
 The stream is divided into runs that are packed independently. The texts are range-partitioned
-by doc_id (whatever values it has) and sorted; a partition's rows are cut into runs, each
+by doc_id (whatever values and type it has; repeats of a row by their place in the input too) and sorted; a partition's rows are cut into runs, each
 up to a document's end past ``RUN_TOKENS`` tokens or ``RUN`` documents. Only a run's last
 window may be short for want of text. There are no more partitions than the text fills with
 about ``RUN_TOKENS`` tokens each, so runs cost well under 1 % of padding. A task holds one run
@@ -44,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from trendlake.llm.tasks import map_batches
 from trendlake.llm.text import stored
@@ -182,7 +183,9 @@ def pack_documents(docs: DataFrame, vocabulary: str, ranks: str | None = None, p
     total = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
     n = (total["rows"] + (total["bytes"] or 0) // TOKEN_BYTES) // RUN_TOKENS
     n = max(1, min(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    # the row number divides the repeats of one row among partitions
+    rows = rows.withColumns({"h": F.xxhash64("text"), "copy": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange(n, "doc_id", "h", "copy").sortWithinPartitions("doc_id", "h")
     rows = rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +211,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, ranks: str | None = None, p
         if held:
             yield flush()
 
-    kind = {"bigint": pa.int64(), "int": pa.int32()}[dict(rows.dtypes)["doc_id"]]
+    kind = to_arrow_type(rows.schema["doc_id"].dataType)
     pieces = stored(map_batches(rows, pack, f"doc_id {dict(rows.dtypes)['doc_id']}, "
                                 + ", ".join(f"{c} bigint" for c in COLUMNS[1:]) + ", part int"), "pieces")
     counts = sorted(map(tuple, pieces.groupBy("part").agg(F.max("sequence_id") + 1).collect()))
