@@ -1,4 +1,6 @@
+import random
 import re
+from re import _parser as re_parser
 
 import duckdb
 
@@ -53,6 +55,70 @@ LICENSED = ["MIT license", "The MIT\nLicense and the mit license; Apache License
             "provided as is, without warranty of any kind", "licence: isc", "General Public Licence", "LGPL is the lesser general public license 2.1",
             "Ｌicense mit license é", "dual: MIT license or Apache license 2.0, general public license version 3"]
 
+# a text and the method's labels and score that are due
+SIGNED = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated\n"
+     "documentation files (the \"Software\"), to deal in the Software", "mit", 1.0),
+    ("Permission is hereby granted, free of charge", "mit", 1.0),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license", "bsl-1.0", 1.0),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd", 1.0),
+    ("You may not use this file except in compliance with the License.", "apache-2.0", 1.0),
+    ("SPDX-License-Identifier: MPL-2.0", "mpl-2.0", 1.0),
+    ("# SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0", 1.0),
+    ("SPDX-License-Identifier: EPL-2.0", "epl-2.0", 1.0),
+    ("LGPL-2.1-or-later", "lgpl-2.1", 0.5), ("AGPL-3.0-only", "agpl-3.0", 0.5), ("GPL-3.0-or-later", "gpl-3.0", 0.5),
+    ("EPL-2.0", "epl-2.0", 0.5), ("mpl 1.1", "mpl-1.1", 0.5), ("the AGPL", "agpl", 0.5), ("licensed under the LGPL", "lgpl", 1.0),
+    ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free "
+     "Software Foundation, either version 3 of the License, or (at your option) any later version", "gpl,gpl-3.0", 1.0),
+    ("In no event will the authors be held liable for any damages arising from the use of this software.", "zlib", 1.0),
+    ("This is free and unencumbered software released into the public domain.", "unlicense", 1.0),
+    ("https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa", 0.8),
+    ("Unauthorized copying of this file, via any medium, is strictly prohibited", "proprietary", 1.0),
+    ("This is not licensed under the MIT license", "mit", 0.5),  # the base phrase stays
+    ("This is not licensed under the GPL, version 3", "", 0.0), ("It is not under the BSD license 2.0.", "", 0.0),
+    ("Not released under the terms of the Mozilla Public License 2.0; licensed under the zlib license", "zlib", 1.0),
+    ("replace the deployed people", "", 0.0), ("a mit of bread", "", 0.0),
+]
+
+
+def test_signatures(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(SIGNED)], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in ls.scan_licenses(df).collect()}
+    assert [(t, *got[i]) for i, (t, *_) in enumerate(SIGNED)] == SIGNED
+
+
+def sample(parts, rng):
+    """A string that a parsed expression matches."""
+    out = ""
+    for op, arg in parts:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = arg
+            out += "".join(sample(inner, rng) for _ in range(rng.randint(low, min(high, low + 2))))
+        elif name == "SUBPATTERN":
+            out += sample(arg[3], rng)
+        elif name == "BRANCH":
+            out += sample(rng.choice(arg[1]), rng)
+        elif name == "IN":
+            kind, value = arg[rng.randrange(len(arg))]
+            out += "x" if str(arg[0][0]) == "NEGATE" else chr(value[0] if str(kind) == "RANGE" else value)
+        else:
+            out += "x"  # NOT_LITERAL
+    return out
+
+
+def test_keywords_and_triggers_lose_no_match():
+    rng = random.Random(5)
+    for _, level, label, key, regex in ls.rules():
+        for _ in range(30):
+            s = sample(re_parser.parse(regex), rng)
+            assert re.fullmatch(regex, s), (regex, s)
+            assert key in s, (label, key, s)
+            assert not level or any(t in s for t in ls.TRIGGERS) or re.search(ls.TRIGGER_CODE, s), (label, s)
+
 
 def words(t):
     low = (t or "").translate(str.maketrans(ls.UPPER, ls.LOWER))
@@ -65,7 +131,7 @@ def brute(text):
     s = " " + "  ".join(w) + " "
     found = [(s[:m.start()].count(" ") // 2, (s[:m.end()].count(" ")) // 2, level, rule, label)
              for rule, level, label, _, rx in ls.rules() for m in re.finditer(rx, s)]
-    kept = [f for f in found if not any(
+    kept = [f for f in found if f[2] and not any(
         g[0] <= f[0] and g[1] >= f[1] and g[2] <= f[2] and g != f and (g[:2] != f[:2] or (g[2], g[3]) < (f[2], f[3])) for g in found)]
     labels = sorted({x for _, x in base} | {f[4] for f in kept})
     score = max([ls.LEVEL_WEIGHTS[f[2]] for f in kept] + [0.5 if base else 0.0])
@@ -74,7 +140,7 @@ def brute(text):
 
 
 def test_scan_matches_brute_force_without_gates(spark):
-    texts = [t for t in messy.texts() + LICENSED if len(t or "") < 60_000]
+    texts = [t for t in messy.texts() + LICENSED + [t for t, *_ in SIGNED] if len(t or "") < 60_000]
     rows = [(i, t) for i, t in enumerate(texts)] + [(2, texts[2]), (None, "mit license")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as _id", "2 as label", "3 as a", "4 as rule", "5 as _base")
     got = sorted(map(tuple, ls.scan_licenses(df).collect()), key=str)
@@ -83,7 +149,7 @@ def test_scan_matches_brute_force_without_gates(spark):
 
 
 def test_hundreds_of_rules_and_no_python(spark):
-    assert len(ls.rules()) > 200
+    assert len(ls.rules()) > 500 and len(ls.SIGNATURES) > 150
     plan = ls.scan_licenses(messy.frame(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 

@@ -130,7 +130,7 @@ kept as (select * from found f where not exists (
            select 1 from found g where g.rid = f.rid and g.level <= f.level and g.a <= f.a and g.a + g.n >= f.a + f.n
              and (g.a, f.n, g.level, g.rule) <> (f.a, g.n, f.level, f.rule)
              and ((g.a <> f.a or g.n <> f.n) or (g.level, g.rule) < (f.level, f.rule)))),
-k as (select rid, list(distinct label) as labels, {weight} as weight from kept group by rid)
+k as (select rid, list(distinct label) as labels, {weight} as weight from kept where level > 0 group by rid)
 select doc_id, len(w.w)::bigint as n_words, coalesce(b.n, 0)::bigint as n_base, first_word::bigint as first_word,
        last_word::bigint as last_word, array_to_string(list_sort(coalesce(b.labels, [])), ',') as base_labels,
        array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(k.labels, [])))), ',') as labels,
