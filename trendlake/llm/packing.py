@@ -119,32 +119,33 @@ class Encoder:
         return np.frombuffer(head + b"".join(map(known.__getitem__, rest)), "<u4")
 
 
-def candidate_cuts(ends: np.ndarray, n: int, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
-    """Places (1..n) where a document of ``n`` tokens may be cut and their penalties; ``ends``: the
-    places behind a sentence. The last place is the document's end, free of charge."""
-    at = np.unique(np.append(ends[(ends > 0) & (ends < n)], n))
+def candidate_cuts(ends: np.ndarray, n: int | np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a stream may be cut and their penalties; ``ends``: the places behind a sentence, ``n``:
+    the places behind a document (increasing), free of charge. The last of these is the stream's end."""
+    n = np.atleast_1d(n)
+    at = np.union1d(ends[(ends > 0) & (ends < n[-1])], n).astype(np.int64)
     before = np.concatenate(([0], at[:-1]))
-    far = np.flatnonzero(at - before > stride)
-    more = np.concatenate([np.arange(before[i] + stride, at[i], stride) for i in far] or [np.empty(0, np.int64)])
-    places = np.concatenate([at, more])
-    cost = np.concatenate([np.where(at == n, 0, SENTENCE), np.full(len(more), MIDDLE)])
-    order = np.argsort(places, kind="stable")
-    return places[order].astype(np.int64), cost[order].astype(np.int64)
+    more = (at - before - 1) // stride  # places within the stretch before each end
+    first = np.cumsum(more + 1) - (more + 1)
+    step = np.arange(len(at) + more.sum()) - np.repeat(first, more + 1) + 1
+    last = step > np.repeat(more, more + 1)
+    places = np.where(last, np.repeat(at, more + 1), np.repeat(before, more + 1) + step * stride)
+    cost = np.full(len(places), MIDDLE)
+    cost[last] = np.where(np.isin(at, n), 0, SENTENCE)
+    return places, cost
 
 
 def best_cuts(places: list[int], cost: list[int], size: int = SIZE) -> list[int]:
     """The places of the cheapest cutting of [0, places[-1]] (increasing, last included); of equally
     cheap windows the longest. Consecutive places lie at most ``size`` apart."""
-    at, best, came = [0, *places], [0] * (len(places) + 1), [0] * (len(places) + 1)
-    queue: deque[int] = deque([0])  # numbers of places, best + place increasing
-    for k in range(1, len(at)):
-        p = at[k]
+    at, least, came = [0, *places], [0] * (len(places) + 1), [0] * (len(places) + 1)  # least: best + place
+    queue: deque[int] = deque([0])  # numbers of places, least increasing
+    for k, (p, c) in enumerate(zip(places, cost), 1):
         while at[queue[0]] < p - size:
             queue.popleft()
-        q = queue[0]
-        best[k], came[k] = best[q] + size - (p - at[q]) + cost[k - 1], q
-        value = best[k] + p
-        while queue and best[queue[-1]] + at[queue[-1]] > value:
+        came[k] = queue[0]
+        value = least[k] = least[queue[0]] + size + c
+        while queue and least[queue[-1]] > value:
             queue.pop()
         queue.append(k)
     out, k = [], len(at) - 1
@@ -157,13 +158,9 @@ def best_cuts(places: list[int], cost: list[int], size: int = SIZE) -> list[int]
 def pack_run(docs: list[tuple[object, np.ndarray]], ends: np.ndarray, first_sequence: int,
              size: int = SIZE) -> Iterator[tuple]:
     """The pieces (COLUMNS) of a run of (doc_id, ids), windows numbered from ``first_sequence``."""
-    places, cost, at = [], [], 0
-    for _, ids in docs:
-        p, c = candidate_cuts(np.flatnonzero(ends[ids]) + 1, len(ids), min(STRIDE, size))
-        places += (p + at).tolist()
-        cost += c.tolist()
-        at += len(ids)
-    cuts = best_cuts(places, cost, size)
+    behind = np.concatenate([ends[ids] for _, ids in docs]).nonzero()[0] + 1
+    places, cost = candidate_cuts(behind, np.cumsum([len(ids) for _, ids in docs]), min(STRIDE, size))
+    cuts = best_cuts(places.tolist(), cost.tolist(), size)
     at, window, begin = 0, 0, 0  # place in the run, number and place of the window
     for doc_id, ids in docs:
         start = 0
