@@ -30,6 +30,9 @@ result. Extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -299,8 +302,8 @@ TRIGGERS = ["licen", "spdx", "reserved", "copyleft", "warrant", "domain", "cc0",
             "distribut", "published", "available", "provided", "granted", "subject", "gpl", "permission", "notice",
             "waived", "0bsd", "disclaim", "suitability", "endorse", "advertising", "freebsd", "apache", "classpath", "openssl",
             "copying", "copyright", "liable", "misrepresented", "evil", "confidential", "prohibited", "commercial", "exception"]
-# for a Creative Commons code standing alone, and for short names with a version
-TRIGGER_CODE = "(?i)(?:cc[^a-z0-9]+by|(?:mpl|epl|cddl|asl|ofl|eupl)[^a-z0-9]+[v0-9])"
+# lower case: a Creative Commons code standing alone, short names with a version
+TRIGGER_CODE = "(?:cc[^a-z0-9]+by|(?:mpl|epl|cddl|asl|ofl|eupl)[^a-z0-9]+[v0-9])"
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -319,11 +322,10 @@ def rules() -> list[tuple[int, int, str, str, str]]:
 
 
 def gated(text: Column) -> Column:
-    low = F.lower(text)
-    found = text.rlike(TRIGGER_CODE)
-    for word in TRIGGERS:
-        found = found | F.contains(low, F.lit(word))
-    return found
+    def found(low: Column) -> Column:
+        return reduce(or_, [F.contains(low, F.lit(word)) for word in TRIGGERS], low.rlike(TRIGGER_CODE))
+
+    return let(F.lower(text), found)
 
 
 def word_count(text: Column) -> Column:
