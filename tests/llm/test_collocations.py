@@ -1,8 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +116,42 @@ def test_bundles_added_over_batches():
             ("en", "", 9, [("x", 4), ("z", 4)]), ("en", "a", 8, [("y", 7)]), ("en", "c", 9, [("x", 9)]), ("fr", "", 1, [])]
 
 
+def test_memory_of_a_task():
+    """A task's memory doesn't grow with its batches: texts and bundles are taken from them piece by piece."""
+    rng = np.random.default_rng(1)
+    words = np.array([f"word{i}" for i in range(20_000)])
+    texts = [" ".join(words[rng.integers(0, len(words), 1000)]).encode() for _ in range(2400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts, pa.binary())], ["lang", "text"])
+    del texts
+    tracemalloc.start()
+    try:
+        total = sum(pc.sum(b["counts"].flatten()).as_py() for b in c.counted(iter([batch]), 1, None, 64))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == 2400 * 1000
+    assert peak < 100e6
+
+    n, size = 2000, 500
+    several = pa.array([" ".join(words[i:i + size]) for i in range(n)])
+    at = pa.array(np.arange(n + 1, dtype=np.int32))
+    one = lambda values: pa.ListArray.from_arrays(at, pa.array(values))
+    bundles = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n, dtype=np.int32) // 50), one(["en"] * n), one([f"p{i}" for i in range(n)]),
+         pa.ListArray.from_arrays(at, several),
+         pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * size), pa.array(np.full(n * size, 7, np.int32)))],
+        ["part", "lang", "prefix", "words", "counts"])
+    usual, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(pool)
+    try:
+        got = {(r["prefix"], r["total"], len(r["words"])) for b in c.added(iter([bundles]), 7) for r in b.to_pylist()}
+        peak = pool.max_memory()
+    finally:
+        pa.set_memory_pool(usual)
+    assert got == {(f"p{i}", 7 * size, size) for i in range(n)}
+    assert peak < 50e6
+
+
 def test_scores_beyond_64_bits(spark):
     rows = [(10**12 + 7, 10**13 + 1, [10**12 + 9, 3 * 10**12], [2 * 10**12, 10**12 + 8])]
     got = spark.createDataFrame(rows, "a bigint, n bigint, heads array<bigint>, tails array<bigint>").select(F.expr("*"), c.lowest_cut().alias("cut")).first()

@@ -34,7 +34,7 @@ rows count each. Empty table, or no frequent phrase: empty result. Extra columns
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,8 +52,10 @@ MAX_WORDS = 5
 MIN_COUNT = 100
 SUBSUMED_PERCENT = 100
 LIMIT = 2000
-SLICE = 8 << 20  # bytes of text counted together
+SLICE = 4 << 20  # bytes of text counted together: a task holds some 30 times as much
 ROW = 1024  # entries of a bundle, beyond the last stripe's
+ENTRIES = 1 << 17  # of bundles added at once, beyond the last bundle's
+READ = 64  # texts taken from a batch at once
 PARTS_LEAST, PART_WORDS = 4096, 1 << 18  # parts of the stripes: so many, or one for so many words of the texts
 FIRST_SEGMENTS = 1024  # of the empty prefix
 SEGMENTS = 64  # of a hot prefix
@@ -104,7 +106,12 @@ def extended(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(h * FACTOR + word)
 
 
-def slices(langs: list[str], texts: list[bytes], size: int) -> Iterator[tuple[list[str], list[bytes], int]]:
+def values(column: pa.Array) -> Iterator:
+    for at in range(0, len(column), READ):
+        yield from column.slice(at, READ).to_pylist()
+
+
+def slices(langs: Iterable[str], texts: Iterable[bytes], size: int) -> Iterator[tuple[list[str], list[bytes], int]]:
     """(languages, folded texts, bytes in which a phrase may begin) of at most SLICE bytes or so."""
     some: tuple[list[str], list[bytes]] = ([], [])
     held = 0
@@ -210,6 +217,28 @@ class Slice:
             ["part", "lang", "prefix", "words", "counts"])
 
 
+def counted(batches: Iterator[pa.RecordBatch], size: int, frequent: Frequent | None, parts: int) -> Iterator[pa.RecordBatch]:
+    """The bundles of batches of lang, text."""
+    for batch in batches:
+        for langs, some, limit in slices(values(batch.column("lang")), values(batch.column("text")), size):
+            yield from rows_of(Slice(langs, some, limit).stripes(size, frequent, parts))
+
+
+def rows_of(bundles: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, bundles.num_rows, 1000):
+        yield bundles.slice(at, 1000)
+
+
+def by_entries(bundles: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``bundles`` in pieces of ``ENTRIES`` entries or so."""
+    end = np.cumsum(np.asarray(pc.list_value_length(bundles.column("counts")), np.int64))
+    at = done = 0
+    while at < bundles.num_rows:
+        to = int(np.searchsorted(end, done + ENTRIES)) + 1
+        yield bundles.slice(at, to - at)
+        at, done = to, int(end[min(to, len(end)) - 1])
+
+
 def added(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
     """Bundles sorted by part, their stripes added element by element: total and entries of at least ``min_count``."""
     by = ["lang", "prefix", "word"]
@@ -237,9 +266,7 @@ def added(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.Reco
              pa.ListArray.from_arrays(offset, pa.array(count[enough]))],
             ["lang", "prefix", "total", "words", "counts"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (some for whole in batches for some in by_entries(whole)):
         words = pc.split_pattern(batch.column("words").flatten(), " ")  # a list for each stripe
         stripe = pc.list_parent_indices(words)
         row = pc.list_parent_indices(batch.column("words")).take(stripe)
@@ -257,15 +284,7 @@ def added(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.Reco
 def stripes(texts: DataFrame, size: int, frequent: Frequent | None, parts: int, min_count: int) -> DataFrame:
     """lang, prefix, total, words, counts: the entries of at least ``min_count``, by segment."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for langs, some, limit in slices(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), size):
-                got = Slice(langs, some, limit).stripes(size, shared.value, parts)
-                for at in range(0, got.num_rows, 1000):
-                    yield got.slice(at, 1000)
-
-    bundles = map_batches(texts, count, BUNDLE).repartition("part").sortWithinPartitions("part")
+    bundles = map_batches(texts, lambda batches: counted(batches, size, shared.value, parts), BUNDLE).repartition("part").sortWithinPartitions("part")
     return map_batches(bundles, lambda batches: added(batches, min_count),
                        "lang string, prefix string, total bigint, words array<string>, counts array<bigint>")
 
