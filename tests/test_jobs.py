@@ -261,3 +261,24 @@ def test_interactive_analysis_from_the_command_line(spark, tmp_dir):
     assert parts["curve"] == 200 and parts["bar"] > 1
     with pytest.raises(SystemExit):
         main(base)
+
+
+def test_pairs_of_a_fit_are_laid_out_by_their_number(spark):
+    """A fit's tasks follow the pairs, not the shuffle partitions of the tables behind them."""
+    from trendlake.operators import regress
+    obs = spark.sql("""select l as location, date_add(date '2020-01-01', cast(i as int)) as date, cast(i % 7 as double) as new_cases,
+                              cast(i % 5 as double) as new_deaths, 0.0D as new_vaccinations, cast(i as double) as total_cases,
+                              cast(i as double) as total_deaths, 70.0D as life_expectancy, 0.0D as excess_mortality
+                       from range(1000) t(i), (select explode(array('A', 'B', 'C', 'D')) as l) union all
+                       select null, null, 1, 1, 0, 1, 1, 70, 0""")
+    pairs = regress.training_pairs(obs)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        many = regress.stored_pairs(pairs)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        few = regress.stored_pairs(pairs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert len(many.inputFiles()) <= 3 and len(few.inputFiles()) <= 2  # 4,001 pairs
+    assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty() and many.count() == 4001

@@ -26,9 +26,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.operators.regress import make_estimator, resolve_cutoffs, training_pairs
+from trendlake.operators.regress import make_estimator, resolve_cutoffs, stored_pairs, training_pairs
 from trendlake.schema import REGRESSION_TARGET
-from trendlake.session import materialize, scratch_path
+from trendlake.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -81,9 +81,7 @@ def daily_forest(obs: DataFrame, refit="year", mode: str = "lagged", features: l
     """
     make_estimator("rf", seed, **params)
     spark = obs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = training_pairs(obs, features, target, mode).repartition(n, F.trunc("date", "week"))
-    pairs = materialize(pairs.sortWithinPartitions("date", "location"), "regression_pairs")
+    pairs = stored_pairs(training_pairs(obs, features, target, mode))
     cutoffs = resolve_cutoffs(pairs, refit)
     events, origins = scratch_path(spark, "leaf_events"), scratch_path(spark, "leaf_origins")
     carried = [c for c in CARRIED if c in pairs.columns]

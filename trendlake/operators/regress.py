@@ -14,8 +14,8 @@ origins from its cutoff up to the next one:
   model only scores origins ≥ c: no look-ahead;
 * training is pooled over locations (the reference's ``'all'`` mode);
 * every fit is a distributed MLlib job; up to ``parallelism`` fits run at once
-  from a driver thread pool. The pairs are written once to the shared checkpoint
-  folder, sorted by day, so refits and recovery never replay the upstream plan and
+  from a driver thread pool. The pairs are written to the shared checkpoint
+  folder, sorted by day and in files by their number, so refits and recovery never replay the upstream plan and
   a cutoff's training rows and its slice of origins are read by pruned scans;
 * each model scores its slice at once and the slice is written beside the pairs;
   the result reads these files (so calling ``rolling_regression`` runs the fits);
@@ -101,6 +101,26 @@ def training_pairs(obs: DataFrame, features: list[str] | None = None, target: st
     return d.drop(*[c for c in d.columns if c.startswith("_nx_")], "features_next")
 
 
+FILE_ROWS = 1600  # of a file of pairs, at least on average
+
+
+def stored_pairs(pairs: DataFrame) -> DataFrame:
+    """``pairs`` written whole weeks to a file and sorted by day, and read back.
+
+    Weeks are dealt by a hash: a rerun deals the rows alike, so seeded forests repeat. A fit runs several jobs
+    a tree level over these files; so their number follows the pairs (a row per location and day) where the shuffle
+    partitions, which follow the tables behind them, are more.
+    """
+    def by_week(df: DataFrame, files: int) -> DataFrame:
+        dealt = df.repartition(files, F.trunc("date", "week")).sortWithinPartitions("date", "location")
+        return materialize(dealt, "regression_pairs")
+
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = by_week(pairs, n)
+    files = max(1, -(-pairs.count() // FILE_ROWS))
+    return by_week(pairs, files) if files < n else pairs
+
+
 def yearly_cutoffs(first: dt.date, last: dt.date) -> list[dt.date]:
     return [dt.date(y, 1, 1) for y in range(first.year + 1, last.year + 1)]
 
@@ -167,10 +187,7 @@ def rolling_regression(obs: DataFrame, model: str = "rf", refit="year", mode: st
     spark = obs.sparkSession
     if per_location is not None:
         obs = obs.filter(F.col("location").isin(list(per_location)))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # whole weeks to a file, by a hash: a rerun deals the rows alike, so seeded forests repeat
-    pairs = training_pairs(obs, features, target, mode).repartition(n, F.trunc("date", "week"))
-    pairs = materialize(pairs.sortWithinPartitions("date", "location"), "regression_pairs")
+    pairs = stored_pairs(training_pairs(obs, features, target, mode))
     cutoffs = resolve_cutoffs(pairs, refit)
     bounds = list(zip(cutoffs, cutoffs[1:] + [None]))
 
