@@ -1,3 +1,4 @@
+import os
 import random
 import re
 import tracemalloc
@@ -152,6 +153,47 @@ def test_memory_of_a_task():
     assert peak < 50e6
 
 
+def test_driver_holds_one_bitmap(spark, tmp_dir):
+    """The bitmap comes to the driver page by page; the hot phrases, under HOT, don't take as much again."""
+    rows = [("en", f"w{i} of", 150 if i else 10**6) for i in range(2000)]
+    path = f"{tmp_dir}/phrases"
+    spark.createDataFrame(rows, "lang string, phrase string, a bigint").repartition(8).write.parquet(path)
+    phrases, words = spark.read.parquet(path), 10**8
+    tracemalloc.start()
+    try:
+        got = c.bitmaps(phrases, c.MAX_BITS // 32, words)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.bits == c.MAX_BITS and len(got.found) == c.MAX_BITS // 8
+    assert peak < 1.3 * c.MAX_BITS / 8
+
+    texts = [p.encode() for _, p, _ in rows]
+    known = c.Slice(["en"] * len(texts), texts, 10**9).phrase_hashes(2)  # pairs over two texts lie between
+    known = known[::2]
+    assert c.Frequent.has(got.found, known, got.bits).all() and np.unpackbits(got.found).sum() <= len(rows)
+    assert c.Frequent.has(got.hot, known, 8 * len(got.hot)).tolist() == [a * c.HOT > words for _, _, a in rows]
+
+
+def test_no_bitmap_stays_broadcast(spark, monkeypatch):
+    made, plain_broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: made.append(plain_broadcast(self, value)) or made[-1])
+    docs = spark.createDataFrame([("en", "new york stock exchange")] * 9, "lang string, text string")
+    assert c.collocations(docs, min_count=8).count() == 1
+    assert len(made) == 5 and not any(os.path.exists(b._path) for b in made)
+
+
+def test_tables_of_phrases_are_not_broadcast(spark, tmp_dir):
+    """Their Parquet files may be below the threshold where the rows, dealt out by salt, don't fit the driver."""
+    shorter, striped = [(f"w{i}", 200, [], []) for i in range(50)], [(f"w{i}", ["w0", "w1"], [150, 120]) for i in range(50)]
+    spark.createDataFrame(shorter, "phrase string, a bigint, heads array<bigint>, tails array<bigint>").withColumn("lang", F.lit("en")).write.parquet(f"{tmp_dir}/1")
+    spark.createDataFrame(striped, "prefix string, words array<string>, counts array<bigint>").withColumn("lang", F.lit("en")).write.parquet(f"{tmp_dir}/2")
+    found = c.longer(spark.read.parquet(f"{tmp_dir}/2"), spark.read.parquet(f"{tmp_dir}/1"), 2)
+    got = {tuple(map(str, r)) for r in found.collect()}
+    assert got == {("en", f"w{i} {w}", w, str(a), "[200]", "[200]") for i in range(50) for w, a in (("w0", 150), ("w1", 120))}
+    assert found.count() == 100 and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scores_beyond_64_bits(spark):
     rows = [(10**12 + 7, 10**13 + 1, [10**12 + 9, 3 * 10**12], [2 * 10**12, 10**12 + 8])]
     got = spark.createDataFrame(rows, "a bigint, n bigint, heads array<bigint>, tails array<bigint>").select(F.expr("*"), c.lowest_cut().alias("cut")).first()

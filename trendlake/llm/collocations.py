@@ -16,11 +16,13 @@ part of the keys by hash each, as most stripes of a slice are short. That struct
 
 A phrase is frequent only if the phrases without its first and without its last word are.
 Tasks test that by a bitmap of phrase hashes of at most ``MAX_BITS`` bits (a power of two
-by the number of frequent phrases), which is broadcast. Phrases that share a bit only cost
-counting; words are compared as strings, so results are exact at any size.
+by the number of frequent phrases), which is broadcast and destroyed after its level. Phrases
+that share a bit only cost counting; words are compared as strings, so results are exact at any size.
+The driver holds one bitmap and reads it page by page. Tables of phrases meet by merge joins: a broadcast
+would bring them to the driver whole, and a few MB of Parquet are hundreds there, 16 times dealt out by salt.
 
-Hot prefixes (a share of over 1/``HOT`` of all words, known to the tasks by a second
-bitmap) and the empty prefix are dealt to segments by their next word, so no
+Hot prefixes (a share of over 1/``HOT`` of all words, under ``HOT`` of a size, known to the tasks
+by a second, small bitmap) and the empty prefix are dealt to segments by their next word, so no
 task gathers a whole language. Texts are read in slices of ``SLICE`` bytes; a longer text
 is cut between words, each part followed by the next words that its phrases need.
 
@@ -41,6 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +66,7 @@ HOT = 500
 SALTS = 16
 RANKED_PARTS = 64  # of a language, for its first phrases
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
+HOT_BITS = 1 << 20
 PAGE = 32768  # bits of one of Spark's bitmaps
 
 # Upper-case letters and the characters that end a piece or a word.
@@ -76,7 +80,7 @@ BUNDLE = "part int, lang array<string>, prefix array<string>, words array<string
 
 @dataclass
 class Frequent:
-    """Bitmaps of the hashes of frequent and of hot phrases of one size."""
+    """Bitmaps of the hashes of frequent (``bits`` bits) and of hot phrases of one size."""
     bits: int
     found: np.ndarray
     hot: np.ndarray
@@ -180,7 +184,7 @@ class Slice:
             known = frequent.has(frequent.found, h, frequent.bits)
             ok &= known[:m] & known[1:m + 1]
             at = np.flatnonzero(ok)
-            return at, frequent.has(frequent.hot, h[at], frequent.bits)
+            return at, frequent.has(frequent.hot, h[at], 8 * len(frequent.hot))
         at = np.flatnonzero(ok)
         return at, np.ones(len(at), np.bool_)
 
@@ -281,16 +285,15 @@ def added(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.Reco
         yield from emit(held)
 
 
-def stripes(texts: DataFrame, size: int, frequent: Frequent | None, parts: int, min_count: int) -> DataFrame:
+def stripes(texts: DataFrame, size: int, shared: Broadcast, parts: int, min_count: int) -> DataFrame:
     """lang, prefix, total, words, counts: the entries of at least ``min_count``, by segment."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
     bundles = map_batches(texts, lambda batches: counted(batches, size, shared.value, parts), BUNDLE).repartition("part").sortWithinPartitions("part")
     return map_batches(bundles, lambda batches: added(batches, min_count),
                        "lang string, prefix string, total bigint, words array<string>, counts array<bigint>")
 
 
 def phrase_hash_column(phrases: DataFrame) -> DataFrame:
-    """lang, phrase, a and the hash that the tasks know the phrase by."""
+    """The hash that the tasks know a phrase by."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = string_hashes(batch.column("lang"))
@@ -301,25 +304,23 @@ def phrase_hash_column(phrases: DataFrame) -> DataFrame:
             for j in range(int(size.max(initial=0))):
                 has = size > j
                 h[has] = extended(h[has], word[first[has] + j])
-            yield pa.RecordBatch.from_arrays([batch.column("a"), pa.array(h.view(np.int64))], ["a", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
 
-    return map_batches(phrases.select("lang", "phrase", "a"), hashed, "a bigint, h bigint")
+    return map_batches(phrases.select("lang", "phrase"), hashed, "h bigint")
 
 
 def bitmaps(phrases: DataFrame, count: int, words: int) -> Frequent:
     """The bitmaps of ``phrases``; ``count`` of them, ``words`` words in all texts."""
     bits = min(max(1 << (32 * count - 1).bit_length(), MIN_BITS), MAX_BITS)
     at = F.col("h").bitwiseAND(bits - 1)
-    marked = phrase_hash_column(phrases).select((at / PAGE).cast("int").alias("page"), (at % PAGE).alias("bit"),
-                                                (F.col("a") * HOT > words).alias("hot"))
-    pages = marked.groupBy("page", "hot").agg(F.bitmap_construct_agg("bit").alias("bitmap")).collect()
-    out = Frequent(bits, np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8))
-    for page, hot, bitmap in pages:
-        part = slice(page * PAGE // 8, (page + 1) * PAGE // 8)
-        got = np.frombuffer(bitmap, np.uint8)
-        out.found[part] |= got
-        if hot:
-            out.hot[part] |= got
+    marked = phrase_hash_column(phrases).select((at / PAGE).cast("int").alias("page"), (at % PAGE).alias("bit"))
+    pages = stored(marked.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bitmap")), "bitmaps")
+    out = Frequent(bits, np.zeros(bits // 8, np.uint8), np.zeros(min(bits, HOT_BITS) // 8, np.uint8))
+    for page, bitmap in pages.toLocalIterator():
+        out.found[page * PAGE // 8:(page + 1) * PAGE // 8] = np.frombuffer(bitmap, np.uint8)
+    hot = phrase_hash_column(phrases.filter(F.col("a") * HOT > words)).select(F.col("h").bitwiseAND(8 * len(out.hot) - 1))
+    for at, in hot.collect():  # under HOT rows
+        out.hot[at >> 3] |= 1 << (at & 7)
     return out
 
 
@@ -337,10 +338,10 @@ def longer(striped: DataFrame, shorter: DataFrame, size: int) -> DataFrame:
     end = every_salt(shorter.select("lang", F.col("phrase").alias("suffix"), F.concat(F.array("a"), "tails").alias("tails")))
     kept = F.substring_index("prefix", " ", -(size - 2))  # the prefix without its first word
     suffix = F.col("word") if size == 2 else F.concat(kept, F.lit(" "), "word")
-    entries = (striped.filter(F.size("words") > 0).join(begin, ["lang", "prefix"])
+    entries = (striped.filter(F.size("words") > 0).join(begin.hint("merge"), ["lang", "prefix"])
                .select("lang", "prefix", "heads", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("a"))))
                .select("lang", F.concat("prefix", F.lit(" "), "word").alias("phrase"), "a", "heads", suffix.alias("suffix")))
-    return salted(entries, "phrase").join(end, ["lang", "suffix", "salt"]).select("lang", "phrase", "suffix", "a", "heads", "tails")
+    return salted(entries, "phrase").join(end.hint("merge"), ["lang", "suffix", "salt"]).select("lang", "phrase", "suffix", "a", "heads", "tails")
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = MAX_WORDS,
@@ -355,7 +356,10 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", ma
     words = 0
     for size in range(1, max_words + 1):
         parts = max(PARTS_LEAST, words // PART_WORDS)
-        striped = stored(stripes(texts, size, frequent, parts, min_count), f"stripes{size}")
+        shared = docs.sparkSession.sparkContext.broadcast(frequent)
+        frequent = None
+        striped = stored(stripes(texts, size, shared, parts, min_count), f"stripes{size}")
+        shared.destroy()
         if size == 1:
             totals = stored(striped.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
             words = totals.agg(F.sum("n")).first()[0] or 0
@@ -395,7 +399,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
     for phrases, longest in list(zip(levels, best))[1:]:
         own = phrases.select("lang", "phrase", "a", "heads", "tails")
         if longest is not None:
-            own = (own.join(longest, ["lang", "phrase"], "left")
+            own = (own.join(longest.hint("merge"), ["lang", "phrase"], "left")
                    .filter(F.col("ext").isNull() | (100 * F.col("ext") < subsumed_percent * F.col("a"))).drop("ext"))
         found = own if found is None else found.union(own)
     if found is None:
